@@ -271,7 +271,7 @@ def test_secret_scan(spark):
         assert [got[d][c] for c in ("n_assign", "n_access", "n_hex")] == [sum(k == i for _, k, _ in base) for i in range(3)]
         assert [s for s in got[d]["spans"].split(",") if s and not s.startswith("named")] == [s for s in line.split(",") if s]
     named = {d: [s for s in got[d]["spans"].split(",") if s.startswith("named")] for d in SECRETS}
-    assert named[6] == ["named:7:23"] and named[7] == ["named:15:31"] and not named[8] and not named[9]
+    assert named[6] == ["named:7:23"] and named[7] == ["named:15:32"] and not named[8] and not named[9]
     clean = rows_of(secret_scan.redact_secrets(df.withColumn("spans", F.lit(1))))
     assert clean[6]["text"] == 'key = "[SECRET]"\nauth_header = key\n' and clean[4]["text"] is None and clean[8]["text"] == SECRETS[8]
     assert "0123456789abcdef0" not in clean[3]["text"] and clean[3]["spans"] == 1
