@@ -3,8 +3,9 @@
 Tokens are hashes of five-word shingles. An order of all tokens puts rare ones
 first; two sets that are similar enough share a token in their prefixes under
 every order. Candidates come from an inverted index of the prefixes under the
-first order; before they are verified, their prefixes under two more orders must
-meet too. Frequencies for the orders come from a sketch of fixed size over all
+first order: a shared token must lie early enough in both for their sizes, and
+the whole prefixes must share as many tokens as similar sets would. Before
+candidates are verified, their prefixes under two more orders must meet too. Frequencies for the orders come from a sketch of fixed size over all
 documents; any order is a correct one, so its errors cost time, never results.
 
 Equal sets are one set from the start. Among different sets, candidates within
@@ -34,7 +35,7 @@ from .common import Powers, Scratch, arrow_batch, components, map_arrow, mix, pa
 #: log2 of the counters of the frequency sketch: 2 MB of memory, at any size of input.
 SKETCH_BITS = 18
 #: Pivot rounds before the rest is compared, and pairs for each posting that are few enough to begin at once.
-ROUNDS, FEW = 4, 2
+ROUNDS, FEW = 2, 2
 #: Partners of one pivot that a single group of the verification holds.
 GROUP = 1000
 
@@ -95,10 +96,10 @@ def prefix(s: np.ndarray, frequency: np.ndarray, order: int, percent: int) -> np
 
 
 def _postings(docs: DataFrame, frequency, key: str, text: str, percent: int, n: int) -> DataFrame:
-    """(token, doc_id, n): the inverted index of prefixes under the first order."""
+    """(token, doc_id, n, at): the inverted index of prefixes under the first order; ``at`` is the token's place in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, schema = Powers(), pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32())])
+        powers, schema = Powers(), pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
         for b in batches:
             tokens, ids, sizes = [], [], []
             for d, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
@@ -108,10 +109,10 @@ def _postings(docs: DataFrame, frequency, key: str, text: str, percent: int, n:
                 sizes.append(len(s))
             k = [len(x) for x in tokens]
             if sum(k):
-                yield arrow_batch(schema, np.concatenate(tokens).view(np.int64), np.repeat(np.array(ids, np.int64), k), np.repeat(np.array(sizes, np.int32), k))
+                yield arrow_batch(schema, np.concatenate(tokens).view(np.int64), np.repeat(np.array(ids, np.int64), k), np.repeat(np.array(sizes, np.int32), k), np.concatenate([np.arange(1, x + 1, dtype=np.int32) for x in k]))
 
     slim = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_arrow(slim, run, "token long, doc_id long, n int")
+    return map_arrow(slim, run, "token long, doc_id long, n int, at int")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -131,7 +132,7 @@ def _shared(postings: DataFrame) -> DataFrame:
             yield b.filter(pa.array(hit))
             before, last = int(t[-1]), None if hit[-1] else b.slice(b.num_rows - 1)
 
-    return map_arrow(postings.repartition("token").sortWithinPartitions("token"), run, "token long, doc_id long, n int")
+    return map_arrow(postings.repartition("token").sortWithinPartitions("token"), run, "token long, doc_id long, n int, at int")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, frequency, percent: int, n: int, scratch: Scratch) -> DataFrame:
@@ -173,9 +174,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, frequency, percent: int, n: in
     return scratch.save(map_arrow(both, run, "u long, v long"))
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes of two columns are close enough for a link."""
-    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
+def _common(a: str, b: str, percent: int) -> str:
+    """The least intersection of similar sets of two sizes."""
+    return f"(({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent})"
+
+
+def _meets(a: str, b: str, at_a: str, at_b: str, percent: int):
+    """Whether sets of two sizes can be similar, and a shared token is in both prefixes that these sizes need."""
+    common = _common(a, b, percent)
+    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) and {at_a} <= {a} - {common} + 1 and {at_b} <= {b} - {common} + 1")
+
+
+def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) that share as many tokens of their whole prefixes as similar sets of their sizes must."""
+    side = lambda k: prefixes.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v")
+    common = _common("nu", "nv", percent)
+    spare = lambda n: f"({n} - (({percent} * {n} + 99) div 100) + 1 - ({n} - {common}))"
+    return both.where(F.expr(f"size(array_intersect(tu, tv)) >= least({spare('nu')}, {spare('nv')})")).select("u", "v")
 
 
 def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -197,11 +213,12 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
     # A repeated doc_id may have several sets and stays itself in the index.
     single = sets.groupBy("doc_id").agg(F.count("*").alias("k")).where("k = 1").select("doc_id")
     mapped = shared.join(twins.join(single, "doc_id"), "doc_id", "left")
-    postings = mapped.select("token", F.coalesce("first", "doc_id").alias("doc_id"), "n").distinct()
+    postings = mapped.select("token", F.coalesce("first", "doc_id").alias("doc_id"), "n", "at").distinct()
     w = Window.partitionBy("token")
     live = scratch.save(postings.withColumn("k", F.count("*").over(w)).where("k > 1").drop("k"))
     scratch.drop(shared)
-    nodes = live.select("doc_id").distinct()
+    prefixes = scratch.save(live.groupBy("doc_id", "n").agg(F.collect_set("token").alias("tokens")))  # no more than a prefix has
+    nodes = prefixes.select("doc_id").distinct()
     texts = scratch.save(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes, "doc_id", "left_semi"))
 
     edges = twins.select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
@@ -214,7 +231,7 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
             state = live.withColumn("component", F.col("doc_id"))
         else:
             label = scratch.save(components(found, scratch))
-            state = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+            state = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
         # Posting lists that still span several components.
         state = scratch.save(state)
         spans = state.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
@@ -225,21 +242,21 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
             if not rest:
                 break
             if rest > FEW * total:
-                order = F.struct(F.when(F.lit(step == 0), F.col("n") * 0).otherwise(F.xxhash64("doc_id", F.lit(step))).alias("o"), "doc_id", "n", "component")
+                order = F.struct(F.when(F.lit(step == 0), F.col("n") * 0).otherwise(F.xxhash64("doc_id", F.lit(step))).alias("o"), "doc_id", "n", "at", "component")
                 pivot = state.groupBy("token").agg(F.min(order).alias("p"))
-                pairs = state.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _fits("n", "p.n", percent))
+                pairs = state.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
                 pairs = pairs.select(F.col("p.doc_id").alias("u"), F.col("doc_id").alias("v")).distinct()
-                good = _verified(pairs, texts, frequency, percent, n, scratch)
+                good = _verified(_plausible(pairs, prefixes, percent), texts, frequency, percent, n, scratch)
                 found = good if found is None else found.unionByName(good)
                 continue
         # All pairs of a posting list that are in different components; pairs in one are never formed.
         parts = state.select("token", "component").distinct()
         other = parts.select("token", F.col("component").alias("other"))
         between = parts.join(other, "token").where("component < other")
-        left = between.join(state.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu")), ["token", "component"])
-        right = state.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"))
-        pairs = left.join(right, ["token", "other"]).where(_fits("nu", "nv", percent)).select("u", "v").distinct()
-        good = _verified(pairs, texts, frequency, percent, n, scratch)
+        left = between.join(state.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au")), ["token", "component"])
+        right = state.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
+        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select("u", "v").distinct()
+        good = _verified(_plausible(pairs, prefixes, percent), texts, frequency, percent, n, scratch)
         found = good if found is None else found.unionByName(good)
         break
     if found is not None:
