@@ -1,17 +1,666 @@
-"""All queries of the library and their SQL."""
+"""All queries of the library and their SQL. The SQL is written in another way than the plans."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import genomics as G
+from .operators import alignments as A
+from .operators import calling as C
+from .operators import depth as D
+from .operators import fastq as Q
+from .operators import intervals as I
+from .operators import report as R
+from .operators import variants as V
+from .plans import roundtrips
+from .plans.views import view, with_views
+from .sources import formats
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+#: A reference base for every position, in place of a FASTA file.
+REFERENCE = "substr('ACGT', cast(pos*7 % 4 + 1 as int), 1)"
+
+
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of views; ``sql`` gives the same rows."""
+
+    def add(f):
+        key = name or f.__name__
+        _QUERIES[key] = f
+        if sql is not None:
+            _SQL[key] = with_views(sql)
+        return f
+
+    return add
+
+
+def r6(df: DataFrame, *names: str) -> DataFrame:
+    """Doubles rounded for comparison."""
+    return df.withColumns({n: F.round(F.col(n).cast("double"), 6) for n in names})
+
+
+def _good(s, d):
+    return D.read_filter(view(s, d, "alignments")).select("sample", "chrom", "start_pos", "end_pos")
+
+
+def _variants(s, d):
+    return view(s, d, "variants").withColumnRenamed("filt", "filter")
+
+
+def _parsed(s, d):
+    return formats.parse_vcf(view(s, d, "vcf_lines"), F.array(F.lit("s1")))
+
+
+EVENTS = """, ev as (select chrom, pos, sum(c) c from (select chrom, start_pos pos, 1 c from alignments where flag & 1796 = 0 union all select chrom, end_pos, -1 from alignments where flag & 1796 = 0) t group by 1, 2 having sum(c) <> 0),
+runs as (select chrom, pos start_pos, lead(pos) over (partition by chrom order by pos) end_pos, cast(sum(c) over (partition by chrom order by pos) as bigint) depth from ev),
+pos_runs as (select * from runs where depth > 0),
+zev as (select chrom, pos, max(k) k, sum(c) c from (select chrom, pos, 0 k, c from ev union all select chrom, 0, 1, 0 from contigs) t group by 1, 2),
+zruns0 as (select chrom, pos start_pos, lead(pos) over (partition by chrom order by pos) e, cast(sum(c) over (partition by chrom order by pos) as bigint) depth from zev),
+zruns as (select z.chrom, start_pos, coalesce(e, length) end_pos, depth from zruns0 z join contigs c on z.chrom = c.chrom where start_pos < coalesce(e, length))
+"""
+
+
+def runs_sql(body: str) -> str:
+    """SQL after the definitions of depth runs (they follow the views)."""
+    return EVENTS + body
+
+
+MERGED = """, f as (select *, max(end_pos) over (partition by chrom order by start_pos, end_pos rows between unbounded preceding and 1 preceding) m from targets),
+g as (select *, sum(case when start_pos <= m + {d} then 0 else 1 end) over (partition by chrom order by start_pos, end_pos rows unbounded preceding) k from f),
+merged as (select chrom, min(start_pos) start_pos, max(end_pos) end_pos, count(*) n from g group by chrom, k)
+"""
+
+# --- intervals ---------------------------------------------------------------
+
+
+@query("select chrom, start_pos, end_pos, name from targets")
+def sort_bed(s, d):
+    return I.sort_bed(view(s, d, "targets"))
+
+
+@query("select case when chrom = 'chr5' then 'MT' when name like '%7' then 'GL456210.1' else substr(chrom, 4) end chrom, start_pos, end_pos, name from targets")
+def rename_contigs(s, d):
+    t = view(s, d, "targets")
+    odd = F.when((F.col("chrom") != "chr5") & F.col("name").like("%7"), "chr1_GL456210_random").otherwise(F.col("chrom"))
+    return I.rename_contigs(t.withColumn("chrom", odd), {"chr5": "MT"})
+
+
+@query("select t.chrom, greatest(start_pos - 1500, 0) start_pos, least(end_pos + 1500, length) end_pos, name from targets t join contigs c on t.chrom = c.chrom")
+def slop(s, d):
+    return I.slop(view(s, d, "targets"), view(s, d, "contigs"), 1500)
+
+
+@query("select t.chrom, start_pos, least(end_pos + cast(floor((end_pos - start_pos) * 0.5) as bigint), length) end_pos, name from targets t join contigs c on t.chrom = c.chrom")
+def slop_fraction(s, d):
+    return I.slop(view(s, d, "targets"), view(s, d, "contigs"), left=0, right=0.5, fraction=True)
+
+
+@query(MERGED.format(d=0) + "select chrom, start_pos, end_pos, cast(n as bigint) n from merged")
+def merge_intervals(s, d):
+    return I.merge_intervals(view(s, d, "targets"), size=8192)
+
+
+@query(MERGED.format(d=100) + "select chrom, start_pos, end_pos, cast(n as bigint) n from merged")
+def mergesort_distance(s, d):
+    return I.mergesort(view(s, d, "targets"), 100)
+
+
+@query(MERGED.replace("from targets", "from (select t.chrom, greatest(start_pos - 100, 0) start_pos, least(end_pos + 100, length) end_pos from targets t join contigs c on t.chrom = c.chrom) p").format(d=0) + "select chrom, start_pos, end_pos from merged")
+def pad(s, d):
+    return I.pad(view(s, d, "targets"), view(s, d, "contigs"))
+
+
+@query(MERGED.replace("from targets", "from (select chrom, start_pos, end_pos from targets union all select chrom, start_pos + 50, end_pos + 90 from targets) p").format(d=0) + "select chrom, start_pos, end_pos from merged")
+def merge_beds(s, d):
+    t = view(s, d, "targets")
+    return I.merge_beds([t, t.withColumns({"start_pos": F.col("start_pos") + 50, "end_pos": F.col("end_pos") + 90})])
+
+
+@query("select chrom, start_pos + 1 start_pos, end_pos, name from targets where chrom <> 'chr4'")
+def bed_to_interval_list(s, d):
+    return I.bed_to_interval_list(view(s, d, "targets"), view(s, d, "contigs").where("chrom <> 'chr4'"))
+
+
+@query("select * from variants v where exists (select 1 from targets t where t.chrom = v.chrom and v.pos - 1 >= t.start_pos and v.pos - 1 < t.end_pos)")
+def restrict_to_targets(s, d):
+    return I.restrict_to_targets(view(s, d, "variants"), view(s, d, "targets"))
+
+
+@query("select a.qname, a.chrom, a.start_pos, a.end_pos, t.name r_name from alignments a join targets t on a.chrom = t.chrom and a.start_pos < t.end_pos and t.start_pos < a.end_pos where a.flag & 1796 = 0")
+def interval_join(s, d):
+    return I.interval_join(D.read_filter(view(s, d, "alignments")), view(s, d, "targets")).select("qname", "chrom", "start_pos", "end_pos", "r_name")
+
+
+# --- depth -------------------------------------------------------------------
+
+
+@query("select * from alignments where flag & 1796 = 0 and flag & 2 = 2 and mapq >= 20 and chrom = 'chr2'")
+def read_filter(s, d):
+    return D.read_filter(view(s, d, "alignments"), include=2, mapq=20, chrom="chr2")
+
+
+@query(runs_sql("select chrom, start_pos, end_pos, depth from pos_runs"))
+def per_base_depth(s, d):
+    return D.per_base_depth(_good(s, d), size=16_384)
+
+
+@query(runs_sql("select chrom, start_pos, end_pos, depth from zruns"))
+def per_base_depth_with_zero(s, d):
+    return D.per_base_depth(_good(s, d), view(s, d, "contigs"), size=16_384)
+
+
+@query(runs_sql(""", q as (select *, case when depth >= 50 then '50:inf' when depth >= 10 then '10:50' when depth >= 1 then '1:10' else '0:1' end k from zruns),
+h as (select *, case when lag(k) over (partition by chrom order by start_pos) = k then 0 else 1 end n from q), i as (select *, sum(n) over (partition by chrom order by start_pos) g from h)
+select chrom, k as class, min(start_pos) start_pos, max(end_pos) end_pos from i group by chrom, k, g"""))
+def quantize_depth(s, d):
+    return D.quantize_depth(D.per_base_depth(_good(s, d), view(s, d, "contigs")), [0, 1, 10, 50]).select("chrom", "class", "start_pos", "end_pos")
+
+
+@query(""", x as (select chrom, substr(qname, 1, position('_' in qname) - 1) qname, start_pos, end_pos from alignments),
+f as (select *, max(end_pos) over (partition by chrom, qname order by start_pos, end_pos rows between unbounded preceding and 1 preceding) m from x),
+g as (select *, sum(case when start_pos <= m then 0 else 1 end) over (partition by chrom, qname order by start_pos, end_pos rows unbounded preceding) k from f)
+select chrom, qname, min(start_pos) start_pos, max(end_pos) end_pos from g group by chrom, qname, k""")
+def mate_overlap_correct(s, d):
+    return D.mate_overlap_correct(view(s, d, "alignments").select("chrom", F.substring_index("qname", "_", 1).alias("qname"), "start_pos", "end_pos"))
+
+
+@query(runs_sql("select cast(sum(case when depth >= 10 then end_pos - start_pos else 0 end) as bigint) callable_bases, round(sum(case when depth >= 10 then end_pos - start_pos else 0 end) / 1e6, 6) callable_mb from zruns"))
+def callable_bases(s, d):
+    return r6(D.callable_bases(D.per_base_depth(_good(s, d), view(s, d, "contigs")), 10), "callable_mb")
+
+
+DEPTH_SUMMARY = """, ds as (select chrom, cast(sum(end_pos - start_pos) as bigint) length, cast(sum((end_pos - start_pos) * depth) as bigint) bases, min(depth) "min", max(depth) "max" from zruns group by chrom
+union all select 'total', cast(sum(end_pos - start_pos) as bigint), cast(sum((end_pos - start_pos) * depth) as bigint), min(depth), max(depth) from zruns) """
+
+
+@query(runs_sql(DEPTH_SUMMARY + 'select chrom, length, bases, round(bases / length, 6) mean, "min", "max" from ds'))
+def depth_summary(s, d):
+    return r6(D.depth_summary(D.per_base_depth(_good(s, d), view(s, d, "contigs"))), "mean")
+
+
+@query(runs_sql(DEPTH_SUMMARY + """, b as (select max(case when chrom = 'total' then length end) t, sum(case when chrom <> 'total' and bases / length >= 5 then bases else 0 end) c from ds)
+select cast(t as bigint) total_bases, cast(c as bigint) callable_bases, round(c / 1e6, 2) callable_mb, round(100.0 * c / t, 2) callable_pct from b"""))
+def callable_summary(s, d):
+    return D.callable_summary(D.depth_summary(D.per_base_depth(_good(s, d), view(s, d, "contigs"))), 5)
+
+
+@query(runs_sql("select cast(coalesce(sum(least(t.end_pos, r.end_pos) - greatest(t.start_pos, r.start_pos)), 0) as bigint) callable_bases from targets t join pos_runs r on t.chrom = r.chrom and t.start_pos < r.end_pos and r.start_pos < t.end_pos where depth >= 10"))
+def callable_in_bed(s, d):
+    return D.callable_in_bed(D.per_base_depth(_good(s, d)), view(s, d, "targets"))
+
+
+@query(""", m as (select distinct chrom, p from (select chrom, unnest(range(start_pos, end_pos)) p from targets) t),
+a as (select m.chrom, m.p, count(x.chrom) n, count(case when x.mapq >= 20 then 1 end) g from m left join alignments x on x.chrom = m.chrom and x.start_pos <= m.p and m.p < x.end_pos and x.flag & 1796 = 0 group by 1, 2),
+c as (select chrom, p, case when n = 0 then 'NO_COVERAGE' when g < 0.5 * n then 'POOR_MAPPING_QUALITY' when g < 5 then 'LOW_COVERAGE' else 'CALLABLE' end k from a)
+select k as state, cast(count(*) as bigint) n from c group by k""")
+def callable_loci(s, d):
+    good = D.read_filter(view(s, d, "alignments"))
+    loci = D.callable_loci(good, good.where("mapq >= 20"), view(s, d, "targets"), view(s, d, "contigs"), min_depth=5, size=16_384)
+    return D.loci_counts(loci)
+
+
+@query(runs_sql("""select 'CALLABLE' state, cast(sum(case when depth >= 5 then end_pos - start_pos else 0 end) as bigint) bases, round(sum(case when depth >= 5 then end_pos - start_pos else 0 end) / 1e6, 6) mb from zruns"""))
+def loci_summary_value(s, d):
+    n = D.callable_bases(D.per_base_depth(_good(s, d), view(s, d, "contigs")), 5)
+    lines = n.select(F.explode(F.array(F.lit("state n"), F.concat(F.lit("  CALLABLE   "), "callable_bases"), F.lit("NO_COVERAGE 1"))).alias("value"))
+    return r6(D.loci_summary_value(lines), "mb").select(F.lit("CALLABLE").alias("state"), "bases", "mb")
+
+
+@query(runs_sql(""", h as (select chrom, depth, sum(end_pos - start_pos) n from zruns group by 1, 2 union all select 'total', depth, sum(end_pos - start_pos) from zruns group by 2)
+select a.chrom, a.depth, round(sum(b.n) / (select sum(c.n) from h c where c.chrom = a.chrom), 6) share from h a join h b on a.chrom = b.chrom and b.depth >= a.depth group by 1, 2"""))
+def depth_distribution(s, d):
+    return r6(D.depth_distribution(D.per_base_depth(_good(s, d), view(s, d, "contigs"))), "share")
+
+
+REGION = """, o as (select t.chrom, t.start_pos, t.end_pos, t.name, depth, least(t.end_pos, r.end_pos) - greatest(t.start_pos, r.start_pos) n from targets t join zruns r on t.chrom = r.chrom and t.start_pos < r.end_pos and r.start_pos < t.end_pos) """
+
+
+@query(runs_sql(REGION + "select chrom, start_pos, end_pos, name, round(sum(depth * n) / (end_pos - start_pos), 6) depth from o group by 1, 2, 3, 4"))
+def region_depth(s, d):
+    return r6(D.region_depth(view(s, d, "targets"), D.per_base_depth(_good(s, d))), "depth")
+
+
+@query(runs_sql(REGION + ", p as (select *, sum(n) over (partition by chrom, start_pos, end_pos, name order by depth) u from (select chrom, start_pos, end_pos, name, depth, sum(n) n from o group by 1, 2, 3, 4, 5) t) select chrom, start_pos, end_pos, name, cast(min(case when 2 * u >= end_pos - start_pos then depth end) as double) depth from p group by 1, 2, 3, 4"))
+def region_median_depth(s, d):
+    return D.region_depth(view(s, d, "targets"), D.per_base_depth(_good(s, d)), median=True)
+
+
+@query(runs_sql(", w as (select chrom, length, unnest(range(0, length, 7000)) s from contigs), o as (select w.chrom, s, least(s + 7000, length) e, depth, least(least(s + 7000, length), r.end_pos) - greatest(s, r.start_pos) n from w join zruns r on w.chrom = r.chrom and s < r.end_pos and r.start_pos < least(s + 7000, length)) select chrom, cast(s as bigint) start_pos, cast(e as bigint) end_pos, round(sum(depth * n) / (e - s), 6) depth from o group by 1, 2, 3, e, s"))
+def window_depth(s, d):
+    return r6(D.window_depth(view(s, d, "contigs"), D.per_base_depth(_good(s, d)), 7000), "depth")
+
+
+@query(runs_sql(REGION + "select chrom, start_pos, end_pos, name, cast(sum(case when depth >= 1 then n else 0 end) as bigint) ge_1, cast(sum(case when depth >= 8 then n else 0 end) as bigint) ge_8 from o group by 1, 2, 3, 4"))
+def region_thresholds(s, d):
+    return D.region_thresholds(view(s, d, "targets"), D.per_base_depth(_good(s, d)), [1, 8])
+
+
+# --- variants ----------------------------------------------------------------
+
+TYPE = "case when length(ref) = 1 and length(alt) = 1 then 'SNV' when length(ref) < length(alt) then 'INSERTION' when length(ref) > length(alt) then 'DELETION' else 'COMPLEX' end"
+CSQ = "case when pos % 7 = 0 then 'missense_variant' when pos % 7 = 1 then 'stop_gained' when pos % 7 = 2 then 'frameshift_variant' when pos % 7 = 3 then 'synonymous_variant' when pos % 7 = 4 then 'splice_region_variant' when pos % 7 = 5 then 'intron_variant' else 'intergenic_variant' end"
+
+
+@query(f"select chrom, pos, ref, alt, {TYPE} \"type\" from variants")
+def variant_type(s, d):
+    return V.typed(_variants(s, d)).select("chrom", "pos", "ref", "alt", "type")
+
+
+@query("select chrom, pos, ref, alt, cast(50 as double) qual, filt as filter, cast(dp as int) dp, cast(dp - ad_alt as int) ad_ref, cast(ad_alt as int) ad_alt from variants")
+def genotype_fields(s, d):
+    return V.sample_fields(_parsed(s, d), "s1").select("chrom", "pos", "ref", "alt", "qual", "filter", "dp", "ad_ref", "ad_alt")
+
+
+@query("select chrom, pos, alt, round(case when dp = 0 then 0.0 else ad_alt * 1.0 / dp end, 6) vaf from variants")
+def vaf(s, d):
+    return r6(view(s, d, "variants").withColumn("vaf", G.vaf(F.col("ad_alt"), F.col("dp"))).select("chrom", "pos", "alt", "vaf"), "vaf")
+
+
+@query(f"select chrom, pos, filt = 'PASS' is_pass, pos % 7 in (0, 1, 2, 3) is_coding, pos % 7 in (0, 1, 2) is_nonsynonymous, {CSQ} effect from variants")
+def effect_flags(s, d):
+    e = G.csq_effect(F.col("info")["CSQ"])
+    return _parsed(s, d).select("chrom", "pos", (F.col("filter") == "PASS").alias("is_pass"), G.is_coding(e).alias("is_coding"), G.is_nonsynonymous(e).alias("is_nonsynonymous"), e.alias("effect"))
+
+
+@query("select chrom, pos, ref, alt from variants where filt = 'PASS' and length(alt) <> length(ref) and exists (select 1 from targets t where t.chrom = variants.chrom and pos - 1 >= t.start_pos and pos - 1 < t.end_pos)")
+def view_variants(s, d):
+    return V.view_variants(_parsed(s, d), view(s, d, "targets"), True, True, ["s1"], "indels").select("chrom", "pos", "ref", "alt")
+
+
+@query("select chrom, pos, alt from variants where filt = 'PASS'")
+def filter_pass(s, d):
+    return V.filter_pass(_variants(s, d)).select("chrom", "pos", "alt")
+
+
+@query("select chrom, pos, alt from variants where not (pos % 3 = 0)")
+def filter_biallelic(s, d):
+    v = _variants(s, d).withColumn("alt2", F.when(F.col("pos") % 3 == 0, F.concat("alt", F.lit(",T"))).otherwise(F.col("alt")))
+    return V.filter_biallelic(v.drop("alt").withColumnRenamed("alt2", "alt")).select("chrom", "pos", "alt")
+
+
+@query("select chrom, pos, case when pos % 2 = 0 then 1 else 0 end n from variants")
+def select_samples(s, d):
+    v = _parsed(s, d).withColumn("samples", F.transform("samples", lambda x: F.struct(F.when(F.col("pos") % 2 == 0, "a").otherwise("b").alias("name"), x["fmt"].alias("fmt"))))
+    return V.select_samples(v, ["a", "z"]).select("chrom", "pos", F.size("samples").alias("n"))
+
+
+@query(f"select chrom, pos, alt from variants where {TYPE} = 'SNV'")
+def filter_variant_type(s, d):
+    return V.filter_variant_type(_variants(s, d), "snps").select("chrom", "pos", "alt")
+
+
+@query("select chrom, pos, dp from variants where not (dp < 20 or ad_alt < 2)")
+def filter_expr(s, d):
+    return V.filter_expr(_variants(s, d), exclude="dp < 20 or ad_alt < 2").select("chrom", "pos", "dp")
+
+
+@query(f"select chrom, pos, ref, alt, dp, ad_alt from variants where filt = 'PASS' and {TYPE} in ('SNV', 'INSERTION', 'DELETION') and dp >= 10 and ad_alt >= 3 and ad_alt * 1.0 / dp >= 0.05")
+def hard_filter(s, d):
+    return V.hard_filter(_parsed(s, d), sample="s1").select("chrom", "pos", "ref", "alt", "dp", "ad_alt")
+
+
+@query("select chrom, pos, alt, dp, ad_alt from variants where filt = 'PASS' and dp >= 10 and ad_alt >= 3 and ad_alt * 1.0 / dp >= 0.2")
+def filter_quality(s, d):
+    return V.filter_quality(_variants(s, d), min_vaf=0.2).select("chrom", "pos", "alt", "dp", "ad_alt")
+
+
+@query(f"select filt as filter, cast(count(*) as bigint) n_total, cast(sum(case when {TYPE} = 'SNV' then 1 else 0 end) as bigint) n_snv, cast(sum(case when {TYPE} in ('INSERTION', 'DELETION') then 1 else 0 end) as bigint) n_indel from variants group by 1")
+def variant_counts(s, d):
+    return V.variant_counts(_variants(s, d), ("filter",))
+
+
+_EFF = ", ".join(f"cast(sum(case when pos % 7 = {i} then 1 else 0 end) as bigint) {n}" for i, n in enumerate(V.EFFECTS))
+
+
+@query(f"select cast(count(*) as bigint) total, cast(sum(case when pos % 7 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 7 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants")
+def effect_counts(s, d):
+    return V.effect_counts(_parsed(s, d))
+
+
+@query(f", e as (select filt as sample, cast(count(*) as bigint) total, cast(sum(case when pos % 7 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 7 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants group by 1) " + " union all ".join(f"select sample, '{n}' metric, {n} as value from e" for n in ("total", "coding", "nonsynonymous", *V.EFFECTS)))
+def variant_summary(s, d):
+    return V.variant_summary(_parsed(s, d).withColumnRenamed("filter", "sample"))
+
+
+@query(f""", c as (select chrom, cast(count(*) as bigint) n_total, cast(sum(case when {TYPE} = 'SNV' then 1 else 0 end) as bigint) n_snv, cast(sum(case when {TYPE} in ('INSERTION', 'DELETION') then 1 else 0 end) as bigint) n_indel from variants group by 1)
+select c.chrom, n_total, n_snv, n_indel, round(length / 1e6, 6) callable_mb, round(n_total / (length / 1e6), 6) load, round(n_snv / (length / 1e6), 6) snv_load, round(n_indel / (length / 1e6), 6) indel_load from c join contigs on c.chrom = contigs.chrom""")
+def mutational_load(s, d):
+    mb = view(s, d, "contigs").select("chrom", (F.col("length") / 1e6).alias("callable_mb"))
+    return r6(V.mutational_load(V.variant_counts(_variants(s, d), ("chrom",)), mb, "chrom"), "callable_mb", "load", "snv_load", "indel_load")
+
+
+@query("select chrom, pos, '2' an, '1' ac, '0.5' af, '1' ns from variants")
+def fill_tags(s, d):
+    v = V.fill_tags(_parsed(s, d), ["AN", "AC", "AF", "NS"])
+    return v.select("chrom", "pos", *[F.col("info")[t].alias(t.lower()) for t in ("AN", "AC", "AF", "NS")])
+
+
+@query("select * from variants v where not exists (select 1 from variants k where k.filt = 'germline' and k.chrom = v.chrom and k.pos = v.pos)")
+def known_sites_anti(s, d):
+    v = view(s, d, "variants")
+    return V.known_sites_anti(v, v.where("filt = 'germline'"))
+
+
+@query("""select v.chrom, v.pos, v.ref, v.alt, coalesce(case when v.pos % 2 = 0 then concat('G', cast(v.pos % 50 as string)) end, min(t.name)) gene,
+case when v.pos % 2 = 0 then 'known' when min(t.name) is not null then 'within_gene' end effect from (select distinct chrom, pos, ref, alt from variants) v left join targets t on t.chrom = v.chrom and v.pos - 1 >= t.start_pos and v.pos - 1 < t.end_pos group by 1, 2, 3, 4""")
+def annotation_join(s, d):
+    v = view(s, d, "variants").select("chrom", "pos", "ref", "alt").distinct()
+    known = v.where("pos % 2 = 0").select("*", F.concat(F.lit("G"), (F.col("pos") % 50).cast("string")).alias("gene"), F.lit("known").alias("effect"))
+    return V.annotation_join(v, known, view(s, d, "targets")).select("chrom", "pos", "ref", "alt", "gene", "effect")
+
+
+# --- reads before alignment --------------------------------------------------
+
+
+@query("select rec, substr(split_part(split_part(header, ' ', 1), '/', 1), 2) id from fastq")
+def read_id(s, d):
+    return view(s, d, "fastq").select("rec", G.read_id(F.col("header")).alias("id"))
+
+
+@query("select rec, (case when plus not like '+%' then 1 else 0 end + case when length(seq) <> length(qual) then 1 else 0 end) n from fastq2 where plus not like '+%' or length(seq) <> length(qual)")
+def fastq_validate(s, d):
+    return Q.with_errors(view(s, d, "fastq2")).select("rec", F.size("errors").alias("n")).where("n > 0")
+
+
+@query("select rec, header from fastq where rec < 500")
+def head_records(s, d):
+    return Q.head_records(view(s, d, "fastq"), 500).select("rec", "header")
+
+
+@query("select rec, concat('q', cast(rec as string)) id1, concat('x', cast(rec as string)) id2 from fastq where rec % 101 = 0")
+def pair_reads(s, d):
+    return Q.pair_reads(view(s, d, "fastq"), view(s, d, "fastq2")).where("id1 <> id2")
+
+
+@query(""", m as (select count(*) c from fastq where rec % 101 = 0 and rec < 10000), e as (select count(*) c from fastq2 where rec < 10000 and (plus not like '+%' or length(seq) <> length(qual)))
+select case when e.c = 0 then 'PASS' else 'FAIL' end status, cast((select count(*) from fastq where rec < 10000) as bigint) records_checked, e.c = 0 format_ok, m.c = 0 ids_match, cast(m.c as bigint) mismatches from m, e""")
+def fastq_check(s, d):
+    return Q.fastq_check(view(s, d, "fastq"), view(s, d, "fastq2")).select("status", "records_checked", "format_ok", "ids_match", "mismatches")
+
+
+CLEAN = """, c as (select rec, seq, qual, length(seq) - length(replace(seq, 'N', '')) n, length(qual) - length(regexp_replace(qual, '[!-/]', '', 'g')) bad from fastq),
+k as (select *, case when 100 * bad > 40 * length(qual) then 'low_quality' when n > 2 then 'too_many_N' else 'passed' end reason from c) """
+
+
+@query(CLEAN + "select reason, cast(count(*) as bigint) n from k group by 1")
+def read_clean(s, d):
+    return Q.filter_reasons(Q.read_clean(view(s, d, "fastq"), n_limit=2, poly_g=0))
+
+
+_TOTALS = "cast(count(*) as bigint) \"reads\", cast(sum(length(seq)) as bigint) bases, cast(sum(length(regexp_replace(qual, '[!-4]', '', 'g'))) as bigint) q20_bases, cast(sum(length(regexp_replace(qual, '[!->]', '', 'g'))) as bigint) q30_bases, cast(sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) as bigint) gc_bases"
+
+
+@query(CLEAN + f", t as (select 'before' stage, {_TOTALS} from k union all select 'after', {_TOTALS} from k where reason = 'passed') select *, round(q20_bases / bases, 6) q20_rate, round(q30_bases / bases, 6) q30_rate, round(gc_bases / bases, 6) gc_rate from t")
+def read_qc(s, d):
+    return r6(Q.read_qc(view(s, d, "fastq"), n_limit=2, poly_g=0), "q20_rate", "q30_rate", "gc_rate")
+
+
+@query("select cast(count(*) as bigint) \"reads\", cast(count(distinct seq) as bigint) \"distinct\", round(1 - count(distinct seq) / count(*), 6) rate from fastq")
+def duplication_rate(s, d):
+    return r6(Q.duplication_rate(view(s, d, "fastq")), "rate")
+
+
+@query(", e as (select i as cycle, ascii(substr(qual, cast(i as int), 1)) - 33 q from fastq, range(1, 33) r(i)) select cast(cycle as int) cycle, round(avg(q), 6) mean, cast(quantile_disc(q, 0.25) as int) lower_quartile, cast(quantile_disc(q, 0.5) as int) median, cast(quantile_disc(q, 0.75) as int) upper_quartile from e group by 1")
+def per_cycle_quality(s, d):
+    return r6(Q.per_cycle_quality(view(s, d, "fastq")), "mean").select("cycle", "mean", "lower_quartile", "median", "upper_quartile")
+
+
+@query(", e as (select rec, sum(ascii(substr(qual, cast(i as int), 1)) - 33) q from fastq, range(1, 33) r(i) group by 1) select cast(floor(q / 32) as int) quality, cast(count(*) as bigint) n from e group by 1")
+def mean_quality_histogram(s, d):
+    return Q.mean_quality_histogram(view(s, d, "fastq"))
+
+
+@query()
+def fastqc_modules(s, d):
+    return Q.fastqc_modules(view(s, d, "fastq"), {"x": "ACGTAC"})
+
+
+# --- alignments --------------------------------------------------------------
+
+
+@query("select qname, chrom, pos from sam")
+def sort_alignments(s, d):
+    return A.sort_alignments(view(s, d, "sam"), "name").select("qname", "chrom", "pos")
+
+
+@query(""", b as (select * from sam where cigar = '32M' union all select * from sam where cigar <> '32M'), x as (
+select qname, pos - 1 s, pos - 1 + 32 e, 0 q from b where cigar = '32M' union all select qname, pos - 1, pos - 1 + 27, 5 from b where cigar = '5S27M' union all select qname, pos - 1, pos + 9, 0 from b where cigar = '10M2D20M2S'
+union all select qname, pos + 11, pos + 31, 10 from b where cigar = '10M2D20M2S' union all select qname, pos - 1, pos + 11, 0 from b where cigar = '12M3I17M' union all select qname, pos + 11, pos + 28, 15 from b where cigar = '12M3I17M')
+select qname, cast(s as bigint) s, cast(e as bigint) e, cast(q as int) q from x""")
+def cigar_blocks(s, d):
+    return view(s, d, "sam").select("qname", F.explode(G.cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b")).select("qname", "b.*")
+
+
+_FS = ", ".join(f"cast(sum(case when {t} then 1 else 0 end) as bigint) {n}" for n, t in {
+    "total": "true", "secondary": "flag & 256 <> 0", "supplementary": "flag & 2048 <> 0", "duplicates": "flag & 1024 <> 0", "paired": "flag & 1 <> 0", "read1": "flag & 64 <> 0", "read2": "flag & 128 <> 0",
+    "mapped": "flag & 4 = 0", "properly_paired": "flag & 1 = 1 and flag & 2 = 2 and flag & 4 = 0", "singletons": "flag & 1 = 1 and flag & 4 = 0 and flag & 8 = 8"}.items())
+
+
+@query(f"select sample, {_FS} from alignments group by 1")
+def flagstat(s, d):
+    return A.flagstat(view(s, d, "alignments"))
+
+
+@query("""select sample, 'SN' section, 'raw_total_sequences' bin, cast(count(*) as bigint) n from sam group by 1 union all select sample, 'SN', 'reads_mapped', cast(count(*) as bigint) from sam where flag & 4 = 0 group by 1
+union all select sample, 'SN', 'reads_duplicated', cast(0 as bigint) from sam group by 1 union all select sample, 'SN', 'reads_MQ0', cast(count(*) as bigint) from sam where flag & 4 = 0 and mapq = 0 group by 1
+union all select sample, 'SN', 'total_length', cast(sum(length(seq)) as bigint) from sam group by 1 union all select sample, 'SN', 'bases_mapped', cast(sum(length(seq)) as bigint) from sam where flag & 4 = 0 group by 1
+union all select sample, 'RL', cast(length(seq) as string), cast(count(*) as bigint) from sam group by 1, 3 union all select sample, 'IS', cast(tlen as string), cast(count(*) as bigint) from sam group by 1, 3
+union all select sample, 'BQ', cast(ascii(substr(qual, cast(i as int), 1)) - 33 as string), cast(count(*) as bigint) from sam, range(1, 33) r(i) group by 1, 3
+union all select sample, 'GC', cast(cast(floor(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) as bigint) as string), cast(count(*) as bigint) from sam group by 1, 3""")
+def read_stats(s, d):
+    return A.read_stats(view(s, d, "sam")).where("section <> 'COV'")
+
+
+@query("""select sample, category, cast(count(*) as bigint) "reads", cast(sum(al) as bigint) aligned, round(sum(al) / count(*), 6) pct_aligned, round(avg(len), 6) mean_read_length from (
+select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len from sam
+union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq) from sam) t group by 1, 2""")
+def alignment_summary(s, d):
+    return r6(A.alignment_summary(view(s, d, "sam")).drop("mismatch_rate"), "pct_aligned", "mean_read_length")
+
+
+@query("""select sample, case when flag & 16 <> 0 then 'RF' else 'FR' end orientation, round(median(tlen), 6) median, round(avg(tlen), 6) mean, round(stddev_samp(tlen), 6) sd, cast(min(tlen) as bigint) "min", cast(max(tlen) as bigint) "max", cast(count(*) as bigint) pairs
+from sam where flag & 4 = 0 group by 1, 2""")
+def insert_size_metrics(s, d):
+    return r6(A.insert_size_metrics(view(s, d, "sam")), "median", "mean", "sd")
+
+
+@query()
+def hs_metrics(s, d):
+    return A.hs_metrics(_good(s, d), view(s, d, "targets"))
+
+
+def _fragments(s, d):
+    """Reads with few keys, so that fragments have rivals."""
+    sam = view(s, d, "sam").withColumn("qname", F.concat_ws("_", "qname", "chrom", "pos", "mapq"))
+    return sam.withColumn("pos", F.col("pos") % 200 + 1)
+
+
+_DUP = """, r as (select *, pos % 200 + 1 p, case when flag & 16 <> 0 then (pos % 200 + 1) + (case cigar when '32M' then 32 when '5S27M' then 27 when '10M2D20M2S' then 32 else 29 end) - 1 + case cigar when '10M2D20M2S' then 2 else 0 end
+else (pos % 200 + 1) - case cigar when '5S27M' then 5 else 0 end end u, (select sum(case when ascii(substr(qual, cast(i as int), 1)) - 33 >= 15 then ascii(substr(qual, cast(i as int), 1)) - 33 else 0 end) from range(1, 33) t(i)) score from sam),
+f as (select *, row_number() over (partition by sample, chrom, u, flag & 16 order by score desc, concat_ws('_', qname, chrom, cast(pos as string), cast(mapq as string))) k from r where flag & 4 = 0) """
+
+
+@query(_DUP + "select sample, cast(count(*) as bigint) n, cast(sum(case when k > 1 then 1 else 0 end) as bigint) duplicates from f group by 1")
+def mark_duplicates(s, d):
+    m = A.mark_duplicates(_fragments(s, d)).where("flag & 4 = 0")
+    return m.groupBy("sample").agg(F.count("*").alias("n"), F.sum(F.when(G.has_flag(F.col("flag"), 1024), 1).otherwise(0)).alias("duplicates"))
+
+
+@query(_DUP + """, c as (select sample, count(*) n, sum(case when k > 1 then 1 else 0 end) dup from f group by 1) select sample, cast(0 as bigint) unpaired_examined, cast(floor(n / 2) as bigint) pairs_examined, cast(0 as bigint) unpaired_duplicates,
+cast(floor(dup / 2) as bigint) pair_duplicates, round(2 * floor(dup / 2) / (2 * floor(n / 2)), 6) percent_duplication from c""")
+def duplication_metrics(s, d):
+    return r6(A.duplication_metrics(A.mark_duplicates(_fragments(s, d))), "percent_duplication")
+
+
+BASES = """, blk as (select *, pos - 1 s, 0 q, case cigar when '32M' then 32 when '10M2D20M2S' then 10 when '12M3I17M' then 12 else 0 end len from sam where cigar <> '5S27M' union all select *, pos - 1, 5, 27 from sam where cigar = '5S27M'
+union all select *, pos + 11, 10, 20 from sam where cigar = '10M2D20M2S' union all select *, pos + 11, 15, 17 from sam where cigar = '12M3I17M'),
+bs as (select sample, chrom, flag, s + i + 1 as pos, substr(seq, cast(q + i + 1 as int), 1) base, ascii(substr(qual, cast(q + i + 1 as int), 1)) - 33 quality, cast(q + i + 1 as int) cycle from blk, range(0, 32) r(i) where i < len and flag & 1796 = 0),
+refd as (select *, substr('ACGT', cast(pos*7 % 4 + 1 as int), 1) ref from bs) """
+
+
+@query(BASES + "select sample, chrom, cast(pos as bigint) pos, cast(count(*) as bigint) depth, " + ", ".join(f"cast(sum(case when base = '{b}' then 1 else 0 end) as bigint) {b.lower()}" for b in "ACGT") + ", cast(sum(case when base = 'N' then 1 else 0 end) as bigint) other from bs where quality >= 10 group by 1, 2, 3")
+def pileup(s, d):
+    return A.pileup(view(s, d, "sam"), min_base_quality=10)
+
+
+def _sites(s, d):
+    return view(s, d, "variants").where("length(alt) = 1").select("chrom", ((F.col("pos") % 2000) + 1).alias("pos"), F.expr("substr('ACGT', cast(((pos % 2000) + 1)*7 % 4 + 1 as int), 1)").alias("ref"), F.lit("A").alias("alt"), F.lit(0.25).alias("af")).distinct().where("ref <> 'A'")
+
+
+@query()
+def pileup_summaries(s, d):
+    return A.pileup_summaries(view(s, d, "sam"), _sites(s, d))
+
+
+@query(BASES + """, g as (select sample, quality, cycle, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' group by 1, 2, 3), a as (select sample, quality, cycle, o, e from g union all select sample, quality, null, sum(o), sum(e) from g group by 1, 2 union all select sample, null, null, sum(o), sum(e) from g group by 1)
+select sample, cast(quality as int) quality, cast(cycle as int) cycle, cast(o as bigint) observations, cast(e as bigint) errors, round(-10 * log10((e + 1) / (o + 2)), 6) empirical from a""")
+def recal_table(s, d):
+    return r6(A.recal_table(view(s, d, "sam"), F.expr(REFERENCE)), "empirical")
+
+
+@query()
+def apply_recal(s, d):
+    sam = view(s, d, "sam")
+    return A.apply_recal(sam, A.recal_table(sam, F.expr(REFERENCE))).select("qname", "seq", "qual")
+
+
+@query(BASES + """select sample, ref, base alt, cast(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else 0 end) as bigint) f1r2, cast(sum(case when (flag & 64 <> 0) = (flag & 16 <> 0) then 1 else 0 end) as bigint) f2r1 from refd where base <> 'N' and base <> ref group by 1, 2, 3""")
+def orientation_counts(s, d):
+    return A.orientation_counts(view(s, d, "sam"), F.expr(REFERENCE)).drop("artifact")
+
+
+_CALLS = BASES + """, p as (select sample, chrom, pos, ref, base, count(*) n from refd group by 1, 2, 3, 4, 5), dp as (select sample, chrom, pos, sum(n) d from p group by 1, 2, 3),
+cand as (select p.chrom, p.pos, p.ref, p.base alt, dp.d t_depth, p.n t_alt, coalesce((select d from dp x where x.sample = 'normal' and x.chrom = p.chrom and x.pos = p.pos), 0) n_depth, coalesce((select n from p y where y.sample = 'normal' and y.chrom = p.chrom and y.pos = p.pos and y.base = p.base), 0) n_alt
+from p join dp on p.sample = dp.sample and p.chrom = dp.chrom and p.pos = dp.pos where p.sample = 'tumor' and p.base <> 'N' and p.base <> p.ref and p.n >= 3 and p.n >= 0.05 * dp.d) """
+
+
+@query(_CALLS + "select chrom, cast(pos as bigint) pos, ref, alt, cast(t_depth as bigint) t_depth, cast(t_alt as bigint) t_alt, cast(n_depth as bigint) n_depth, cast(n_alt as bigint) n_alt from cand where n_alt <= 1")
+def somatic_candidates(s, d):
+    sam = view(s, d, "sam")
+    return C.somatic_candidates(sam.where("sample = 'tumor'"), sam.where("sample = 'normal'"), F.expr(REFERENCE), most_normal_alt=1)
+
+
+@query("select chrom, pos, ref, alt, cast(count(distinct filt) as bigint) n_samples from (select chrom, pos % 50 as pos, ref, alt, filt from variants) v group by 1, 2, 3, 4 having count(distinct filt) >= 2")
+def panel_of_normals(s, d):
+    return V.panel_of_normals(view(s, d, "variants").withColumn("pos", F.col("pos") % 50).withColumnRenamed("filt", "sample"))
+
+
+@query()
+def contamination(s, d):
+    sam = view(s, d, "sam")
+    sums = lambda k: A.pileup_summaries(sam.where(F.col("sample") == k), _sites(s, d), ())
+    return C.contamination(sums("tumor"), sums("normal"), 3, 0.4)
+
+
+@query()
+def somatic_pipeline(s, d):
+    sam = view(s, d, "sam")
+    return C.somatic_pipeline(sam.where("sample = 'tumor'"), sam.where("sample = 'normal'"), F.expr(REFERENCE), sites=_sites(s, d))
+
+
+# --- reports -----------------------------------------------------------------
+
+
+@query("select distinct sample, split_part(sample, '_', 1) || '_' || split_part(sample, '_', 2) mouse_id, case when sample like '%Kidney%' then 'Kidney' else 'SCC' end tissue from qc_long")
+def sample_fields(s, d):
+    return R.with_sample_fields(view(s, d, "qc_long").select("sample").distinct())
+
+
+def _loads(s, d):
+    return view(s, d, "loads").withColumn("load", F.try_divide(F.col("n_total").cast("double"), F.col("callable_mb")))
+
+
+def _quality(s, d):
+    q = view(s, d, "qc_long").groupBy("sample").agg(F.avg("value").alias("mean_target_coverage"), (F.max("value") / 100).alias("percent_duplication"), F.min("value").alias("pct_target_bases_20x"))
+    return q
+
+
+@query(""", q as (select sample, avg(value) c, max(value) / 100 d, min(value) p from qc_long group by 1)
+select split_part(l.sample, '_', 1) || '_' || split_part(l.sample, '_', 2) mouse_id, l.sample, normal, 'SCC' tissue, n_total, n_snv, n_indel, callable_mb, round(n_total / callable_mb, 6) load, round(d, 6) percent_duplication, round(c, 6) mean_target_coverage, round(p, 6) pct_target_bases_20x
+from pairs join loads l on l.sample = tumor left join q on q.sample = l.sample""")
+def mutational_load_report(s, d):
+    q = _quality(s, d)
+    out = R.mutational_load_report(view(s, d, "pairs"), _loads(s, d), q.select("sample", "percent_duplication"), q.select("sample", "mean_target_coverage", "pct_target_bases_20x"))
+    return r6(out, "load", "percent_duplication", "mean_target_coverage", "pct_target_bases_20x")
+
+
+@query("select l.sample, n_total, n_snv, case when l.sample like '%SCC%' then cast(-1 as bigint) else n_indel end n_indel, callable_mb, case when l.sample like '%SCC%' then 'x' end note from loads l")
+def join_qc_to_load(s, d):
+    loads = view(s, d, "loads")
+    qc = loads.where("sample like '%SCC%'").select("sample", F.lit(-1).cast("long").alias("n_indel"), F.lit("x").alias("note"))
+    return R.join_qc_to_load(loads, qc)
+
+
+@query("""select cast(count(distinct sample) as bigint) n_tumors, round(avg(n_total / callable_mb), 6) mean_load, round(min(n_total / callable_mb), 6) min_load, round(max(n_total / callable_mb), 6) max_load, cast((select count(distinct sample) from qc_long) as bigint) n_samples,
+round((select avg(m) from (select max(value) m from qc_long group by sample) t), 6) mean_depth from loads where sample like '%SCC%'""")
+def cohort_summary(s, d):
+    qc = view(s, d, "qc_long").groupBy("sample").agg(F.max("value").alias("depth"))
+    return r6(R.cohort_summary(_loads(s, d).where("sample like '%SCC%'"), qc), "mean_load", "min_load", "max_load", "mean_depth")
+
+
+@query(""", t as (select case when sample like '%Kidney%' then 'Kidney' else 'SCC' end tissue, n_total / callable_mb l from loads)
+select tissue, case when tissue = 'Kidney' then 0 else 1 end place, cast(count(*) as bigint) n, round(min(l), 6) "min", round(quantile_cont(l, 0.25), 6) q1, round(median(l), 6) median, round(quantile_cont(l, 0.75), 6) q3, round(max(l), 6) "max" from t group by 1""")
+def load_by_tissue(s, d):
+    return r6(R.load_by_tissue(_loads(s, d)), "min", "q1", "median", "q3", "max")
+
+
+@query("select split_part(sample, '_', 1) || '_' || split_part(sample, '_', 2) mouse_id, round(median(n_total / callable_mb), 6) median_load from loads group by 1")
+def load_by_mouse(s, d):
+    return r6(R.load_by_mouse(_loads(s, d)), "median_load")
+
+
+@query("select sample, cast(count(*) as bigint) n, round(coalesce(100.0 * sum(case when value > 50 then 1 else 0 end) / nullif(count(*), 0), 0), 6) rate, case when min(value) < 0 then 'FAIL' when avg(value) > 50 then 'PASS' else 'WARN' end overall from qc_long group by 1")
+def rates(s, d):
+    q = view(s, d, "qc_long").groupBy("sample").agg(F.count("*").alias("n"), F.sum(F.when(F.col("value") > 50, 1).otherwise(0)).alias("k"), F.when(F.min("value") < 0, "FAIL").when(F.avg("value") > 50, "PASS").otherwise("WARN").alias("m"))
+    return r6(q.select("sample", "n", G.rate(F.col("k"), F.col("n")).alias("rate"), G.fastqc_overall(F.col("m"), F.col("m"), F.col("m")).alias("overall")), "rate")
+
+
+@query("""select sample, 'fastp_n_total' metric, cast(n_total as string) as value from loads union all select sample, 'fastp_n_snv', cast(n_snv as string) from loads union all select sample, 'fastqc_raw_r1_gc', 'PASS' from loads""")
+def qc_summary_long(s, d):
+    loads = view(s, d, "loads")
+    modules = loads.select("sample", F.lit("raw").alias("label"), F.lit("r1").alias("read"), F.lit("gc").alias("module"), F.lit("PASS").alias("status"))
+    return R.qc_summary_long(loads.select("sample", "n_total", "n_snv"), modules)
+
+
+@query("""select case when sample = 'PRLC_0_SCC_0' then 'first' else sample end sample, cast(count(*) as string) "a.n", cast(max(user_n) as string) "b.m" from (select sample, count(*) over (partition by sample) user_n from qc_long where sample not like '%\\_2' escape '\\') t group by 1""")
+def multi_qc(s, d):
+    n = view(s, d, "qc_long").groupBy("sample").agg(F.count("*").cast("string").alias("value"))
+    tables = {"a": n.select("sample", F.lit("n").alias("metric"), "value"), "b": n.select("sample", F.lit("m").alias("metric"), "value"), "c": n.select("sample", F.lit("z").alias("metric"), "value")}
+    return R.multi_qc(tables, exclude=["c"], ignore_samples=["*_2"], rename={"PRLC_0_SCC_0": "first"}, metrics=["a.n", "b.m"])
+
+
+@query()
+def sample_report(s, d):
+    return R.sample_report(_quality(s, d), _loads(s, d).where("sample like '%SCC%'"))
+
+
+@query("select metric path, cast(count(distinct sample) as bigint) n_keys from qc_long group by 1 having count(distinct sample) > 1")
+def output_conflicts(s, d):
+    return R.output_conflicts(view(s, d, "qc_long").select(F.col("metric").alias("path"), F.col("sample").alias("key"))).drop("keys")
+
+
+@query("select sample path, case when n_total % 3 = 0 then 'First run' when n_total % 3 = 1 then 'missing' else 'does not match' end reason from loads")
+def stale_inputs(s, d):
+    loads = view(s, d, "loads").select(F.col("sample").alias("path"), "n_total", F.md5("sample").alias("signature"))
+    return R.stale_inputs(loads.where("n_total % 3 <> 0").drop("n_total"), loads.where("n_total % 3 <> 1").withColumn("signature", F.concat("signature", F.lit("x"))).drop("n_total"))
+
+
+# --- files -------------------------------------------------------------------
+
+for _name, (_f, _sql) in roundtrips.ROUNDTRIPS.items():
+    query(_sql, _name)(_f)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL by name."""
-    return {}
+    return dict(_SQL)

@@ -1 +1 @@
-"""To come."""
+"""Column functions."""

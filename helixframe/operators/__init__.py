@@ -1 +1 @@
-"""To come."""
+"""Operators: DataFrames in, a lazy DataFrame out."""

@@ -1 +1 @@
-"""To come."""
+"""Derived views and queries over files."""

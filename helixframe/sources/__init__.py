@@ -1 +1 @@
-"""To come."""
+"""Readers and writers of sequencing formats."""

@@ -1 +1 @@
-"""To come."""
+"""Reserved: the operators have no notion of a stream yet."""
