@@ -36,6 +36,8 @@ from .common import Powers, Scratch, arrow_batch, components, map_arrow, mix, pa
 SKETCH_BITS = 18
 #: Pivot rounds before the rest is compared, and pairs for each posting that are few enough to begin at once.
 ROUNDS, FEW = 2, 2
+#: Sets that a task remembers to have posted; forgetting costs repeated postings only.
+POSTED = 100_000
 #: Partners of one pivot that a single group of the verification holds.
 GROUP = 1000
 
@@ -96,43 +98,78 @@ def prefix(s: np.ndarray, frequency: np.ndarray, order: int, percent: int) -> np
 
 
 def _postings(docs: DataFrame, frequency, key: str, text: str, percent: int, n: int) -> DataFrame:
-    """(token, doc_id, n, at): the inverted index of prefixes under the first order; ``at`` is the token's place in it."""
+    """(token, mark, doc_id, n, at): the inverted index of prefixes under the first order.
+
+    ``mark`` is a hash of the whole set and ``at`` the token's place in the prefix.
+    Only the smallest doc_id of equal sets matters, so a task leaves out a set that
+    it has already posted for a smaller one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, schema = Powers(), pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+        powers, posted = Powers(), {}
+        schema = pa.schema([("token", pa.int64()), ("mark", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
         for b in batches:
-            tokens, ids, sizes = [], [], []
+            tokens, marks, ids, sizes = [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
                 s = shingles(t or b"", powers, n)
+                mark = int(mix(s, 1).sum(dtype=np.uint64))
+                if not len(s) or posted.get(mark, d + 1) <= d:
+                    continue
+                if len(posted) >= POSTED:
+                    posted.clear()
+                posted[mark] = d
                 tokens.append(prefix(s, frequency.value, 0, percent))
+                marks.append(mark)
                 ids.append(d)
                 sizes.append(len(s))
             k = [len(x) for x in tokens]
-            if sum(k):
-                yield arrow_batch(schema, np.concatenate(tokens).view(np.int64), np.repeat(np.array(ids, np.int64), k), np.repeat(np.array(sizes, np.int32), k), np.concatenate([np.arange(1, x + 1, dtype=np.int32) for x in k]))
+            if k:
+                each = (np.repeat(np.array(c, kind), k) for c, kind in ((marks, np.uint64), (ids, np.int64), (sizes, np.int32)))
+                mark, doc, size = each
+                yield arrow_batch(schema, np.concatenate(tokens).view(np.int64), mark.view(np.int64), doc, size, np.concatenate([np.arange(1, x + 1, dtype=np.int32) for x in k]))
 
     slim = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_arrow(slim, run, "token long, doc_id long, n int, at int")
+    return map_arrow(slim, run, "token long, mark long, doc_id long, n int, at int")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of tokens that occur more than once, by a scan in order of token."""
+    """(token, doc_id, n, at, p, pn, pat): postings of tokens that different sets share, one of each set.
+
+    A scan in order of (token, mark, doc_id) keeps the smallest doc_id of equal
+    sets; the first posting of a token, ``p``, is the pivot of the first round.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: pa.RecordBatch | None = None  # the last row, if it was not written yet
-        before: int | None = None
+        schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("p", pa.int64()), ("pn", pa.int32()), ("pat", pa.int32())])
+        before = None  # (token, mark) of the last row
+        waiting = None  # the only posting so far of the last token
+        pivot = None  # the first posting of the last token, if that has been written
         for b in batches:
             if not b.num_rows:
                 continue
-            t = b.column(0).to_numpy()
-            same = np.concatenate([[before is not None and before == t[0]], t[1:] == t[:-1]])
-            hit = same | np.concatenate([same[1:], [False]])
-            if same[0] and last is not None:
-                yield last
-            yield b.filter(pa.array(hit))
-            before, last = int(t[-1]), None if hit[-1] else b.slice(b.num_rows - 1)
-
-    return map_arrow(postings.repartition("token").sortWithinPartitions("token"), run, "token long, doc_id long, n int, at int")
+            t, m = b.column(0).to_numpy(), b.column(1).to_numpy()
+            new = np.concatenate([[before != (t[0], m[0])], (t[1:] != t[:-1]) | (m[1:] != m[:-1])])
+            before = (t[-1], m[-1])
+            rows = np.stack([t, *(b.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))])[:, new]
+            if waiting is not None:
+                rows = np.concatenate([waiting, rows], axis=1)
+            if not rows.shape[1]:
+                continue
+            start = np.concatenate([[True], rows[0, 1:] != rows[0, :-1]])
+            group, first = np.cumsum(start) - 1, np.flatnonzero(start)
+            size = np.bincount(group)
+            lead = rows[:, first]
+            if pivot is not None and pivot[0] == rows[0, 0]:
+                lead[:, 0] = pivot
+                size[0] += 1
+            hit = (size > 1)[group]
+            if hit[-1]:
+                waiting, pivot = None, lead[:, -1].copy()
+            else:
+                waiting, pivot = rows[:, -1:].copy(), None
+            yield arrow_batch(schema, *rows[:, hit], *lead[1:, group[hit]])
+
+    return map_arrow(postings.repartition("token").sortWithinPartitions("token", "mark", "doc_id"), run, "token long, doc_id long, n int, at int, p long, pn int, pat int")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, frequency, percent: int, n: int, scratch: Scratch) -> DataFrame:
@@ -209,45 +246,35 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
     twins = sets.where("doc_id is not null and n > 0").join(firsts, ["n", "hi", "lo"]).where("doc_id <> first").select("first", "doc_id").distinct()
     twins = scratch.save(twins)
 
-    shared = scratch.save(_shared(_postings(docs, frequency, key, text, percent, n)))
-    # A repeated doc_id may have several sets and stays itself in the index.
-    single = sets.groupBy("doc_id").agg(F.count("*").alias("k")).where("k = 1").select("doc_id")
-    mapped = shared.join(twins.join(single, "doc_id"), "doc_id", "left")
-    postings = mapped.select("token", F.coalesce("first", "doc_id").alias("doc_id"), "n", "at").distinct()
-    w = Window.partitionBy("token")
-    live = scratch.save(postings.withColumn("k", F.count("*").over(w)).where("k > 1").drop("k"))
-    scratch.drop(shared)
+    edges = twins.select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
+    live = scratch.save(_shared(_postings(docs, frequency, key, text, percent, n)))
     prefixes = scratch.save(live.groupBy("doc_id", "n").agg(F.collect_set("token").alias("tokens")))  # no more than a prefix has
     nodes = prefixes.select("doc_id").distinct()
     texts = scratch.save(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes, "doc_id", "left_semi"))
 
-    edges = twins.select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
-    found = None
-    total = live.count()
-    for step in range(ROUNDS + 1):
-        if not total:
-            break
-        if found is None:
-            state = live.withColumn("component", F.col("doc_id"))
-        else:
-            label = scratch.save(components(found, scratch))
-            state = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
+    def similar(pairs: DataFrame) -> DataFrame:
+        return _verified(_plausible(pairs.distinct(), prefixes, percent), texts, frequency, percent, n, scratch)
+
+    # The first round: every posting and the pivot of its token.
+    found = similar(live.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).select(F.col("p").alias("u"), F.col("doc_id").alias("v")))
+    for step in range(1, ROUNDS + 1):
+        label = components(found, scratch)
+        named = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
         # Posting lists that still span several components.
-        state = scratch.save(state)
-        spans = state.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
-        state = state.join(spans, "token")
+        w = Window.partitionBy("token")
+        spans = named.withColumn("a", F.min("component").over(w)).withColumn("b", F.max("component").over(w)).where("a <> b")
+        state = scratch.save(spans.drop("a", "b"))
         if step < ROUNDS:
             parts = state.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-            rest = parts.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs")).first()["pairs"]
+            total, rest = parts.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
             if not rest:
                 break
             if rest > FEW * total:
-                order = F.struct(F.when(F.lit(step == 0), F.col("n") * 0).otherwise(F.xxhash64("doc_id", F.lit(step))).alias("o"), "doc_id", "n", "at", "component")
+                order = F.struct(F.xxhash64("doc_id", F.lit(step)).alias("o"), "doc_id", "n", "at", "component")
                 pivot = state.groupBy("token").agg(F.min(order).alias("p"))
                 pairs = state.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
-                pairs = pairs.select(F.col("p.doc_id").alias("u"), F.col("doc_id").alias("v")).distinct()
-                good = _verified(_plausible(pairs, prefixes, percent), texts, frequency, percent, n, scratch)
-                found = good if found is None else found.unionByName(good)
+                found = found.unionByName(similar(pairs.select(F.col("p.doc_id").alias("u"), F.col("doc_id").alias("v"))))
+                scratch.drop(state)
                 continue
         # All pairs of a posting list that are in different components; pairs in one are never formed.
         parts = state.select("token", "component").distinct()
@@ -255,13 +282,11 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
         between = parts.join(other, "token").where("component < other")
         left = between.join(state.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au")), ["token", "component"])
         right = state.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
-        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select("u", "v").distinct()
-        good = _verified(_plausible(pairs, prefixes, percent), texts, frequency, percent, n, scratch)
-        found = good if found is None else found.unionByName(good)
+        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select("u", "v")
+        found = found.unionByName(similar(pairs))
         break
-    if found is not None:
-        edges = edges.unionByName(found)
-    label = scratch.save(components(edges, scratch))
+    scratch.drop(live, prefixes, texts)
+    label = components(edges.unionByName(found), scratch)
     return sets.join(label, sets["doc_id"] == label["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
