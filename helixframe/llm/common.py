@@ -46,10 +46,21 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def save_by(self, df: DataFrame, key: str) -> DataFrame:
+        """Write ``df`` in buckets of ``key``, so that joins on ``key`` need not shuffle it again."""
+        name = f"helixframe_{uuid.uuid4().hex}"
+        path, buckets = f"{self.base}/{name}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+        out = self.spark.table(name)
+        out._scratch_path, out._scratch_table = path, name
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables made by :meth:`save` that nothing will read again."""
+        """Delete tables made by :meth:`save` and :meth:`save_by` that nothing will read again."""
         jvm = self.spark._jvm
         for df in tables:
+            if name := getattr(df, "_scratch_table", None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
