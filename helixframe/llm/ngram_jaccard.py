@@ -250,7 +250,8 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
     live = scratch.save(_shared(_postings(docs, frequency, key, text, percent, n)))
     prefixes = scratch.save(live.groupBy("doc_id", "n").agg(F.collect_set("token").alias("tokens")))  # no more than a prefix has
     nodes = prefixes.select("doc_id").distinct()
-    texts = scratch.save_by(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes, "doc_id", "left_semi"), "doc_id")
+    # By a sort-merge join, whose tasks each hold whole buckets; a broadcast would leave every task writing to all buckets.
+    texts = scratch.save_by(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes.hint("merge"), "doc_id", "left_semi"), "doc_id")
 
     def similar(pairs: DataFrame) -> DataFrame:
         return _verified(_plausible(pairs.distinct(), prefixes, percent), texts, frequency, percent, n, scratch)
