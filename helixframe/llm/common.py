@@ -19,6 +19,9 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _R = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
 _R_INV = pow(_R, -1, 1 << 64)
 
+#: Edges that a task of :func:`components` writes, so that few edges don't become many files.
+EDGES = 50_000
+
 
 class Scratch:
     """Tables written to the folder in ``spark.checkpoint.dir``, which all executors share.
@@ -159,15 +162,16 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
+        tasks = -(-state[0] // EDGES)
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.save(large)
+        large = scratch.save(large.coalesce(tasks))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = scratch.save(small)
+        after = scratch.save(small.coalesce(tasks))
         scratch.drop(cur, large)
         cur = after
     ends = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))

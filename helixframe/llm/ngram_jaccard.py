@@ -9,8 +9,9 @@ candidates are verified, their prefixes under two more orders must meet too. Fre
 documents; any order is a correct one, so its errors cost time, never results.
 
 Equal sets are one set from the start. Among different sets, candidates within
-a posting list are first compared with a pivot; sets that turn out connected
-need no further comparison with each other. Pivots change from round to round,
+a posting list are first compared with a few pivots; sets that turn out connected
+need no further comparison with each other. Pivots are the documents whose prefixes
+are shared most, as those of the original of many altered copies; they change from round to round,
 and at the end every pair of a posting list that is still in different
 components is compared. So a large group of near copies costs about as many
 comparisons as it has members, and no link between components is missed.
@@ -27,15 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Powers, Scratch, arrow_batch, components, map_arrow, mix, packed, unpack, utf8, word_hashes
 
 #: log2 of the counters of the frequency sketch: 2 MB of memory, at any size of input.
 SKETCH_BITS = 18
-#: Pivot rounds before the rest is compared, and pairs for each posting that are few enough to begin at once.
-ROUNDS, FEW = 2, 2
+#: Rounds, of which the last compares the rest; pivots of a token in a round; and pairs for each posting that are few enough to compare at once.
+ROUNDS, PIVOTS, FEW = 2, 4, 2
 #: Sets that a task remembers to have posted; forgetting costs repeated postings only.
 POSTED = 100_000
 #: Partners of one pivot that a single group of the verification holds.
@@ -262,28 +263,39 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
         label = components(found, scratch)
         named = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
         # Posting lists that still span several components.
-        w = Window.partitionBy("token")
-        spans = named.withColumn("a", F.min("component").over(w)).withColumn("b", F.max("component").over(w)).where("a <> b")
-        state = scratch.save(spans.drop("a", "b"))
+        ends = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        state = scratch.save(named.join(ends.select("token"), "token"))
+        parts = state.groupBy("token", "component").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"))
         if step < ROUNDS:
-            parts = state.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-            total, rest = parts.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
+            lists = parts.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+            total, rest = lists.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
             if not rest:
                 break
             if rest > FEW * total:
-                order = F.struct(F.xxhash64("doc_id", F.lit(step)).alias("o"), "doc_id", "n", "at", "component")
-                pivot = state.groupBy("token").agg(F.min(order).alias("p"))
+                # The first posting of a token under each of a few orders of the documents: those whose prefixes have most
+                # tokens in common with others, as the original of many altered copies has, and among them at random.
+                share = F.floor(10 * F.size("tokens") / F.expr(f"n - (({percent} * n + 99) div 100) + 1"))
+                ranked = state.join(prefixes.select("doc_id", share.alias("share")), "doc_id")
+                first = [F.min(F.struct((-F.col("share")).alias("s"), F.xxhash64("doc_id", F.lit(step * PIVOTS + i)).alias("o"), "doc_id", "n", "at", "component")) for i in range(PIVOTS)]
+                slim = lambda p: F.struct(p["doc_id"].alias("doc_id"), p["n"].alias("n"), p["at"].alias("at"), p["component"].alias("component"))
+                pivot = ranked.groupBy("token").agg(F.array(*first).alias("ps")).select("token", F.explode(F.array_distinct(F.transform("ps", slim))).alias("p"))
                 pairs = state.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
-                found = found.unionByName(similar(pairs.select(F.col("p.doc_id").alias("u"), F.col("doc_id").alias("v"))))
+                # Either end may be a pivot of the other.
+                pairs = pairs.select(F.greatest("p.doc_id", "doc_id").alias("v"), F.least("p.doc_id", "doc_id").alias("u"))
+                found = found.unionByName(similar(pairs))
                 scratch.drop(state)
                 continue
         # All pairs of a posting list that are in different components; pairs in one are never formed.
-        parts = state.select("token", "component").distinct()
-        other = parts.select("token", F.col("component").alias("other"))
-        between = parts.join(other, "token").where("component < other")
+        # Components whose sizes and places leave no candidate are not joined.
+        one, two = (parts.select("token", F.col("component").alias(f"c{i}"), F.col("least").alias(f"least{i}"), F.col("most").alias(f"most{i}"), F.col("at").alias(f"at{i}")) for i in (1, 2))
+        near = F.expr(
+            f"c1 < c2 and 100 * most1 >= {percent} * least2 and 100 * most2 >= {percent} * least1"
+            f" and at1 <= most1 - {_common('most1', 'least2', percent)} + 1 and at2 <= most2 - {_common('most2', 'least1', percent)} + 1"
+        )
+        between = one.join(two, "token").where(near).select("token", F.col("c1").alias("component"), F.col("c2").alias("other"))
         left = between.join(state.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au")), ["token", "component"])
         right = state.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
-        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select("u", "v")
+        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         found = found.unionByName(similar(pairs))
         break
     scratch.drop(live, prefixes, texts)
