@@ -1,12 +1,14 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products within cells.
 
 Cells are fitted on a bounded sample and every vector is assigned to its
-nearest. A vector also visits a later cell whose border it lies near: if the
+nearest. A vector also visits every later cell that can hold a linked one. If the
 pair x, y is linked, the step from x to y is at most ``reach = sqrt(2 - 2 t)``
-long, so along the line between two centres it is at most ``reach``; for steps
-in no special direction it has a deviation of ``reach / sqrt(dim)`` there, and
-a margin of ``z`` deviations is used (``z=None``: the whole reach, which misses
-nothing). Equal vectors are one from the start. Cells and their visitors are cut
+long, so along the line between two centres it is at most ``reach``, and the
+angle from x to the other centre is at most that of a linked pair plus the
+widest angle in the other cell. Both bounds hold for every pair, so no link is
+missed. (A number for ``z`` asks for an estimate instead: a margin of ``z``
+deviations of a step in no special direction, which real vectors do not
+follow.) Equal vectors are one from the start. Cells and their visitors are cut
 into blocks of ``block`` vectors, so that a task holds two blocks whatever the
 size of a cell. Blocks give each vector's number of links and a spanning set of
 edges, never all pairs.
@@ -71,20 +73,46 @@ def _vectors(table: DataFrame, key: str, vector: str) -> DataFrame:
     return map_arrow(table.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")), run, "vec_id long, v array<double>")
 
 
+def _by_length(vs: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dim, places, matrix) of the vectors of each length in a column."""
+    sizes = np.diff(vs.offsets.to_numpy())
+    for dim in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == dim)
+        yield dim, own, vs.take(pa.array(own)).flatten().to_numpy().reshape(-1, dim)
+
+
+def _widths(reps: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The widest angle between a centre and a vector of its cell; 0 for empty cells."""
+    shared = reps.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("width", pa.float64())])
+        for b in batches:
+            for dim, _, x in _by_length(b.column(0)):
+                near = x @ shared.value.get(dim, np.eye(1, dim)).T
+                home, width = near.argmax(1), np.zeros(near.shape[1])
+                np.maximum.at(width, home, np.arccos(np.clip(near.max(1), -1, 1)))
+                cells = np.unique(home)
+                yield arrow_batch(schema, np.full(len(cells), dim), cells, width[cells])
+
+    found = map_arrow(reps.select("v"), run, "dim int, cell int, width double").groupBy("dim", "cell").agg(F.max("width").alias("width"))
+    out = {dim: np.zeros(len(c)) for dim, c in centres.items()}
+    for dim, cell, width in found.collect():  # a row for each cell
+        out.setdefault(dim, np.zeros(1))[cell] = width
+    return out
+
+
 def _cells(reps: DataFrame, centres: dict[int, np.ndarray], threshold: float, z: float | None) -> DataFrame:
     """(dim, cell, home, vec_id, n, v): each vector in its cell and in those that it visits."""
-    shared = reps.sparkSession.sparkContext.broadcast(centres)  # MOST_CELLS centres for each length
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    shared = reps.sparkSession.sparkContext.broadcast((centres, _widths(reps, centres)))  # MOST_CELLS centres for each length
+    reach, angle = math.sqrt(max(0.0, 2 - 2 * threshold)), math.acos(min(1.0, max(-1.0, threshold)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()), ("vec_id", pa.int64()), ("n", pa.int64()), ("v", pa.list_(pa.float64()))])
         for b in batches:
-            ids, ns, vs = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2)
-            sizes = np.diff(vs.offsets.to_numpy())
-            for dim in np.unique(sizes).tolist():
-                own = np.flatnonzero(sizes == dim)
-                x = vs.take(pa.array(own)).flatten().to_numpy().reshape(-1, dim)
-                c = shared.value.get(dim)
+            ids, ns = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for dim, own, x in _by_length(b.column(2)):
+                c, width = shared.value[0].get(dim), shared.value[1][dim]
                 if c is None:
                     c = np.eye(1, dim)
                 margin = reach * min(1.0, z / math.sqrt(dim)) if z is not None else reach
@@ -92,7 +120,9 @@ def _cells(reps: DataFrame, centres: dict[int, np.ndarray], threshold: float, z:
                 home = near.argmax(1)
                 between = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
                 gap = near[np.arange(len(x)), home][:, None] - near
-                row, cell = np.nonzero((gap <= margin * between[home] + 1e-9) & (np.arange(len(c)) >= home[:, None]))
+                close = near >= np.cos(np.minimum(math.pi, angle + width)) - 1e-6
+                close[np.arange(len(x)), home] = True
+                row, cell = np.nonzero(close & (gap <= margin * between[home] + 1e-9) & (np.arange(len(c)) >= home[:, None]))
                 for i in range(0, len(row), 4096):
                     r, k = row[i : i + 4096], cell[i : i + 4096]
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * dim), pa.array(x[r].ravel()))
@@ -162,7 +192,7 @@ def _spanning(edges: np.ndarray) -> np.ndarray:
 
 def near_duplicates(
     table: DataFrame, scratch: Scratch, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding",
-    z: float | None = 4.0, sample: int = SAMPLE, per_cell: int = PER_CELL, block: int = BLOCK,
+    z: float | None = None, sample: int = SAMPLE, per_cell: int = PER_CELL, block: int = BLOCK,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of ``table``."""
     vectors = _vectors(table, key, vector).withColumn("h", F.xxhash64("v")).withColumn("g", F.hash("v"))

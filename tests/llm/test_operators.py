@@ -109,6 +109,21 @@ def test_embedding_recall_of_default_margin(spark):
     assert all(r["n_links"] <= want[k][0] for k, r in got.items())
 
 
+def test_embedding_dedup_of_a_dense_anisotropic_group(spark):
+    rng = np.random.default_rng(1)
+    noise = rng.normal(size=(900, 64)) / np.arange(1, 65)
+    noise *= 0.22 / np.linalg.norm(noise, axis=1).mean()
+    base = rng.normal(size=64)
+    vectors = base / np.linalg.norm(base) + noise
+    rows = [(i, v.tolist()) for i, v in enumerate([*vectors, *rng.normal(size=(100, 64))])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    u = np.stack([v / np.linalg.norm(v) for v in (np.array(v) for _, v in rows)])
+    links = (u @ u.T >= 0.95).sum(1) - 1
+    assert links.sum() > 10_000
+    got = rows_of(embedding_dedup.near_duplicates(df, Scratch(spark), per_cell=60, block=64), "vec_id")
+    assert [got[i]["n_links"] for i, _ in rows] == links.tolist()
+
+
 def test_substring_dedup(spark, docs):
     for rows in (docs, [tuple(r) for r in real(spark).select("doc_id", "text").collect()]):
         df, want = frame(spark, rows), brute.repeats(rows)
