@@ -178,6 +178,24 @@ def test_license_scan(spark):
     assert got[6]["sentence_ids"] == "bsd-grant,bsd-source" and got[7]["n_sentences"] == 2
 
 
+def test_license_scan_common_licences_wraps_and_longer_sentences(spark):
+    mit = [k for k, v in license_scan.SENTENCES.items() if v in ("mit-grant", "mit-notice")]
+    narrow = lambda t: "\n".join(" # " + x for x in t.split())
+    cases = [
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Text.\nThis work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+        ("Released\nunder CC0 1.0", "CC0-1.0"), ("licensed under the GNU Lesser General Public License, version 2.1 or later", "LGPL-2.1-or-later"),
+        ("Released under the GNU Affero General Public License v3.0", "AGPL-3.0"), ("Licensed under the ISC License", "ISC"),
+        ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0"), ("SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"),
+        (narrow(mit[0]) + "\n\n" + narrow(mit[1]), "MIT"), ("All code here, unless stated otherwise, is licensed under the MIT license as of today, he said.", "MIT"),
+        ("SPDX-License-Identifier: BSD-3-Clause AND BSD-2-Clause", "BSD-3-Clause,BSD-2-Clause"), ("The mit of released people, and the mit or gpl 3", ""),
+        ("or the MIT license, a licence", ""), ("unlicensed under the mit licenses", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = rows_of(license_scan.scan_licenses(df))
+    assert [(t, got[i]["licenses"]) for i, (t, _) in enumerate(cases)] == cases
+
+
 def odd_texts():
     r = random.Random(1)
     out = ["", " ", "  ", "a  b", "a \n b", "\n\n x", "a" * 3000, " " * 900 + "x", "it's we'll  don't\t\tx \r\n", "日本語 テスト", "🎉" * 30 + " é", "=-=-" * 300, "a ", " a", "　 a", "a 　b", "x \x85y", "<|endoftext|> x"]
