@@ -1,7 +1,8 @@
 """Quality rules whose thresholds follow the data.
 
 Every document gets word and line statistics from built-in SQL functions. A
-histogram of each ratio with fixed integer bins is the quantile sketch: sketches
+histogram of each ratio with fixed bins is the quantile sketch, whole numbers at
+first and steps of a thousandth or less of the value beyond: sketches
 of two groups merge by adding the counts of equal bins, so one pass gives them
 for each (language, source), each language and the whole corpus. A document is
 judged by the finest group that has ``min_docs`` documents, and goes if a ratio
@@ -24,8 +25,8 @@ WINDOW = 8
 
 #: Ratios judged, in thousandths, and the least distance above q90 that counts as far.
 SLACK = {"symbol_ratio": 150, "dup_line_ratio": 200, "repeat_ratio": 150, "word_length": 3000}
-#: The last bin of a sketch holds everything from here on.
-LAST_BIN = 20_000
+#: Up to here a bin of a sketch holds one value; from here on, values with the same eleven leading bits.
+EXACT_BINS = 20_000
 
 
 def words_of(text: Column) -> Column:
@@ -95,9 +96,15 @@ def base_failed(prefix: str = "") -> Column:
     return (F.col(prefix + "n_words") < 20) | (100 * F.col(prefix + "n_repeat_words") > 30 * F.col(prefix + "n_words"))
 
 
+def _bin(v: Column) -> Column:
+    """The largest value of the bin of ``v``; there is no last bin."""
+    low_bits = (F.length(F.bin(v)) - 11).cast("int")
+    return F.when(v < EXACT_BINS, v).otherwise(F.call_function("shiftleft", F.call_function("shiftright", v, low_bits) + F.lit(1), low_bits) - F.lit(1))
+
+
 def sketches(stats: DataFrame, lang: str, source: str) -> DataFrame:
     """Mergeable sketches: (lang, source, level, metric, bin, n) for every grouping level."""
-    bins = F.explode(F.create_map(*[x for k, v in ratios().items() for x in (F.lit(k), F.least(v, F.lit(LAST_BIN)))])).alias("metric", "bin")
+    bins = F.explode(F.create_map(*[x for k, v in ratios().items() for x in (F.lit(k), _bin(v))])).alias("metric", "bin")
     # Bins of base failures stay out: what already fails should not move the fences.
     flat = stats.where(~base_failed()).select(F.col(lang).alias("lang"), F.col(source).alias("source"), bins)
     fine = flat.groupBy("lang", "source", "metric", "bin").agg(F.count("*").alias("n"))

@@ -243,6 +243,22 @@ def test_quality_fences_follow_the_data(spark):
     assert not got[5000]["kept"] and sum(r["kept"] for r in got.values()) == 400
 
 
+def test_quality_fences_of_long_words(spark):
+    r = random.Random(4)
+    text = lambda k: " ".join("".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(r.randint(k, 2 * k))) for _ in range(30))
+    rows = [(i, text(25), "zh", "web", 0) for i in range(200)] + [(1000 + i, text(3000), "b64", "web", 0) for i in range(120)]
+    rows += [(5000, text(400), "zh", "web", 0)]
+    got = rows_of(quality_rules.quality_verdicts(spark.createDataFrame(rows, DOCS), Scratch(spark)))
+    assert not got[5000]["kept"] and sum(r["kept"] for r in got.values()) == 320
+
+
+def test_quality_bins(spark):
+    values = [0, 5, 19_999, 20_000, 20_001, 32_767, 32_768, 10**6, 10**12 + 7]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v long").coalesce(1).select(quality_rules._bin(F.col("v"))).collect()]
+    assert got[:3] == values[:3] and all(v <= b < v * 1.001 for v, b in zip(values[3:], got[3:]))
+    assert got == sorted(got)
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
