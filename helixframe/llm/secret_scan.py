@@ -2,13 +2,15 @@
 
 Three plain patterns find well-known shapes. Around them an assignment-aware
 lexer reads every ``name = literal``, ``name: literal`` and ``name => literal``
-of a text into pairs, follows names that are assigned to other names, and scores
+of a text into pairs, also where the name is a subscript (``table["name"] = ...``,
+``name[0] = ...``) or has a type (``name: type = ...``), follows names that are assigned to other names, and scores
 each literal by the names it reaches and by its own shape. Literals that score
 enough are secrets too, whatever they look like.
 
 Defined cases: a null text is empty and has no span; spans count code points,
 ends are exclusive; equal spans of one kind count once; repeated rows are judged
-alike. A span of the lexer that overlaps one of the patterns is left to it.
+alike. A span of the lexer that lies wholly inside one of the patterns is left to it;
+others may overlap. A target is read up to 120 characters back, with its type 240.
 """
 
 from __future__ import annotations
@@ -39,10 +41,15 @@ NAME_SCORES = {
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "<", "${", "{{", "none", "null", "true", "false")
 LEAST_SCORE = 5
 
-_PAIR = re.compile(r"""["']?[ \t]*(?:=>|:=|[:=])[ \t]*(?:"([^"\n]{0,4096})"|'([^'\n]{0,4096})'|([A-Za-z0-9_][^\s"',;(){}<>\[\]]*))""")
+_PAIR = re.compile(r"""(?:\[\d+\])*["']?(?:[ \t]*\])*[ \t]*(=>|:=|[:=])[ \t]*(?:"([^"\n]*)"|'([^'\n]*)'|([A-Za-z0-9_][^\s"',;(){}<>\[\]]*))""")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
-_NAME_WINDOW = 120
+_NAME_WINDOW, _TYPE_WINDOW = 120, 240
+#: The table of a subscript whose key ends here.
+_TABLE = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*)(?:\[[^\[\]\n]*\])*\[[^\[\]\n]*\Z")
+_ATOM = r"""(?>["']?[A-Za-z_][A-Za-z0-9_.]*(?:\[[^\n=]*\]|<[^\n=]*>)?["']?(?:\[\])*)"""
+#: A name with its type before ``=``; atomic groups, so that odd types cost little.
+_TYPED = re.compile(rf"""([A-Za-z_][A-Za-z0-9_.-]*)[?!]?[ \t]*:[ \t]*{_ATOM}(?:[ \t]*[|&][ \t]*{_ATOM})*+[ \t]*\Z""")
 
 
 def literal_score(value: str) -> int:
@@ -60,6 +67,20 @@ def name_score(name: str) -> int:
     return max((v for k, v in NAME_SCORES.items() if k in low), default=0)
 
 
+def _targets(text: str, m: re.Match) -> list[str]:
+    """The names that a match of ``_PAIR`` assigns to."""
+    at, op = m.start(), m.start(1)
+    near = _NAME.search(text, max(0, at - _NAME_WINDOW), at)
+    names = [near[0]] if near else []
+    before = text[at:op]
+    if "]" in before and (table := _TABLE.search(text, max(0, at - _NAME_WINDOW), at)) and name_score(table[1]):
+        names.append(table[1])
+    if m[1] == "=" and text.rfind(":", max(0, op - _TYPE_WINDOW), op) >= 0 and (typed := _TYPED.search(text, max(0, op - _TYPE_WINDOW), op)):
+        # The word before ``=`` is the type, unless it speaks of a secret itself.
+        names = [typed[1], *(n for n in names if name_score(n))]
+    return names
+
+
 def named_literals(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, name, score) of literals that reach a sensitive name."""
     if "=" not in text and ":" not in text:
@@ -67,16 +88,18 @@ def named_literals(text: str) -> list[tuple[int, int, str, int]]:
     literals: dict[str, tuple[int, int, str]] = {}  # the constant that a name holds so far
     found: dict[tuple[int, int], tuple[str, int]] = {}
     for m in _PAIR.finditer(text):
-        name = _NAME.search(text, max(0, m.start() - _NAME_WINDOW), m.start())
-        if not name:
+        names = _targets(text, m)
+        if not names:
             continue
-        name, k = name[0], 1 if m[1] is not None else 2 if m[2] is not None else 3
+        k = 2 if m[2] is not None else 3 if m[3] is not None else 4
         span = (m.start(k), m.end(k), m[k])
-        if k == 3 and _IDENT.match(m[3]):
-            span = literals.get(m[3])  # a name: what it holds flows on
+        if k == 4 and _IDENT.match(m[4]):
+            span = literals.get(m[4])  # a name: what it holds flows on
             if span is None:
                 continue
-        literals[name] = span
+        for name in names:
+            literals[name] = span
+        name = max(names, key=name_score)
         sensitive = name_score(name)
         if sensitive and (score := sensitive + literal_score(span[2])) >= LEAST_SCORE and score > found.get(span[:2], ("", 0))[1]:
             found[span[:2]] = (name, score)
@@ -94,7 +117,7 @@ def find_spans(text: str) -> list[tuple[int, int, int, str, int]]:
     out += [(m.start(), 2, m.end(), "", 0) for m in HEX.finditer(text)]
     plain = sorted((s[0], s[2]) for s in out)
     for a, b, name, score in named_literals(text):
-        if b > a and not any(x < b and a < y for x, y in plain):
+        if b > a and not any(x <= a and b <= y for x, y in plain):
             out.append((a, 3, b, name, score))
     return sorted(out)
 

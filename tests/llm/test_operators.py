@@ -326,6 +326,24 @@ def test_secret_scan(spark):
     assert "0123456789abcdef0" not in clean[3]["text"] and clean[3]["spans"] == 1
 
 
+def test_secret_scan_whole_literals_and_all_targets(spark):
+    r = random.Random(8)
+    long = "Zk!9$" + "".join(r.choice("ABCxyz019+/ab!") for _ in range(6000))
+    odd = "Zk!9$wq#Lp"
+    texts = [
+        'password = "abcdefghijkl!Mno$pqrs" end', 'secret_key = "Zx!0123456789abcdef0$q" end', f'private_key = "{long}" end', f'config["password"] = "{odd}" end',
+        f'password: str = "{odd}" end', f"const token: string = '{odd}' end", f'api_key: Optional[str] = "{odd}" end', f'passwords["bob"] = "{odd}" end', f'secrets[0] = "{odd}" end',
+        f'password: str | None = "{odd}" end', f'note: password = "{odd}" end', f'self.tokens[i]["a"] = "{odd}" end',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = rows_of(secret_scan.redact_secrets(df))
+    for i, t in enumerate(texts):
+        got = clean[i]["text"]
+        assert got.count("[SECRET]") == 1 and got.endswith(" end") and not set("!$#") & set(got), t[:60]
+    for t in (f'colour: str = "{odd}"', f'rows["colour"] = "{odd}"', f'colour: str = "{odd}"\nsecret: str', f'token: x, colour = "{odd}"', f'password: see the colour = "{odd}"'):
+        assert not secret_scan.find_spans(t), t
+
+
 def test_toxicity(spark):
     table, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
