@@ -10,7 +10,9 @@ first copy of a repeat, by doc_id and place, stays.
 
 Two shuffles carry seeds and runs, both cut down within each task first: a task
 keeps the first of equal seeds or runs of its own documents and settles the rest
-on the spot, so no key has more rows than tasks have read parts. Texts are
+on the spot. Runs are dealt by their own hash, not by their anchor, so a common
+anchor with many different runs around it spreads over all tasks, and no key has
+more rows than tasks have read parts. A task holds one batch and one run. Texts are
 compressed before they are shuffled.
 
 Defined cases: a null text has no words; texts under ``window`` words keep all;
@@ -114,7 +116,7 @@ def _met_twice(seeds: DataFrame) -> DataFrame:
 
 
 def _runs(joined: DataFrame, window: int) -> DataFrame:
-    """Runs around live seeds: (anchor, doc_id, start, todo, runs, gone).
+    """Runs around live seeds: (doc_id, start, todo, runs, gone).
 
     ``runs`` holds hashes of the runs from ``start`` whose bit in ``todo`` is set;
     bits in ``gone`` are runs with an earlier equal one in the same task.
@@ -122,13 +124,13 @@ def _runs(joined: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("todo", pa.int32()), ("runs", pa.list_(pa.int64())), ("gone", pa.int32())])
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("todo", pa.int32()), ("runs", pa.list_(pa.int64())), ("gone", pa.int32())])
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            whole, start, seed, begin = (np.concatenate([x[i] for x in held]) for i in range(4))
-            doc = np.repeat(np.array([x[4] for x in held], np.int64), [len(x[0]) for x in held])
+            whole, start, begin = (np.concatenate([x[i] for x in held]) for i in range(3))
+            doc = np.repeat(np.array([x[3] for x in held], np.int64), [len(x[0]) for x in held])
             order, first = _firsts([whole, doc, start])
             # Equal places of equal ids do not repeat each other.
             o_doc, o_start = doc[order], start[order]
@@ -145,7 +147,7 @@ def _runs(joined: DataFrame, window: int) -> DataFrame:
             gone = np.bincount(group, np.where(keep, 0, bit), n).astype(np.int32)
             kept = np.bincount(group, keep, n).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)), pa.array(whole[keep].view(np.int64)))
-            return pa.RecordBatch.from_arrays([pa.array(seed[new].view(np.int64)), pa.array(doc[new]), pa.array(start[new].astype(np.int32)), pa.array(todo), lists, pa.array(gone)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(start[new].astype(np.int32)), pa.array(todo), lists, pa.array(gone)], schema=schema)
 
         for b in batches:
             for d, t, live in zip(b.column("doc_id").to_pylist(), b.column("ztext").to_pylist(), b.column("anchors"), strict=True):
@@ -157,7 +159,7 @@ def _runs(joined: DataFrame, window: int) -> DataFrame:
                 own = np.isin(grams[at].view(np.int64), np.asarray(live.values))
                 s = np.flatnonzero(own)
                 if len(s):
-                    held.append((powers.windows(h, window)[s], s, grams[at[s]], at[s], d))
+                    held.append((powers.windows(h, window)[s], s, at[s], d))
                     size += len(s)
                 if size >= TOGETHER:
                     yield flush()
@@ -165,33 +167,43 @@ def _runs(joined: DataFrame, window: int) -> DataFrame:
         if held:
             yield flush()
 
-    return map_arrow(joined, run, "anchor long, doc_id long, start int, todo int, runs array<long>, gone int")
+    return map_arrow(joined, run, "doc_id long, start int, todo int, runs array<long>, gone int")
+
+
+def _dealt(runs: DataFrame) -> DataFrame:
+    """(run, doc_id, place): a row for each run that is not settled, dealt by the run and in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("run", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32())])
+        for b in batches:
+            row, bit = np.nonzero(b.column(2).to_numpy()[:, None] >> np.arange(31) & 1)
+            yield arrow_batch(schema, b.column(3).flatten(), b.column(0).to_numpy()[row], (b.column(1).to_numpy()[row] + bit).astype(np.int32))
+
+    flat = map_arrow(runs.where("todo <> 0").select("doc_id", "start", "todo", "runs"), run, "run long, doc_id long, place int")
+    return flat.repartition("run").sortWithinPartitions("run", "doc_id", "place")
 
 
 def _repeated(runs: DataFrame) -> DataFrame:
-    """(doc_id, start, bits): runs with an earlier equal run around the same seed anywhere."""
-    open_runs = runs.where("todo <> 0").select("anchor", "doc_id", "start", "todo", "runs")
+    """(doc_id, start, bits): runs with an earlier equal run anywhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("bits", pa.int32())])
-        anchor, seen = None, {}
+        last: tuple[int, int, int] | None = None  # the run at the end of the last batch, and where it is first
         for b in batches:
-            docs, starts, bits = [], [], []
-            for a, d, s, todo, hashes in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                if a != anchor:
-                    anchor, seen = a, {}
-                out, k = 0, iter(hashes)
-                for i in range(todo.bit_length()):
-                    if todo >> i & 1 and seen.setdefault(next(k), (d, s + i)) != (d, s + i):
-                        out |= 1 << i
-                if out:
-                    docs.append(d)
-                    starts.append(s)
-                    bits.append(out)
-            yield arrow_batch(schema, docs, starts, bits)
-
-    ordered = open_runs.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    found = map_arrow(ordered, run, "doc_id long, start int, bits int")
+            if not b.num_rows:
+                continue
+            key, doc, place = (b.column(i).to_numpy() for i in range(3))
+            new = np.concatenate([[last is None or last[0] != key[0]], key[1:] != key[:-1]])
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+            first_doc, first_place = doc[lead], place[lead]
+            if not new[0]:
+                first_doc, first_place = np.where(lead < 0, last[1], first_doc), np.where(lead < 0, last[2], first_place)
+            # Equal places of equal ids do not repeat each other.
+            hit = (doc != first_doc) | (place != first_place)
+            yield arrow_batch(schema, doc[hit], place[hit], np.ones(hit.sum(), np.int32))
+            last = (int(key[-1]), int(first_doc[-1]), int(first_place[-1]))
+
+    found = map_arrow(_dealt(runs), run, "doc_id long, start int, bits int")
     return found.unionByName(runs.where("gone <> 0").select("doc_id", "start", F.col("gone").alias("bits")))
 
 

@@ -142,6 +142,29 @@ def test_substring_dedup_small_chunks(spark, docs, monkeypatch):
         assert {d: (r["n_words"], r["n_removed"], r["kept_sha256"]) for d, r in got.items()} == {d: w[:3] for d, w in want.items()}
 
 
+def test_substring_dedup_spreads_a_hot_anchor(spark, monkeypatch):
+    r = random.Random(6)
+    text = lambda n: " ".join(f"w{r.randint(0, 10**9)}" for _ in range(n))
+    phrase = text(12)
+    rows = [(i, f"{text(20)} {phrase} {text(20)}") for i in range(400)]
+    rows += [(400, rows[7][1]), (401, rows[7][1])]
+    sizes, whole = [], substring_dedup._repeated
+
+    def spy(runs):
+        assert "RepartitionByExpression [anchor" not in whole(runs)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.extend(sorted(r["count"] for r in substring_dedup._dealt(runs).groupBy(F.spark_partition_id()).count().collect()))
+        return whole(runs)
+
+    monkeypatch.setattr(substring_dedup, "_repeated", spy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is so small that Spark would join its parts
+    try:
+        got = rows_of(substring_dedup.dedup_digests(frame(spark, rows), Scratch(spark)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {d: (x["n_words"], x["n_removed"], x["kept_sha256"]) for d, x in got.items()} == {d: w[:3] for d, w in brute.repeats(rows).items()}
+    assert len(sizes) > 1 and sizes[-1] < 0.5 * sum(sizes)
+
+
 def test_substring_dedup_empty_repeated_and_null_keys(spark, docs):
     assert substring_dedup.dedup_digests(frame(spark, docs).limit(0), Scratch(spark)).count() == 0
     t = " ".join(map(str, range(30)))
