@@ -12,7 +12,7 @@ VIEWS = {
     "contigs": "select concat('chr', cast(r_regionkey+1 as string)) chrom, cast(100000+1000*r_regionkey as bigint) length from region",
     "targets": """select concat('chr', cast(o_custkey % 5 + 1 as string)) chrom, cast((o_orderkey*7919) % 99000 as bigint) as start_pos,
         cast((o_orderkey*7919) % 99000 + 20 + o_custkey % 180 as bigint) as end_pos, concat('t', cast(o_orderkey as string)) name
-        from orders where o_orderpriority='1-URGENT' and o_orderkey % 10 = 0""",
+        from orders""",
     "alignments": """select concat('r', cast(l_orderkey as string),'_',cast(l_linenumber as string),'_',cast(l_partkey as string)) qname,
         case when l_linestatus='O' then 'tumor' else 'normal' end sample, concat('chr', cast(l_suppkey % 5 + 1 as string)) chrom,
         cast((l_orderkey*31+l_partkey*17+l_linenumber*101) % 99000 as bigint) as start_pos,

@@ -9,6 +9,7 @@ from helixframe import catalog
 from helixframe.functions import genomics as G
 from helixframe.operators import intervals as I
 from helixframe.operators import variants as V
+from helixframe.plans.views import view
 from helixframe.sources import formats
 from pyspark.sql import functions as F
 
@@ -33,6 +34,10 @@ def test_query_equals_its_sql(spark, name):
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(want.columns, want.fetchall())
 
 
+def test_targets_are_all_orders(spark):
+    assert view(spark, SF, "targets").count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
 def test_contig_that_fits_no_rule_is_an_error(spark):
     bed = spark.createDataFrame([("scaffold1", 0, 5)], "chrom string, start_pos long, end_pos long")
     with pytest.raises(Exception, match="cannot map contig"):
