@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -10,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _MASK = (1 << 64) - 1
@@ -27,45 +30,83 @@ class Scratch:
     """Tables written to the folder in ``spark.checkpoint.dir``, which all executors share.
 
     Every table is plain Parquet, so a lost executor never costs a recomputation
-    of what came before it. Where the setting is absent and Spark runs in local
-    mode, a temporary folder stands in; elsewhere its absence is an error.
+    of what came before it. Where the setting is absent and all of Spark is one
+    process (master ``local`` or ``local[n]``), a temporary folder stands in;
+    elsewhere its absence is an error.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
             spark.conf.set("spark.checkpoint.dir", base)
         self.base = f"{base.rstrip('/')}/helixframe"
+        self.tables: list[tuple[str, str | None]] = []
+
+    @contextlib.contextmanager
+    def temporary(self) -> Iterator["Scratch"]:
+        """Scratch whose tables are deleted at the end, also after a failure."""
+        own = Scratch(self.spark)
+        try:
+            yield own
+        finally:
+            own._delete(own.tables)
 
     def save(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the table read back."""
         path = f"{self.base}/{uuid.uuid4().hex}"
+        self.tables.append((path, None))
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
+        out._scratch_table = (path, None)
         return out
 
     def save_by(self, df: DataFrame, key: str) -> DataFrame:
         """Write ``df`` in buckets of ``key``, so that joins on ``key`` need not shuffle it again."""
         name = f"helixframe_{uuid.uuid4().hex}"
         path, buckets = f"{self.base}/{name}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables.append((path, name))
         df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(name)
         out = self.spark.table(name)
-        out._scratch_path, out._scratch_table = path, name
+        out._scratch_table = (path, name)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables made by :meth:`save` and :meth:`save_by` that nothing will read again."""
-        jvm = self.spark._jvm
-        for df in tables:
-            if name := getattr(df, "_scratch_table", None):
+        self._delete([df._scratch_table for df in tables])
+
+    def _delete(self, tables: list[tuple[str, str | None]]) -> None:
+        for path, name in list(tables):
+            if name:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            if (path, name) in self.tables:
+                self.tables.remove((path, name))
+
+
+def fresh_name(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores before it until no table has a column of that name."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def hashed_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """Of the distinct rows (group, key), up to ``most`` of each group: those whose key has the least hash.
+
+    Rows whose hash is too large by far for that are left out before any are
+    compared, so that a large group is never sorted in one task.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("rows"))
+    place = (F.xxhash64(key) / F.lit(2.0**63) + 1) / 2  # from 0 to 1
+    near = rows.join(counts, group).where(place * F.col("rows") <= most + 8 * math.sqrt(most) + 16).select(group, key).distinct()
+    w = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+    return near.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).select(group, key)
 
 
 def map_arrow(

@@ -1,25 +1,29 @@
 """N-gram Jaccard self-join with several global token orders.
 
-Tokens are hashes of five-word shingles. An order of all tokens puts rare ones
-first; two sets that are similar enough share a token in their prefixes under
-every order. Candidates come from an inverted index of the prefixes under the
-first order: a shared token must lie early enough in both for their sizes, and
-the whole prefixes must share as many tokens as similar sets would. Before
-candidates are verified, their prefixes under two more orders must meet too. Frequencies for the orders come from a sketch of fixed size over all
-documents; any order is a correct one, so its errors cost time, never results.
-
-Equal sets are one set from the start. Among different sets, candidates within
+Tokens are hashes of five-word shingles. Under any global order of tokens, two
+sets that are similar enough share tokens in their prefixes, and as many of them
+as their sizes demand. Three orders are used: one puts rare tokens first, the
+other two are independent hashes of the token. An inverted index of the prefixes
+under the first order gives pairs, as its posting lists are short; a shared token
+must lie early enough in both sets for their sizes. The prefixes of each pair under
+the second order and then under the third must share enough tokens too. Only what
+passes all three orders is verified, with whole texts. Frequencies for the first
+order come from a sketch of fixed size over all documents; any order is a correct
+one, so its errors cost time, never results.
+
+Equal sets are one set from the start. Among different sets, the members of
 a posting list are first compared with a few pivots; sets that turn out connected
 need no further comparison with each other. Pivots are the documents whose prefixes
-are shared most, as those of the original of many altered copies; they change from round to round,
-and at the end every pair of a posting list that is still in different
-components is compared. So a large group of near copies costs about as many
-comparisons as it has members, and no link between components is missed.
+are shared most, as those of the original of many altered copies. At the end every
+pair of a posting list that is still in different components is compared. So a
+large group of near copies costs about as many comparisons as it has members, and
+no link between components is missed. The rounds are the same at every size.
 
 Defined cases: null texts and texts without words are empty sets, linked with
 nothing; shorter texts are one shingle; rows with equal doc_id are one node with
 several sets; rows with a null doc_id link with nothing; ties between pivots go
-to the smaller doc_id. Shingles are compared by 64-bit hashes.
+to the smaller doc_id; an empty table gives an empty one; other columns are not
+read, and ``drop_similar`` keeps them. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, arrow_batch, components, map_arrow, mix, packed, unpack, utf8, word_hashes
+from .common import Powers, Scratch, arrow_batch, components, fresh_name, map_arrow, mix, packed, unpack, utf8, word_hashes
 
 #: log2 of the counters of the frequency sketch: 2 MB of memory, at any size of input.
 SKETCH_BITS = 18
-#: Rounds, of which the last compares the rest; pivots of a token in a round; and pairs for each posting that are few enough to compare at once.
-ROUNDS, PIVOTS, FEW = 2, 4, 2
+#: Pivots of a token in the second round.
+PIVOTS = 4
 #: Sets that a task remembers to have posted; forgetting costs repeated postings only.
 POSTED = 100_000
 #: Partners of one pivot that a single group of the verification holds.
@@ -85,17 +89,19 @@ def _sets(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return map_arrow(slim, run, "bucket int, count long, doc_id long, n int, hi long, lo long")
 
 
-def _ranks(s: np.ndarray, frequency: np.ndarray, order: int) -> np.ndarray:
-    """Sort keys of the tokens under one order: exact or coarse frequency, then a hash."""
-    f = frequency[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    if order:
-        f = np.frexp(f.astype(np.float64))[1] * 4 // (order + 2)
-    return np.lexsort((mix(s, 10 + order) if order else s, f))
+def prefix(s: np.ndarray, frequency: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The prefix of a set under one of the orders: 0 puts rare tokens first, others are hashes."""
+    if not len(s):
+        return s
+    keys = (s, frequency[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]) if order == 0 else (mix(s, 10 + order),)
+    return s[np.lexsort(keys)[: prefix_length(len(s), percent)]]
 
 
-def prefix(s: np.ndarray, frequency: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The prefix of a set under one of the orders."""
-    return s[_ranks(s, frequency, order)[: prefix_length(len(s), percent)]] if len(s) else s
+def hashed_prefix(s: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """The prefix of a set under a hash order, as sorted 32-bit values; equal ones by chance only weaken a filter."""
+    k = prefix_length(len(s), percent)
+    h = mix(s, 10 + order)
+    return np.sort((h if k >= len(h) else np.partition(h, k - 1)[:k]) >> np.uint64(32)).astype(np.uint32)
 
 
 def _postings(docs: DataFrame, frequency, key: str, text: str, percent: int, n: int) -> DataFrame:
@@ -173,22 +179,53 @@ def _shared(postings: DataFrame) -> DataFrame:
     return map_arrow(postings.repartition("token").sortWithinPartitions("token", "mark", "doc_id"), run, "token long, doc_id long, n int, at int, p long, pn int, pat int")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, frequency, percent: int, n: int, scratch: Scratch) -> DataFrame:
-    """(u, v): the pairs (u, v) whose sets are similar enough."""
-    pairs = scratch.save(pairs)
+def _profiles(texts: DataFrame, percent: int, n: int) -> DataFrame:
+    """(doc_id, n, p1, p2, ztext): sizes, and prefixes under the second and third order as 32-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("p1", pa.binary()), ("p2", pa.binary()), ("ztext", pa.binary())])
+        for b in batches:
+            z = b.column(1).to_pylist()
+            sets = [shingles(unpack(x), powers, n) for x in z]
+            p1, p2 = ([hashed_prefix(s, k, percent).tobytes() if len(s) else b"" for s in sets] for k in (1, 2))
+            yield arrow_batch(schema, b.column(0).to_numpy(), [len(s) for s in sets], p1, p2, z)
+
+    return map_arrow(texts, run, "doc_id long, n int, p1 binary, p2 binary, ztext binary")
+
+
+def _sharing(pairs: DataFrame, profiles: DataFrame, order: int, percent: int) -> DataFrame:
+    """Pairs (u, v) whose prefixes under a hash order share as many tokens as those of similar sets of their sizes."""
+    side = lambda k: profiles.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col(f"p{order}").alias(f"p{k}"))
+    both = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "nu", "nv", "pu", "pv")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+        for b in batches:
+            u, v, nu, nv = (b.column(i).to_numpy().astype(np.int64) for i in range(4))
+            common = -(-percent * (nu + nv) // (100 + percent))
+            # Common tokens outside the prefix of a set of m number ceil(percent m / 100) - 1 at most.
+            need = common + 1 + (-percent * np.maximum(nu, nv) // 100)
+            keep = np.zeros(len(u), bool)
+            for i, (x, y) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
+                h = np.sort(np.concatenate([np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)]))
+                keep[i] = np.count_nonzero(h[1:] == h[:-1]) >= need[i]
+            yield arrow_batch(schema, u[keep], v[keep])
+
+    return map_arrow(both, run, "u long, v long")
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, percent: int, n: int) -> DataFrame:
+    """(u, v): the pairs (u, v) whose sets are similar enough. ``pairs`` is a table."""
     groups = pairs.groupBy("u").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     salted = pairs.join(groups, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("groups")).alias("salt"))
     left = salted.select("u", "salt").distinct().select("u", "salt", F.col("u").alias("doc_id"), F.lit(0).alias("side"))
-    both = left.unionByName(salted.select("u", "salt", F.col("v").alias("doc_id"), F.lit(1).alias("side"))).join(texts, "doc_id")
+    both = left.unionByName(salted.select("u", "salt", F.col("v").alias("doc_id"), F.lit(1).alias("side"))).join(profiles.select("doc_id", "ztext"), "doc_id")
     both = both.select("u", "salt", "side", "doc_id", "ztext").repartition("u", "salt").sortWithinPartitions("u", "salt", "side")
 
     def meet(a: np.ndarray, b: np.ndarray) -> bool:
         if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
             return False
-        # The filters of the other orders, before the sets themselves are intersected.
-        for order in (1, 2):
-            if not np.isin(prefix(a, frequency.value, order, percent), prefix(b, frequency.value, order, percent)).any():
-                return False
         x = np.sort(np.concatenate([a, b]))
         common = int((x[1:] == x[:-1]).sum())
         return 100 * common >= percent * (len(a) + len(b) - common)
@@ -209,7 +246,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, frequency, percent: int, n: in
                     vs.append(d)
             yield arrow_batch(schema, us, vs)
 
-    return scratch.save(map_arrow(both, run, "u long, v long"))
+    return map_arrow(both, run, "u long, v long")
 
 
 def _common(a: str, b: str, percent: int) -> str:
@@ -223,17 +260,55 @@ def _meets(a: str, b: str, at_a: str, at_b: str, percent: int):
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) and {at_a} <= {a} - {common} + 1 and {at_b} <= {b} - {common} + 1")
 
 
-def _plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) that share as many tokens of their whole prefixes as similar sets of their sizes must."""
-    side = lambda k: prefixes.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
-    common = _common("nu", "nv", percent)
-    spare = lambda n: f"({n} - (({percent} * {n} + 99) div 100) + 1 - ({n} - {common}))"
-    return both.where(F.expr(f"size(array_intersect(tu, tv)) >= least({spare('nu')}, {spare('nv')})")).select("u", "v")
+def _spanning(live: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, doc_id, n, at, component): the posting lists that span several components so far."""
+    label = components(found, scratch)
+    named = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
+    named = scratch.save(named)
+    ends = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    return named.join(ends.select("token"), "token")
+
+
+def _pivot_pairs(spanning: DataFrame, share: DataFrame, percent: int) -> DataFrame:
+    """(u, v): members of posting lists and the pivots of their token that are in other components.
+
+    Pivots come first under each of a few orders of the documents: by the share of their
+    prefix that other sets have, as the original of many altered copies, then at random.
+    """
+    ranked = spanning.join(share, "doc_id")
+    first = [F.min(F.struct((-F.col("share")).alias("s"), F.xxhash64("doc_id", F.lit(i)).alias("o"), "doc_id", "n", "at", "component")) for i in range(PIVOTS)]
+    slim = lambda p: F.struct(p["doc_id"].alias("doc_id"), p["n"].alias("n"), p["at"].alias("at"), p["component"].alias("component"))
+    pivot = ranked.groupBy("token").agg(F.array(*first).alias("ps")).select("token", F.explode(F.array_distinct(F.transform("ps", slim))).alias("p"))
+    pairs = spanning.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
+    # Either end may be a pivot of the other.
+    return pairs.select(F.greatest("p.doc_id", "doc_id").alias("v"), F.least("p.doc_id", "doc_id").alias("u"))
+
+
+def _pairs_between(spanning: DataFrame, percent: int) -> DataFrame:
+    """(u, v): all pairs of a posting list that are in different components; pairs in one are never formed.
+
+    Components whose sizes and places leave no candidate are not joined.
+    """
+    parts = spanning.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"))
+    one, two = (parts.select("token", F.col("component").alias(f"c{i}"), F.col("least").alias(f"least{i}"), F.col("most").alias(f"most{i}"), F.col("at").alias(f"at{i}")) for i in (1, 2))
+    near = F.expr(
+        f"c1 < c2 and 100 * most1 >= {percent} * least2 and 100 * most2 >= {percent} * least1"
+        f" and at1 <= most1 - {_common('most1', 'least2', percent)} + 1 and at2 <= most2 - {_common('most2', 'least1', percent)} + 1"
+    )
+    between = one.join(two, "token").where(near).select("token", F.col("c1").alias("component"), F.col("c2").alias("other"))
+    left = between.join(spanning.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au")), ["token", "component"])
+    right = spanning.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
+    pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent))
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
+    with scratch.temporary() as own:
+        return scratch.save(_similar_sets(docs, own, percent, n, key, text))
+
+
+def _similar_sets(docs: DataFrame, scratch: Scratch, percent: int, n: int, key: str, text: str) -> DataFrame:
     read = scratch.save(_sets(docs, key, text, n))
     # The sketch: 2**SKETCH_BITS counters at most, whatever the input.
     sketch = read.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
@@ -241,65 +316,31 @@ def similar_sets(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
     count[np.asarray(sketch["bucket"])] = np.asarray(sketch["count"])
     frequency = docs.sparkSession.sparkContext.broadcast(count)
 
-    # Equal sets have one representative, the smallest doc_id.
+    # Equal sets have one representative, the smallest doc_id. Both sides of the join are tables, so that a hot set can be split.
     sets = read.where("bucket is null").select("doc_id", "n", "hi", "lo")
-    firsts = sets.where("doc_id is not null and n > 0").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first"))
-    twins = sets.where("doc_id is not null and n > 0").join(firsts, ["n", "hi", "lo"]).where("doc_id <> first").select("first", "doc_id").distinct()
-    twins = scratch.save(twins)
+    usable = sets.where("doc_id is not null and n > 0")
+    firsts = scratch.save(usable.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first")))
+    twins = scratch.save(usable.join(firsts, ["n", "hi", "lo"]).where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v")))
 
-    edges = twins.select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
     live = scratch.save(_shared(_postings(docs, frequency, key, text, percent, n)))
-    prefixes = scratch.save(live.groupBy("doc_id", "n").agg(F.collect_set("token").alias("tokens")))  # no more than a prefix has
-    nodes = prefixes.select("doc_id").distinct()
+    nodes = live.groupBy("doc_id").agg(F.floor(10 * F.count("*") / F.first(F.expr(f"n - (({percent} * n + 99) div 100) + 1"))).alias("share"))
+    nodes = scratch.save(nodes)
     # By a sort-merge join, whose tasks each hold whole buckets; a broadcast would leave every task writing to all buckets.
-    texts = scratch.save_by(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes.hint("merge"), "doc_id", "left_semi"), "doc_id")
+    texts = packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(nodes.hint("merge"), "doc_id", "left_semi")
+    profiles = scratch.save_by(_profiles(texts, percent, n), "doc_id")
 
     def similar(pairs: DataFrame) -> DataFrame:
-        return _verified(_plausible(pairs.distinct(), prefixes, percent), texts, frequency, percent, n, scratch)
-
-    # The first round: every posting and the pivot of its token.
-    found = similar(live.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).select(F.col("p").alias("u"), F.col("doc_id").alias("v")))
-    for step in range(1, ROUNDS + 1):
-        label = components(found, scratch)
-        named = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
-        # Posting lists that still span several components.
-        ends = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-        state = scratch.save(named.join(ends.select("token"), "token"))
-        parts = state.groupBy("token", "component").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at"))
-        if step < ROUNDS:
-            lists = parts.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-            total, rest = lists.agg(F.sum("k"), F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()
-            if not rest:
-                break
-            if rest > FEW * total:
-                # The first posting of a token under each of a few orders of the documents: those whose prefixes have most
-                # tokens in common with others, as the original of many altered copies has, and among them at random.
-                share = F.floor(10 * F.size("tokens") / F.expr(f"n - (({percent} * n + 99) div 100) + 1"))
-                ranked = state.join(prefixes.select("doc_id", share.alias("share")), "doc_id")
-                first = [F.min(F.struct((-F.col("share")).alias("s"), F.xxhash64("doc_id", F.lit(step * PIVOTS + i)).alias("o"), "doc_id", "n", "at", "component")) for i in range(PIVOTS)]
-                slim = lambda p: F.struct(p["doc_id"].alias("doc_id"), p["n"].alias("n"), p["at"].alias("at"), p["component"].alias("component"))
-                pivot = ranked.groupBy("token").agg(F.array(*first).alias("ps")).select("token", F.explode(F.array_distinct(F.transform("ps", slim))).alias("p"))
-                pairs = state.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
-                # Either end may be a pivot of the other.
-                pairs = pairs.select(F.greatest("p.doc_id", "doc_id").alias("v"), F.least("p.doc_id", "doc_id").alias("u"))
-                found = found.unionByName(similar(pairs))
-                scratch.drop(state)
-                continue
-        # All pairs of a posting list that are in different components; pairs in one are never formed.
-        # Components whose sizes and places leave no candidate are not joined.
-        one, two = (parts.select("token", F.col("component").alias(f"c{i}"), F.col("least").alias(f"least{i}"), F.col("most").alias(f"most{i}"), F.col("at").alias(f"at{i}")) for i in (1, 2))
-        near = F.expr(
-            f"c1 < c2 and 100 * most1 >= {percent} * least2 and 100 * most2 >= {percent} * least1"
-            f" and at1 <= most1 - {_common('most1', 'least2', percent)} + 1 and at2 <= most2 - {_common('most2', 'least1', percent)} + 1"
-        )
-        between = one.join(two, "token").where(near).select("token", F.col("c1").alias("component"), F.col("c2").alias("other"))
-        left = between.join(state.select("token", "component", F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au")), ["token", "component"])
-        right = state.select("token", F.col("component").alias("other"), F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"))
-        pairs = left.join(right, ["token", "other"]).where(_meets("nu", "nv", "au", "av", percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        found = found.unionByName(similar(pairs))
-        break
-    scratch.drop(live, prefixes, texts)
-    label = components(edges.unionByName(found), scratch)
+        pairs = scratch.save(pairs.distinct())
+        for order in (1, 2):
+            pairs = scratch.save(_sharing(pairs, profiles, order, percent))
+        return scratch.save(_verified(pairs, profiles, percent, n))
+
+    # Every posting and the first of its token; then the best pivots; then what is left between components.
+    first = live.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
+    found = similar(first)
+    found = found.unionByName(similar(_pivot_pairs(_spanning(live, found, scratch), nodes, percent)))
+    found = found.unionByName(similar(_pairs_between(scratch.save(_spanning(live, found, scratch)), percent)))
+    label = components(twins.unionByName(found), scratch)
     return sets.join(label, sets["doc_id"] == label["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
@@ -308,5 +349,6 @@ def drop_similar(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int =
 
     Rows with a null key stay; of rows with equal key all stay or go together.
     """
-    gone = similar_sets(docs, scratch, percent, n, key, text).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("__gone"), "left_anti")
+    gone = fresh_name("__gone", docs)
+    similar = similar_sets(docs, scratch, percent, n, key, text).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(similar, F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")

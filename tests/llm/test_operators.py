@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.llm import bpe, embedding_dedup, language_id, license_scan, ngram_jaccard, packing, quality_rules, queries, secret_scan, substring_dedup, toxicity
-from helixframe.llm.common import Scratch
+from helixframe.llm.common import Powers, Scratch
 
 from . import brute
 
@@ -67,10 +67,17 @@ def test_ngram_jaccard(spark, docs):
         assert {d: (r["n_shingles"], r["component_id"]) for d, r in got.items()} == brute.similar(rows)
 
 
-def test_ngram_jaccard_lines_up_pivot_rounds(spark, docs, monkeypatch):
-    monkeypatch.setattr(ngram_jaccard, "FEW", 0)
-    got = rows_of(ngram_jaccard.similar_sets(frame(spark, docs), Scratch(spark)))
-    assert {d: (r["n_shingles"], r["component_id"]) for d, r in got.items()} == brute.similar(docs)
+def test_ngram_jaccard_filters_of_all_orders_keep_similar_pairs(docs):
+    sets = [s for _, t in docs if len(s := ngram_jaccard.shingles((t or "").encode(), Powers()))]
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 80 * (len(a) + len(b) - common):
+                least = -(-80 * (len(a) + len(b)) // 180)
+                for order in (1, 2):
+                    p, q = (ngram_jaccard.hashed_prefix(x, order, 80) for x in (a, b))
+                    assert len(p) == ngram_jaccard.prefix_length(len(a), 80)
+                    assert len(np.intersect1d(p, q)) >= least + 1 - -(-80 * max(len(a), len(b)) // 100)
 
 
 def test_ngram_jaccard_empty_repeated_and_null_keys(spark, docs):
