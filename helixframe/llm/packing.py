@@ -10,66 +10,93 @@ best fit over whole length classes. The plan says, for ranges of ranks within a
 length, which sequences and offsets they get; ranks are found from counts per
 partition, so no length gathers in one task.
 
-Defined cases: a null text is the end mark alone; repeated rows are packed each;
-rows with a null key are packed like others; an empty table gives an empty one.
+A tokenizer file of byte-level BPE whose merges stand in the order of their ids is
+run by tiktoken, which gives the ids of ``tokenizers`` in less time; other files, and texts
+with very long white space, are left to ``tokenizers``. Strings of special tokens
+in a text are those tokens, as ``tokenizers`` has it.
+
+Defined cases: a null text is the end mark alone; an empty one too; repeated rows
+are packed each; rows with a null key are packed like others; a text of any length
+is cut, never dropped; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import PieceCache, grouped
 from .common import Scratch, arrow_batch, map_arrow
 
-_encoders: dict[str, "PieceEncoder"] = {}
-
-
-class PieceEncoder:
-    """Token ids of texts by a tokenizer file; pieces seen before come from a bounded cache."""
+# Fixed value: the pattern of words that byte-level pre-tokenizers use.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space from which on tiktoken's pattern needs too much memory.
+_LONG_SPACE = re.compile(r"\s{10000}")
+#: Parts whose counts are summed together before the sums are.
+PARTS = 1024
+
+_encoders: dict[str, "TextEncoder"] = {}
+
+
+def byte_of_char() -> dict[str, int]:
+    """The bytes that the characters of byte-level tokens stand for: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def rank_encoder(path: str) -> tiktoken.Encoding | None:
+    """tiktoken's form of a tokenizer file, if it gives the same ids."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, words = spec["model"], spec["pre_tokenizer"] or {}
+    flags = any(x[k] for x in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    level = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space")
+    if not plain or not level or flags or spec["normalizer"] or spec["truncation"] or spec["padding"]:
+        return None
+    special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+    vocabulary = {k: v for k, v in model["vocab"].items() if k not in special}
+    pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+    made = [vocabulary["".join(x)] for x in pairs]
+    chars = byte_of_char()
+    if any(a >= b for a, b in zip(made, made[1:])) or len(set(made)) + len(chars) != len(vocabulary) or not chars.keys() <= vocabulary.keys():
+        return None
+    ranks = {bytes(map(chars.__getitem__, k)): v for k, v in vocabulary.items()}
+    return tiktoken.Encoding(os.path.basename(path), pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
+
+
+class TextEncoder:
+    """Token ids of texts by a tokenizer file."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self.tokenizer.get_vocab()
-        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for t, i in vocabulary.items():
-            self.sizes[i] = len(t)  # one character of a byte-level token is one byte
-        self.pieces = PieceCache(self.encode_pieces)
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; pieces that begin with a space are encoded in one go."""
-        if len(pieces) < 2 or not all(p[:1] == " " and p[1:2].strip() for p in pieces):
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        out: list[bytes] = []
-        for i in range(0, len(pieces), 20_000):
-            some = pieces[i : i + 20_000]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([len(p.encode()) for p in some])
-            cuts = [0, *(4 * np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 4).tolist()]
-            flat = ids.tobytes()
-            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        return self.pieces.encode(texts)
-
-
-def encoder(path: str) -> PieceEncoder:
+        self.tokenizer, self.ranked = Tokenizer.from_file(path), rank_encoder(path)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit integers."""
+        if self.ranked is None or _LONG_SPACE.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if any(x in text for x in self.ranked.special_tokens_set):
+            return np.array(self.ranked.encode(text, allowed_special="all"), "<u4").tobytes()
+        return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
+
+
+def encoder(path: str) -> TextEncoder:
     """The encoder of a tokenizer file, one for each process."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = TextEncoder(path)
     return _encoders[path]
 
 
@@ -86,10 +113,10 @@ def cut_documents(docs: DataFrame, path: str, size: int = 1024, end: int = 2, ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seen = encoder(path), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for keys, texts in grouped(batches):
+        for b in batches:
             rows: list[tuple] = []
-            for k, ids in zip(keys, enc.encode(texts), strict=True):
-                ids += tail
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids = enc.encode(x or "") + tail
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:
@@ -98,20 +125,25 @@ def cut_documents(docs: DataFrame, path: str, size: int = 1024, end: int = 2, ke
                     rows.append((k, piece, at, length, zlib.crc32(own), part, seen[length], *([own] if with_ids else [])))
                     seen[length] += 1
                     at, piece = at + length, piece + 1
-            yield arrow_batch(pa.schema(fields), *map(list, zip(*rows)))
+            if rows:
+                yield arrow_batch(pa.schema(fields), *map(list, zip(*rows)))
 
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long" + ", ids binary" * with_ids
     return map_arrow(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, kinds)
 
 
-def patterns(counts: np.ndarray, size: int, most: int = 4096) -> list[tuple[int, ...]]:
-    """Few-document length patterns that fill a sequence exactly, the best supplied first."""
+def patterns(counts: np.ndarray, size: int, most: int = 4096, seeds: int = 256) -> list[tuple[int, ...]]:
+    """Few-document length patterns that fill a sequence exactly, the best supplied first.
+
+    All pairs are tried, and triples and quadruples that begin with two of the ``seeds``
+    commonest lengths, up to ``most`` patterns. Pieces that no pattern takes are packed by best fit.
+    """
     have = [int(x) for x in np.flatnonzero(counts)]
     pairs = [(size - a, a) for a in have if 2 * a <= size and counts[size - a] and (2 * a < size or counts[a] > 1)]
     by_count = sorted(have, key=lambda a: (-counts[a], a))
     scored = []
-    for i, a in enumerate(by_count[:256]):
-        for b in by_count[i:256]:
+    for i, a in enumerate(by_count[:seeds]):
+        for b in by_count[i:seeds]:
             c = size - a - b
             if 0 < c <= size and counts[c]:
                 scored.append((-min(counts[a], counts[b], counts[c]), tuple(sorted((a, b, c), reverse=True))))
@@ -196,6 +228,15 @@ def segments(groups: list[tuple[tuple[int, ...], int]], size: int) -> dict[int,
     return {k: np.array(v, np.int64) for k, v in out.items()}
 
 
+def _starts(per_part: DataFrame) -> DataFrame:
+    """(part, length, before): pieces of a length in earlier parts, by sums over blocks of parts and then within them."""
+    block = per_part.withColumn("block", F.expr(f"part div {PARTS}"))
+    earlier = lambda *keys: F.coalesce(F.sum("n").over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = block.groupBy("length", "block").agg(F.sum("n").alias("n")).select("length", "block", earlier("length", "block").alias("blocks"))
+    within = block.select("part", "length", "block", earlier("length", "block", "part").alias("within"))
+    return within.join(blocks, ["length", "block"]).select("part", "length", (F.col("within") + F.col("blocks")).alias("before"))
+
+
 def pack(docs: DataFrame, scratch: Scratch, path: str, size: int = 1024, end: int = 2, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """The pieces of all documents with sequence_id and offset."""
     pieces = scratch.save(cut_documents(docs, path, size, end, key, text, with_ids))
@@ -205,9 +246,7 @@ def pack(docs: DataFrame, scratch: Scratch, path: str, size: int = 1024, end: in
     for r in totals:
         counts[r["length"]] = r["n"]
     where = docs.sparkSession.sparkContext.broadcast(segments(plan(counts, size), size))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per_part.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    ranked = pieces.join(starts, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "part")
+    ranked = pieces.join(_starts(per_part), ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before", "part")
     names = [c for c in ranked.columns if c != "rank"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
