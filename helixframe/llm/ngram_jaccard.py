@@ -260,28 +260,32 @@ def _meets(a: str, b: str, at_a: str, at_b: str, percent: int):
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) and {at_a} <= {a} - {common} + 1 and {at_b} <= {b} - {common} + 1")
 
 
-def _spanning(live: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(token, doc_id, n, at, component): the posting lists that span several components so far."""
+def _spanning(postings: DataFrame, found: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(token, doc_id, n, at, share, component): the posting lists that span several components so far."""
     label = components(found, scratch)
-    named = live.join(label, live["doc_id"] == label["node"], "left").select("token", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("component"))
-    named = scratch.save(named)
-    ends = named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    return named.join(ends.select("token"), "token")
+    named = nodes.join(label, nodes["doc_id"] == label["node"], "left").select("doc_id", "share", F.coalesce("component", "doc_id").alias("component"))
+    named = scratch.save(postings.select("token", "doc_id", "n", "at").join(named, "doc_id"))
+    # Tables on both sides of a join, so that a hot token can be split.
+    ends = scratch.save(named.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token"))
+    return scratch.save(named.join(ends, "token"))
 
 
-def _pivot_pairs(spanning: DataFrame, share: DataFrame, percent: int) -> DataFrame:
+def _pivot_pairs(spanning: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(u, v): members of posting lists and the pivots of their token that are in other components.
 
     Pivots come first under each of a few orders of the documents: by the share of their
     prefix that other sets have, as the original of many altered copies, then at random.
     """
-    ranked = spanning.join(share, "doc_id")
-    first = [F.min(F.struct((-F.col("share")).alias("s"), F.xxhash64("doc_id", F.lit(i)).alias("o"), "doc_id", "n", "at", "component")) for i in range(PIVOTS)]
-    slim = lambda p: F.struct(p["doc_id"].alias("doc_id"), p["n"].alias("n"), p["at"].alias("at"), p["component"].alias("component"))
-    pivot = ranked.groupBy("token").agg(F.array(*first).alias("ps")).select("token", F.explode(F.array_distinct(F.transform("ps", slim))).alias("p"))
-    pairs = spanning.join(pivot, "token").where((F.col("component") != F.col("p.component")) & _meets("n", "p.n", "at", "p.at", percent))
+    random = lambda i: F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(i)), 5)
+    places = [F.shiftleft((15 - F.col("share")).cast("long"), 59).bitwiseOR(random(i)) for i in range(PIVOTS)]
+    first = scratch.save(spanning.groupBy("token").agg(*[F.min(k).alias(f"k{i}") for i, k in enumerate(places)]))
+    leads = F.lit(False)
+    for i, k in enumerate(places):
+        leads = leads | (k == F.col(f"k{i}"))
+    pivots = spanning.join(first, "token").where(leads).select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("at").alias("pat"), F.col("component").alias("pc"))
+    pairs = spanning.join(scratch.save(pivots), "token").where((F.col("component") != F.col("pc")) & _meets("n", "pn", "at", "pat", percent))
     # Either end may be a pivot of the other.
-    return pairs.select(F.greatest("p.doc_id", "doc_id").alias("v"), F.least("p.doc_id", "doc_id").alias("u"))
+    return pairs.select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
 
 
 def _pairs_between(spanning: DataFrame, percent: int) -> DataFrame:
@@ -338,8 +342,9 @@ def _similar_sets(docs: DataFrame, scratch: Scratch, percent: int, n: int, key:
     # Every posting and the first of its token; then the best pivots; then what is left between components.
     first = live.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
     found = similar(first)
-    found = found.unionByName(similar(_pivot_pairs(_spanning(live, found, scratch), nodes, percent)))
-    found = found.unionByName(similar(_pairs_between(scratch.save(_spanning(live, found, scratch)), percent)))
+    spanning = _spanning(live, found, nodes, scratch)
+    found = found.unionByName(similar(_pivot_pairs(spanning, percent, scratch)))
+    found = found.unionByName(similar(_pairs_between(_spanning(spanning, found, nodes, scratch), percent)))
     label = components(twins.unionByName(found), scratch)
     return sets.join(label, sets["doc_id"] == label["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 

@@ -171,14 +171,12 @@ def quality_filter(
 ) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    Statistics are computed once for the sketches and once for the verdict, so
-    that whole texts are never shuffled: fences, not texts, are joined.
+    Rows are written once with their statistics, so that these are computed once
+    and whole texts are never shuffled: fences, not texts, are joined.
     """
-    slim = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))
-    stats = text_statistics(slim).drop("text")
-    fences = scratch.save(thresholds(sketches(stats, "lang", "source"), fence))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")).select(
-        "__row", F.col(f"__row.{text}").alias("text"), F.col(f"__row.{lang}").cast("string").alias("lang"), F.col(f"__row.{source}").cast("string").alias("source")
+        "__row", F.col(f"__row.`{text}`").alias("text"), F.col(f"__row.`{lang}`").cast("string").alias("lang"), F.col(f"__row.`{source}`").cast("string").alias("source")
     )
-    judged = _verdict(text_statistics(row), fences, "lang", "source", min_docs)
-    return judged.where("kept").select("__row.*")
+    stats = scratch.save(text_statistics(row).drop("text"))
+    fences = scratch.save(thresholds(sketches(stats, "lang", "source"), fence))
+    return _verdict(stats, fences, "lang", "source", min_docs).where("kept").select("__row.*")
