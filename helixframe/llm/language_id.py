@@ -8,7 +8,9 @@ the temperature and the confidence under which a prediction is rejected.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows without a language are never learned from; without any labelled row every
-text is ``und``; repeated rows get equal answers. Whole texts are read.
+text is ``und``; repeated rows get equal answers and count as often as they
+stand; rows with a null key are answered, not learned from; an empty table gives
+an empty one; other columns are not read. Whole texts are read, of any length.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, map_arrow
+from .common import arrow_batch, hashed_sample, map_arrow
 
 BITS, DIM, ORDERS = 14, 16, (1, 2, 3, 4)
 _table: list[np.ndarray] = []
@@ -154,10 +156,9 @@ def fit(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
     Documents are chosen by their ids alone, so no text is sorted or shuffled;
     the chosen ids, a bounded number, are broadcast to the scan of the texts.
     """
-    ids = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(lang).alias("__l"))
-    w = Window.partitionBy("__l").orderBy(F.xxhash64("__k"), "__k")
-    ids = ids.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_lang).select("__k", "__l").distinct()
-    chosen = docs.join(F.broadcast(ids), (F.col(key) == F.col("__k")) & (F.col(lang) == F.col("__l"))).select(F.col("__l").alias("lang"), F.col(text).alias("text"))
+    slim = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    ids = hashed_sample(slim.select("lang", "key"), "lang", "key", per_lang)
+    chosen = slim.join(F.broadcast(ids), ["lang", "key"]).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("at", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])

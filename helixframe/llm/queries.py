@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, license_scan, ngram_jaccard, packing, quality_rules, secret_scan, substring_dedup, toxicity
+from . import bpe, embedding_dedup, language_id, license_scan, ngram_jaccard, oracles, packing, quality_rules, secret_scan, substring_dedup, toxicity
 from .common import Scratch
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,7 +40,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, _fold("doc_id", 4) != 2)
     out = language_id.identify(docs, model)
-    return out.select("doc_id", (_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+    return out.select("doc_id", F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +65,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _fold("doc_id", 5) != 0)
-    return toxicity.score_toxicity(docs, model).select("doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _fold("doc_id", 5) != 0, Scratch(spark))
+    return toxicity.score_toxicity(docs, model).select("doc_id", F.coalesce(_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -79,5 +79,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for the operators that it can express."""
-    return {}
+    """SQL for the operators that it can express; tests compare the others with plain versions or on held-out rows."""
+    return {
+        "op1_ngram_jaccard": oracles.NGRAM_JACCARD,
+        "op2_embedding_dedup": oracles.EMBEDDING_DEDUP,
+        "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
+        "op7_quality_rules": oracles.QUALITY_RULES,
+    }

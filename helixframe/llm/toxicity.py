@@ -8,8 +8,11 @@ numpy. At most ``per_class`` documents of each label are learned from, chosen by
 a hash of doc_id.
 
 Defined cases: null and empty texts hold no n-gram and get the score of the
-intercept; labels other than 0 and 1 are not learned from; without labels of
-both classes every score is the share of label 1; repeated rows score alike.
+intercept; labels other than 0 and 1, and those of ids with both, are not learned
+from; without labels of both classes every score is the share of label 1; repeated
+rows score alike and are learned from as often as they stand; rows with a null key
+are scored, not learned from; an empty table gives an empty one; other columns are
+not read. Whole texts are read, of any length.
 """
 
 from __future__ import annotations
@@ -19,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batch, map_arrow
+from .common import Scratch, arrow_batch, hashed_sample, map_arrow
 from .language_id import letters
 
 BITS, ORDERS = 22, (3, 4, 5, 6)
@@ -86,16 +89,21 @@ def _pairs(chosen: DataFrame, table: np.ndarray | None) -> DataFrame:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, key: str = "doc_id", text: str = "text", label: str = "toxic",
     per_class: int = 4000, n_features: int = 2048, min_docs: int = 3,
 ) -> ToxicityModel:
     """Train on labelled documents for which ``learn``, a condition on doc_id, holds."""
-    ids = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(label).cast("int").alias("label"))
-    ids = ids.groupBy("__k").agg(F.max("label").alias("label"))
-    w = Window.partitionBy("label").orderBy(F.xxhash64("__k"), "__k")
-    ids = ids.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_class).drop("__r")
+    marked = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    marked = marked.groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").select("label", "key")
     # At most 2 x per_class ids are broadcast to the scan; no text is shuffled.
-    chosen = docs.join(F.broadcast(ids), F.col(key) == F.col("__k")).select("label", F.col(text).cast("string").alias("text"))
+    ids = hashed_sample(marked, "label", "key", per_class)
+    slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    with scratch.temporary() as own:
+        return _fitted(own.save(slim.join(F.broadcast(ids), "key").select("label", "text")), n_features, min_docs)
+
+
+def _fitted(chosen: DataFrame, n_features: int, min_docs: int) -> ToxicityModel:
+    """The model of a table (label, text)."""
     n = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
