@@ -1,16 +1,21 @@
 """Secret scans: literals that source and configuration syntax gives to sensitive names.
 
 Three plain patterns find well-known shapes. Around them an assignment-aware
-lexer reads every ``name = literal``, ``name: literal`` and ``name => literal``
-of a text into pairs, also where the name is a subscript (``table["name"] = ...``,
-``name[0] = ...``) or has a type (``name: type = ...``), follows names that are assigned to other names, and scores
-each literal by the names it reaches and by its own shape. Literals that score
-enough are secrets too, whatever they look like.
+lexer goes from operator to operator (``=``, ``:``, ``=>``, ``:=`` and the end of an
+element's tag). Behind each it reads the target: a name, a quoted key, the keys and the table
+of a subscript, or a name with its type. After it, it reads the value: terms joined by
+``+`` or standing side by side, each a name or a literal. Literals are bare words, strings with
+escapes, triple-quoted strings, escaped strings inside others, and indented
+blocks. A name stands for the constants that it was given before, so constants flow from
+name to name. Each literal is scored by the most sensitive name that it reaches and
+by its own shape; those that score enough are secrets too, whatever they look like.
+Comments and strings are read as well, as secrets are often commented out or quoted.
 
 Defined cases: a null text is empty and has no span; spans count code points,
-ends are exclusive; equal spans of one kind count once; repeated rows are judged
-alike. A span of the lexer that lies wholly inside one of the patterns is left to it;
-others may overlap. A target is read up to 120 characters back, with its type 240.
+ends are exclusive; equal spans of one kind count once; a span of the lexer that
+lies wholly inside one of the patterns is left to it, others may overlap or hold each other;
+repeated rows and null keys are judged alike; names, literals and texts may be of any length; an
+empty table gives an empty one; ``redact_secrets`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -32,29 +37,40 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "named")
 
-# Parts of names and how strongly they speak of a secret.
-NAME_SCORES = {
-    "password": 3, "passwd": 3, "passphrase": 3, "secret": 3, "token": 3, "apikey": 3, "api_key": 3, "access_key": 3,
-    "private_key": 3, "client_key": 2, "credential": 3, "auth": 2, "pwd": 2, "pass": 1, "bearer": 2, "signing": 2, "session_key": 3, "encryption_key": 3,
-}
-#: Values that stand for a secret without being one.
-PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "<", "${", "{{", "none", "null", "true", "false")
+# Parts of names that speak of a secret wherever they stand, whole words of names that do, and how strongly.
+PART_SCORES = {"password": 3, "passwd": 3, "passphrase": 3, "secret": 3, "apikey": 3, "accesskey": 3, "privatekey": 3, "sessionkey": 3, "encryptionkey": 3, "signingkey": 3, "credential": 3, "clientkey": 2}
+WORD_SCORES = {"token": 3, "auth": 2, "authorization": 2, "bearer": 2, "pwd": 2, "signing": 2, "pass": 1}
+# Literals that stand for a secret without being one, and words of such literals.
+NOTHING = {"none", "null", "nil", "true", "false", "undefined"}
+PLACEHOLDERS = {"example", "changeme", "placeholder", "your", "redacted", "dummy", "insert", "todo"}
 LEAST_SCORE = 5
 
-_PAIR = re.compile(r"""(?:\[\d+\])*["']?(?:[ \t]*\])*[ \t]*(=>|:=|[:=])[ \t]*(?:"([^"\n]*)"|'([^'\n]*)'|([A-Za-z0-9_][^\s"',;(){}<>\[\]]*))""")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
+_OP = re.compile(r"=>|:=|(?<![=!<>~])=(?![=~])|(?<!:):(?![:/]{1,2}/|:)|<([A-Za-z_][\w.-]*)(?:\s[^<>]*)?>")
+_SPACE, _NAME_CHARS = " \t", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-$")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.$-]*\Z")
 _IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
-_NAME_WINDOW, _TYPE_WINDOW = 120, 240
-#: The table of a subscript whose key ends here.
-_TABLE = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*)(?:\[[^\[\]\n]*\])*\[[^\[\]\n]*\Z")
+_KEY = re.compile(r"""\s*\\?(["'`])([^"'`\\]*)\\?\1\s*""")
 _ATOM = r"""(?>["']?[A-Za-z_][A-Za-z0-9_.]*(?:\[[^\n=]*\]|<[^\n=]*>)?["']?(?:\[\])*)"""
-#: A name with its type before ``=``; atomic groups, so that odd types cost little.
-_TYPED = re.compile(rf"""([A-Za-z_][A-Za-z0-9_.-]*)[?!]?[ \t]*:[ \t]*{_ATOM}(?:[ \t]*[|&][ \t]*{_ATOM})*+[ \t]*\Z""")
+#: A type between the colon after a name and ``=``; atomic groups, so that odd types cost little.
+_TYPE = re.compile(rf"[ \t]*({_ATOM})(?:[ \t]*[|&][ \t]*{_ATOM})*+[ \t]*")
+_STRING = re.compile(
+    r"""(?:[rRbBuUfF]{0,2}|[@$L])(?:"{3}(?P<t3>(?:[^"\\]|\\.|"(?!""))*+)"{3}|\'{3}(?P<s3>(?:[^'\\]|\\.|'(?!\'\'))*+)'{3}"""
+    r"""|"(?P<d>(?:[^"\\\n]|\\.)*+)"|'(?P<s>(?:[^'\\\n]|\\.)*+)'|`(?P<b>(?:[^`\\]|\\.)*+)`|\\(?P<q>["'])(?P<e>[^"'\\\n]*+)\\(?P=q))""",
+    re.DOTALL,
+)
+_BARE = re.compile(r"""(?:(?:Bearer|Basic)[ ])?([A-Za-z0-9_][^\s"',;(){}<>\[\]]*)""")
+#: Bare words of settings without spaces may begin with any sign.
+_SETTING = re.compile(r"""([^\s"'`,;(){}<>\[\]=\\][^\s"',;(){}<>\[\]]*)""")
+_BLOCK = re.compile(r"[ \t]*[|>][+-]?\d?[ \t]*\n((?:[ \t]*\n)*([ \t]+)\S[^\n]*(?:\n(?:\2[^\n]*|[ \t]*(?=\n|\Z)))*)")
+_PLUS = re.compile(r"[ \t]*[+&.][ \t]*(?:\\?\n[ \t]*)?")
+_BESIDE = {False: re.compile(r"""[ \t]*(?:\\\n[ \t]*)?(?=["'])"""), True: re.compile(r"""\s*(?=["'])""")}
+_ARMOUR = re.compile(r"-----[A-Z0-9 ]+-----")
 
 
 def literal_score(value: str) -> int:
     """How much a literal's own shape looks like a secret, 0 to 3."""
-    if len(value) < 8 or " " in value.strip() or any(p in value.lower() for p in PLACEHOLDERS):
+    low = value.lower()
+    if len(value) < 8 or " " in value.strip() or low in NOTHING or low.startswith(("${", "{{", "<", "%(")) or PLACEHOLDERS & set(re.split("[^a-z]+", low)):
         return 0
     bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
     classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
@@ -63,46 +79,108 @@ def literal_score(value: str) -> int:
 
 def name_score(name: str) -> int:
     """How sensitive a target's name is, 0 to 3."""
-    low = re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name).lower().replace("-", "_").replace(".", "_")
-    return max((v for k, v in NAME_SCORES.items() if k in low), default=0)
-
-
-def _targets(text: str, m: re.Match) -> list[str]:
-    """The names that a match of ``_PAIR`` assigns to."""
-    at, op = m.start(), m.start(1)
-    near = _NAME.search(text, max(0, at - _NAME_WINDOW), at)
-    names = [near[0]] if near else []
-    before = text[at:op]
-    if "]" in before and (table := _TABLE.search(text, max(0, at - _NAME_WINDOW), at)) and name_score(table[1]):
-        names.append(table[1])
-    if m[1] == "=" and text.rfind(":", max(0, op - _TYPE_WINDOW), op) >= 0 and (typed := _TYPED.search(text, max(0, op - _TYPE_WINDOW), op)):
-        # The word before ``=`` is the type, unless it speaks of a secret itself.
-        names = [typed[1], *(n for n in names if name_score(n))]
-    return names
+    words = re.split("[^a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower())
+    joined = "".join(words)
+    parts = [v for k, v in PART_SCORES.items() if k in joined and not (k == "secret" and "secretar" in joined)]
+    return max([0, *parts, *(WORD_SCORES.get(w, WORD_SCORES.get(w.removesuffix("s"), 0)) for w in words)])
+
+
+def _targets(text: str, at: int) -> list[str]:
+    """The names that an operator at ``at`` gives a value: the last key or name first, then a sensitive table."""
+    names: list[str] = []
+    i = at
+    while True:
+        while i and text[i - 1] in _SPACE:
+            i -= 1
+        if i and text[i - 1] == "]":
+            k = text.rfind("[", 0, i)
+            if k < 0 or "\n" in text[k:i]:
+                return names
+            if (key := _KEY.fullmatch(text, k + 1, i - 1)) and (not names or name_score(key[2])):
+                names.append(key[2])
+            i = k
+            continue
+        if i and text[i - 1] in "?!":
+            i -= 1
+        elif i and text[i - 1] in "\"'`":
+            i -= 1 + (i > 1 and text[i - 2] == "\\")
+        j = i
+        while j and text[j - 1] in _NAME_CHARS:
+            j -= 1
+        if (m := _NAME.search(text, j, i)) and (i == at or not names or name_score(m[0])):
+            names.append(m[0])
+        return names
+
+
+def _values(text: str, at: int, op: str) -> Iterator[tuple[int, int, str | None]]:
+    """The terms of the value after an operator: (start, end, value) of a literal, with None for a name."""
+    if op == ":" and (m := _BLOCK.match(text, at)):
+        yield m.start(1) + len(m[1]) - len(m[1].lstrip()), m.end(1), "".join(x.strip() for x in _ARMOUR.sub("", m[1]).split("\n"))
+        return
+    if op == "<":
+        end = text.find("<", at)
+        if end > at and (inner := text[at:end].strip()):
+            start = at + text[at:end].index(inner)
+            yield start, start + len(inner), inner
+        return
+    i = at
+    while i < len(text) and text[i] in _SPACE:
+        i += 1
+    wrapped = False
+    while i < len(text) and text[i] == "(":
+        wrapped, i = True, i + 1
+        while i < len(text) and text[i].isspace():
+            i += 1
+    strings: list[tuple[int, int, str]] = []
+    while True:
+        if m := _STRING.match(text, i):
+            group = next(k for k in ("t3", "s3", "d", "s", "b", "e") if m[k] is not None)
+            raw = m[group]
+            value = re.sub(r"\\(.)", r"\1", raw, flags=re.DOTALL) if "\\" in raw else raw
+            if group in ("t3", "s3", "b") and "\n" in value:
+                value = "".join(x.strip() for x in _ARMOUR.sub("", value).split("\n"))
+            strings.append((m.start(group), m.end(group), value))
+            i = m.end()
+            follow = _PLUS.match(text, i) or _BESIDE[wrapped].match(text, i)
+        elif m := _BARE.match(text, i) or (i == at and op == "=" and _SETTING.match(text, i)) or None:
+            yield m.start(1), m.end(1), None if _IDENT.match(m[1]) else m[1]
+            i = m.end()
+            follow = _PLUS.match(text, i) if _IDENT.match(m[1]) else None
+        else:
+            break
+        if not follow:
+            break
+        i = follow.end()
+    if strings:
+        yield strings[0][0], strings[-1][1], "".join(v for _, _, v in strings)
 
 
 def named_literals(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, name, score) of literals that reach a sensitive name."""
-    if "=" not in text and ":" not in text:
-        return []
-    literals: dict[str, tuple[int, int, str]] = {}  # the constant that a name holds so far
+    constants: dict[str, list[tuple[int, int, str]]] = {}  # what a name holds so far
     found: dict[tuple[int, int], tuple[str, int]] = {}
-    for m in _PAIR.finditer(text):
-        names = _targets(text, m)
+    last: tuple[str, int, list[str]] = ("", 0, [])  # the operator before this one, its end and its targets
+    for m in _OP.finditer(text):
+        op, begin, end = text[m.start()] if m[1] else m[0], m.start(), m.end()
+        names = [m[1]] if m[1] else _targets(text, begin)
+        if op == "=" and last[0] == ":" and last[2] and _TYPE.fullmatch(text, last[1], begin):
+            # The word before ``=`` is the type, unless it speaks of a secret itself.
+            names = [*last[2], *(n for n in names if name_score(n))]
+        last = (op, end, names)
         if not names:
             continue
-        k = 2 if m[2] is not None else 3 if m[3] is not None else 4
-        span = (m.start(k), m.end(k), m[k])
-        if k == 4 and _IDENT.match(m[4]):
-            span = literals.get(m[4])  # a name: what it holds flows on
-            if span is None:
-                continue
+        literals: list[tuple[int, int, str]] = []
+        for a, b, value in _values(text, end, op):
+            literals += constants.get(text[a:b], []) if value is None else [(a, b, value)]
+        # Only literals that some name can make a secret are worth following.
+        literals = [x for x in dict.fromkeys(literals) if literal_score(x[2]) >= LEAST_SCORE - 3]
         for name in names:
-            literals[name] = span
+            constants[name] = literals
         name = max(names, key=name_score)
-        sensitive = name_score(name)
-        if sensitive and (score := sensitive + literal_score(span[2])) >= LEAST_SCORE and score > found.get(span[:2], ("", 0))[1]:
-            found[span[:2]] = (name, score)
+        if sensitive := name_score(name):
+            for a, b, value in literals:
+                if (score := sensitive + literal_score(value)) >= LEAST_SCORE and score > found.get((a, b), ("", 0))[1]:
+                    found[a, b] = (name, score)
     return [(a, b, *v) for (a, b), v in found.items()]
 
 
