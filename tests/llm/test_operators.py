@@ -293,9 +293,9 @@ def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.TOKENIZER)
-    t.encode_special_tokens = True
-    rows = [*docs, *enumerate(odd_texts(), start=1000)]
-    df = frame(spark, rows)
+    odd = ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>\n<|endoftext|>c <|endof", "x" + " " * 30_000 + "y", "\n" * 12_000, "z" * 200_000]
+    rows = [*docs, *enumerate([*odd_texts(), *odd], start=1000)]
+    df = frame(spark, rows).withColumn("rank", F.lit(5)).withColumn("part", F.lit("p")).withColumn("length", F.lit(-1))
     got = packing.pack(df, Scratch(spark), queries.TOKENIZER, with_ids=True).collect()
     want = {d: [*t.encode(x or "", add_special_tokens=False).ids, 2] for d, x in rows}
     pieces, sequences = {}, {}
@@ -319,6 +319,17 @@ def test_packing(spark, docs):
     total = sum(map(len, want.values()))
     assert len(sequences) <= -(-total // 1024) * 1.02 + 1
     assert packing.pack(df.limit(0), Scratch(spark), queries.TOKENIZER).count() == 0
+    same = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "a b"), (1, "a b"), (1, None), (2, "")], "doc_id long, text string")
+    got = packing.pack(same, Scratch(spark), queries.TOKENIZER).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in got) == [(0, 3), (0, 3), (1, 1), (1, 3), (1, 3), (2, 1)]
+    assert sorted(r["offset"] for r in got) == [0, *np.cumsum([r["length"] for r in sorted(got, key=lambda r: r["offset"])][:-1]).tolist()]
+
+
+def test_packing_starts_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PARTS", 3)
+    rows = [(p, k, 1 + (p * 7 + k) % 5) for p in range(11) for k in (1, 9) if (p + k) % 4]
+    got = {(r["part"], r["length"]): r["before"] for r in packing._starts(spark.createDataFrame(rows, "part int, length long, n long")).collect()}
+    assert got == {(p, k): sum(n for q, m, n in rows if m == k and q < p) for p, k, _ in rows}
 
 
 @pytest.mark.parametrize("n", [1, 50, 3000])
