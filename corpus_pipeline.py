@@ -18,29 +18,29 @@ def _recounted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.quality_filter(docs, Scratch(spark))
+    return quality_rules.quality_filter(docs, scratch or Scratch(spark))
 
 
-def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """One document of each group of similar ones."""
-    return ngram_jaccard.drop_similar(docs, Scratch(spark))
+    return ngram_jaccard.drop_similar(docs, scratch or Scratch(spark))
 
 
-def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents without passages that occur earlier."""
-    return _recounted(substring_dedup.drop_repeats(docs, Scratch(spark)))
+    return _recounted(substring_dedup.drop_repeats(docs, scratch or Scratch(spark)))
 
 
-def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents with secrets masked."""
     return _recounted(secret_scan.redact_secrets(docs))
 
 
-def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Pieces of documents, with their places in the packed sequences."""
-    return packing.pack(docs, Scratch(spark), TOKENIZER)
+    return packing.pack(docs, scratch or Scratch(spark), TOKENIZER)
 
 
 STAGES = [("quality_rules", quality), ("ngram_jaccard", similar), ("substring_dedup", substrings), ("secret_scan", secrets), ("best_fit_packing", sequences)]
@@ -50,10 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. A stage's own tables go when its result is written, and that when the next one's is."""
     scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.save(docs)
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch.temporary() as own:
+            after = scratch.save(stage(spark, docs, sf_dir, own))
+        if i:
+            scratch.drop(docs)
+        docs = after
+    return STAGES[-1][1](spark, docs, sf_dir, scratch)
