@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import genomics as G
@@ -78,9 +78,16 @@ merged as (select chrom, min(start_pos) start_pos, max(end_pos) end_pos, count(*
 # --- intervals ---------------------------------------------------------------
 
 
-@query("select chrom, start_pos, end_pos, name from targets")
+def placed(df: DataFrame, *groups: str) -> DataFrame:
+    """``df`` in the order that it has, with the place of each row within its group."""
+    numbered = df.withColumn("__id", F.monotonically_increasing_id())
+    keys = [F.expr(g) for g in groups]
+    return numbered.select(*df.columns, F.row_number().over(Window.partitionBy(*keys).orderBy("__id")).alias("place"))
+
+
+@query("select chrom, start_pos, end_pos, name, cast(row_number() over (partition by chrom, start_pos // 512 order by start_pos, end_pos, name) as int) place from targets")
 def sort_bed(s, d):
-    return I.sort_bed(view(s, d, "targets"))
+    return placed(I.sort_bed(view(s, d, "targets").repartition(7)), "chrom", "start_pos div 512")
 
 
 @query("select case when chrom = 'chr5' then 'MT' when name like '%7' then 'GL456210.1' else substr(chrom, 4) end chrom, start_pos, end_pos, name from targets")
@@ -121,9 +128,9 @@ def merge_beds(s, d):
     return I.merge_beds([t, t.withColumns({"start_pos": F.col("start_pos") + 50, "end_pos": F.col("end_pos") + 90})])
 
 
-@query("select chrom, start_pos + 1 start_pos, end_pos, name from targets where chrom <> 'chr4'")
+@query("select chrom, start_pos + 1 start_pos, end_pos, name from targets")
 def bed_to_interval_list(s, d):
-    return I.bed_to_interval_list(view(s, d, "targets"), view(s, d, "contigs").where("chrom <> 'chr4'"))
+    return I.bed_to_interval_list(view(s, d, "targets"), view(s, d, "contigs"))
 
 
 @query("select * from variants v where exists (select 1 from targets t where t.chrom = v.chrom and v.pos - 1 >= t.start_pos and v.pos - 1 < t.end_pos)")
@@ -183,6 +190,13 @@ def depth_summary(s, d):
     return r6(D.depth_summary(D.per_base_depth(_good(s, d), view(s, d, "contigs"))), "mean")
 
 
+@query(MERGED.format(d=0) + runs_sql(DEPTH_SUMMARY + """, gm as (select m.chrom, least(m.end_pos, r.end_pos) - greatest(m.start_pos, r.start_pos) n, depth from merged m join zruns r on m.chrom = r.chrom and m.start_pos < r.end_pos and r.start_pos < m.end_pos),
+rs as (select chrom, cast(sum(n) as bigint) length, cast(sum(n * depth) as bigint) bases, min(depth) "min", max(depth) "max" from gm group by chrom union all select 'total', cast(sum(n) as bigint), cast(sum(n * depth) as bigint), min(depth), max(depth) from gm)
+select chrom, length, bases, round(bases / length, 6) mean, "min", "max" from ds union all select concat(chrom, '_region'), length, bases, round(bases / length, 6), "min", "max" from rs"""))
+def depth_summary_regions(s, d):
+    return r6(D.depth_summary(D.per_base_depth(_good(s, d), view(s, d, "contigs")), view(s, d, "targets")), "mean")
+
+
 @query(runs_sql(DEPTH_SUMMARY + """, b as (select max(case when chrom = 'total' then length end) t, sum(case when chrom <> 'total' and bases / length >= 5 then bases else 0 end) c from ds)
 select cast(t as bigint) total_bases, cast(c as bigint) callable_bases, round(c / 1e6, 2) callable_mb, round(100.0 * c / t, 2) callable_pct from b"""))
 def callable_summary(s, d):
@@ -199,9 +213,8 @@ a as (select m.chrom, m.p, count(x.chrom) n, count(case when x.mapq >= 20 then 1
 c as (select chrom, p, case when n = 0 then 'NO_COVERAGE' when g < 0.5 * n then 'POOR_MAPPING_QUALITY' when g < 5 then 'LOW_COVERAGE' else 'CALLABLE' end k from a)
 select k as state, cast(count(*) as bigint) n from c group by k""")
 def callable_loci(s, d):
-    good = D.read_filter(view(s, d, "alignments"))
-    loci = D.callable_loci(good, good.where("mapq >= 20"), view(s, d, "targets"), view(s, d, "contigs"), min_depth=5, size=16_384)
-    return D.loci_counts(loci)
+    reads = D.read_filter(view(s, d, "alignments")).select("chrom", "start_pos", "end_pos", "mapq")
+    return D.loci_counts(D.callable_loci(reads, F.col("mapq") >= 20, view(s, d, "targets"), min_depth=5, size=16_384))
 
 
 @query(runs_sql("""select 'CALLABLE' state, cast(sum(case when depth >= 5 then end_pos - start_pos else 0 end) as bigint) bases, round(sum(case when depth >= 5 then end_pos - start_pos else 0 end) / 1e6, 6) mb from zruns"""))
@@ -243,7 +256,7 @@ def region_thresholds(s, d):
 # --- variants ----------------------------------------------------------------
 
 TYPE = "case when length(ref) = 1 and length(alt) = 1 then 'SNV' when length(ref) < length(alt) then 'INSERTION' when length(ref) > length(alt) then 'DELETION' else 'COMPLEX' end"
-CSQ = "case when pos % 7 = 0 then 'missense_variant' when pos % 7 = 1 then 'stop_gained' when pos % 7 = 2 then 'frameshift_variant' when pos % 7 = 3 then 'synonymous_variant' when pos % 7 = 4 then 'splice_region_variant' when pos % 7 = 5 then 'intron_variant' else 'intergenic_variant' end"
+CSQ = "case " + " ".join(f"when pos % 9 = {i} then '{e}'" for i, e in enumerate(("missense_variant", "stop_gained", "frameshift_variant", "synonymous_variant", "splice_region_variant", "intron_variant", "intergenic_variant", "inframe_insertion", "inframe_deletion"))) + " end"
 
 
 @query(f"select chrom, pos, ref, alt, {TYPE} \"type\" from variants")
@@ -261,7 +274,7 @@ def vaf(s, d):
     return r6(view(s, d, "variants").withColumn("vaf", G.vaf(F.col("ad_alt"), F.col("dp"))).select("chrom", "pos", "alt", "vaf"), "vaf")
 
 
-@query(f"select chrom, pos, filt = 'PASS' is_pass, pos % 7 in (0, 1, 2, 3) is_coding, pos % 7 in (0, 1, 2) is_nonsynonymous, {CSQ} effect from variants")
+@query(f"select chrom, pos, filt = 'PASS' is_pass, pos % 9 in (0, 1, 2, 3, 7, 8) is_coding, pos % 9 in (0, 1, 2, 7, 8) is_nonsynonymous, {CSQ} effect from variants")
 def effect_flags(s, d):
     e = G.csq_effect(F.col("info")["CSQ"])
     return _parsed(s, d).select("chrom", "pos", (F.col("filter") == "PASS").alias("is_pass"), G.is_coding(e).alias("is_coding"), G.is_nonsynonymous(e).alias("is_nonsynonymous"), e.alias("effect"))
@@ -314,15 +327,19 @@ def variant_counts(s, d):
     return V.variant_counts(_variants(s, d), ("filter",))
 
 
-_EFF = ", ".join(f"cast(sum(case when pos % 7 = {i} then 1 else 0 end) as bigint) {n}" for i, n in enumerate(V.EFFECTS))
+_EFF = ", ".join(f"cast(sum(case when pos % 9 = {i} then 1 else 0 end) as bigint) {n}" for i, n in enumerate(V.EFFECTS))
 
 
-@query(f"select cast(count(*) as bigint) total, cast(sum(case when pos % 7 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 7 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants")
+@query(f"select cast(count(*) + sum(case when pos % 50 = 0 then 1 else 0 end) as bigint) total, cast(sum(case when pos % 9 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 9 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants")
 def effect_counts(s, d):
-    return V.effect_counts(_parsed(s, d))
+    """Lines as in a file, with a header and short lines among them."""
+    lines = view(s, d, "vcf_lines")
+    short = view(s, d, "variants").where("pos % 50 = 0").select(F.concat_ws("\t", "chrom", "pos").alias("value"))
+    lines = lines.unionByName(short).unionByName(lines.limit(1).select(F.lit("##header").alias("value")))
+    return V.effect_counts(formats.consequence_lines(lines), csq=F.col("csq"))
 
 
-@query(f", e as (select filt as sample, cast(count(*) as bigint) total, cast(sum(case when pos % 7 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 7 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants group by 1) " + " union all ".join(f"select sample, '{n}' metric, {n} as value from e" for n in ("total", "coding", "nonsynonymous", *V.EFFECTS)))
+@query(f", e as (select filt as sample, cast(count(*) as bigint) total, cast(sum(case when pos % 9 <= 3 then 1 else 0 end) as bigint) coding, cast(sum(case when pos % 9 <= 2 then 1 else 0 end) as bigint) nonsynonymous, {_EFF} from variants group by 1) " + " union all ".join(f"select sample, '{n}' metric, {n} as value from e" for n in ("total", "coding", "nonsynonymous", *V.EFFECTS)))
 def variant_summary(s, d):
     return V.variant_summary(_parsed(s, d).withColumnRenamed("filter", "sample"))
 
@@ -362,9 +379,13 @@ def read_id(s, d):
     return view(s, d, "fastq").select("rec", G.read_id(F.col("header")).alias("id"))
 
 
-@query("select rec, (case when plus not like '+%' then 1 else 0 end + case when length(seq) <> length(qual) then 1 else 0 end) n from fastq2 where plus not like '+%' or length(seq) <> length(qual)")
+_ERRORS = "concat_ws('|', case when header not like '@%' then concat('record ', cast(rec + 1 as string), ': header does not start with @') end, case when plus not like '+%' then concat('record ', cast(rec + 1 as string), ': separator does not start with +') end, case when length(seq) <> length(qual) then concat('record ', cast(rec + 1 as string), ': sequence and quality differ in length') end)"
+
+
+@query(f"select rec, {_ERRORS} errors from (select rec, case when rec % 61 = 0 then substr(header, 2) else header end header, seq, plus, qual from fastq2) f where {_ERRORS} <> ''")
 def fastq_validate(s, d):
-    return Q.with_errors(view(s, d, "fastq2")).select("rec", F.size("errors").alias("n")).where("n > 0")
+    f = view(s, d, "fastq2").withColumn("header", F.expr("case when rec % 61 = 0 then substr(header, 2) else header end"))
+    return Q.with_errors(f).select("rec", F.array_join("errors", "|").alias("errors")).where("errors <> ''")
 
 
 @query("select rec, header from fastq where rec < 500")
@@ -378,9 +399,11 @@ def pair_reads(s, d):
 
 
 @query(""", m as (select count(*) c from fastq where rec % 101 = 0 and rec < 10000), e as (select count(*) c from fastq2 where rec < 10000 and (plus not like '+%' or length(seq) <> length(qual)))
-select case when e.c = 0 then 'PASS' else 'FAIL' end status, cast((select count(*) from fastq where rec < 10000) as bigint) records_checked, e.c = 0 format_ok, m.c = 0 ids_match, cast(m.c as bigint) mismatches from m, e""")
+select case when e.c = 0 then 'PASS' else 'FAIL' end status, cast((select count(*) from fastq where rec < 10000) as bigint) records_checked, e.c = 0 format_ok, m.c = 0 ids_match, cast(m.c as bigint) mismatches,
+(select string_agg(x, '|' order by rec) from (select rec, """ + _ERRORS + """ x from fastq2 where rec < 10000 and """ + _ERRORS + """ <> '' order by rec limit 20) t) errors,
+(select string_agg(concat('ID mismatch at record ', cast(rec + 1 as string), ': q', cast(rec as string), ' != x', cast(rec as string)), '|' order by rec) from (select rec from fastq where rec % 101 = 0 and rec < 10000 order by rec limit 5) t) warnings from m, e""")
 def fastq_check(s, d):
-    return Q.fastq_check(view(s, d, "fastq"), view(s, d, "fastq2")).select("status", "records_checked", "format_ok", "ids_match", "mismatches")
+    return Q.fastq_check(view(s, d, "fastq"), view(s, d, "fastq2")).withColumns({c: F.array_join(c, "|") for c in ("errors", "warnings")})
 
 
 CLEAN = """, c as (select rec, seq, qual, length(seq) - length(replace(seq, 'N', '')) n, length(qual) - length(regexp_replace(qual, '[!-/]', '', 'g')) bad from fastq),
@@ -392,6 +415,22 @@ def read_clean(s, d):
     return Q.filter_reasons(Q.read_clean(view(s, d, "fastq"), n_limit=2, poly_g=0))
 
 
+_ADAPTER, _POLY = "ACGTACGT", 3
+#: The rules one after the other: adapter, quality window, poly-G, the four limits, copies.
+CLEAN_ALL = f""", a as (select rec, seq, qual, case when position('{_ADAPTER}' in seq) > 0 then position('{_ADAPTER}' in seq) - 1
+{" ".join(f"when right(seq, {k}) = '{_ADAPTER[:k]}' then length(seq) - {k}" for k in range(len(_ADAPTER) - 1, 3, -1))} else length(seq) end e1 from fastq),
+w as (select rec, min(i) k from (select rec, i from fastq, range(1, 30) r(i) where (select sum(ascii(substr(qual, cast(i + j as int), 1)) - 33) from range(0, 4) x(j)) < 4 * 12) t group by rec),
+c1 as (select a.rec, substr(seq, 1, cast(least(e1, coalesce(k - 1, length(qual))) as int)) seq, substr(qual, 1, cast(least(e1, coalesce(k - 1, length(qual))) as int)) qual from a left join w on a.rec = w.rec),
+c2 as (select rec, regexp_replace(seq, 'G{{{_POLY},}}$', '') seq, substr(qual, 1, length(regexp_replace(seq, 'G{{{_POLY},}}$', ''))) qual from c1),
+c3 as (select rec, seq, qual, case when 100 * (length(qual) - length(regexp_replace(qual, '[!-/]', '', 'g'))) > 40 * length(qual) then 'low_quality' when length(seq) - length(replace(seq, 'N', '')) > 2 then 'too_many_N' when length(seq) < 6 then 'too_short' else 'passed' end reason from c2),
+c4 as (select rec, seq, qual, case when reason = 'passed' and row_number() over (partition by seq, reason order by rec) > 1 then 'duplicated' else reason end reason from c3) """
+
+
+@query(CLEAN_ALL + "select rec, seq, qual, reason from c4")
+def read_clean_all_rules(s, d):
+    return Q.read_clean(view(s, d, "fastq"), adapter=_ADAPTER, poly_g=_POLY, cut_window=4, cut_mean=12, n_limit=2, min_length=6, dedup=True).select("rec", "seq", "qual", "reason")
+
+
 _TOTALS = "cast(count(*) as bigint) \"reads\", cast(sum(length(seq)) as bigint) bases, cast(sum(length(regexp_replace(qual, '[!-4]', '', 'g'))) as bigint) q20_bases, cast(sum(length(regexp_replace(qual, '[!->]', '', 'g'))) as bigint) q30_bases, cast(sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) as bigint) gc_bases"
 
 
@@ -415,7 +454,18 @@ def mean_quality_histogram(s, d):
     return Q.mean_quality_histogram(view(s, d, "fastq"))
 
 
-@query()
+@query(""", e as (select i as cycle, rec, substr(seq, cast(i as int), 1) b, ascii(substr(qual, cast(i as int), 1)) - 33 q from fastq, range(1, 33) r(i)),
+q as (select min(lo) lo, min(mid) mid from (select quantile_disc(q, 0.25) lo, quantile_disc(q, 0.5) mid from e group by cycle) t),
+m as (select k from (select floor(q / 32) k, count(*) n from (select rec, sum(q) q from e group by rec) t group by 1 order by n desc, k limit 1) t),
+c as (select sum(case when b = 'A' then 1 else 0 end) a, sum(case when b = 'C' then 1 else 0 end) c, sum(case when b = 'G' then 1 else 0 end) g, sum(case when b = 'T' then 1 else 0 end) t, sum(case when b = 'N' then 1 else 0 end) n from e group by cycle),
+x as (select max(greatest(abs(a - t), abs(g - c)) / (a + c + g + t)) gap, max(n / (a + c + g + t + n)) n from c), d as (select 1 - count(distinct seq) / count(*) rate, min(length(seq)) lo, max(length(seq)) hi, sum(case when position('ACGTAC' in seq) > 0 then 1 else 0 end) / count(*) ad from fastq)
+select 'per_base_sequence_quality' "module", case when lo < 5 or mid < 20 then 'FAIL' when lo < 10 or mid < 25 then 'WARN' else 'PASS' end status from q
+union all select 'per_sequence_quality_scores', case when k < 20 then 'FAIL' when k < 27 then 'WARN' else 'PASS' end from m
+union all select 'per_base_sequence_content', case when gap > 0.2 then 'FAIL' when gap > 0.1 then 'WARN' else 'PASS' end from x
+union all select 'per_base_n_content', case when n > 0.2 then 'FAIL' when n > 0.05 then 'WARN' else 'PASS' end from x
+union all select 'sequence_duplication_levels', case when rate > 0.5 then 'FAIL' when rate > 0.2 then 'WARN' else 'PASS' end from d
+union all select 'sequence_length_distribution', case when lo = 0 then 'FAIL' when lo < hi then 'WARN' else 'PASS' end from d
+union all select 'adapter_content_x', case when ad > 0.1 then 'FAIL' when ad > 0.05 then 'WARN' else 'PASS' end from d""")
 def fastqc_modules(s, d):
     return Q.fastqc_modules(view(s, d, "fastq"), {"x": "ACGTAC"})
 
@@ -423,9 +473,17 @@ def fastqc_modules(s, d):
 # --- alignments --------------------------------------------------------------
 
 
-@query("select qname, chrom, pos from sam")
+_ORDER = "split_part(substr(qname, 2), '_', 1)"
+
+
+@query(f"select qname, flag, cast(row_number() over (partition by cast({_ORDER} as bigint) // 8 order by cast({_ORDER} as bigint), cast(split_part(qname, '_', 2) as bigint), cast(split_part(qname, '_', 3) as bigint), flag) as int) place from sam")
 def sort_alignments(s, d):
-    return A.sort_alignments(view(s, d, "sam"), "name").select("qname", "chrom", "pos")
+    return placed(A.sort_alignments(view(s, d, "sam").repartition(7), "name").select("qname", "flag"), "cast(substring_index(substr(qname, 2), '_', 1) as bigint) div 8")
+
+
+@query("select qname, chrom, pos, flag, cast(row_number() over (partition by chrom, pos // 4 order by pos, qname, flag) as int) place from sam")
+def sort_alignments_by_coordinate(s, d):
+    return placed(A.sort_alignments(view(s, d, "sam").repartition(7)).select("qname", "chrom", "pos", "flag"), "chrom", "pos div 4")
 
 
 @query(""", b as (select * from sam where cigar = '32M' union all select * from sam where cigar <> '32M'), x as (
@@ -451,16 +509,19 @@ union all select sample, 'SN', 'reads_duplicated', cast(0 as bigint) from sam gr
 union all select sample, 'SN', 'total_length', cast(sum(length(seq)) as bigint) from sam group by 1 union all select sample, 'SN', 'bases_mapped', cast(sum(length(seq)) as bigint) from sam where flag & 4 = 0 group by 1
 union all select sample, 'RL', cast(length(seq) as string), cast(count(*) as bigint) from sam group by 1, 3 union all select sample, 'IS', cast(tlen as string), cast(count(*) as bigint) from sam group by 1, 3
 union all select sample, 'BQ', cast(ascii(substr(qual, cast(i as int), 1)) - 33 as string), cast(count(*) as bigint) from sam, range(1, 33) r(i) group by 1, 3
-union all select sample, 'GC', cast(cast(floor(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) as bigint) as string), cast(count(*) as bigint) from sam group by 1, 3""")
+union all select sample, 'GC', cast(cast(floor(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) as bigint) as string), cast(count(*) as bigint) from sam group by 1, 3
+union all select sample, 'COV', cast(least(n, 1000) as string), cast(count(*) as bigint) from (select sample, chrom, p, count(*) n from (
+select sample, chrom, unnest(range(pos - 1, pos - 1 + case cigar when '32M' then 32 when '5S27M' then 27 when '10M2D20M2S' then 10 else 29 end)) p from sam where flag & 4 = 0
+union all select sample, chrom, unnest(range(pos + 11, pos + 31)) from sam where cigar = '10M2D20M2S' and flag & 4 = 0) b group by 1, 2, 3) t group by 1, 3""")
 def read_stats(s, d):
-    return A.read_stats(view(s, d, "sam")).where("section <> 'COV'")
+    return A.read_stats(view(s, d, "sam"))
 
 
-@query("""select sample, category, cast(count(*) as bigint) "reads", cast(sum(al) as bigint) aligned, round(sum(al) / count(*), 6) pct_aligned, round(avg(len), 6) mean_read_length from (
-select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len from sam
-union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq) from sam) t group by 1, 2""")
+@query("""select sample, category, cast(count(*) as bigint) "reads", cast(sum(al) as bigint) aligned, round(sum(al) / count(*), 6) pct_aligned, round(avg(len), 6) mean_read_length, round(sum(nm) / sum(case when al = 1 then len end), 6) mismatch_rate from (
+select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len, mapq % 3 nm from sam
+union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq), mapq % 3 from sam) t group by 1, 2""")
 def alignment_summary(s, d):
-    return r6(A.alignment_summary(view(s, d, "sam")).drop("mismatch_rate"), "pct_aligned", "mean_read_length")
+    return r6(A.alignment_summary(view(s, d, "sam").withColumn("nm", F.col("mapq") % 3)), "pct_aligned", "mean_read_length", "mismatch_rate")
 
 
 @query("""select sample, case when flag & 16 <> 0 then 'RF' else 'FR' end orientation, round(median(tlen), 6) median, round(avg(tlen), 6) mean, round(stddev_samp(tlen), 6) sd, cast(min(tlen) as bigint) "min", cast(max(tlen) as bigint) "max", cast(count(*) as bigint) pairs
@@ -469,9 +530,18 @@ def insert_size_metrics(s, d):
     return r6(A.insert_size_metrics(view(s, d, "sam")), "median", "mean", "sd")
 
 
-@query()
+_HS = MERGED.format(d=0) + runs_sql(""", gm as (select m.chrom, greatest(m.start_pos, r.start_pos) a, least(m.end_pos, r.end_pos) b, depth from merged m join pos_runs r on m.chrom = r.chrom and m.start_pos < r.end_pos and r.start_pos < m.end_pos),
+hd as (select depth, sum(b - a) n from gm group by 1), te as (select sum(end_pos - start_pos) t from merged), ze as (select (select t from te) - (select sum(n) from hd) z),
+up as (select depth, n, (select z from ze) + sum(n) over (order by depth) u from hd), st as (select sum(depth * n) / (select t from te) mean, coalesce(min(case when 10 * u >= 2 * (select t from te) and 10 * (select z from ze) < 2 * (select t from te) then depth end), 0) p20,
+sum(case when depth >= 10 then n else 0 end) / (select t from te) x10, sum(case when depth >= 20 then n else 0 end) / (select t from te) x20, sum(case when depth >= 30 then n else 0 end) / (select t from te) x30 from up),
+tg as (select distinct chrom, start_pos, end_pos from targets), hit as (select count(*) n from tg where exists (select 1 from pos_runs r where r.chrom = tg.chrom and tg.start_pos < r.end_pos and r.start_pos < tg.end_pos)) """)
+
+
+@query(_HS + """select cast((select t from te) as bigint) target_territory, round((select sum(depth * n) from hd) / (select sum(depth * (end_pos - start_pos)) from pos_runs), 6) pct_selected_bases, round(mean, 6) mean_target_coverage, round(mean / nullif(p20, 0), 6) fold_80_base_penalty,
+round(1 - (select n from hit) / (select count(*) from tg), 6) zero_cvg_targets_pct, round(x10, 6) pct_target_bases_10x, round(x20, 6) pct_target_bases_20x, round(x30, 6) pct_target_bases_30x from st""")
 def hs_metrics(s, d):
-    return A.hs_metrics(_good(s, d), view(s, d, "targets"))
+    h = A.hs_metrics(_good(s, d), view(s, d, "targets"))
+    return r6(h, *[c for c in h.columns if c != "target_territory"])
 
 
 def _fragments(s, d):
@@ -494,7 +564,7 @@ def mark_duplicates(s, d):
 @query(_DUP + """, c as (select sample, count(*) n, sum(case when k > 1 then 1 else 0 end) dup from f group by 1) select sample, cast(0 as bigint) unpaired_examined, cast(floor(n / 2) as bigint) pairs_examined, cast(0 as bigint) unpaired_duplicates,
 cast(floor(dup / 2) as bigint) pair_duplicates, round(2 * floor(dup / 2) / (2 * floor(n / 2)), 6) percent_duplication from c""")
 def duplication_metrics(s, d):
-    return r6(A.duplication_metrics(A.mark_duplicates(_fragments(s, d))), "percent_duplication")
+    return r6(A.duplication_metrics(A.mark_duplicates(_fragments(s, d))), "percent_duplication").drop("library_size")
 
 
 BASES = """, blk as (select *, pos - 1 s, 0 q, case cigar when '32M' then 32 when '10M2D20M2S' then 10 when '12M3I17M' then 12 else 0 end len from sam where cigar <> '5S27M' union all select *, pos - 1, 5, 27 from sam where cigar = '5S27M'
@@ -512,7 +582,13 @@ def _sites(s, d):
     return view(s, d, "variants").where("length(alt) = 1").select("chrom", ((F.col("pos") % 2000) + 1).alias("pos"), F.expr("substr('ACGT', cast(((pos % 2000) + 1)*7 % 4 + 1 as int), 1)").alias("ref"), F.lit("A").alias("alt"), F.lit(0.25).alias("af")).distinct().where("ref <> 'A'")
 
 
-@query()
+_AT = "(pos % 2000) + 1"
+SITES = BASES + f""", sites as (select distinct chrom, {_AT} pos, substr('ACGT', cast(({_AT})*7 % 4 + 1 as int), 1) ref, 'A' alt, cast(0.25 as double) af from variants where length(alt) = 1 and substr('ACGT', cast(({_AT})*7 % 4 + 1 as int), 1) <> 'A'),
+ps as (select b.sample, b.chrom, b.pos, s.ref, s.alt, s.af, cast(sum(case when base = s.ref then 1 else 0 end) as bigint) ref_count, cast(sum(case when base = s.alt then 1 else 0 end) as bigint) alt_count, cast(sum(case when base not in (s.ref, s.alt) then 1 else 0 end) as bigint) other_count
+from bs b join sites s on b.chrom = s.chrom and b.pos = s.pos group by 1, 2, 3, 4, 5, 6) """
+
+
+@query(SITES + "select sample, chrom, cast(pos as bigint) pos, ref, alt, af, ref_count, alt_count, other_count from ps")
 def pileup_summaries(s, d):
     return A.pileup_summaries(view(s, d, "sam"), _sites(s, d))
 
@@ -523,15 +599,29 @@ def recal_table(s, d):
     return r6(A.recal_table(view(s, d, "sam"), F.expr(REFERENCE)), "empirical")
 
 
-@query()
+_MOVED = BASES + """, g as (select sample, quality, cycle, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' group by 1, 2, 3),
+eq as (select sample, quality, -10 * log10((sum(e) + 1) / (sum(o) + 2)) v from g group by 1, 2), ec as (select g.sample, g.quality, g.cycle, -10 * log10((e + 1) / (o + 2)) - v shift from g join eq on g.sample = eq.sample and g.quality = eq.quality),
+nq as (select s.rid, s.qname, s.seq, i, greatest(1, least(60, cast(round(coalesce(v, ascii(substr(s.qual, cast(i as int), 1)) - 33) + coalesce(shift, 0)) as int))) q from (select *, unnest(range(1, 33)) i from (select *, row_number() over () rid from sam) x) s
+left join eq on eq.sample = s.sample and eq.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 left join ec on ec.sample = s.sample and ec.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 and ec.cycle = i) """
+
+
+@query(_MOVED + "select qname, seq, string_agg(chr(q + 33), '' order by i) qual from nq group by rid, qname, seq")
 def apply_recal(s, d):
     sam = view(s, d, "sam")
     return A.apply_recal(sam, A.recal_table(sam, F.expr(REFERENCE))).select("qname", "seq", "qual")
 
 
-@query(BASES + """select sample, ref, base alt, cast(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else 0 end) as bigint) f1r2, cast(sum(case when (flag & 64 <> 0) = (flag & 16 <> 0) then 1 else 0 end) as bigint) f2r1 from refd where base <> 'N' and base <> ref group by 1, 2, 3""")
+@query(_DUP + """select qname, chrom, p pos, case when flag & 4 <> 0 then flag when k > 1 then flag | 1024 else flag end flag, cast(row_number() over (partition by chrom, p // 4 order by p, concat_ws('_', qname, chrom, cast(pos as string), cast(mapq as string))) as int) place
+from (select qname, chrom, p, pos, mapq, flag, k from f union all select qname, chrom, p, pos, mapq, flag, null from r where flag & 4 <> 0) t""")
+def preprocess_reads(s, d):
+    out = A.preprocess_reads(_fragments(s, d).repartition(7)).select("qname", "chrom", "pos", "flag")
+    return placed(out, "chrom", "pos div 4").withColumn("qname", F.regexp_extract("qname", "^(p[0-9]+_[0-9]+_[0-9]+)_", 1))
+
+
+@query(BASES + """select sample, ref, base alt, cast(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else 0 end) as bigint) f1r2, cast(sum(case when (flag & 64 <> 0) = (flag & 16 <> 0) then 1 else 0 end) as bigint) f2r1,
+round(abs(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else -1 end)) / count(*), 6) artifact from refd where base <> 'N' and base <> ref group by 1, 2, 3""")
 def orientation_counts(s, d):
-    return A.orientation_counts(view(s, d, "sam"), F.expr(REFERENCE)).drop("artifact")
+    return r6(A.orientation_counts(view(s, d, "sam"), F.expr(REFERENCE)), "artifact")
 
 
 _CALLS = BASES + """, p as (select sample, chrom, pos, ref, base, count(*) n from refd group by 1, 2, 3, 4, 5), dp as (select sample, chrom, pos, sum(n) d from p group by 1, 2, 3),
@@ -550,19 +640,62 @@ def panel_of_normals(s, d):
     return V.panel_of_normals(view(s, d, "variants").withColumn("pos", F.col("pos") % 50).withColumnRenamed("filt", "sample"))
 
 
-@query()
+_CONT = """, hom as (select chrom, pos from ps where sample = 'normal' and ref_count + alt_count + other_count >= {least} and alt_count >= {hom} * (ref_count + alt_count + other_count)),
+cont as (select least(1.0, coalesce(sum(ref_count) / sum((ref_count + alt_count + other_count) * (1 - af)), 0)) c, count(*) n from ps join hom on ps.chrom = hom.chrom and ps.pos = hom.pos where sample = 'tumor') """
+
+
+@query(SITES + _CONT.format(least=3, hom=0.4) + "select round(c, 6) contamination, cast(n as bigint) n_sites from cont")
 def contamination(s, d):
     sam = view(s, d, "sam")
     sums = lambda k: A.pileup_summaries(sam.where(F.col("sample") == k), _sites(s, d), ())
-    return C.contamination(sums("tumor"), sums("normal"), 3, 0.4)
+    return r6(C.contamination(sums("tumor"), sums("normal"), 3, 0.4), "contamination")
+
 
+_FILTERED = SITES + _CONT + """, orient as (select ref, base, abs(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else -1 end)) / count(*) a from refd where sample = 'tumor' and base <> 'N' and base <> ref group by 1, 2),
+p as (select sample, chrom, pos, ref, base, count(*) n from refd group by 1, 2, 3, 4, 5), dp as (select sample, chrom, pos, sum(n) d from p group by 1, 2, 3),
+cand as (select p.chrom, p.pos, p.ref, p.base alt, dp.d t_depth, p.n t_alt, coalesce(nd.d, 0) n_depth, coalesce(nn.n, 0) n_alt from p join dp on p.sample = dp.sample and p.chrom = dp.chrom and p.pos = dp.pos
+left join dp nd on nd.sample = 'normal' and nd.chrom = p.chrom and nd.pos = p.pos left join p nn on nn.sample = 'normal' and nn.chrom = p.chrom and nn.pos = p.pos and nn.base = p.base
+where p.sample = 'tumor' and p.base <> 'N' and p.base <> p.ref and p.n >= {called} and p.n >= 0.05 * dp.d),
+judged as (select c.chrom, cast(c.pos as bigint) pos, c.ref, c.alt, cast(t_depth as bigint) t_depth, cast(t_alt as bigint) t_alt, cast(n_depth as bigint) n_depth, cast(n_alt as bigint) n_alt, concat_ws(';', case when t_alt < {weak} then 'weak_evidence' end, case when t_alt / t_depth < {low} then 'low_allele_frac' end,
+case when s.chrom is not null then 'germline' end, case when {pon} then 'panel_of_normals' end, case when a >= {artifact} then 'orientation' end, case when t_alt / t_depth <= (select c from cont) then 'contamination' end) f
+from cand c left join sites s on s.chrom = c.chrom and s.pos = c.pos and s.ref = c.ref and s.alt = c.alt left join orient o on o.ref = c.ref and o.base = c.alt where n_alt <= {normal})
+select chrom, pos, ref, alt, t_depth, t_alt, n_depth, n_alt, case when f = '' then 'PASS' else f end as "filter" from judged """
 
-@query()
+
+@query(_FILTERED.format(least=5, hom=0.8, called=3, weak=3, low=0.05, pon="false", artifact=0.9, normal=0))
 def somatic_pipeline(s, d):
     sam = view(s, d, "sam")
     return C.somatic_pipeline(sam.where("sample = 'tumor'"), sam.where("sample = 'normal'"), F.expr(REFERENCE), sites=_sites(s, d))
 
 
+@query(_FILTERED.format(least=3, hom=0.4, called=2, weak=4, low=0.3, pon="c.pos % 3 = 0", artifact=0.05, normal=50))
+def filter_calls(s, d):
+    """Every reason against a call occurs."""
+    sam, sites = view(s, d, "sam"), _sites(s, d)
+    tumor, normal = sam.where("sample = 'tumor'"), sam.where("sample = 'normal'")
+    calls = C.somatic_candidates(tumor, normal, F.expr(REFERENCE), min_alt=2, most_normal_alt=50)
+    share = C.contamination(A.pileup_summaries(tumor, sites, ()), A.pileup_summaries(normal, sites, ()), 3, 0.4)
+    return C.filter_calls(calls, share, A.orientation_counts(tumor, F.expr(REFERENCE), ()), sites, calls.where("pos % 3 = 0"), min_alt=4, min_vaf=0.3, most_artifact=0.05)
+
+
+_AS = """select sample, category, cast(count(*) as double) n, cast(sum(al) as double) aligned, sum(al) / count(*) pct, avg(len) len from (select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len from sam
+union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq) from sam) t group by 1, 2"""
+_IS = """select sample, case when flag & 16 <> 0 then 'RF' else 'FR' end orientation, median(tlen) median, avg(tlen) mean, stddev_samp(tlen) sd, min(tlen) lo, max(tlen) hi, count(*) n from sam where flag & 4 = 0 group by 1, 2"""
+_LONG = " union all ".join(
+    [f"select sample, 'alignment' section, category item, '{n}' metric, round(cast({c} as double), 6) as value from al" for n, c in (("reads", "n"), ("aligned", "aligned"), ("pct_aligned", "pct"), ("mean_read_length", "len"), ("mismatch_rate", "null"))]
+    + [f"select sample, 'insert_size', orientation, '{n}', round(cast({c} as double), 6) from ins" for n, c in (("median", "median"), ("mean", "mean"), ("sd", "sd"), ("min", "lo"), ("max", "hi"), ("pairs", "n"))]
+    + [f"select null, 'coverage', chrom, '{n}', round(cast({c} as double), 6) from cs" for n, c in (("length", "length"), ("bases", "bases"), ("mean", "bases / length"), ("min", "lo"), ("max", "hi"))]
+)
+
+
+@query(BASES + f""", al as ({_AS}), ins as ({_IS}), pd as (select chrom, pos - 1 p, count(*) d from bs group by 1, 2), tg as (select distinct chrom, p from (select chrom, unnest(range(start_pos, end_pos)) p from targets) t),
+td as (select tg.chrom, d from pd join tg on tg.chrom = pd.chrom and tg.p = pd.p), cs as (select chrom, count(*) length, sum(d) bases, min(d) lo, max(d) hi from pd group by 1 union all select 'total', count(*), sum(d), min(d), max(d) from pd
+union all select concat(chrom, '_region'), count(*), sum(d), min(d), max(d) from td group by chrom union all select 'total_region', count(*), sum(d), min(d), max(d) from td) {_LONG}""")
+def comprehensive_qc(s, d):
+    """Coverage is that of the covered positions."""
+    return r6(A.comprehensive_qc(view(s, d, "sam"), view(s, d, "targets")), "value")
+
+
 # --- reports -----------------------------------------------------------------
 
 
@@ -614,6 +747,35 @@ def load_by_mouse(s, d):
     return r6(R.load_by_mouse(_loads(s, d)), "median_load")
 
 
+@query(f", k as (select sample, {_FS} from alignments group by 1) select sample, round(100.0 * mapped / total, 6) mapping, round(100.0 * duplicates / mapped, 6) duplication, round(100.0 * properly_paired / paired, 6) proper_pair, true zero_is_zero from k")
+def named_rates(s, d):
+    """Percentages of reads, and 0 without a total."""
+    c = F.col
+    k = A.flagstat(view(s, d, "alignments"))
+    out = k.select("sample", G.mapping_rate(c("mapped"), c("total")).alias("mapping"), G.duplicate_rate(c("duplicates"), c("mapped")).alias("duplication"), G.proper_pair_rate(c("properly_paired"), c("paired")).alias("proper_pair"), (G.mapping_rate(c("mapped"), F.lit(0)) == 0).alias("zero_is_zero"))
+    return r6(out, "mapping", "duplication", "proper_pair")
+
+
+@query(runs_sql(REGION + ", t as (select " + ", ".join(f"sum(case when depth >= {x} then n else 0 end) c{x}" for x in (1, 10, 20, 30)) + ", sum(n) n from o) select " + ", ".join(f"round(100.0 * c{x} / n, 6) {'pct_covered' if x == 1 else f'pct_{x}x'}" for x in (1, 10, 20, 30)) + " from t"))
+def coverage_rates(s, d):
+    """Percent of target bases that are covered at all, and at 10, 20 and 30 reads."""
+    at = (1, 10, 20, 30)
+    t = D.region_thresholds(view(s, d, "targets"), D.per_base_depth(_good(s, d)), list(at))
+    one = t.agg(F.sum(F.col("end_pos") - F.col("start_pos")).alias("n"), *[F.sum(f"ge_{x}").alias(f"c{x}") for x in at])
+    names = {x: "pct_covered" if x == 1 else f"pct_{x}x" for x in at}
+    return r6(one.select(*[G.covered_rate(F.col(f"c{x}"), F.col("n")).alias(v) for x, v in names.items()]), *names.values())
+
+
+_STATES = "case when {x} % 3 = 0 then 'PASS' when {x} % 3 = 1 then 'FAIL' else 'WARN' end"
+
+
+@query(f", m as (select rec, {_STATES.format(x='rec')} a, {_STATES.format(x='rec // 3')} b, {_STATES.format(x='rec // 9')} c from fastq) select rec, case when a = 'PASS' and b = 'PASS' and c = 'PASS' then 'PASS' when a = 'FAIL' or b = 'FAIL' then 'FAIL' else 'WARN' end overall from m")
+def fastqc_overall(s, d):
+    """All combinations of three modules."""
+    m = view(s, d, "fastq").select("rec", *[F.expr(_STATES.format(x=x)).alias(n) for n, x in (("a", "rec"), ("b", "(rec div 3)"), ("c", "(rec div 9)"))])
+    return m.select("rec", G.fastqc_overall(F.col("a"), F.col("b"), F.col("c")).alias("overall"))
+
+
 @query("select sample, cast(count(*) as bigint) n, round(coalesce(100.0 * sum(case when value > 50 then 1 else 0 end) / nullif(count(*), 0), 0), 6) rate, case when min(value) < 0 then 'FAIL' when avg(value) > 50 then 'PASS' else 'WARN' end overall from qc_long group by 1")
 def rates(s, d):
     q = view(s, d, "qc_long").groupBy("sample").agg(F.count("*").alias("n"), F.sum(F.when(F.col("value") > 50, 1).otherwise(0)).alias("k"), F.when(F.min("value") < 0, "FAIL").when(F.avg("value") > 50, "PASS").otherwise("WARN").alias("m"))
@@ -634,9 +796,13 @@ def multi_qc(s, d):
     return R.multi_qc(tables, exclude=["c"], ignore_samples=["*_2"], rename={"PRLC_0_SCC_0": "first"}, metrics=["a.n", "b.m"])
 
 
-@query()
+@query(""", q as (select sample, avg(value) c, max(value) / 100 d, min(value) p from qc_long group by 1) select q.sample, round(c, 6) coverage, round(d, 6) duplication, case when q.sample like '%SCC%' then n_total end n_total, case when q.sample like '%SCC%' then round(n_total / callable_mb, 6) end "load" from q left join loads l on l.sample = q.sample""")
 def sample_report(s, d):
-    return R.sample_report(_quality(s, d), _loads(s, d).where("sample like '%SCC%'"))
+    """The numbers in the JSON of each sample."""
+    r = R.sample_report(_quality(s, d), _loads(s, d).where("sample like '%SCC%'"))
+    get = lambda path, kind: F.get_json_object("report", f"$.{path}").cast(kind)
+    out = r.select(get("sample", "string").alias("sample"), get("qc.mean_target_coverage", "double").alias("coverage"), get("qc.percent_duplication", "double").alias("duplication"), get("load.n_total", "long").alias("n_total"), get("load.load", "double").alias("load"))
+    return r6(out, "coverage", "duplication", "load")
 
 
 @query("select metric path, cast(count(distinct sample) as bigint) n_keys from qc_long group by 1 having count(distinct sample) > 1")

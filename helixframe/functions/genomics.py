@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Effects that count as coding and as nonsynonymous.
-NONSYNONYMOUS = ("missense_variant", "nonsense", "stop_gained", "frameshift_variant", "stop_lost")
-CODING = (*NONSYNONYMOUS, "synonymous_variant")
+# Effects that count as coding, and as nonsynonymous.
+CODING = ("synonymous", "missense", "nonsense", "frameshift", "inframe_insertion", "inframe_deletion")
+NONSYNONYMOUS = ("missense", "nonsense", "frameshift", "inframe_insertion", "inframe_deletion")
 
 #: Flags of unmapped, secondary, failed and duplicate reads.
 SKIP_FLAGS = 1796
@@ -49,12 +49,17 @@ def vaf(alt: Column, depth: Column) -> Column:
     return F.coalesce(F.try_divide(alt.cast("double"), depth.cast("double")), F.lit(0.0))
 
 
+def plain_effect(effect: Column) -> Column:
+    """The effect that a consequence term stands for: ``missense_variant`` is missense, ``stop_gained`` nonsense."""
+    return F.when(effect == "stop_gained", "nonsense").otherwise(F.regexp_replace(effect, "_variant$", ""))
+
+
 def is_coding(effect: Column) -> Column:
-    return F.coalesce(effect.isin(*CODING), F.lit(False))
+    return F.coalesce(plain_effect(effect).isin(*CODING), F.lit(False))
 
 
 def is_nonsynonymous(effect: Column) -> Column:
-    return F.coalesce(effect.isin(*NONSYNONYMOUS), F.lit(False))
+    return F.coalesce(plain_effect(effect).isin(*NONSYNONYMOUS), F.lit(False))
 
 
 def csq_effect(csq: Column) -> Column:
@@ -67,7 +72,7 @@ def effect_class(effect: Column) -> Column:
     has = lambda *words: F.coalesce(F.greatest(*[F.contains(effect, F.lit(w)) for w in words], F.lit(False)), F.lit(False))
     return (
         F.when(has("missense"), "missense").when(has("nonsense", "stop_gained"), "nonsense").when(has("frameshift"), "frameshift")
-        .when(has("synonymous"), "synonymous").when(has("splice"), "splice").when(has("intron"), "intron").when(has("intergenic"), "intergenic")
+        .when(has("synonymous"), "synonymous").when(has("splice"), "splice").when(has("intron"), "intronic").when(has("intergenic"), "intergenic")
     )
 
 
@@ -76,6 +81,26 @@ def rate(part: Column, total: Column, scale: float = 100.0) -> Column:
     return F.coalesce(scale * F.try_divide(part.cast("double"), total.cast("double")), F.lit(0.0))
 
 
+def mapping_rate(mapped: Column, total: Column) -> Column:
+    """Percent of reads that are mapped."""
+    return rate(mapped, total)
+
+
+def duplicate_rate(duplicates: Column, mapped: Column) -> Column:
+    """Percent of mapped reads that are duplicates."""
+    return rate(duplicates, mapped)
+
+
+def proper_pair_rate(properly_paired: Column, paired: Column) -> Column:
+    """Percent of paired reads that are paired properly."""
+    return rate(properly_paired, paired)
+
+
+def covered_rate(covered: Column, target: Column) -> Column:
+    """Percent of target bases that are covered, at all or to some depth."""
+    return rate(covered, target)
+
+
 def fastqc_overall(per_base: Column, per_sequence: Column, content: Column) -> Column:
     """PASS if all three modules pass, FAIL if one of the quality modules fails, else WARN."""
     return (

@@ -26,8 +26,9 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
 
     Both ends of a pair are gathered by name, so that a fragment is one row: its
     unclipped 5' ends and strands are its key; of fragments with equal key the one
-    with the largest sum of base qualities stays. Single reads are compared with
-    single reads. Secondary, supplementary and unmapped reads are left alone.
+    with the largest sum of base qualities stays. Single reads with an end that a
+    pair has are duplicates of it; others are compared with single reads.
+    Secondary, supplementary and unmapped reads are left alone.
     """
     good = F.filter(qualities(F.col("qual")), lambda q: q >= 15)
     score = F.aggregate(good, F.lit(0), lambda a, x: a + x)
@@ -35,8 +36,12 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
     primary = reads.where(F.col("flag").bitwiseAND(F.lit(4 | 256 | 2048)) == 0)
     fragments = primary.groupBy(*keys, "qname").agg(F.min(end).alias("a"), F.max(end).alias("b"), F.count("*").alias("ends"), F.sum(score).alias("score"))
     # A fragment's rivals: the best of equal key is found by a partial aggregate, not by sorting a group.
-    best = fragments.groupBy(*keys, "a", "b", "ends").agg(F.min(F.struct((-F.col("score")).alias("s"), "qname")).alias("best"))
-    losers = fragments.join(best, [*keys, "a", "b", "ends"]).where(F.col("qname") != F.col("best.qname")).select(*keys, "qname", F.lit(True).alias("__dup"))
+    pair_ends = fragments.where("ends > 1").select(*keys, F.explode(F.array("a", "b")).alias("a"))
+    pair_ends = pair_ends.select(*keys, "a", F.col("a").alias("b"), F.lit(1).cast("long").alias("ends"), F.lit(None).cast("long").alias("score"), F.lit(None).cast("string").alias("qname"))
+    # The rows of pairs come first among single reads: nulls are least.
+    rivals = fragments.select(*keys, "a", "b", "ends", "score", "qname").unionByName(pair_ends)
+    best = rivals.groupBy(*keys, "a", "b", "ends").agg(F.min(F.struct((-F.col("score")).alias("s"), "qname")).alias("best"))
+    losers = fragments.join(best, [*keys, "a", "b", "ends"]).where(~F.col("qname").eqNullSafe(F.col("best.qname"))).select(*keys, "qname", F.lit(True).alias("__dup"))
     eligible = F.col("flag").bitwiseAND(F.lit(4 | 256 | 2048)) == 0
     clean = F.col("flag").bitwiseAND(F.lit(~1024))
     out = reads.join(losers, [*keys, "qname"], "left").withColumn("flag", F.when(eligible & F.col("__dup"), clean.bitwiseOR(F.lit(1024))).when(eligible, clean).otherwise(F.col("flag")))
@@ -45,7 +50,10 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
 
 
 def duplication_metrics(marked: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """unpaired and pairs examined, their duplicates, and percent_duplication."""
+    """unpaired and pairs examined, their duplicates, percent_duplication and the estimated size of the library.
+
+    The size x solves ``distinct / x = 1 - exp(-pairs / x)``; null without pairs or without duplicates among them.
+    """
     f = F.col("flag")
     primary = marked.where(f.bitwiseAND(F.lit(4 | 256 | 2048)) == 0)
     paired = has_flag(f, 1) & ~has_flag(f, 8)
@@ -54,7 +62,18 @@ def duplication_metrics(marked: DataFrame, keys: tuple[str, ...] = ("sample",))
         n(~paired).alias("unpaired_examined"), F.floor(n(paired) / 2).alias("pairs_examined"), n(~paired & has_flag(f, 1024)).alias("unpaired_duplicates"), F.floor(n(paired & has_flag(f, 1024)) / 2).alias("pair_duplicates")
     )
     dup, total = F.col("unpaired_duplicates") + 2 * F.col("pair_duplicates"), F.col("unpaired_examined") + 2 * F.col("pairs_examined")
-    return m.withColumn("percent_duplication", rate(dup, total, 1.0))
+    m = m.withColumn("percent_duplication", rate(dup, total, 1.0))
+    pairs, distinct = F.col("pairs_examined").cast("double"), (F.col("pairs_examined") - F.col("pair_duplicates")).cast("double")
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = (a["low"] + a["high"]) / 2
+        small = distinct / mid < 1 - F.exp(-pairs / mid)
+        return F.struct(F.when(small, a["low"]).otherwise(mid).alias("low"), F.when(small, mid).otherwise(a["high"]).alias("high"))
+
+    # From all that was seen up to the most that so few duplicates leave open; 60 halvings.
+    start = F.struct(distinct.alias("low"), (pairs * pairs / F.greatest(pairs - distinct, F.lit(1.0)) + pairs).alias("high"))
+    size = F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, halve, lambda a: F.round((a["low"] + a["high"]) / 2).cast("long"))
+    return m.withColumn("library_size", F.when((pairs > 0) & (distinct > 0) & (distinct < pairs), size))
 
 
 FLAG_TESTS = {
@@ -154,9 +173,10 @@ def hs_metrics(blocks: DataFrame, targets: DataFrame, baits: DataFrame | None =
     h = h.crossJoin(total).select("depth", "n", "territory")  # a histogram and one row
     w = Window.orderBy("depth")  # at most as many rows as there are depths
     zero = F.col("territory") - F.sum("n").over(Window.partitionBy())
-    h = h.withColumn("upto", zero + F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    h = h.withColumn("zero", zero).withColumn("upto", zero + F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    low = F.min(F.when((10 * F.col("upto") >= 2 * F.col("territory")) & (10 * F.col("zero") < 2 * F.col("territory")), F.col("depth")))
     stats = h.agg(
-        (F.sum(F.col("depth") * F.col("n")) / F.first("territory")).alias("mean_target_coverage"), F.coalesce(F.min(F.when(10 * F.col("upto") >= 2 * F.col("territory"), F.when(10 * (F.col("upto") - F.col("n")) < 10 * F.col("territory"), F.col("depth")))), F.lit(0)).alias("p20"),
+        (F.sum(F.col("depth") * F.col("n")) / F.first("territory")).alias("mean_target_coverage"), F.coalesce(low, F.lit(0)).alias("p20"),
         *[(F.sum(F.when(F.col("depth") >= d, F.col("n")).otherwise(0)) / F.first("territory")).alias(f"pct_target_bases_{d}x") for d in at],
     )
     near = merge_intervals(targets if baits is None else baits).drop("n")
@@ -176,21 +196,26 @@ def hs_metrics(blocks: DataFrame, targets: DataFrame, baits: DataFrame | None =
 def pileup_bases(reads: DataFrame, keep: tuple[str, ...] = ("sample",), min_base_quality: int = 0, min_mapq: int = 0, skip: int = 1796) -> DataFrame:
     """One row for each aligned base: chrom, pos (1-based), base, quality, cycle and the columns to keep. Filters come first."""
     r = reads.where(F.col("flag").bitwiseAND(F.lit(skip)) == 0).where(F.col("mapq") >= min_mapq)
-    b = r.select("chrom", "seq", "qual", "flag", *[k for k in keep if k not in ("chrom", "seq", "qual", "flag")], F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
-    b = b.withColumn("i", F.explode(F.sequence(F.lit(0), (F.col("b.e") - F.col("b.s") - 1).cast("int"))))
-    q = F.col("b.q") + F.col("i") + 1
+    keep = [k for k in keep if k != "chrom"]
+    b = r.select("chrom", "seq", "qual", has_flag(F.col("flag"), 16).alias("reverse"), *keep, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
+    # Only the part of a block goes with its bases.
+    cut = lambda c: F.substring(c, F.col("b.q") + 1, (F.col("b.e") - F.col("b.s")).cast("int")).alias(c)
+    b = b.select("chrom", "reverse", *keep, "b", cut("seq"), cut("qual"))
+    b = b.select("*", F.explode(F.sequence(F.lit(1), (F.col("b.e") - F.col("b.s")).cast("int"))).alias("i"))
     out = b.select(
-        "chrom", (F.col("b.s") + F.col("i") + 1).alias("pos"), F.substring("seq", q, F.lit(1)).alias("base"), (F.ascii(F.substring("qual", q, F.lit(1))) - 33).alias("quality"),
-        q.alias("cycle"), has_flag(F.col("flag"), 16).alias("reverse"), *[k for k in keep if k not in ("chrom",)],
+        "chrom", (F.col("b.s") + F.col("i")).alias("pos"), F.substring("seq", F.col("i"), F.lit(1)).alias("base"), (F.ascii(F.substring("qual", F.col("i"), F.lit(1))) - 33).alias("quality"),
+        (F.col("b.q") + F.col("i")).alias("cycle"), "reverse", *keep,
     )
     return out.where(F.col("quality") >= min_base_quality) if min_base_quality else out
 
 
 def pileup(reads: DataFrame, keys: tuple[str, ...] = ("sample",), **filters) -> DataFrame:
     """keys, chrom, pos, depth, a, c, g, t, other: base counts of each covered position."""
-    b = pileup_bases(reads, keys, **filters)
-    n = lambda *x: F.sum(F.when(F.col("base").isin(*x), 1).otherwise(0)).cast("long")
-    return b.groupBy(*keys, "chrom", "pos").agg(F.count("*").alias("depth"), *[n(x).alias(x.lower()) for x in "ACGT"], F.sum(F.when(F.col("base").isin(*"ACGT"), 0).otherwise(1)).cast("long").alias("other"))
+    # One count for each base of a position; the five numbers are put together from these few rows.
+    b = pileup_bases(reads, keys, **filters).groupBy(*keys, "chrom", "pos", F.ascii("base").alias("base")).agg(F.count("*").alias("n"))
+    n = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0)).cast("long")
+    codes = {x: ord(x) for x in "ACGT"}
+    return b.groupBy(*keys, "chrom", "pos").agg(F.sum("n").alias("depth"), *[n(F.col("base") == c).alias(x.lower()) for x, c in codes.items()], n(~F.col("base").isin(*codes.values())).alias("other"))
 
 
 def pileup_summaries(reads: DataFrame, sites: DataFrame, keys: tuple[str, ...] = ("sample",), targets: DataFrame | None = None, **filters) -> DataFrame:
@@ -222,22 +247,54 @@ def recal_table(reads: DataFrame, reference: DataFrame | Column, known: DataFram
     return all_levels.where("__g = 0").drop("__g").withColumn("empirical", empirical)
 
 
-def apply_recal(reads: DataFrame, table: DataFrame, group: str = "sample", most: int = 60) -> DataFrame:
+def apply_recal(reads: DataFrame, table: DataFrame, group: str = "sample", most: int = 60, salts: int = 64) -> DataFrame:
     """``reads`` with qualities moved by what the table says of their value and cycle.
 
-    The table has as many rows as there are values and cycles; it becomes one map
-    for each read group, and every quality string is rewritten by one expression.
+    Each group has one row of two arrays, by quality and by cycle and quality. Reads meet
+    it under one of ``salts`` numbers, so that a group of many reads is not one
+    task where the arrays are too large to broadcast, which Spark decides.
     """
+    width = 94  # printable qualities
     base = table.where("cycle is null and quality is not null").select(group, "quality", F.col("empirical").alias("eq"))
-    by_cycle = table.where("cycle is not null").join(base, [group, "quality"]).select(group, "quality", "cycle", (F.col("empirical") - F.col("eq")).alias("d"))
-    m1 = base.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("quality", "eq"))).alias("__q"))
-    m2 = by_cycle.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "quality", "cycle"), "d"))).alias("__c"))
-    j = reads.join(F.broadcast(m1.join(m2, group, "left")), group, "left")
-    new = F.transform(
-        qualities(F.col("qual")),
-        lambda q, i: F.greatest(F.lit(1), F.least(F.lit(most), F.round(F.coalesce(F.try_element_at("__q", q), q.cast("double")) + F.coalesce(F.try_element_at("__c", F.concat_ws(":", q, i + 1)), F.lit(0.0))).cast("int"))),
-    )
-    return j.withColumn("qual", F.array_join(F.transform(new, lambda q: F.chr(q + 33)), "")).select(*reads.columns)
+    by_cycle = table.where("cycle is not null").join(base, [group, "quality"]).select(group, (F.col("cycle") * width + F.col("quality")).alias("place"), (F.col("empirical") - F.col("eq")).alias("d"))
+    spread = lambda entries, size: F.transform(F.sequence(F.lit(0), size), lambda i: F.try_element_at(F.map_from_entries(entries), i.cast("int")))
+    q = base.groupBy(group).agg(F.collect_list(F.struct(F.col("quality").cast("int"), "eq")).alias("e")).select(group, spread("e", F.lit(width - 1)).alias("__q"))
+    c = by_cycle.groupBy(group).agg(F.collect_list(F.struct(F.col("place").cast("int"), "d")).alias("e"), F.max("place").alias("most")).select(group, spread("e", F.col("most").cast("int")).alias("__c"))
+    arrays = q.join(c, group, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    j = reads.withColumn("__salt", F.pmod(F.xxhash64("qname", "flag"), F.lit(salts)).cast("int")).join(arrays, [group, "__salt"], "left")
+    shift = lambda v, i: F.coalesce(F.get("__c", (i + 1) * width + v), F.lit(0.0))
+    new = F.transform(qualities(F.col("qual")), lambda v, i: F.greatest(F.lit(1), F.least(F.lit(most), F.round(F.coalesce(F.get("__q", v), v.cast("double")) + shift(v, i)).cast("int"))))
+    return j.withColumn("qual", F.array_join(F.transform(new, lambda v: F.chr(v + 33)), "")).select(*reads.columns)
+
+
+def preprocess_reads(reads: DataFrame, reference: DataFrame | Column | None = None, known: DataFrame | None = None, group: str = "sample", remove: bool = False) -> DataFrame:
+    """Reads with duplicates marked, with qualities recalibrated if there is a reference, in order of coordinate."""
+    out = mark_duplicates(reads, remove, (group,))
+    if reference is not None:
+        out = apply_recal(out, recal_table(out, reference, known, group), group)
+    return sort_alignments(out)
+
+
+def comprehensive_qc(reads: DataFrame, targets: DataFrame | None = None, baits: DataFrame | None = None, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """Long table keys, section, item, metric, value: alignment and insert size; with targets also coverage; with baits too, selection.
+
+    Coverage and selection are those of all reads that are not skipped, whatever their keys (null there).
+    """
+    from .depth import aligned_blocks, depth_summary, read_filter
+
+    def long(df: DataFrame, section: str, item: Column) -> DataFrame:
+        own = [c for c in df.columns if c not in (*keys, "category", "orientation", "chrom")]
+        m = F.create_map(*[x for c in own for x in (F.lit(c), F.col(c).cast("double"))])
+        named = [(F.col(k) if k in df.columns else F.lit(None).cast("string")).alias(k) for k in keys]
+        return df.select(*named, F.lit(section).alias("section"), item.alias("item"), F.explode(m).alias("metric", "value"))
+
+    out = long(alignment_summary(reads, keys), "alignment", F.col("category")).unionByName(long(insert_size_metrics(reads, keys), "insert_size", F.col("orientation")))
+    if targets is not None:
+        blocks = aligned_blocks(read_filter(reads))
+        out = out.unionByName(long(depth_summary(per_base_depth(blocks), targets), "coverage", F.col("chrom")))
+        if baits is not None:
+            out = out.unionByName(long(hs_metrics(blocks, targets, baits), "selection", F.lit("all")))
+    return out
 
 
 def orientation_counts(reads: DataFrame, reference: DataFrame | Column, keys: tuple[str, ...] = ("sample",), **filters) -> DataFrame:

@@ -6,7 +6,7 @@ such as the sample. Runs are maximal: neighbours differ in depth.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.genomics import SKIP_FLAGS, cigar_blocks
@@ -53,8 +53,8 @@ def per_base_depth(blocks: DataFrame, contigs: DataFrame | None = None, keys: tu
     change after it, come from the table of bins.
     """
     keys = [*keys, "chrom"]
-    up = blocks.where("start_pos < end_pos")
-    events = up.select(*keys, F.col("start_pos").alias("pos"), F.lit(1).alias("change")).unionByName(up.select(*keys, F.col("end_pos").alias("pos"), F.lit(-1).alias("change")))
+    ends = F.array(F.struct(F.col("start_pos").alias("pos"), F.lit(1).alias("change")), F.struct(F.col("end_pos").alias("pos"), F.lit(-1).alias("change")))
+    events = blocks.where("start_pos < end_pos").select(*keys, F.inline(ends))
     events = events.groupBy(*keys, "pos").agg(F.sum("change").alias("change")).where("change <> 0")
     if contigs is not None:
         first = contigs.select("chrom", F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("change"))
@@ -124,19 +124,20 @@ def callable_in_bed(runs: DataFrame, bed: DataFrame, min_depth: int = 10) -> Dat
     return pairs.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("callable_bases"))
 
 
-def callable_loci(all_blocks: DataFrame, good_blocks: DataFrame, targets: DataFrame, contigs: DataFrame, min_depth: int = 10, max_poor: float = 0.5, max_depth: int | None = None, size: int = SCAN_BIN) -> DataFrame:
+def callable_loci(blocks: DataFrame, good: Column, targets: DataFrame, min_depth: int = 10, max_poor: float = 0.5, max_depth: int | None = None, size: int = SCAN_BIN) -> DataFrame:
     """Runs of one state in the targets: chrom, start_pos, end_pos, state.
 
-    Both depth tracks are summed in one sweep: each event changes the number of
-    all reads, of well mapped reads, or of targets that cover the place.
+    ``good`` says which blocks are well mapped. Both depth tracks are summed in one
+    sweep over one scan: each event changes the number of all blocks, of good ones, or
+    of targets that cover the place.
     """
-    def events(df: DataFrame, name: str) -> DataFrame:
-        zero = {n: F.lit(0) for n in ("all_n", "good_n", "in_n")}
-        side = lambda col, v: df.where("start_pos < end_pos").select("chrom", F.col(col).alias("pos"), *[(F.lit(v) if n == name else z).cast("long").alias(n) for n, z in zero.items()])
-        return side("start_pos", 1).unionByName(side("end_pos", -1))
-
-    e = events(all_blocks, "all_n").unionByName(events(good_blocks, "good_n")).unionByName(events(targets, "in_n"))
     names = ["all_n", "good_n", "in_n"]
+
+    def events(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+        side = lambda pos, v: F.struct(F.col(pos).alias("pos"), *[(v * counts.get(n, F.lit(0))).cast("long").alias(n) for n in names])
+        return df.where("start_pos < end_pos").select("chrom", F.inline(F.array(side("start_pos", 1), side("end_pos", -1))))
+
+    e = events(blocks, {"all_n": F.lit(1), "good_n": F.when(good, 1).otherwise(0)}).unionByName(events(targets, {"in_n": F.lit(1)}))
     e = e.groupBy("chrom", "pos").agg(*[F.sum(n).alias(n) for n in names]).withColumn("bin", F.floor(F.col("pos") / size))
     per_bin = e.groupBy("chrom", "bin").agg(*[F.sum(n).alias(n) for n in names], F.min("pos").alias("first"))
     w = Window.partitionBy("chrom").orderBy("bin")
@@ -166,8 +167,12 @@ def loci_summary_value(lines: DataFrame, state: str = "CALLABLE") -> DataFrame:
     return hit.withColumn("mb", F.col("bases") / 1e6)
 
 
-def depth_summary(runs: DataFrame) -> DataFrame:
-    """chrom, length, bases, mean, min, max of each contig and in total."""
+def depth_summary(runs: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """chrom, length, bases, mean, min, max of each contig and in total; with ``regions`` also of their bases, as ``<chrom>_region``."""
+    if regions is not None:
+        inside = _covered(merge_intervals(regions).drop("n"), runs).groupBy("chrom", "depth").agg(F.sum("n").alias("end_pos")).withColumn("start_pos", F.lit(0))
+        own = depth_summary(inside)
+        return depth_summary(runs).unionByName(own.withColumn("chrom", F.concat("chrom", F.lit("_region"))))
     size = F.col("end_pos") - F.col("start_pos")
     s = runs.rollup("chrom").agg(F.sum(size).cast("long").alias("length"), F.sum(size * F.col("depth")).cast("long").alias("bases"), F.min("depth").cast("long").alias("min"), F.max("depth").cast("long").alias("max"))
     return s.select(F.coalesce("chrom", F.lit("total")).alias("chrom"), "length", "bases", (F.col("bases") / F.col("length")).alias("mean"), "min", "max")

@@ -31,12 +31,22 @@ def rename_contigs(bed: DataFrame, mapping: dict[str, str] | None = None) -> Dat
     return bed.withColumn("chrom", F.coalesce(known, rule) if mapping else rule)
 
 
+def _known(bed: DataFrame, contigs: DataFrame, *columns: Column) -> DataFrame:
+    """``bed`` with columns of its contig; a contig that the list lacks is an error."""
+    listed = contigs.select("chrom", *columns, F.lit(True).alias("__listed"))
+    joined = bed.join(listed, "chrom", "left")
+    return joined.where(F.coalesce("__listed", F.raise_error(F.concat(F.lit("contig is not listed: "), F.coalesce("chrom", F.lit("null")))).cast("boolean"))).drop("__listed")
+
+
 def slop(bed: DataFrame, contigs: DataFrame, both: float = 0, left: float | None = None, right: float | None = None, fraction: bool = False) -> DataFrame:
-    """Intervals extended by base pairs, or by a fraction of their length, within their contig."""
+    """Intervals extended by base pairs, or by a fraction of their length, within their contig.
+
+    A contig without a length is an error.
+    """
     names = bed.columns
     size = (F.col("end_pos") - F.col("start_pos")) if fraction else F.lit(1)
     ext = lambda x: F.floor(size * F.lit(both if x is None else x)).cast("long")
-    joined = bed.join(contigs.select("chrom", F.col("length").alias("__length")), "chrom")
+    joined = _known(bed, contigs, F.col("length").alias("__length"))
     start = F.greatest(F.col("start_pos") - ext(left), F.lit(0))
     end = F.least(F.col("end_pos") + ext(right), F.col("__length"))
     return joined.select(*[start.alias(c) if c == "start_pos" else end.alias(c) if c == "end_pos" else F.col(c) for c in names])
@@ -48,9 +58,8 @@ def sort_bed(bed: DataFrame) -> DataFrame:
 
 
 def bed_to_interval_list(bed: DataFrame, contigs: DataFrame) -> DataFrame:
-    """1-based closed intervals of contigs that the dictionary has."""
-    kept = bed.join(contigs.select("chrom"), "chrom", "left_semi")
-    return kept.select("chrom", (F.col("start_pos") + 1).alias("start_pos"), F.col("end_pos"), *[c for c in bed.columns if c not in ("chrom", "start_pos", "end_pos")])
+    """1-based closed intervals; a contig that the dictionary lacks is an error."""
+    return _known(bed, contigs).select("chrom", (F.col("start_pos") + 1).alias("start_pos"), F.col("end_pos"), *[c for c in bed.columns if c not in ("chrom", "start_pos", "end_pos")])
 
 
 def with_bins(df: DataFrame, start: str = "start_pos", end: str = "end_pos", size: int = JOIN_BIN, name: str = "bin") -> DataFrame:
@@ -78,18 +87,6 @@ def restrict_to_targets(points: DataFrame, targets: DataFrame, pos: str = "pos",
     return points.join(t, on, "left_semi")
 
 
-def overlapping(rows: DataFrame, targets: DataFrame, size: int = JOIN_BIN) -> DataFrame:
-    """Intervals that overlap any target, each once."""
-    t = with_bins(targets.select(F.col("chrom").alias("t_chrom"), F.col("start_pos").alias("t_start"), F.col("end_pos").alias("t_end")), "t_start", "t_end", size, "t_bin")
-    # The first shared bin of a pair is the one of the larger start; a row probes all bins that it touches.
-    probe = with_bins(rows, size=size).join(t, (F.col("chrom") == F.col("t_chrom")) & (F.col("bin") == F.col("t_bin")) & (F.col("start_pos") < F.col("t_end")) & (F.col("t_start") < F.col("end_pos")), "left_semi")
-    return probe.drop("bin").distinct() if _has_key(rows) else probe.drop("bin").dropDuplicates()
-
-
-def _has_key(rows: DataFrame) -> bool:
-    return "name" in rows.columns
-
-
 def carry(df: DataFrame, keys: list[str], bin_name: str, value: Column, name: str) -> DataFrame:
     """``df`` with what aggregate ``value`` gives over all earlier bins of the same keys.
 
@@ -109,14 +106,15 @@ def merge_intervals(bed: DataFrame, distance: int = 0, keys: tuple[str, ...] = (
     before it; ends from earlier bins, and the number of islands there, are carried in.
     """
     keys = list(keys)
-    b = bed.select(*keys, "start_pos", "end_pos").withColumn("bin", F.floor(F.col("start_pos") / size))
+    # Intervals of equal start are one from the beginning, by a partial aggregate, so that a deep place is not a long sort.
+    b = bed.groupBy(*keys, "start_pos").agg(F.max("end_pos").alias("end_pos"), F.count("*").alias("n")).withColumn("bin", F.floor(F.col("start_pos") / size))
     b = carry(b, keys, "bin", F.max("end_pos"), "max_before")
-    w = Window.partitionBy(*keys, "bin").orderBy("start_pos", "end_pos")
+    w = Window.partitionBy(*keys, "bin").orderBy("start_pos")
     reach = F.greatest(F.max("end_pos").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("max_before"))
     b = b.withColumn("new", F.when(F.col("start_pos") <= reach + distance, 0).otherwise(1))
     b = carry(b, keys, "bin", F.sum("new"), "islands_before")
     b = b.withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("islands_before", F.lit(0)))
-    out = b.groupBy(*keys, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n"))
+    out = b.groupBy(*keys, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.sum("n").alias("n"))
     return out.drop("island")
 
 

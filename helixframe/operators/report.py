@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.genomics import mouse_id, tissue
 
+# The columns of the report.
 REPORT_COLUMNS = ("mouse_id", "sample", "normal", "tissue", "n_total", "n_snv", "n_indel", "callable_mb", "load", "percent_duplication", "mean_target_coverage", "pct_target_bases_20x")
 
 

@@ -17,7 +17,7 @@ from .intervals import interval_join, restrict_to_targets
 
 @dataclass(frozen=True)
 class HardFilterThresholds:
-    """Least depth, alternative reads and their share."""
+    """Least depth, alternative reads and their share. Fixed values."""
 
     min_dp: int = 10
     min_ad: int = 3
@@ -110,11 +110,15 @@ def variant_counts(variants: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     return variants.groupBy(*keys).agg(F.count("*").alias("n_total"), n("SNV").alias("n_snv"), n("INSERTION", "DELETION").alias("n_indel"))
 
 
-EFFECTS = ("missense", "nonsense", "frameshift", "synonymous", "splice", "intron", "intergenic")
+# The classes of effects.
+EFFECTS = ("missense", "nonsense", "frameshift", "synonymous", "splice", "intronic", "intergenic")
 
 
 def effect_counts(variants: DataFrame, keys: tuple[str, ...] = (), csq: Column | None = None) -> DataFrame:
-    """Ten counters of the first consequence of each variant; total counts every row."""
+    """Ten counters of the first consequence of each variant; total counts every row.
+
+    For lines of a file take :func:`sources.formats.consequence_lines`, which keeps short ones, and ``csq``.
+    """
     c = effect_class(csq_effect(F.try_element_at("info", F.lit("CSQ")) if csq is None else csq))
     n = lambda *k: F.coalesce(F.sum(F.when(c.isin(*k), 1).otherwise(0)), F.lit(0)).cast("long")
     return variants.groupBy(*keys).agg(

@@ -32,8 +32,8 @@ VIEWS = {
         case when p_size % 10 = 0 then concat(substr('ACGT', cast(p_partkey % 4 + 1 as int), 1), 'GG') else substr('CGTA', cast(p_partkey % 4 + 1 as int), 1) end alt,
         case when p_partkey % 3 = 0 then 'germline' else 'PASS' end filt, cast(p_size*2 as int) as dp, cast(p_partkey % (p_size+1) as int) as ad_alt from part""",
     "vcf_lines": """select concat_ws(chr(9), chrom, cast(pos as string), '.', ref, alt, '50', filt, concat('DP=', cast(dp as string), ';CSQ=', alt, '|',
-        case when pos % 7 = 0 then 'missense_variant' when pos % 7 = 1 then 'stop_gained' when pos % 7 = 2 then 'frameshift_variant' when pos % 7 = 3 then 'synonymous_variant'
-        when pos % 7 = 4 then 'splice_region_variant' when pos % 7 = 5 then 'intron_variant' else 'intergenic_variant' end, '|G', cast(pos % 50 as string)), 'GT:AD:DP',
+        case when pos % 9 = 0 then 'missense_variant' when pos % 9 = 1 then 'stop_gained' when pos % 9 = 2 then 'frameshift_variant' when pos % 9 = 3 then 'synonymous_variant'
+        when pos % 9 = 4 then 'splice_region_variant' when pos % 9 = 5 then 'intron_variant' when pos % 9 = 6 then 'intergenic_variant' when pos % 9 = 7 then 'inframe_insertion' else 'inframe_deletion' end, '|G', cast(pos % 50 as string)), 'GT:AD:DP',
         concat('0/1:', cast(dp - ad_alt as string), ',', cast(ad_alt as string), ':', cast(dp as string))) as value from variants""",
     "fastq": f"""select cast(o_orderkey as bigint) as rec, concat('@q', cast(o_orderkey as string), '/1 lane') as header, translate(md5(cast(o_orderkey as string)), {_H}, 'ACGTACGTACGTACGN') seq,
         '+' plus, translate(reverse(md5(cast(o_orderkey as string))), {_H}, '#+5?IIIIFFFF:,AB') qual from orders""",

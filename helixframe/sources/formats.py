@@ -17,15 +17,16 @@ from ..operators.intervals import interval_join
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, line, value): lines with their number in their file, from 0.
 
-    Line numbers need the order of the file, which only an RDD of lines keeps;
-    counting takes one more job when there are several partitions.
+    A scan reads the lines of one block of a file in a row, so the running number of
+    its rows orders them; lines of earlier blocks come from one count for each block.
     """
-    out = None
-    for p in [path] if isinstance(path, str) else path:
-        lines = spark.sparkContext.textFile(p).zipWithIndex().map(lambda x: (x[1], x[0]))
-        d = spark.createDataFrame(lines, "line long, value string").select(F.lit(p).alias("path"), "line", "value")
-        out = d if out is None else out.unionByName(d)
-    return out
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value"
+    )
+    blocks = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = blocks.select("path", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(starts, ["path", "block"]).select("path", (F.col("id") + F.col("shift")).alias("line"), "value")
 
 
 def fastq_records(lines: DataFrame) -> DataFrame:
@@ -73,11 +74,22 @@ def parse_vcf(lines: DataFrame, names: Column | None = None) -> DataFrame:
 
 
 def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Variants of VCF files; sample names come from the header of each file."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    heads = lines.where(F.startswith("value", F.lit("#CHROM"))).select("file", F.slice(F.split("value", "\t"), 10, 1 << 20).alias("names")).dropDuplicates(["file"])
-    joined = lines.where(~F.startswith("value", F.lit("#"))).join(F.broadcast(heads), "file", "left")  # a row for each file
-    return parse_vcf(joined, F.col("names"))
+    """Variants of VCF files. Sample names come from the header of each file; a part file without one has those of its folder."""
+    file = F.col("_metadata.file_path")
+    lines = spark.read.text(path).select("value", file.alias("file"), F.regexp_replace(file, "/[^/]*$", "").alias("folder"))
+    heads = lines.where(F.startswith("value", F.lit("#CHROM"))).select("folder", "file", F.slice(F.split("value", "\t"), 10, 1 << 20).alias("names"))
+    # A row for each file, and for each folder; Spark broadcasts them only if they are small.
+    by_file, by_folder = heads.groupBy("file").agg(F.first("names").alias("own")), heads.groupBy("folder").agg(F.min_by("names", "file").alias("shared"))
+    joined = lines.where(~F.startswith("value", F.lit("#"))).join(by_file, "file", "left").join(by_folder, "folder", "left")
+    return parse_vcf(joined, F.coalesce("own", "shared"))
+
+
+def consequence_lines(lines: DataFrame) -> DataFrame:
+    """(csq): the consequences of each line of a VCF file that is no header; null for short lines and those without."""
+    parts = F.split("value", "\t")
+    info = F.when(F.size(parts) >= 8, F.get(parts, 7))
+    own = F.get(F.filter(F.split(info, ";"), lambda x: F.startswith(x, F.lit("CSQ="))), 0)
+    return lines.where(~F.startswith("value", F.lit("#"))).select(F.substring(own, 5, 1 << 30).alias("csq"))
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
@@ -216,14 +228,18 @@ def contig_lengths(chunks: DataFrame, canonical: DataFrame | None = None) -> Dat
     return out.join(canonical.select("chrom"), "chrom", "left_semi") if canonical is not None else out
 
 
-def fasta_regions(chunks: DataFrame, regions: DataFrame, reverse: bool = False) -> DataFrame:
-    """(chrom, start_pos, end_pos, seq) of regions; each is put together from the lines that it overlaps."""
+def fasta_regions(chunks: DataFrame, regions: DataFrame, reverse: bool = False, width: int = 0) -> DataFrame:
+    """(chrom, start_pos, end_pos, seq) of regions; each is put together from the lines that it overlaps.
+
+    With a ``width`` the sequence is cut into lines of that many bases.
+    """
     c = chunks.select("chrom", F.col("offset").alias("start_pos"), (F.col("offset") + F.length("seq")).alias("end_pos"), "seq")
     j = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), c)
     a, e = F.greatest("start_pos", "r_start_pos"), F.least("end_pos", "r_end_pos")
     piece = F.substring("r_seq", (a - F.col("r_start_pos") + 1).cast("int"), (e - a).cast("int"))
     out = j.groupBy("chrom", "start_pos", "end_pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("r_start_pos").alias("o"), piece.alias("s")))), lambda x: x["s"]), "").alias("seq"))
-    return out.withColumn("seq", reverse_complement(F.col("seq"))) if reverse else out
+    out = out.withColumn("seq", reverse_complement(F.col("seq"))) if reverse else out
+    return out.withColumn("seq", F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")) if width else out
 
 
 def input_manifest(spark: SparkSession, path: str | list[str], content: bool = False) -> DataFrame:

@@ -61,13 +61,31 @@ def vcf_lines(variants: DataFrame) -> DataFrame:
 
 
 def write_vcf(variants: DataFrame, path: str, samples: list[str] = ()) -> None:
-    """Gzipped lines in order; every part file begins with the header, so each is whole."""
-    head = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", *(["FORMAT", *samples] if samples else [])])
-    spark = variants.sparkSession
-    header = spark.createDataFrame([(0, "##fileformat=VCFv4.2"), (1, head)], "k int, value string")
-    body = vcf_lines(variants).orderBy("chrom", "pos", "value").select("value")
-    header.coalesce(1).orderBy("k").select("value").write.mode("overwrite").text(path, compression="gzip")
-    body.write.mode("append").text(path, compression="gzip")
+    """Gzipped lines in order; the first line of every part stands under a header, so each part is whole."""
+    columns = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", *(["FORMAT", *samples] if samples else [])])
+    head = f"##fileformat=VCFv4.2\n{columns}"
+    # The low bits of this number count the rows of a part.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    body = vcf_lines(variants).orderBy("chrom", "pos", "value").select(F.when(first, F.concat(F.lit(head + "\n"), "value")).otherwise(F.col("value")).alias("value"))
+    body.write.mode("overwrite").text(path, compression="gzip")
+    if variants.isEmpty():
+        variants.sparkSession.createDataFrame([(head,)], "value string").coalesce(1).write.mode("overwrite").text(path, compression="gzip")
+
+
+def check_lines(check: DataFrame, sample: str = "sample", pairing: str = "pairing") -> DataFrame:
+    """(sample, value): the result of a check of reads as text."""
+    c = F.col
+    shown = lambda name: F.concat(F.lit(f"  {name}: "), F.coalesce(F.when(c(name).cast("string") == "true", "True").when(c(name).cast("string") == "false", "False").otherwise(c(name).cast("string")), F.lit("None")))
+    listed = lambda title, name: F.when(F.size(name) > 0, F.concat(F.array(F.lit(""), F.lit(f"{title}:")), F.transform(name, lambda x: F.concat(F.lit("  - "), x)))).otherwise(F.array().cast("array<string>"))
+    head = F.array(F.concat(F.lit("FASTQ Input Check for "), c(sample)), F.lit("=" * 60), F.lit(""), F.concat(F.lit("Status: "), "status"), F.concat(F.lit("Pairing: "), c(pairing)), F.lit(""), F.lit("Checks:"))
+    checks = F.array(*[shown(x) for x in ("records_checked", "format_ok", "ids_match", "mismatches")])
+    lines = F.concat(head, checks, listed("Errors", "errors"), listed("Warnings", "warnings"))
+    return check.select(c(sample).alias("sample"), F.array_join(lines, "\n").alias("value"))
+
+
+def write_check(check: DataFrame, path: str, sample: str = "sample", pairing: str = "pairing") -> None:
+    """The text of each check; a folder for each sample."""
+    check_lines(check, sample, pairing).write.mode("overwrite").partitionBy("sample").text(path)
 
 
 def write_fastq(reads: DataFrame, path: str) -> None:

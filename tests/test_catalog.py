@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import zipfile
+
 import duckdb
 import pytest
 
 from helixframe import catalog
 from helixframe.functions import genomics as G
+from helixframe.operators import alignments as A
 from helixframe.operators import intervals as I
 from helixframe.operators import variants as V
 from helixframe.plans.views import view
-from helixframe.sources import formats
+from helixframe.sources import formats, sinks
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +72,87 @@ def test_vcf_with_missing_fields(spark):
 def test_cigar_blocks(spark):
     df = spark.createDataFrame([(11, "3S4M2D5M1I6M2N1M4H")], "pos long, cigar string")
     assert [tuple(b) for b in df.select(G.cigar_blocks(F.col("pos"), F.col("cigar"))).first()[0]] == [(10, 14, 3), (16, 21, 7), (21, 27, 13), (29, 30, 19)]
+
+
+def test_contig_that_is_not_listed_is_an_error(spark):
+    bed = spark.createDataFrame([("a", 1, 5), ("zz", 1, 5)], "chrom string, start_pos long, end_pos long")
+    contigs = spark.createDataFrame([("a", 6)], "chrom string, length long")
+    for f in (lambda b: I.slop(b, contigs, 3), lambda b: I.bed_to_interval_list(b, contigs)):
+        with pytest.raises(Exception, match="contig is not listed: zz"):
+            f(bed).collect()
+    assert I.slop(bed.where("chrom = 'a'"), contigs, 3).collect() == [("a", 0, 6)]
+
+
+@pytest.mark.parametrize(
+    "effect, coding, changes",
+    [("synonymous_variant", True, False), ("missense", True, True), ("stop_gained", True, True), ("frameshift_variant", True, True), ("inframe_insertion", True, True), ("inframe_deletion", True, True), ("stop_lost", False, False), ("splice_region_variant", False, False), (None, False, False)],
+)
+def test_effects(spark, effect, coding, changes):
+    df = spark.createDataFrame([(effect,)], "e string")
+    assert df.select(G.is_coding(F.col("e")), G.is_nonsynonymous(F.col("e"))).first() == (coding, changes)
+
+
+def test_every_part_of_a_written_vcf_has_its_header(spark, tmp_path):
+    v = formats.parse_vcf(view(spark, SF, "vcf_lines"), F.array(F.lit("s1")))
+    sinks.write_vcf(v.repartition(5), f"{tmp_path}/v", ["s1"])
+    sinks.write_vcf(v.limit(0), f"{tmp_path}/none", ["s1"])
+    lines = spark.read.text(f"{tmp_path}/v").select("value", F.col("_metadata.file_path").alias("f"))
+    assert lines.where("value like '#CHROM%'").groupBy("f").count().count() == lines.select("f").distinct().count()
+    assert spark.read.text(f"{tmp_path}/none").where("value like '#CHROM%'").count() == 1 and formats.read_vcf(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_lines_are_numbered_over_the_blocks_of_files(spark, tmp_path):
+    for name, n in (("a", 3000), ("b", 1), ("c", 1200)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(n)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        got = formats.numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        assert got.where("value <> concat(substr(value, 1, 1), line) or path not like concat('%/', substr(value, 1, 1), '.txt')").count() == 0 and got.count() == 4201
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_fastqc_reports(spark, tmp_path):
+    for i, status in enumerate(("PASS", "FAIL")):
+        with zipfile.ZipFile(tmp_path / f"r{i}.zip", "w") as z:
+            z.writestr("x_fastqc/summary.txt", f"{status}\tPer base sequence quality\tf\nWARN\tAdapter Content\tf\nbroken\n")
+            z.writestr("x_fastqc/fastqc_data.txt", f">>Basic Statistics\tpass\nTotal Sequences\t{i + 5}\nSequence length\t30-76\n%GC\t4{i}\n>>END_MODULE\n>>Other\tpass\nTotal Sequences\t99\n>>END_MODULE\n")
+    got = sorted((tuple(r)[1:] for r in formats.read_fastqc(spark, f"{tmp_path}/*.zip").collect()), key=lambda r: r[1])
+    assert [r[1:] for r in got] == [(5, "30-76", 40.0), (6, "30-76", 41.0)]
+    assert [r[0] for r in got] == [{"per_base_sequence_quality": s, "adapter_content": "WARN"} for s in ("PASS", "FAIL")]
+
+
+READ = "sample string, qname string, flag int, chrom string, pos long, mapq int, cigar string, seq string, qual string"
+
+
+def test_single_reads_lose_to_pairs(spark):
+    row = lambda q, flag, pos, qual="I": ("s", q, flag, "c", pos, 60, "4M", "ACGT", qual * 4)
+    reads = spark.createDataFrame([row("p", 1 | 64, 10), row("p", 1 | 128 | 16, 50), row("q", 1 | 64, 10, "5"), row("q", 1 | 128 | 16, 50, "5"), row("a", 0, 10, "J"), row("b", 16, 50, "J"), row("x", 0, 90, "5"), row("y", 0, 90), row("z", 4, 90)], READ)
+    got = {(r["qname"], r["pos"]) for r in A.mark_duplicates(reads).where("flag & 1024 <> 0").collect()}
+    assert got == {("q", 10), ("q", 50), ("a", 10), ("b", 50), ("x", 90)}
+    assert A.mark_duplicates(reads, remove=True).count() == 4
+
+
+def test_library_size(spark):
+    reads = [("s", f"r{i}", 1 | 64 | (1024 if i % 4 == 0 else 0), "c", i, 60, "4M", "ACGT", "IIII") for i in range(4000)]
+    m = A.duplication_metrics(spark.createDataFrame(reads, READ)).first()
+    pairs, distinct, x = m["pairs_examined"], m["pairs_examined"] - m["pair_duplicates"], m["library_size"]
+    assert (pairs, distinct) == (2000, 1500) and abs(distinct / x - (1 - math.exp(-pairs / x))) < 1e-3
+    assert A.duplication_metrics(spark.createDataFrame(reads[1:4], READ)).first()["library_size"] is None
+
+
+def test_rates_are_zero_without_a_total(spark):
+    one = spark.range(1).select(*[f(F.lit(3), F.lit(0)) for f in (G.mapping_rate, G.duplicate_rate, G.proper_pair_rate, G.covered_rate)]).first()
+    assert tuple(one) == (0.0,) * 4 and spark.range(1).select(G.mapping_rate(F.lit(3), F.lit(4))).first()[0] == 75.0
+
+
+def test_recalibration_of_a_preprocessed_read(spark):
+    reads = spark.createDataFrame([("s", f"r{i}", 0, "c", 10 + i, 60, "4M", "ACGT", "IIII") for i in range(50)], READ)
+    reference = F.expr("substr('ACGT', cast((pos * 7) % 4 + 1 as int), 1)")
+    plain, moved = A.preprocess_reads(reads), A.preprocess_reads(reads, reference)
+    assert [r["pos"] for r in moved.collect()] == sorted(r["pos"] for r in plain.collect()) and {r["qual"] for r in plain.collect()} == {"IIII"}
+    assert all(r["qual"] != "IIII" and len(r["qual"]) == 4 for r in moved.collect())
