@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +14,13 @@ from .views import view
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write."""
+    """A new folder where all executors can write; of this machine only where all of Spark runs in one process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
