@@ -569,7 +569,7 @@ def duplication_metrics(s, d):
 
 BASES = """, blk as (select *, pos - 1 s, 0 q, case cigar when '32M' then 32 when '10M2D20M2S' then 10 when '12M3I17M' then 12 else 0 end len from sam where cigar <> '5S27M' union all select *, pos - 1, 5, 27 from sam where cigar = '5S27M'
 union all select *, pos + 11, 10, 20 from sam where cigar = '10M2D20M2S' union all select *, pos + 11, 15, 17 from sam where cigar = '12M3I17M'),
-bs as (select sample, chrom, flag, s + i + 1 as pos, substr(seq, cast(q + i + 1 as int), 1) base, ascii(substr(qual, cast(q + i + 1 as int), 1)) - 33 quality, cast(q + i + 1 as int) cycle from blk, range(0, 32) r(i) where i < len and flag & 1796 = 0),
+bs as (select sample, chrom, flag, s + i + 1 as pos, substr(seq, cast(q + i + 1 as int), 1) base, ascii(substr(qual, cast(q + i + 1 as int), 1)) - 33 quality, cast(q + i + 1 as int) cycle, case when q + i > 0 and position('N' in substr(seq, cast(q + i as int), 2)) = 0 then substr(seq, cast(q + i as int), 2) end context from blk, range(0, 32) r(i) where i < len and flag & 1796 = 0),
 refd as (select *, substr('ACGT', cast(pos*7 % 4 + 1 as int), 1) ref from bs) """
 
 
@@ -593,16 +593,19 @@ def pileup_summaries(s, d):
     return A.pileup_summaries(view(s, d, "sam"), _sites(s, d))
 
 
-@query(BASES + """, g as (select sample, quality, cycle, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' group by 1, 2, 3), a as (select sample, quality, cycle, o, e from g union all select sample, quality, null, sum(o), sum(e) from g group by 1, 2 union all select sample, null, null, sum(o), sum(e) from g group by 1)
-select sample, cast(quality as int) quality, cast(cycle as int) cycle, cast(o as bigint) observations, cast(e as bigint) errors, round(-10 * log10((e + 1) / (o + 2)), 6) empirical from a""")
+@query(BASES + """, g as (select sample, quality, cycle, context, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' group by 1, 2, 3, 4), a as (select sample, quality, cycle, null context, sum(o) o, sum(e) e from g group by 1, 2, 3
+union all select sample, quality, null, context, sum(o), sum(e) from g where context is not null group by 1, 2, 4 union all select sample, quality, null, null, sum(o), sum(e) from g group by 1, 2 union all select sample, null, null, null, sum(o), sum(e) from g group by 1)
+select sample, cast(quality as int) quality, cast(cycle as int) cycle, context, cast(o as bigint) observations, cast(e as bigint) errors, round(-10 * log10((e + 1) / (o + 2)), 6) empirical from a""")
 def recal_table(s, d):
     return r6(A.recal_table(view(s, d, "sam"), F.expr(REFERENCE)), "empirical")
 
 
 _MOVED = BASES + """, g as (select sample, quality, cycle, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' group by 1, 2, 3),
-eq as (select sample, quality, -10 * log10((sum(e) + 1) / (sum(o) + 2)) v from g group by 1, 2), ec as (select g.sample, g.quality, g.cycle, -10 * log10((e + 1) / (o + 2)) - v shift from g join eq on g.sample = eq.sample and g.quality = eq.quality),
-nq as (select s.rid, s.qname, s.seq, i, greatest(1, least(60, cast(round(coalesce(v, ascii(substr(s.qual, cast(i as int), 1)) - 33) + coalesce(shift, 0)) as int))) q from (select *, unnest(range(1, 33)) i from (select *, row_number() over () rid from sam) x) s
-left join eq on eq.sample = s.sample and eq.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 left join ec on ec.sample = s.sample and ec.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 and ec.cycle = i) """
+gx as (select sample, quality, context, count(*) o, sum(case when base <> ref then 1 else 0 end) e from refd where base <> 'N' and context is not null group by 1, 2, 3),
+eq as (select sample, quality, -10 * log10((sum(e) + 1) / (sum(o) + 2)) v from g group by 1, 2), ex as (select g.sample, g.quality, g.context, -10 * log10((e + 1) / (o + 2)) - v shift from gx g join eq on g.sample = eq.sample and g.quality = eq.quality), ec as (select g.sample, g.quality, g.cycle, -10 * log10((e + 1) / (o + 2)) - v shift from g join eq on g.sample = eq.sample and g.quality = eq.quality),
+nq as (select s.rid, s.qname, s.seq, i, greatest(1, least(60, cast(round(coalesce(v, ascii(substr(s.qual, cast(i as int), 1)) - 33) + coalesce(ec.shift, 0) + coalesce(ex.shift, 0)) as int))) q from (select *, unnest(range(1, 33)) i from (select *, row_number() over () rid from sam) x) s
+left join eq on eq.sample = s.sample and eq.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 left join ec on ec.sample = s.sample and ec.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 and ec.cycle = i
+left join ex on ex.sample = s.sample and ex.quality = ascii(substr(s.qual, cast(i as int), 1)) - 33 and i > 1 and ex.context = substr(s.seq, cast(i - 1 as int), 2)) """
 
 
 @query(_MOVED + "select qname, seq, string_agg(chr(q + 33), '' order by i) qual from nq group by rid, qname, seq")
@@ -624,6 +627,12 @@ def orientation_counts(s, d):
     return r6(A.orientation_counts(view(s, d, "sam"), F.expr(REFERENCE)), "artifact")
 
 
+@query(BASES + """select sample, concat(substr('ACGT', cast((pos - 1)*7 % 4 + 1 as int), 1), ref, substr('ACGT', cast((pos + 1)*7 % 4 + 1 as int), 1)) context, ref, base alt, cast(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else 0 end) as bigint) f1r2, cast(sum(case when (flag & 64 <> 0) = (flag & 16 <> 0) then 1 else 0 end) as bigint) f2r1,
+round(abs(sum(case when (flag & 64 <> 0) <> (flag & 16 <> 0) then 1 else -1 end)) / count(*), 6) artifact from refd where base <> 'N' and base <> ref group by 1, 2, 3, 4""")
+def orientation_counts_by_context(s, d):
+    return r6(A.orientation_counts(view(s, d, "sam"), F.expr(REFERENCE), context=True), "artifact")
+
+
 _CALLS = BASES + """, p as (select sample, chrom, pos, ref, base, count(*) n from refd group by 1, 2, 3, 4, 5), dp as (select sample, chrom, pos, sum(n) d from p group by 1, 2, 3),
 cand as (select p.chrom, p.pos, p.ref, p.base alt, dp.d t_depth, p.n t_alt, coalesce((select d from dp x where x.sample = 'normal' and x.chrom = p.chrom and x.pos = p.pos), 0) n_depth, coalesce((select n from p y where y.sample = 'normal' and y.chrom = p.chrom and y.pos = p.pos and y.base = p.base), 0) n_alt
 from p join dp on p.sample = dp.sample and p.chrom = dp.chrom and p.pos = dp.pos where p.sample = 'tumor' and p.base <> 'N' and p.base <> p.ref and p.n >= 3 and p.n >= 0.05 * dp.d) """

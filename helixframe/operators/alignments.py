@@ -194,17 +194,21 @@ def hs_metrics(blocks: DataFrame, targets: DataFrame, baits: DataFrame | None =
 
 
 def pileup_bases(reads: DataFrame, keep: tuple[str, ...] = ("sample",), min_base_quality: int = 0, min_mapq: int = 0, skip: int = 1796) -> DataFrame:
-    """One row for each aligned base: chrom, pos (1-based), base, quality, cycle and the columns to keep. Filters come first."""
+    """One row for each aligned base: chrom, pos (1-based), base, quality, cycle, context and the columns to keep. Filters come first.
+
+    ``context`` is the base before it in the read and the base itself; null for a first base.
+    """
     r = reads.where(F.col("flag").bitwiseAND(F.lit(skip)) == 0).where(F.col("mapq") >= min_mapq)
     keep = [k for k in keep if k != "chrom"]
     b = r.select("chrom", "seq", "qual", has_flag(F.col("flag"), 16).alias("reverse"), *keep, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
-    # Only the part of a block goes with its bases.
-    cut = lambda c: F.substring(c, F.col("b.q") + 1, (F.col("b.e") - F.col("b.s")).cast("int")).alias(c)
-    b = b.select("chrom", "reverse", *keep, "b", cut("seq"), cut("qual"))
-    b = b.select("*", F.explode(F.sequence(F.lit(1), (F.col("b.e") - F.col("b.s")).cast("int"))).alias("i"))
+    # Only the part of a block, and the base before it, go with its bases.
+    n, lead = (F.col("b.e") - F.col("b.s")).cast("int"), F.least(F.col("b.q"), F.lit(1))
+    b = b.select("chrom", "reverse", *keep, "b", F.substring("seq", F.col("b.q") + 1 - lead, n + lead).alias("seq"), F.substring("qual", F.col("b.q") + 1, n).alias("qual"), lead.alias("lead"))
+    b = b.select("*", F.explode(F.sequence(F.lit(1), n)).alias("i"))
+    at = F.col("i") + F.col("lead")
     out = b.select(
-        "chrom", (F.col("b.s") + F.col("i")).alias("pos"), F.substring("seq", F.col("i"), F.lit(1)).alias("base"), (F.ascii(F.substring("qual", F.col("i"), F.lit(1))) - 33).alias("quality"),
-        (F.col("b.q") + F.col("i")).alias("cycle"), "reverse", *keep,
+        "chrom", (F.col("b.s") + F.col("i")).alias("pos"), F.substring("seq", at, F.lit(1)).alias("base"), (F.ascii(F.substring("qual", F.col("i"), F.lit(1))) - 33).alias("quality"),
+        (F.col("b.q") + F.col("i")).alias("cycle"), F.when(at > 1, F.substring("seq", at - 1, F.lit(2))).alias("context"), "reverse", *keep,
     )
     return out.where(F.col("quality") >= min_base_quality) if min_base_quality else out
 
@@ -231,39 +235,59 @@ def with_reference(bases: DataFrame, reference: DataFrame | Column) -> DataFrame
     return bases.withColumn("ref", reference) if isinstance(reference, Column) else bases.join(reference.select("chrom", "pos", "ref"), ["chrom", "pos"])
 
 
+#: Every pair of bases stands in here once, so that the place of a pair is its number, from 1 to 16.
+PAIRS = "AACAGATCCGCTGGTTA"
+
+
 def recal_table(reads: DataFrame, reference: DataFrame | Column, known: DataFrame | None = None, group: str = "sample") -> DataFrame:
-    """group, quality, cycle, observations, errors, empirical: with rows for all cycles (cycle null) and all qualities (both null).
+    """group, quality, cycle, context, observations, errors, empirical: by cycle, by context, by quality alone, and for all of a group.
 
-    Bases at known variant sites are left out. Empirical quality is
-    -10 log10((errors + 1) / (observations + 2)), a count-based estimate.
+    What a row does not tell apart is null there; bases without a context of two known
+    bases count in the other rows. Bases at known variant sites are left out. Empirical
+    quality is -10 log10((errors + 1) / (observations + 2)), a count-based estimate.
     """
     b = pileup_bases(reads, (group,))
     if known is not None:
         b = b.join(known.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_anti")
     b = with_reference(b, reference).where(F.col("base").isin(*"ACGT"))
-    fine = b.groupBy(group, "quality", "cycle").agg(F.count("*").alias("observations"), F.sum(F.when(F.col("base") != F.col("ref"), 1).otherwise(0)).alias("errors"))
-    all_levels = fine.rollup(group, "quality", "cycle").agg(F.sum("observations").cast("long").alias("observations"), F.sum("errors").cast("long").alias("errors"), F.grouping(group).alias("__g"))
-    empirical = -10 * F.log10((F.col("errors") + 1) / (F.col("observations") + 2))
-    return all_levels.where("__g = 0").drop("__g").withColumn("empirical", empirical)
+    context = F.when(F.locate("N", F.col("context")) == 0, F.col("context"))
+    fine = b.groupBy(group, "quality", "cycle", context.alias("context")).agg(F.count("*").alias("observations"), F.sum(F.when(F.col("base") != F.col("ref"), 1).otherwise(0)).alias("errors"))
+    g, q, c, x = (F.col(n) for n in (group, "quality", "cycle", "context"))
+    levels = fine.groupingSets([[g, q, c], [g, q, x], [g, q], [g]], g, q, c, x).agg(
+        F.sum("observations").cast("long").alias("observations"), F.sum("errors").cast("long").alias("errors"), F.grouping_id(g, q, c, x).alias("__level")
+    )
+    # The rows by context leave out the bases that have none.
+    levels = levels.where("__level <> 2 or context is not null").drop("__level")
+    return levels.withColumn("empirical", -10 * F.log10((F.col("errors") + 1) / (F.col("observations") + 2)))
 
 
 def apply_recal(reads: DataFrame, table: DataFrame, group: str = "sample", most: int = 60, salts: int = 64) -> DataFrame:
-    """``reads`` with qualities moved by what the table says of their value and cycle.
+    """``reads`` with qualities moved by what the table says of their value, cycle and context.
 
-    Each group has one row of two arrays, by quality and by cycle and quality. Reads meet
-    it under one of ``salts`` numbers, so that a group of many reads is not one
-    task where the arrays are too large to broadcast, which Spark decides.
+    Each group has one row of three arrays, by quality, by cycle and quality, and by context
+    and quality. Reads meet it under one of ``salts`` numbers, so that a group of many reads is
+    not one task where the arrays are too large to broadcast, which Spark decides.
     """
     width = 94  # printable qualities
-    base = table.where("cycle is null and quality is not null").select(group, "quality", F.col("empirical").alias("eq"))
-    by_cycle = table.where("cycle is not null").join(base, [group, "quality"]).select(group, (F.col("cycle") * width + F.col("quality")).alias("place"), (F.col("empirical") - F.col("eq")).alias("d"))
-    spread = lambda entries, size: F.transform(F.sequence(F.lit(0), size), lambda i: F.try_element_at(F.map_from_entries(entries), i.cast("int")))
-    q = base.groupBy(group).agg(F.collect_list(F.struct(F.col("quality").cast("int"), "eq")).alias("e")).select(group, spread("e", F.lit(width - 1)).alias("__q"))
-    c = by_cycle.groupBy(group).agg(F.collect_list(F.struct(F.col("place").cast("int"), "d")).alias("e"), F.max("place").alias("most")).select(group, spread("e", F.col("most").cast("int")).alias("__c"))
-    arrays = q.join(c, group, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    value = F.col("quality").cast("int")
+    base = table.where("cycle is null and context is null and quality is not null").select(group, "quality", F.col("empirical").alias("eq"))
+    moved = table.where("cycle is not null or context is not null").join(base, [group, "quality"]).withColumn("d", F.col("empirical") - F.col("eq"))
+
+    def array(df: DataFrame, place: Column, d: str, name: str) -> DataFrame:
+        e = df.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct(place.cast("int"), d))).alias("m"), F.max(place).cast("int").alias("most"))
+        return e.select(group, F.transform(F.sequence(F.lit(0), "most"), lambda i: F.try_element_at("m", i.cast("int"))).alias(name))
+
+    arrays = array(base, value, "eq", "__q")
+    arrays = arrays.join(array(moved.where("cycle is not null"), F.col("cycle") * width + value, "d", "__c"), group, "left")
+    arrays = arrays.join(array(moved.where("context is not null"), F.expr(f"locate(context, '{PAIRS}')") * width + value, "d", "__x"), group, "left")
+    arrays = arrays.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     j = reads.withColumn("__salt", F.pmod(F.xxhash64("qname", "flag"), F.lit(salts)).cast("int")).join(arrays, [group, "__salt"], "left")
-    shift = lambda v, i: F.coalesce(F.get("__c", (i + 1) * width + v), F.lit(0.0))
-    new = F.transform(qualities(F.col("qual")), lambda v, i: F.greatest(F.lit(1), F.least(F.lit(most), F.round(F.coalesce(F.get("__q", v), v.cast("double")) + shift(v, i)).cast("int"))))
+    shift = lambda name, k, v: F.coalesce(F.get(name, k * width + v), F.lit(0.0))
+    pair = lambda i: F.when(i > 0, F.call_function("locate", F.substring("seq", i, F.lit(2)), F.lit(PAIRS))).otherwise(0)
+    new = F.transform(
+        qualities(F.col("qual")),
+        lambda v, i: F.greatest(F.lit(1), F.least(F.lit(most), F.round(F.coalesce(F.get("__q", v), v.cast("double")) + shift("__c", i + 1, v) + F.when(pair(i) > 0, shift("__x", pair(i), v)).otherwise(0.0)).cast("int"))),
+    )
     return j.withColumn("qual", F.array_join(F.transform(new, lambda v: F.chr(v + 33)), "")).select(*reads.columns)
 
 
@@ -297,13 +321,20 @@ def comprehensive_qc(reads: DataFrame, targets: DataFrame | None = None, baits:
     return out
 
 
-def orientation_counts(reads: DataFrame, reference: DataFrame | Column, keys: tuple[str, ...] = ("sample",), **filters) -> DataFrame:
+def orientation_counts(reads: DataFrame, reference: DataFrame | Column, keys: tuple[str, ...] = ("sample",), context: bool = False, **filters) -> DataFrame:
     """keys, ref, alt, f1r2, f2r1, artifact: alternative bases by the orientation of their pair.
 
-    ``artifact`` is how far the larger side exceeds a half, from 0 to 1.
+    ``artifact`` is how far the larger side exceeds a half, from 0 to 1. With ``context``
+    also by the three bases of the reference around the place.
     """
-    b = with_reference(pileup_bases(reads, (*keys, "flag"), **filters), reference)
+    b = with_reference(pileup_bases(reads, (*keys, "flag"), **filters).drop("context"), reference)
     b = b.where(F.col("base").isin(*"ACGT") & (F.col("base") != F.col("ref")))
+    if context:
+        for shift, name in ((-1, "before"), (1, "after")):
+            b = with_reference(b.withColumnRenamed("ref", "__ref").withColumn("pos", F.col("pos") + shift), reference)
+            b = b.withColumnRenamed("ref", name).withColumnRenamed("__ref", "ref").withColumn("pos", F.col("pos") - shift)
+        keys = (*keys, "context")
+        b = b.withColumn("context", F.concat("before", "ref", "after"))
     f1r2 = has_flag(F.col("flag"), 64) != has_flag(F.col("flag"), 16)
     n = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("long")
     c = b.groupBy(*keys, "ref", F.col("base").alias("alt")).agg(n(f1r2).alias("f1r2"), n(~f1r2).alias("f2r1"))
