@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import arrow_batch, map_arrow
 
 _NONE = np.int64(1 << 40)
-#: Encoded pieces kept in each of two generations, in entries; texts encoded together, in characters.
-CACHE, TOGETHER = 300_000, 12 << 20
+#: Encoded pieces kept in each of two generations, in entries and in characters; texts encoded together, in characters.
+CACHE, CACHE_CHARS, TOGETHER = 300_000, 16 << 20, 12 << 20
 _SPLIT = re.compile(r" (?=\S)")
 #: Below this character ``isalpha`` and the pattern's letters are the same in all Unicode versions.
 _LATIN_END = "\u0250"
@@ -50,8 +50,8 @@ class PieceCache:
     """Texts encoded piece by piece, as no match runs on over a space that begins a word.
 
     ``learn`` encodes pieces. A piece is kept without the space that begins it;
-    the piece that begins a text is kept apart. When the cache is full it becomes
-    the old generation, from which pieces that are used again move on.
+    the piece that begins a text is kept apart. When the cache is full, by number or
+    by length, it becomes the old generation, from which pieces that are used again move on.
     """
 
     def __init__(self, learn: Callable[[list[str]], list[bytes]]):
@@ -59,15 +59,18 @@ class PieceCache:
         self.heads: dict[str, bytes] = {}
         self.rest: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
+        self.head_chars = self.rest_chars = 0
 
     def _know(self, heads: set[str], rest: set[str]) -> None:
-        if len(self.heads) > CACHE // 10:
-            self.heads = {}
+        if len(self.heads) > CACHE // 10 or self.head_chars > CACHE_CHARS:
+            self.heads, self.head_chars = {}, 0
         heads = list(heads - self.heads.keys())
+        self.head_chars += sum(map(len, heads))
         self.heads.update(zip(heads, self.learn(heads), strict=True))
         missing = rest - self.rest.keys()
-        if len(self.rest) + len(missing) > CACHE:
-            self.old, self.rest, missing = self.rest, {}, rest
+        if len(self.rest) + len(missing) > CACHE or self.rest_chars > CACHE_CHARS:
+            self.old, self.rest, missing, self.rest_chars = self.rest, {}, rest, 0
+        self.rest_chars += sum(map(len, missing))
         again = missing & self.old.keys()
         self.rest.update((p, self.old[p]) for p in again)
         # An empty piece, or one that begins with white space, shows that its text must be cut with more care.
