@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_batch, components, map_arrow
+from .common import Scratch, arrow_batch, components, fresh_name, map_arrow
 
 SAMPLE, PER_CELL, MOST_CELLS, BLOCK = 16_384, 1_000, 1_024, 1_024
 
@@ -195,6 +195,11 @@ def near_duplicates(
     z: float | None = None, sample: int = SAMPLE, per_cell: int = PER_CELL, block: int = BLOCK,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of ``table``."""
+    with scratch.temporary() as own:
+        return scratch.save(_near_duplicates(table, own, threshold, key, vector, z, sample, per_cell, block))
+
+
+def _near_duplicates(table: DataFrame, scratch: Scratch, threshold: float, key: str, vector: str, z: float | None, sample: int, per_cell: int, block: int) -> DataFrame:
     vectors = _vectors(table, key, vector).withColumn("h", F.xxhash64("v")).withColumn("g", F.hash("v"))
     vectors = scratch.save(vectors)
     # Equal vectors: one representative with their number. Partial sums make a hot vector one row for each task.
@@ -246,5 +251,6 @@ def near_duplicates(
 
 def keep_representatives(table: DataFrame, scratch: Scratch, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
     """The rows of ``table`` that represent their group, with their own columns."""
-    gone = near_duplicates(table, scratch, threshold, key, vector, **options).where("not kept").select(F.col("vec_id").alias("__gone")).distinct()
-    return table.join(gone, F.col(f"`{key}`").cast("long") == F.col("__gone"), "left_anti")
+    gone = fresh_name("__gone", table)
+    others = near_duplicates(table, scratch, threshold, key, vector, **options).where("not kept").select(F.col("vec_id").alias(gone)).distinct()
+    return table.join(others, F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")

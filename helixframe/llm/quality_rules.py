@@ -154,11 +154,11 @@ def quality_verdicts(
 ) -> DataFrame:
     """One row per document: the statistics, ``base_failed`` and ``kept``."""
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))
-    stats = scratch.save(text_statistics(slim).drop("text"))
-    fences = scratch.save(thresholds(sketches(stats, "lang", "source"), fence))
-    return _verdict(stats, fences, "lang", "source", min_docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *ratios_columns()
-    )
+    with scratch.temporary() as own:
+        stats = own.save(text_statistics(slim).drop("text"))
+        fences = own.save(thresholds(sketches(stats, "lang", "source"), fence))
+        verdicts = _verdict(stats, fences, "lang", "source", min_docs)
+        return scratch.save(verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *ratios_columns()))
 
 
 def ratios_columns() -> list[Column]:

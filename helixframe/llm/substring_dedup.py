@@ -3,22 +3,25 @@
 Seeds: every run of ``window`` words holds ``window - SEED + 1`` word k-grams;
 its anchor is the one with the least hash (winnowing), so equal runs have equal
 anchors in equal places. Documents are joined on anchors that occur twice.
-Extend: an anchor's match reaches left and right as far as the runs around it
-are equal to runs around the same anchor elsewhere; runs that touch are one
-maximal repeat, which is at least ``window`` words long by construction. The
-first copy of a repeat, by doc_id and place, stays.
-
-Two shuffles carry seeds and runs, both cut down within each task first: a task
-keeps the first of equal seeds or runs of its own documents and settles the rest
-on the spot. Runs are dealt by their own hash, not by their anchor, so a common
-anchor with many different runs around it spreads over all tasks, and no key has
+Extend: an occurrence of such an anchor is extended to the left and to the right
+in every way that gives ``window`` words around it; each extension is one hash, and
+occurrences match in an extension if these are equal. Extensions that match and
+overlap or touch make a maximal repeat, which is at least ``window`` words long. The
+first copy of each, by doc_id and place, stays. Occurrences are not extended pair by
+pair, as a common anchor would then need all its pairs, or all of it in one task.
+
+Two shuffles carry seeds and extensions, both cut down within each task first: a task
+keeps the first of equal seeds or extensions of its own documents and settles the rest
+on the spot. Extensions are dealt by their own hash, not by their anchor, so a common
+anchor with many different words around it spreads over all tasks, and no key has
 more rows than tasks have read parts. A task holds one batch and one run. Texts are
 compressed before they are shuffled.
 
 Defined cases: a null text has no words; texts under ``window`` words keep all;
 rows with equal doc_id count as one document in which equal places do not repeat
 each other; rows with a null doc_id keep all; ties cannot occur otherwise, as
-(doc_id, place) is a total order. Sequences are compared by 64-bit hashes.
+(doc_id, place) is a total order; an empty table gives an empty one; columns of any
+name are kept by ``drop_repeats``. Sequences are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, arrow_batch, map_arrow, packed, unpack, utf8, word_hashes
+from .common import Powers, Scratch, arrow_batch, fresh_name, map_arrow, packed, unpack, utf8, word_hashes
 
 SEED = 6
 #: Runs or seeds that a task sorts together, in numbers.
@@ -211,13 +214,12 @@ def repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: str = "doc
     """(doc_id, marks): for each document with repeats, (start, bits) of the runs to remove."""
     if not SEED < window <= SEED + 31:
         raise ValueError(f"window must be from {SEED + 1} to {SEED + 31} words")
-    seeds = scratch.save(_seeds(docs, window, key, text))
-    live = _met_twice(seeds.where("not known")).unionByName(seeds.where("known").select("doc_id", "anchor"))
-    live = live.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # no more than a document has
-    runs = scratch.save(_runs(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(live, "doc_id"), window))
-    out = scratch.save(_repeated(runs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "bits")).alias("marks")))
-    scratch.drop(seeds, runs)
-    return out
+    with scratch.temporary() as own:
+        seeds = own.save(_seeds(docs, window, key, text))
+        live = _met_twice(seeds.where("not known")).unionByName(seeds.where("known").select("doc_id", "anchor"))
+        live = live.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # no more than a document has
+        runs = own.save(_runs(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(live, "doc_id"), window))
+        return scratch.save(_repeated(runs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "bits")).alias("marks")))
 
 
 def removed_words(n: int, marks: list[dict] | None, window: int) -> np.ndarray:
@@ -230,6 +232,24 @@ def removed_words(n: int, marks: list[dict] | None, window: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
+def maximal_repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, start, end): maximal passages, in words, of which every window of words starts earlier elsewhere too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+        for b in batches:
+            ids, starts, ends = [], [], []
+            for d, marks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                n = max(m["start"] + m["bits"].bit_length() for m in marks) + window
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], removed_words(n, marks, window), [False]])))
+                ids += [d] * (len(edge) // 2)
+                starts += edge[::2].tolist()
+                ends += edge[1::2].tolist()
+            yield arrow_batch(schema, ids, starts, ends)
+
+    return map_arrow(repeats(docs, scratch, window, key, text), run, "doc_id long, start int, end int")
+
+
 def dedup_digests(docs: DataFrame, scratch: Scratch, window: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
     marks = repeats(docs, scratch, window, key, text)
@@ -257,9 +277,10 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: str =
     Texts without a repeat stay as they are. In others, a removed word goes with
     the white space before it; documents of which nothing stays keep an empty text.
     """
-    marks = repeats(docs, scratch, window, key, text).withColumnRenamed("doc_id", "__key").withColumnRenamed("marks", "__marks")
     names, i = docs.columns, docs.columns.index(text)
-    joined = docs.join(marks, F.col(f"`{key}`").cast("long") == F.col("__key"), "left").select(*[docs[f"`{c}`"] for c in names], "__marks")
+    own, found = fresh_name("__key", docs), fresh_name("__marks", docs)
+    marks = repeats(docs, scratch, window, key, text).select(F.col("doc_id").alias(own), F.col("marks").alias(found))
+    joined = docs.join(marks, F.col(f"`{key}`").cast("long") == F.col(own), "left").select(*[F.col(f"`{c}`") for c in names], found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(rb"[^\x20\x09-\x0D]+")

@@ -68,7 +68,7 @@ def near(vectors, threshold=0.95):
 
 
 def repeats(docs, window=20):
-    """{doc_id: (n_words, n_removed, kept_sha256, kept words)}."""
+    """{doc_id: (n_words, n_removed, kept_sha256, kept words, their places)}."""
     words = {d: WORD.findall(t or "") for d, t in docs}
     seen, gone = set(), {d: set() for d in words}
     for d in sorted(words):
@@ -81,7 +81,7 @@ def repeats(docs, window=20):
     out = {}
     for d, w in words.items():
         kept = [x for i, x in enumerate(w) if i not in gone[d]]
-        out[d] = (len(w), len(gone[d]), hashlib.sha256(" ".join(kept).encode()).hexdigest(), kept)
+        out[d] = (len(w), len(gone[d]), hashlib.sha256(" ".join(kept).encode()).hexdigest(), kept, set(range(len(w))) - gone[d])
     return out
 
 

@@ -139,6 +139,11 @@ def test_substring_dedup(spark, docs):
         texts = {r["doc_id"]: r["text"] for r in substring_dedup.drop_repeats(df, Scratch(spark)).collect()}
         assert {d: brute.WORD.findall(t or "") for d, t in texts.items()} == {d: w[3] for d, w in want.items()}
         assert all(texts[d] == t for d, t in rows if not want[d][1])
+        gone = {d: set() for d in want}
+        for r in substring_dedup.maximal_repeats(df, Scratch(spark)).collect():
+            assert r["end"] - r["start"] >= 20 and not {r["start"] - 1, r["end"]} & gone[r["doc_id"]]
+            gone[r["doc_id"]] |= set(range(r["start"], r["end"]))
+        assert gone == {d: set(range(w[0])) - w[4] for d, w in want.items()}
 
 
 def test_substring_dedup_small_chunks(spark, docs, monkeypatch):
@@ -388,7 +393,7 @@ def test_secret_scan_whole_literals_and_all_targets(spark):
 def test_toxicity(spark):
     table, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
-    model = toxicity.fit(table, labels, learn)
+    model = toxicity.fit(table, labels, learn, Scratch(spark))
     got = toxicity.score_toxicity(table, model).join(labels, "doc_id").where(~learn)
     rows = got.select("predicted", "toxic", "score").collect()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
@@ -397,7 +402,7 @@ def test_toxicity(spark):
     assert sum(caught) >= 0.9 * len(caught)
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "x")], "doc_id long, text string")
     assert len({r["score"] for r in toxicity.score_toxicity(odd, model).collect() if r["doc_id"] < 3}) == 1
-    nothing = toxicity.fit(table, labels.limit(0), learn)
+    nothing = toxicity.fit(table, labels.limit(0), learn, Scratch(spark))
     assert toxicity.score_toxicity(odd, nothing).select(F.max("score")).first()[0] == 0.5
 
 
