@@ -21,14 +21,22 @@ def sort_alignments(reads: DataFrame, by: str = "coordinate", tag: str | None =
     return reads.orderBy(*([tag, "chrom", "pos", *rest] if tag else order[by]))
 
 
-def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+def _close(a: Column, b: Column, distance: int) -> Column:
+    """Whether names ending in ``:tile:x:y`` tell of clusters of one tile that are so close in both directions."""
+    p, q = (F.when(F.size(F.split(n, ":")) >= 5, F.slice(F.split(n, ":"), -3, 3)) for n in (a, b))
+    apart = lambda i: F.abs(F.get(p, i).try_cast("long") - F.get(q, i).try_cast("long"))
+    return F.coalesce((F.get(p, 0) == F.get(q, 0)) & (apart(1) <= distance) & (apart(2) <= distance), F.lit(False))
+
+
+def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...] = ("sample",), optical_distance: int = 0) -> DataFrame:
     """Duplicates get flag 1024, or go.
 
     Both ends of a pair are gathered by name, so that a fragment is one row: its
     unclipped 5' ends and strands are its key; of fragments with equal key the one
     with the largest sum of base qualities stays. Single reads with an end that a
     pair has are duplicates of it; others are compared with single reads.
-    Secondary, supplementary and unmapped reads are left alone.
+    Secondary, supplementary and unmapped reads are left alone. With an
+    ``optical_distance`` the column ``optical`` tells which duplicates lie so close to the one that stays.
     """
     good = F.filter(qualities(F.col("qual")), lambda q: q >= 15)
     score = F.aggregate(good, F.lit(0), lambda a, x: a + x)
@@ -41,11 +49,12 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
     # The rows of pairs come first among single reads: nulls are least.
     rivals = fragments.select(*keys, "a", "b", "ends", "score", "qname").unionByName(pair_ends)
     best = rivals.groupBy(*keys, "a", "b", "ends").agg(F.min(F.struct((-F.col("score")).alias("s"), "qname")).alias("best"))
-    losers = fragments.join(best, [*keys, "a", "b", "ends"]).where(~F.col("qname").eqNullSafe(F.col("best.qname"))).select(*keys, "qname", F.lit(True).alias("__dup"))
+    losers = fragments.join(best, [*keys, "a", "b", "ends"]).where(~F.col("qname").eqNullSafe(F.col("best.qname"))).select(*keys, "qname", F.lit(True).alias("__dup"), _close(F.col("qname"), F.col("best.qname"), optical_distance).alias("__close"))
     eligible = F.col("flag").bitwiseAND(F.lit(4 | 256 | 2048)) == 0
     clean = F.col("flag").bitwiseAND(F.lit(~1024))
     out = reads.join(losers, [*keys, "qname"], "left").withColumn("flag", F.when(eligible & F.col("__dup"), clean.bitwiseOR(F.lit(1024))).when(eligible, clean).otherwise(F.col("flag")))
-    out = out.select(*reads.columns)
+    optical = F.coalesce(eligible & F.col("__dup") & F.col("__close"), F.lit(False)).alias("optical")
+    out = out.select(*reads.columns, *([optical] if optical_distance else []))
     return out.where(~has_flag(F.col("flag"), 1024)) if remove else out
 
 
@@ -53,17 +62,20 @@ def duplication_metrics(marked: DataFrame, keys: tuple[str, ...] = ("sample",))
     """unpaired and pairs examined, their duplicates, percent_duplication and the estimated size of the library.
 
     The size x solves ``distinct / x = 1 - exp(-pairs / x)``; null without pairs or without duplicates among them.
+    Optical duplicates, if ``marked`` tells them, are counted too and are no pairs of the library.
     """
     f = F.col("flag")
     primary = marked.where(f.bitwiseAND(F.lit(4 | 256 | 2048)) == 0)
     paired = has_flag(f, 1) & ~has_flag(f, 8)
     n = lambda test: F.sum(F.when(test, 1).otherwise(0)).cast("long")
     m = primary.groupBy(*keys).agg(
-        n(~paired).alias("unpaired_examined"), F.floor(n(paired) / 2).alias("pairs_examined"), n(~paired & has_flag(f, 1024)).alias("unpaired_duplicates"), F.floor(n(paired & has_flag(f, 1024)) / 2).alias("pair_duplicates")
-    )
+        n(~paired).alias("unpaired_examined"), F.floor(n(paired) / 2).alias("pairs_examined"), n(~paired & has_flag(f, 1024)).alias("unpaired_duplicates"), F.floor(n(paired & has_flag(f, 1024)) / 2).alias("pair_duplicates"),
+        *([F.floor(n(paired & F.col("optical")) / 2).alias("optical_duplicates")] if "optical" in marked.columns else []),
+    )
+    optical = F.col("optical_duplicates") if "optical" in marked.columns else F.lit(0)
     dup, total = F.col("unpaired_duplicates") + 2 * F.col("pair_duplicates"), F.col("unpaired_examined") + 2 * F.col("pairs_examined")
     m = m.withColumn("percent_duplication", rate(dup, total, 1.0))
-    pairs, distinct = F.col("pairs_examined").cast("double"), (F.col("pairs_examined") - F.col("pair_duplicates")).cast("double")
+    pairs, distinct = (F.col("pairs_examined") - optical).cast("double"), (F.col("pairs_examined") - F.col("pair_duplicates")).cast("double")
 
     def halve(a: Column, _: Column) -> Column:
         mid = (a["low"] + a["high"]) / 2

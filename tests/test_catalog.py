@@ -137,6 +137,17 @@ def test_single_reads_lose_to_pairs(spark):
     assert A.mark_duplicates(reads, remove=True).count() == 4
 
 
+def test_optical_duplicates(spark):
+    row = lambda q, flag, pos, qual="I": ("s", q, flag, "c", pos, 60, "4M", "ACGT", qual * 4)
+    names = {"m:1:f:1:7:1000:1000": "J", "m:1:f:1:7:1100:950": "I", "m:1:f:1:7:1101:1000": "I", "m:1:f:1:8:1000:1000": "I", "plain": "I"}
+    reads = spark.createDataFrame([row(q, f, p, x) for q, x in names.items() for f, p in ((1 | 64, 10), (1 | 128 | 16, 50))], READ)
+    marked = A.mark_duplicates(reads, optical_distance=100)
+    assert {(r["qname"], r["optical"]) for r in marked.where("flag & 1024 <> 0").collect()} == {(q, q.endswith("1100:950")) for q in list(names)[1:]}
+    m = A.duplication_metrics(marked).first()
+    assert (m["pairs_examined"], m["pair_duplicates"], m["optical_duplicates"]) == (5, 4, 1)
+    assert A.mark_duplicates(reads).columns == reads.columns
+
+
 def test_library_size(spark):
     reads = [("s", f"r{i}", 1 | 64 | (1024 if i % 4 == 0 else 0), "c", i, 60, "4M", "ACGT", "IIII") for i in range(4000)]
     m = A.duplication_metrics(spark.createDataFrame(reads, READ)).first()
