@@ -352,8 +352,8 @@ def _similar_sets(docs: DataFrame, scratch: Scratch, percent: int, n: int, key:
 def drop_similar(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest key.
 
-    Rows with a null key stay; of rows with equal key all stay or go together.
+    Documents and the ids that go meet by a merge join at every size, as there is no bound on those ids. Rows with a null key stay; of rows with equal key all stay or go together.
     """
     gone = fresh_name("__gone", docs)
     similar = similar_sets(docs, scratch, percent, n, key, text).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(similar, F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")
+    return docs.join(similar.hint("merge"), F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")

@@ -58,7 +58,10 @@ def _repeat_words(words: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines, all long."""
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines, all long.
+
+    The generator keeps later filters from being pushed below the statistics, which would compute them again.
+    """
     raw = F.coalesce(F.col(text).cast("string"), F.lit(""))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -76,8 +79,7 @@ def text_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> Da
     pair = F.array(F.struct(words_of(F.col(text)).alias("w"), lines.alias("l")))
     stats = F.transform(pair, lambda p: row(p["w"], p["l"]))[0]
     kept = docs.columns
-    out = docs.withColumn("__stats", stats)
-    return out.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"__stats.{n}").alias(prefix + n) for n in names])
+    return docs.select(*[F.col(f"`{c}`") for c in kept], F.inline(F.array(stats)).alias(*[prefix + n for n in names]))
 
 
 def ratios(prefix: str = "") -> dict[str, Column]:
@@ -171,12 +173,12 @@ def quality_filter(
 ) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    Rows are written once with their statistics, so that these are computed once
-    and whole texts are never shuffled: fences, not texts, are joined.
+    Statistics are computed once for the sketches and once for the verdict, so
+    that whole texts are neither shuffled nor written: fences, not texts, are joined.
     """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")).select(
         "__row", F.col(f"__row.`{text}`").alias("text"), F.col(f"__row.`{lang}`").cast("string").alias("lang"), F.col(f"__row.`{source}`").cast("string").alias("source")
     )
-    stats = scratch.save(text_statistics(row).drop("text"))
+    stats = text_statistics(row).drop("text")
     fences = scratch.save(thresholds(sketches(stats, "lang", "source"), fence))
     return _verdict(stats, fences, "lang", "source", min_docs).where("kept").select("__row.*")
