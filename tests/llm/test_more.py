@@ -49,7 +49,7 @@ def test_sql_of_awkward_rows(spark, name):
 @pytest.mark.parametrize("n", [99, 100, 101])
 def test_small_groups_are_judged_by_larger_ones(spark, n):
     r = random.Random(n)
-    text = lambda k: " ".join(f"w{r.randint(0, 10**6)}" + "#" * (r.random() < k) for _ in range(60))
+    text = lambda k: " ".join(f"w{r.randint(0, 10**6)}" + "###" * (r.random() < k) for _ in range(60))
     rows = [(i, text(0.9), "en", "code", 0) for i in range(n)] + [(1000 + i, text(0.01), "en", "plain", 0) for i in range(1500)]
     docs = spark.createDataFrame(rows, DOCS)
     con = duckdb.connect()
