@@ -124,7 +124,7 @@ def read_stats(reads: DataFrame, keys: tuple[str, ...] = ("sample",), skip: int
     blocks = r.where(~has_flag(f, 4)).select("chrom", *keys, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b")).select("chrom", *keys, F.col("b.s").alias("start_pos"), F.col("b.e").alias("end_pos"))
     runs = per_base_depth(blocks, keys=tuple(keys))
     if targets is not None:
-        pairs = interval_join(runs, targets.select("chrom", "start_pos", "end_pos"))
+        pairs = interval_join(runs, targets.select("chrom", "start_pos", "end_pos"), ("right",))
         runs = pairs.select(*keys, "depth", F.greatest("start_pos", "r_start_pos").alias("start_pos"), F.least("end_pos", "r_end_pos").alias("end_pos"))
     cov = runs.groupBy(*keys, F.lit("COV").alias("section"), F.least("depth", F.lit(most_depth)).cast("string").alias("bin")).agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n"))
     return out.unionByName(cov)

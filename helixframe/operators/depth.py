@@ -119,7 +119,7 @@ def callable_summary(summary: DataFrame, min_depth: float = 10, region_bases: Da
 
 def callable_in_bed(runs: DataFrame, bed: DataFrame, min_depth: int = 10) -> DataFrame:
     """Bases of the rows of ``bed`` with enough depth; bases of two rows count twice."""
-    pairs = interval_join(bed.select("chrom", "start_pos", "end_pos"), runs.where(F.col("depth") >= min_depth))
+    pairs = interval_join(bed.select("chrom", "start_pos", "end_pos"), runs.where(F.col("depth") >= min_depth), ("left",))
     size = F.least("end_pos", "r_end_pos") - F.greatest("start_pos", "r_start_pos")
     return pairs.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("callable_bases"))
 
@@ -189,7 +189,7 @@ def depth_distribution(runs: DataFrame) -> DataFrame:
 
 
 def _covered(regions: DataFrame, runs: DataFrame) -> DataFrame:
-    pairs = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), runs.select("chrom", "start_pos", "end_pos", "depth"))
+    pairs = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), runs.select("chrom", "start_pos", "end_pos", "depth"), ("left",))
     size = (F.least("end_pos", "r_end_pos") - F.greatest("start_pos", "r_start_pos")).alias("n")
     return pairs.select("chrom", "start_pos", "end_pos", F.col("r_depth").alias("depth"), size)
 

@@ -2,8 +2,9 @@
 
 Tables have ``chrom, start_pos, end_pos`` (0-based, half-open) and any other
 columns. Chromosomes are few and uneven, so nothing is keyed by them alone: joins
-are on (chrom, bin), and running sums and maxima are taken within bins, with
-what earlier bins pass on held in a table of one row for each bin.
+are on (chrom, bin) with bins as wide as the intervals that meet in them, and running
+sums and maxima are taken within bins, with what earlier bins pass on held in a
+table of one row for each bin.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-JOIN_BIN = 16_384
+#: Bins of the narrowest level are 64 bases wide (2 ** 6), those of each further level four times as wide.
+NARROWEST, LEVELS = 6, 13
 SCAN_BIN = 1 << 20
 
 
@@ -62,29 +64,82 @@ def bed_to_interval_list(bed: DataFrame, contigs: DataFrame) -> DataFrame:
     return _known(bed, contigs).select("chrom", (F.col("start_pos") + 1).alias("start_pos"), F.col("end_pos"), *[c for c in bed.columns if c not in ("chrom", "start_pos", "end_pos")])
 
 
-def with_bins(df: DataFrame, start: str = "start_pos", end: str = "end_pos", size: int = JOIN_BIN, name: str = "bin") -> DataFrame:
-    """One row for each bin that an interval touches; empty intervals touch none."""
-    bins = F.sequence(F.floor(F.col(start) / size), F.floor((F.col(end) - 1) / size))
-    return df.where(F.col(start) < F.col(end)).withColumn(name, F.explode(bins))
+def _level(start: str, end: str) -> Column:
+    """The first level at which an interval is at most two bins long, so that it touches three at most."""
+    bits = F.length(F.bin(F.col(end) - F.col(start) - 1))
+    return F.least(F.greatest(F.call_function("shiftright", bits - NARROWEST, F.lit(1)), F.lit(0)), F.lit(LEVELS - 1))
 
 
-def interval_join(left: DataFrame, right: DataFrame, size: int = JOIN_BIN, how: str = "inner") -> DataFrame:
+def _levels(df: DataFrame, start: str, end: str) -> DataFrame:
+    """One row: the levels that occur, at most ``LEVELS`` numbers."""
+    return df.where(F.col(start) < F.col(end)).agg(F.collect_set(_level(start, end)).alias("__levels"))
+
+
+def _placed(df: DataFrame, start: str, end: str, others: DataFrame | None, first: bool) -> DataFrame:
+    """One row for each place, ``__bin``, where an interval can meet one of the other side.
+
+    Two intervals meet at the wider of their two levels, in a bin that says which side is
+    the wider one (0: the second or both, 1: the first), so intervals that are both
+    narrow never meet in a wide bin. Of the levels above its own, an interval goes to
+    those that the other side has (all of them where ``others`` is None).
+    """
+    rows = df.where(F.col(start) < F.col(end))
+    if others is None:
+        rows = rows.withColumn("__levels", F.array(*[F.lit(k) for k in range(LEVELS)]))
+    else:
+        rows = rows.crossJoin(F.broadcast(others))  # one row
+    rows = rows.withColumn("__own", _level(start, end))
+    own, wider = F.col("__own"), 0 if first else 1
+
+    def bins(level: Column, owner: int) -> Column:
+        width = F.lit(NARROWEST) + 2 * level
+        touched = F.sequence(F.call_function("shiftright", F.col(start), width), F.call_function("shiftright", F.col(end) - 1, width))
+        return F.transform(touched, lambda b: b * 32 + level * 2 + owner)
+
+    at_least = (lambda m: m >= own) if first else (lambda m: m > own)
+    narrower = (lambda m: m < own) if first else (lambda m: m <= own)
+    above = F.flatten(F.transform(F.filter("__levels", at_least), lambda m: bins(m, wider)))
+    here = F.when(F.exists("__levels", narrower), bins(own, 1 - wider)).otherwise(F.array().cast("array<bigint>"))
+    return rows.select(*df.columns, F.explode(F.concat(above, here)).alias("__bin"))
+
+
+def _candidates(left: DataFrame, right: DataFrame, measure: tuple[str, ...]) -> DataFrame:
+    """Pairs that share a bin; ``right`` has its columns with the prefix already."""
+    of_left = _levels(left, "start_pos", "end_pos") if "left" in measure else None
+    of_right = _levels(right, "r_start_pos", "r_end_pos") if "right" in measure else None
+    return _placed(left, "start_pos", "end_pos", of_right, True).join(_placed(right, "r_start_pos", "r_end_pos", of_left, False), ["chrom", "__bin"])
+
+
+def interval_join(left: DataFrame, right: DataFrame, measure: tuple[str, ...] = ("left", "right")) -> DataFrame:
     """Pairs of overlapping intervals; columns of ``right`` but chrom get the prefix ``r_``.
 
-    Each pair is kept only in the bin of the larger start, so no distinct is needed.
+    Intervals meet in bins about as wide as the wider of the two, so the work follows the
+    pairs that overlap, at any density and mix of lengths, and a long interval is in
+    three bins, not in all that it covers. Each pair is kept only in the bin of the
+    larger start, so no distinct is needed. Which lengths occur is read from the sides in
+    ``measure``, by one small aggregate each; name only one where the other is costly to
+    compute, and the rows of the named side are placed for all lengths. Empty
+    intervals and those without a start or an end overlap nothing.
     """
     r = right.select("chrom", *[F.col(c).alias(f"r_{c}") for c in right.columns if c != "chrom"])
-    pairs = with_bins(left, size=size).join(with_bins(r, "r_start_pos", "r_end_pos", size), ["chrom", "bin"])
-    pairs = pairs.where("start_pos < r_end_pos and r_start_pos < end_pos")
-    return pairs.where(F.floor(F.greatest("start_pos", "r_start_pos") / size) == F.col("bin")).drop("bin")
+    pairs = _candidates(left, r, measure).where("start_pos < r_end_pos and r_start_pos < end_pos")
+    width = F.lit(NARROWEST) + F.call_function("shiftright", F.col("__bin"), F.lit(1)).bitwiseAND(F.lit(15)).cast("int") * 2
+    later = F.call_function("shiftright", F.greatest("start_pos", "r_start_pos"), width)
+    return pairs.where(later == F.call_function("shiftright", F.col("__bin"), F.lit(5))).drop("__bin")
+
 
+def restrict_to_targets(points: DataFrame, targets: DataFrame, pos: str = "pos") -> DataFrame:
+    """Rows at 1-based positions inside any target.
 
-def restrict_to_targets(points: DataFrame, targets: DataFrame, pos: str = "pos", size: int = JOIN_BIN) -> DataFrame:
-    """Rows at 1-based positions inside any target."""
-    t = with_bins(targets.select(F.col("chrom").alias("t_chrom"), F.col("start_pos").alias("t_start"), F.col("end_pos").alias("t_end")), "t_start", "t_end", size, "t_bin")
-    zero = F.col(pos) - 1
-    on = (F.col("chrom") == F.col("t_chrom")) & (F.floor(zero / size) == F.col("t_bin")) & (zero >= F.col("t_start")) & (zero < F.col("t_end"))
-    return points.join(t, on, "left_semi")
+    Targets are merged first, so that a row is in one at most and needs no distinct.
+    """
+    t = merge_intervals(targets.select("chrom", "start_pos", "end_pos")).select(F.col("chrom").alias("__chrom"), F.col("start_pos").alias("__start"), F.col("end_pos").alias("__end"))
+    p = points.withColumn("__p", F.col(pos) - 1).withColumn("__q", F.col(pos))
+    p = _placed(p, "__p", "__q", _levels(t, "__start", "__end"), True)
+    one = t.limit(0).agg(F.array(F.lit(0)).alias("__levels"))  # points are of the narrowest level
+    t = _placed(t, "__start", "__end", one, False).withColumnRenamed("__bin", "__t_bin")
+    on = (F.col("chrom") == F.col("__chrom")) & (F.col("__bin") == F.col("__t_bin")) & (F.col("__p") >= F.col("__start")) & (F.col("__p") < F.col("__end"))
+    return p.join(t, on, "left_semi").select(*points.columns)
 
 
 def carry(df: DataFrame, keys: list[str], bin_name: str, value: Column, name: str) -> DataFrame:

@@ -234,7 +234,7 @@ def fasta_regions(chunks: DataFrame, regions: DataFrame, reverse: bool = False,
     With a ``width`` the sequence is cut into lines of that many bases.
     """
     c = chunks.select("chrom", F.col("offset").alias("start_pos"), (F.col("offset") + F.length("seq")).alias("end_pos"), "seq")
-    j = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), c)
+    j = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), c, ("left",))
     a, e = F.greatest("start_pos", "r_start_pos"), F.least("end_pos", "r_end_pos")
     piece = F.substring("r_seq", (a - F.col("r_start_pos") + 1).cast("int"), (e - a).cast("int"))
     out = j.groupBy("chrom", "start_pos", "end_pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("r_start_pos").alias("o"), piece.alias("s")))), lambda x: x["s"]), "").alias("seq"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zipfile
 
 import duckdb
@@ -54,6 +55,52 @@ def test_merge_over_bin_edges(spark):
     assert got == {("a", 0, 40, 4), ("a", 42, 44, 1), ("b", 5, 70, 3)}
 
 
+BED = "chrom string, start_pos long, end_pos long, name string"
+
+
+def spread(rng, n, longest, contig=200_000):
+    """Intervals of lengths over all magnitudes."""
+    out = []
+    for i in range(n):
+        length = int(longest ** rng.random())
+        start = rng.randrange(0, max(1, contig - length))
+        out.append((rng.choice("ab"), start, start + length, f"i{i}"))
+    return out
+
+
+@pytest.mark.parametrize("longest", [2, 100, 200_000])
+@pytest.mark.parametrize("measure", [("left", "right"), ("left",), ("right",)])
+def test_interval_join_over_all_lengths(spark, longest, measure):
+    rng = random.Random(longest)
+    left = [*spread(rng, 300, 200_000), ("a", 0, 200_000, "whole"), ("a", 5, 5, "empty"), ("b", None, 7, "null"), ("a", 64, 128, "edge"), ("c", 0, 9, "alone")]
+    right = [*spread(rng, 300, longest), ("b", 0, 200_000, "all"), ("a", 128, 192, "next"), ("a", 127, 128, "last"), ("a", 9, 3, "turned")]
+    got = sorted((r["name"], r["r_name"]) for r in I.interval_join(spark.createDataFrame(left, BED), spark.createDataFrame(right, BED), measure).collect())
+    ok = lambda x: x[1] is not None and x[2] is not None and x[1] < x[2]
+    want = sorted((x[3], y[3]) for x in filter(ok, left) for y in filter(ok, right) if x[0] == y[0] and x[1] < y[2] and y[1] < x[2])
+    assert got == want and ("whole", "last") in want
+
+
+def test_interval_join_work_follows_its_pairs(spark):
+    """Dense reads and targets with one interval as long as the contig on each side."""
+    rng = random.Random(5)
+    read = lambda i, n: (lambda s: ("a", s, s + n, str(i)))(rng.randrange(100_000))
+    left = spark.createDataFrame([*(read(i, rng.randint(50, 100)) for i in range(4000)), ("a", 0, 100_000, "whole")], BED)
+    right = spark.createDataFrame([*(read(i, rng.randint(20, 200)) for i in range(4000)), ("a", 0, 100_000, "whole")], BED)
+    r = right.select("chrom", *[F.col(c).alias(f"r_{c}") for c in ("start_pos", "end_pos", "name")])
+    pairs, candidates = I.interval_join(left, right).count(), I._candidates(left, r, ("left", "right"))
+    assert pairs > 30_000 and candidates.count() <= 3 * pairs
+    assert candidates.where("name = 'whole'").select("__bin").distinct().count() < 20
+
+
+def test_points_in_targets(spark):
+    rng = random.Random(3)
+    targets = [*spread(rng, 40, 50_000), ("c", 10, 20, "t"), ("c", 20, 30, "u"), ("c", 15, 16, "v")]
+    points = [(c, p) for c in "ab" for p in rng.sample(range(1, 200_000), 400)] + [("c", p) for p in (10, 11, 20, 21, 30, 31, 31)] + [("d", 5), ("a", None)]
+    got = sorted((r["chrom"], r["pos"]) for r in I.restrict_to_targets(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame(targets, BED)).collect())
+    assert got == sorted((c, p) for c, p in points if p is not None and any(t[0] == c and t[1] < p <= t[2] for t in targets))
+    assert I.restrict_to_targets(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame([], BED)).count() == 0
+
+
 def test_variant_types_and_multiallelic(spark):
     v = spark.createDataFrame([("A", "T"), ("A", "AT"), ("AT", "A"), ("AT", "GC"), ("A", "T,C")], "ref string, alt string")
     assert [r[0] for r in V.typed(v).select("type").collect()] == ["SNV", "INSERTION", "DELETION", "COMPLEX", "INSERTION"]
