@@ -116,3 +116,61 @@ select r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
     {', '.join('r.' + m for m in _RATIOS)}
 from ratios r {_joins()}
 """.replace("$$", "'")
+
+
+LINE_DEDUP = """
+with lines as (
+    select doc_id, line, i, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from (
+        select doc_id, unnest(l) as line, unnest(range(1, len(l) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents))
+), common as (
+    select k, max(doc_id) as keeper from lines where length(k) >= 40 group by k having count(distinct doc_id) >= 5
+), judged as (
+    select doc_id, i, line, c.k is not null and doc_id <> keeper as gone from lines l left join common c on c.k = l.k
+)
+select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (gone) as bigint) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
+def _crc32(text: str) -> str:
+    """SQL of the CRC-32 of an ASCII text, bit by bit."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split({text}, ''), lambda z: cast(ascii(z) as bigint))), lambda c, b: {step}), 4294967295)"
+
+
+def _tree(name: str, key: str, levels: int) -> str:
+    """SQL of the levels of trees from <name>0 (key, pos, d, n), and of the siblings of their nodes."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} as (
+    select {key}, pos // 8 as pos, case when any_value(n) = 1 then any_value(d) else sha256(string_agg(d, '' order by pos)) end as d, (any_value(n) + 7) // 8 as n from {name}{k} group by {key}, pos // 8
+), {name}s{k} as (
+    select a.{key}, a.pos, a.n, coalesce(string_agg(b.d, '' order by b.pos) filter (b.pos < a.pos), '') as before, coalesce(string_agg(b.d, '' order by b.pos) filter (b.pos > a.pos), '') as after
+    from {name}{k} a join {name}{k} b on a.{key} = b.{key} and a.pos // 8 = b.pos // 8 group by all
+)""")
+    return ", ".join(out)
+
+
+def _merkle(depth: int = 8, top: int = 4) -> str:
+    """For at most 8 ** depth rows in a lang and 8 ** top langs."""
+    cell = lambda c, v: f"case when {c} is null then '-' else strlen(cast({v} as varchar)) || ':' || cast({v} as varchar) end"
+    leaf = lambda text: f"sha256({' || '.join(cell(c, text if c == 'text' else c) for c in ('doc_id', 'source', 'lang', 'n_chars', 'text'))})"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ways = [(f"ts{k}", "tree", "l.tree", f"l.pos // {8**k}") for k in range(depth)] + [(f"us{k}", "tree", "0", f"p.pos // {8**k}") for k in range(top)]
+    joins = " ".join(f"join {s} w{i} on w{i}.{key} = {tree} and w{i}.pos = {pos}" for i, (s, key, tree, pos) in enumerate(ways))
+    steps = ", ".join(f"f{i + 1} as (select * exclude (f), case when n{i} = 1 then f else sha256(b{i} || f || a{i}) end as f from f{i})" for i in range(len(ways)))
+    return f"""
+with leaves as (
+    select doc_id, case when lang is null then '' else '=' || lang end as tree, {leaf('text')} as d, case when doc_id is not null and {_crc32('cast(doc_id as varchar)')} % 3 = 0 then {leaf(lower)} else {leaf('text')} end as claimed from documents
+), t0 as (select *, row_number() over (partition by tree order by doc_id nulls first, d) - 1 as pos, count(*) over (partition by tree) as n from leaves
+), {_tree('t', 'tree', depth)}, u0 as (select 0 as tree, tree as lang, row_number() over (order by tree) - 1 as pos, d, count(*) over () as n from t{depth}
+), {_tree('u', 'tree', top)}, f0 as (
+    select l.doc_id, l.d as leaf, p.d as subroot, (select d from u{top}) as root, l.claimed as f, sha256({' || '.join(f'w{i}.before || w{i}.after' for i in range(len(ways)))}) as proof_sha256,
+        {', '.join(f'w{i}.n as n{i}, w{i}.before as b{i}, w{i}.after as a{i}' for i in range(len(ways)))}
+    from t0 l join u0 p on p.lang = l.tree {joins}
+), {steps}
+select doc_id, leaf, subroot, root, proof_sha256, f as folded_root, f = root as verified from f{len(ways)}
+"""
+
+
+MERKLE_MANIFEST = _merkle()

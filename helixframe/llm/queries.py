@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, license_scan, ngram_jaccard, oracles, packing, quality_rules, secret_scan, substring_dedup, toxicity
+from . import bpe, conversations, embedding_dedup, language_id, license_scan, line_dedup, merkle, ngram_jaccard, oracles, packing, quality_rules, secret_scan, substring_dedup, toxicity
 from .common import Scratch
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -69,11 +69,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", F.coalesce(_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digests(table(spark, sf_dir, "documents"), Scratch(spark), _fold("doc_id", 3) == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """The ten operators over their whole tables."""
+    """The operators over their whole tables."""
     ops = (
         op1_ngram_jaccard, op2_embedding_dedup, op3_substring_dedup, op4_language_id, op5_license_scan,
         op6_byte_bpe, op7_quality_rules, op8_best_fit_packing, op9_secret_scan, op10_toxicity,
+        op11_line_dedup, op12_merkle_manifest, op13_conversation_repair,
     )
     return {f.__name__: f for f in ops}
 
@@ -85,4 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_dedup": oracles.EMBEDDING_DEDUP,
         "op3_substring_dedup": oracles.SUBSTRING_DEDUP,
         "op7_quality_rules": oracles.QUALITY_RULES,
+        "op11_line_dedup": oracles.LINE_DEDUP,
+        "op12_merkle_manifest": oracles.MERKLE_MANIFEST,
     }
