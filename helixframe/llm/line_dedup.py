@@ -87,14 +87,15 @@ class LineRuns:
         return run
 
     def merged(self) -> DataFrame:
-        """All runs as one: (h1, h2, docs, keeper)."""
-        return self._merge(self.runs())
+        """All runs as one: (h1, h2, docs, keeper). Not in buckets, so that joins with hot hashes are split."""
+        runs = self.runs()
+        return self._merge(runs) if len(runs) > 1 else self.scratch.plain(runs[0])
 
     def _merge(self, runs: list[DataFrame]) -> DataFrame:
         every = [self.scratch.plain(run) for run in runs]
         for run in every[1:]:
             every[0] = every[0].unionByName(run)
-        return every[0].groupBy(*_HASH).agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper")) if len(runs) > 1 else runs[0]
+        return every[0].groupBy(*_HASH).agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
 
     def _save(self, run: DataFrame) -> DataFrame:
         return self.scratch.save_by(run, *_HASH, in_order=True)
