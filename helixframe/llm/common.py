@@ -105,12 +105,14 @@ def fresh_name(name: str, *tables: DataFrame) -> str:
 def hashed_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     """Of the distinct rows (group, key), up to ``most`` of each group: those whose key has the least hash.
 
-    Rows whose hash is too large by far for that are left out before any are
-    compared, so that a large group is never sorted in one task.
+    Repeated rows are one from the beginning, by a partial aggregate. Rows whose hash is
+    too large by far for the number of distinct keys of their group are left out before any
+    are compared, so that a large group is never sorted in one task.
     """
-    counts = rows.groupBy(group).agg(F.count("*").alias("rows"))
+    distinct = rows.groupBy(group, key).agg(F.lit(1).alias("one"))
+    counts = distinct.groupBy(group).agg(F.count("*").alias("keys"))
     place = (F.xxhash64(key) / F.lit(2.0**63) + 1) / 2  # from 0 to 1
-    near = rows.join(counts, group).where(place * F.col("rows") <= most + 8 * math.sqrt(most) + 16).select(group, key).distinct()
+    near = distinct.join(counts, group).where(place * F.col("keys") <= most + 8 * math.sqrt(most) + 16).select(group, key)
     w = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
     return near.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).select(group, key)
 

@@ -8,8 +8,8 @@ the temperature and the confidence under which a prediction is rejected.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows without a language are never learned from; without any labelled row every
-text is ``und``; repeated rows get equal answers and count as often as they
-stand; rows with a null key are answered, not learned from; an empty table gives
+text is ``und``; repeated rows get equal answers and are one document to
+learn from; rows with a null key are answered, not learned from; an empty table gives
 an empty one; other columns are not read. Whole texts are read, of any length.
 """
 
@@ -154,11 +154,12 @@ def fit(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
     """Train on up to ``per_lang`` documents of each language among those where ``learn`` holds.
 
     Documents are chosen by their ids alone, so no text is sorted or shuffled;
-    the chosen ids, a bounded number, are broadcast to the scan of the texts.
+    the chosen ids, a bounded number, are broadcast to the scan of the texts. Repeated
+    rows of one language and id are one document, that of the least text, so what is learnt from is bounded too.
     """
     slim = docs.where(learn & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     ids = hashed_sample(slim.select("lang", "key"), "lang", "key", per_lang)
-    chosen = slim.join(F.broadcast(ids), ["lang", "key"]).select("lang", "text")
+    chosen = slim.join(F.broadcast(ids), ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("at", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])

@@ -10,7 +10,7 @@ a hash of doc_id.
 Defined cases: null and empty texts hold no n-gram and get the score of the
 intercept; labels other than 0 and 1, and those of ids with both, are not learned
 from; without labels of both classes every score is the share of label 1; repeated
-rows score alike and are learned from as often as they stand; rows with a null key
+rows score alike and are one document to learn from; rows with a null key
 are scored, not learned from; an empty table gives an empty one; other columns are
 not read. Whole texts are read, of any length.
 """
@@ -92,14 +92,18 @@ def fit(
     docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, key: str = "doc_id", text: str = "text", label: str = "toxic",
     per_class: int = 4000, n_features: int = 2048, min_docs: int = 3,
 ) -> ToxicityModel:
-    """Train on labelled documents for which ``learn``, a condition on doc_id, holds."""
+    """Train on labelled documents for which ``learn``, a condition on doc_id, holds.
+
+    Ids with both labels teach nothing. Repeated rows of one id are one document, that of
+    the least text, so at most ``per_class`` documents of a label reach the driver.
+    """
     marked = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     marked = marked.groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").select("label", "key")
     # At most 2 x per_class ids are broadcast to the scan; no text is shuffled.
     ids = hashed_sample(marked, "label", "key", per_class)
     slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     with scratch.temporary() as own:
-        return _fitted(own.save(slim.join(F.broadcast(ids), "key").select("label", "text")), n_features, min_docs)
+        return _fitted(own.save(slim.join(F.broadcast(ids), "key").groupBy("label", "key").agg(F.min("text").alias("text")).select("label", "text")), n_features, min_docs)
 
 
 def _fitted(chosen: DataFrame, n_features: int, min_docs: int) -> ToxicityModel:

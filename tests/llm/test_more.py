@@ -127,6 +127,35 @@ def test_hashed_sample_is_of_the_least_hashes(spark):
     assert got == {("a", k) for k in order} | {("b", i) for i in range(7)}
 
 
+def test_repeated_rows_drop_no_group_of_a_sample(spark):
+    rows = spark.range(60_000).select(F.lit("a").alias("g"), F.lit(0).cast("long").alias("k")).unionByName(spark.range(1, 51).select(F.lit("a").alias("g"), F.col("id").alias("k")))
+    assert hashed_sample(rows, "g", "k", 100).count() == 51
+    assert hashed_sample(rows, "g", "k", 20).count() == 20
+
+
+def test_a_document_repeated_very_often_hides_no_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    hot = docs.where("lang = 'fr' and text is not null").orderBy("doc_id").limit(1).crossJoin(spark.range(5000).select(F.lit(1).alias("x"))).drop("x")
+    few = docs.where("lang <> 'fr'").unionByName(hot).unionByName(docs.where("lang = 'fr'"))
+    seen = []
+    train = language_id.train
+    try:
+        language_id.train = lambda rows, *a, **k: seen.append(len(rows)) or train(rows, *a, **k)
+        model = language_id.fit(few, F.lit(True))
+    finally:
+        language_id.train = train
+    assert set(model.langs) == {"en", "de", "es", "fr"} and seen[0] <= docs.count()
+
+
+def test_a_labelled_document_repeated_very_often_is_one(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    hot = docs.join(labels.where("toxic = 0").orderBy("doc_id").limit(1).select("doc_id"), "doc_id").crossJoin(spark.range(3000).select(F.lit(1).alias("x"))).drop("x")
+    once, often = (toxicity.fit(d, labels, F.lit(True), Scratch(spark)) for d in (docs, docs.unionByName(hot)))
+    assert once.bias == often.bias and (once.buckets == often.buckets).all() and (once.weights == often.weights).all()
+    both = labels.unionByName(labels.withColumn("toxic", 1 - F.col("toxic")))
+    assert len(toxicity.fit(docs, both, F.lit(True), Scratch(spark)).buckets) == 0
+
+
 # --- plain versions of the models ---------------------------------------------
 
 
