@@ -13,6 +13,7 @@ from .operators import calling as C
 from .operators import depth as D
 from .operators import fastq as Q
 from .operators import intervals as I
+from .operators import reference as X
 from .operators import report as R
 from .operators import variants as V
 from .plans import roundtrips
@@ -26,14 +27,14 @@ _SQL: dict[str, str] = {}
 REFERENCE = "substr('ACGT', cast(pos*7 % 4 + 1 as int), 1)"
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str | None = None, name: str | None = None, recursive: bool = False):
     """Register a function of views; ``sql`` gives the same rows."""
 
     def add(f):
         key = name or f.__name__
         _QUERIES[key] = f
         if sql is not None:
-            _SQL[key] = with_views(sql)
+            _SQL[key] = with_views(sql, recursive)
         return f
 
     return add
@@ -705,6 +706,143 @@ def comprehensive_qc(s, d):
     return r6(A.comprehensive_qc(view(s, d, "sam"), view(s, d, "targets")), "value")
 
 
+# --- against a reference file ------------------------------------------------
+
+
+def same_as(name: str, sql: Callable[[str], str] = lambda x: x):
+    """Register a function that must give what another query's SQL gives."""
+
+    def add(f):
+        _QUERIES[f.__name__], _SQL[f.__name__] = f, sql(_SQL[name])
+        return f
+
+    return add
+
+
+def _fasta(s, d):
+    return roundtrips.reference(s, d, REFERENCE)
+
+
+@same_as("recal_table")
+def recal_table_fasta(s, d):
+    return r6(A.recal_table(view(s, d, "sam"), _fasta(s, d)), "empirical")
+
+
+@same_as("recal_table", lambda x: x.replace("substr('ACGT', cast(pos*7 % 4 + 1 as int), 1) ref from bs)", "substr('ACGT', cast(pos*7 % 4 + 1 as int), 1) ref from bs where not exists (select 1 from variants v where v.chrom = bs.chrom and v.pos % 2000 + 1 = bs.pos))"))
+def recal_table_known_sites(s, d):
+    known = view(s, d, "variants").select("chrom", (F.col("pos") % 2000 + 1).alias("pos"))
+    return r6(A.recal_table(view(s, d, "sam"), _fasta(s, d), known), "empirical")
+
+
+@same_as("orientation_counts_by_context", lambda x: x.replace("from refd where base", "from refd where pos > 1 and base"))
+def orientation_counts_fasta(s, d):
+    return r6(A.orientation_counts(view(s, d, "sam"), _fasta(s, d), context=True), "artifact")
+
+
+@same_as("somatic_candidates")
+def somatic_candidates_fasta(s, d):
+    sam = view(s, d, "sam")
+    return C.somatic_candidates(sam.where("sample = 'tumor'"), sam.where("sample = 'normal'"), _fasta(s, d), most_normal_alt=1)
+
+
+@query(_CALLS.replace("sam where", "(select * from sam where sample = 'normal' union all select * replace (case when flag & 64 <> 0 then 't1' else 't2' end as sample) from sam where sample = 'tumor') s where").replace("p.sample = 'tumor'", "p.sample <> 'normal'").replace("select p.chrom, p.pos, p.ref", "select p.sample, p.chrom, p.pos, p.ref")
+    + "select sample, chrom, cast(pos as bigint) pos, ref, alt, cast(t_depth as bigint) t_depth, cast(t_alt as bigint) t_alt, cast(n_depth as bigint) n_depth, cast(n_alt as bigint) n_alt from cand where n_alt <= 1 and exists (select 1 from targets t where t.chrom = cand.chrom and cand.pos - 1 >= t.start_pos and cand.pos - 1 < t.end_pos)")
+def somatic_candidates_by_tumor(s, d):
+    """A row for each of two tumours that has the allele, within the targets."""
+    sam = view(s, d, "sam")
+    tumors = sam.where("sample = 'tumor'").withColumn("sample", F.when(G.has_flag(F.col("flag"), 64), "t1").otherwise("t2"))
+    return C.somatic_candidates(tumors, sam.where("sample = 'normal'"), _fasta(s, d), view(s, d, "targets"), most_normal_alt=1, keys=("sample",))
+
+
+@query(BASES + """, m as (select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when base <> 'N' and base <> ref then 1 else 0 end x from refd), m2 as (select sample, category, sum(x) / count(*) rate from (select * from m union all select sample, 'PAIR', x from m) t group by 1, 2)
+select t.sample, t.category, cast(count(*) as bigint) "reads", cast(sum(al) as bigint) aligned, round(sum(al) / count(*), 6) pct_aligned, round(avg(len), 6) mean_read_length, round(any_value(rate), 6) mismatch_rate from (
+select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len from sam
+union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq) from sam) t join m2 on m2.sample = t.sample and m2.category = t.category group by 1, 2""")
+def alignment_summary_fasta(s, d):
+    """Mismatches counted against the reference."""
+    return r6(A.alignment_summary(view(s, d, "sam"), reference=_fasta(s, d)), "pct_aligned", "mean_read_length", "mismatch_rate")
+
+
+#: A reference whose share of G changes every 3,000 bases.
+PATCHES = "case when pos*7 % 10 < cast(floor(pos / 3000) as bigint) % 7 then 'G' else 'A' end"
+
+
+@query(runs_sql(f""", ps as (select chrom, length, unnest(range(1, length + 1)) pos from contigs), gw as (select chrom, (pos - 1) // 3000 w, cast(round(100 * sum(case when {PATCHES} = 'G' then 1 else 0 end) / count(*)) as int) gc, count(*) size from ps group by 1, 2),
+dw as (select gw.chrom, w, gc, sum(depth * (least(r.end_pos, w * 3000 + size) - greatest(r.start_pos, w * 3000))) / any_value(size) depth from gw join zruns r on r.chrom = gw.chrom and r.start_pos < w * 3000 + size and r.end_pos > w * 3000 group by 1, 2, 3),
+u as (select *, count(*) over (partition by gc order by depth) upto, count(*) over (partition by gc) n from dw),
+g as (select gc, any_value(n) windows, {", ".join(f"min(case when 100 * upto >= {a} * n then depth end) p{a}" for a in (10, 25, 50, 75, 90))} from u group by gc)
+select gc, cast(windows as bigint) windows, round(100 * sum(windows) over (order by gc) / sum(windows) over (), 6) share, {", ".join(f"round(p{a}, 6) p{a}" for a in (10, 25, 50, 75, 90))} from g"""))
+def gc_depth(s, d):
+    """Percentiles of depth of windows by their GC."""
+    return r6(X.gc_depth(D.per_base_depth(_good(s, d)), roundtrips.reference(s, d, PATCHES), view(s, d, "contigs"), 3000), "share", "p10", "p25", "p50", "p75", "p90")
+
+
+def _gs(x: str) -> str:
+    """The number of C and G from the first base to base ``x`` of the reference."""
+    return f"(2 * (({x}) // 4) + case ({x}) % 4 when 2 then 1 when 3 then 2 else 0 end)"
+
+
+@query(runs_sql(REGION + f""", hh as (select chrom, start_pos, end_pos, name, depth, sum(n) n from o group by 1, 2, 3, 4, 5), q as (select *, sum(n) over (partition by chrom, start_pos, end_pos, name order by depth) u from hh)
+select chrom, start_pos, end_pos, name, round(sum(depth * n) / (end_pos - start_pos), 6) mean, min(depth) "min", max(depth) "max", min(case when 2 * u >= end_pos - start_pos then depth end) median,
+round(sum(case when depth = 0 then n else 0 end) / (end_pos - start_pos), 6) pct_0x, round(({_gs('end_pos')} - {_gs('start_pos')}) / (end_pos - start_pos), 6) gc from q group by 1, 2, 3, 4"""))
+def per_target_coverage(s, d):
+    return r6(D.per_target_coverage(view(s, d, "targets"), D.per_base_depth(_good(s, d)), _fasta(s, d)), "mean", "pct_0x", "gc")
+
+
+@query(_HS + """, bt as (select chrom, greatest(start_pos - 30, 0) start_pos, end_pos + 40 end_pos from targets), bf as (select *, max(end_pos) over (partition by chrom order by start_pos, end_pos rows between unbounded preceding and 1 preceding) m from bt),
+bg as (select *, sum(case when start_pos <= m then 0 else 1 end) over (partition by chrom order by start_pos, end_pos rows unbounded preceding) k from bf), bm as (select chrom, min(start_pos) start_pos, max(end_pos) end_pos from bg group by chrom, k),
+ob as (select sum(depth * (least(m.end_pos, r.end_pos) - greatest(m.start_pos, r.start_pos))) x from bm m join pos_runs r on m.chrom = r.chrom and m.start_pos < r.end_pos and r.start_pos < m.end_pos)
+select cast((select t from te) as bigint) target_territory, round((select x from ob) / (select sum(depth * (end_pos - start_pos)) from pos_runs), 6) pct_selected_bases, round(mean, 6) mean_target_coverage, round(mean / nullif(p20, 0), 6) fold_80_base_penalty,
+round(1 - (select n from hit) / (select count(*) from tg), 6) zero_cvg_targets_pct, round(x10, 6) pct_target_bases_10x, round(x20, 6) pct_target_bases_20x, round(x30, 6) pct_target_bases_30x from st""")
+def hs_metrics_with_baits(s, d):
+    t = view(s, d, "targets")
+    baits = t.withColumns({"start_pos": F.greatest(F.col("start_pos") - 30, F.lit(0)), "end_pos": F.col("end_pos") + 40})
+    h = A.hs_metrics(_good(s, d), t, baits)
+    return r6(h, *[c for c in h.columns if c != "target_territory"])
+
+
+# --- pairs -------------------------------------------------------------------
+
+PAIR_BASES = """, blk as (select *, pos - 1 s, 0 q, 32 len from pairs_sam where cigar = '32M' union all select *, pos - 1, 5, 27 from pairs_sam where cigar = '5S27M'
+union all select *, pos - 1, 0, 10 from pairs_sam where cigar = '10M2D20M2S' union all select *, pos + 11, 10, 20 from pairs_sam where cigar = '10M2D20M2S'),
+bs as (select sample, chrom, qname, flag, s + i + 1 as pos, substr(seq, cast(q + i + 1 as int), 1) base, ascii(substr(qual, cast(q + i + 1 as int), 1)) - 33 quality from blk, range(0, 32) r(i) where i < len),
+once as (select * from (select *, row_number() over (partition by sample, chrom, qname, pos order by quality desc, flag & 128) k from bs) t where k = 1) """
+
+
+@query(PAIR_BASES + "select sample, chrom, cast(pos as bigint) pos, cast(count(*) as bigint) depth, " + ", ".join(f"cast(sum(case when base = '{b}' then 1 else 0 end) as bigint) {b.lower()}" for b in "ACGT") + ", cast(sum(case when base = 'N' then 1 else 0 end) as bigint) other from once where quality >= 10 group by 1, 2, 3")
+def pileup_without_overlaps(s, d):
+    """Places that both mates cover count once."""
+    return A.pileup(view(s, d, "pairs_sam"), min_base_quality=10, remove_overlaps=True)
+
+
+@query(PAIR_BASES + """, dp as (select sample, chrom, pos, count(distinct qname) n from bs group by 1, 2, 3) select sample, 'COV' section, cast(greatest(3, least(3 + cast(floor((n - 3) / 4) as bigint) * 4, 20)) as string) bin, cast(count(*) as bigint) n from dp group by 1, 3
+union all select sample, 'SN', 'raw_total_sequences', cast(count(*) as bigint) from pairs_sam group by 1""")
+def read_stats_without_overlaps(s, d):
+    """Depth with mates counted once, in steps of four from 3 to 20."""
+    return A.read_stats(view(s, d, "pairs_sam"), remove_overlaps=True, least_depth=3, step=4, most_depth=20).where("section = 'COV' or bin = 'raw_total_sequences'")
+
+
+PAIR_DUPS = """, r as (select *, case when flag & 16 <> 0 then pos + case cigar when '5S27M' then 27 else 32 end - 1 + case cigar when '10M2D20M2S' then 2 else 0 end else pos - case cigar when '5S27M' then 5 else 0 end end u,
+(select sum(case when ascii(substr(qual, cast(i as int), 1)) - 33 >= 15 then ascii(substr(qual, cast(i as int), 1)) - 33 else 0 end) from range(1, 33) t(i)) score from pairs_sam),
+fr as (select sample, chrom, qname, count(*) n, sum(score) score, min(case when flag & 16 = 0 then u end) uf, min(case when flag & 16 <> 0 then u end) ur from r group by 1, 2, 3),
+du as (select f.*, row_number() over (partition by sample, chrom, n, uf, ur order by score desc, qname) > 1 or (n = 1 and exists (select 1 from fr g where g.n = 2 and g.sample = f.sample and g.chrom = f.chrom and (g.uf = f.uf or g.ur = f.ur))) dup from fr f),
+marked as (select r.sample, r.qname, case when dup then flag | 1024 else flag end flag from r join du on du.sample = r.sample and du.qname = r.qname) """
+
+
+@query(PAIR_DUPS + "select sample, qname, flag from marked")
+def mark_duplicate_pairs(s, d):
+    """Pairs, and single reads that lose to them."""
+    return A.mark_duplicates(view(s, d, "pairs_sam")).select("sample", "qname", "flag")
+
+
+@query(PAIR_DUPS + """, n as (select sample, cast(floor(count(*) / 2) as bigint) p, cast(floor(sum(case when flag & 1024 <> 0 then 1 else 0 end) / 2) as bigint) d from marked group by 1),
+h as (select sample, 0 k, cast(p - d as double) lo, cast(p as double) * p / greatest(d, 1) + p hi from n union all
+select h.sample, k + 1, case when (p - d) / ((lo + hi) / 2) < 1 - exp(-p / ((lo + hi) / 2)) then lo else (lo + hi) / 2 end, case when (p - d) / ((lo + hi) / 2) < 1 - exp(-p / ((lo + hi) / 2)) then (lo + hi) / 2 else hi end from h join n on n.sample = h.sample where k < 60)
+select n.sample, cast(0 as bigint) unpaired_examined, p pairs_examined, cast(0 as bigint) unpaired_duplicates, d pair_duplicates, round(d / p, 6) percent_duplication, cast(round((lo + hi) / 2) as bigint) library_size from n join h on h.sample = n.sample and k = 60""", recursive=True)
+def duplication_metrics_of_pairs(s, d):
+    return r6(A.duplication_metrics(A.mark_duplicates(view(s, d, "pairs_sam"))), "percent_duplication")
+
+
 # --- reports -----------------------------------------------------------------
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.genomics import cigar_blocks, has_flag, natural_key, qualities, rate, reference_length, unclipped_5prime
-from .depth import per_base_depth
+from .depth import mate_overlap_correct, per_base_depth
 from .intervals import interval_join, restrict_to_targets
+from .reference import MASK, mask_sites, mismatches, reference_at, reference_of
 
 
 def sort_alignments(reads: DataFrame, by: str = "coordinate", tag: str | None = None) -> DataFrame:
@@ -103,8 +104,13 @@ def flagstat(reads: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame
     return reads.groupBy(*keys).agg(*out)
 
 
-def read_stats(reads: DataFrame, keys: tuple[str, ...] = ("sample",), skip: int = 0, include: int = 0, most_insert: int = 8000, most_depth: int = 1000, targets: DataFrame | None = None) -> DataFrame:
-    """Long table keys, section, bin, n: SN totals, RL read lengths, IS inserts, BQ base qualities, COV depth, GC content."""
+def read_stats(reads: DataFrame, keys: tuple[str, ...] = ("sample",), skip: int = 0, include: int = 0, most_insert: int = 8000, most_depth: int = 1000, targets: DataFrame | None = None, remove_overlaps: bool = False, least_depth: int = 1, step: int = 1, main_part: float = 1.0) -> DataFrame:
+    """Long table keys, section, bin, n: SN totals, RL read lengths, IS inserts, BQ base qualities, COV depth, GC content.
+
+    With ``remove_overlaps`` places that both mates cover count once in COV. Depths below ``least_depth`` or above ``most_depth`` are
+    those, and others go to the least of their ``step``. Of inserts only the ``main_part`` that is not the longest is given.
+    Split the reads by a tag by naming its column in ``keys``; depth percentiles by GC are in :func:`.reference.gc_depth`.
+    """
     keys = list(keys)
     f = F.col("flag")
     r = reads.where(f.bitwiseAND(F.lit(skip)) == 0).where(f.bitwiseAND(F.lit(include)) == include)
@@ -117,33 +123,54 @@ def read_stats(reads: DataFrame, keys: tuple[str, ...] = ("sample",), skip: int
     sn = r.groupBy(*keys).agg(*[v.alias(k) for k, v in totals.items()])
     out = sn.select(*keys, F.lit("SN").alias("section"), F.explode(F.create_map(*[x for k in totals for x in (F.lit(k), F.col(k))])).alias("bin", "n"))
     out = out.unionByName(count(r, "RL", F.length("seq")))
-    out = out.unionByName(count(r.where(F.col("tlen") > 0), "IS", F.least(F.abs("tlen"), F.lit(most_insert))))
+    if "tlen" in r.columns:
+        sizes = r.where(F.col("tlen") > 0).groupBy(*keys, F.least(F.abs("tlen"), F.lit(most_insert)).alias("size")).agg(F.count("*").cast("long").alias("n"))
+        if main_part < 1:
+            w = Window.partitionBy(*keys)  # at most most_insert rows
+            sizes = sizes.withColumns({"__all": F.sum("n").over(w), "__upto": F.sum("n").over(w.orderBy("size"))}).where(F.col("__upto") - F.col("n") < main_part * F.col("__all"))
+        out = out.unionByName(sizes.select(*keys, F.lit("IS").alias("section"), F.col("size").cast("string").alias("bin"), "n"))
     out = out.unionByName(count(r.select(*keys, F.explode(qualities(F.col("qual"))).alias("q")), "BQ", F.col("q")))
     gc = F.floor(100 * (F.length("seq") - F.length(F.translate("seq", "GCgc", ""))) / F.length("seq"))
     out = out.unionByName(count(r.where(F.length("seq") > 0), "GC", gc))
-    blocks = r.where(~has_flag(f, 4)).select("chrom", *keys, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b")).select("chrom", *keys, F.col("b.s").alias("start_pos"), F.col("b.e").alias("end_pos"))
+    named = ["qname"] if remove_overlaps else []
+    blocks = r.where(~has_flag(f, 4)).select("chrom", *keys, *named, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b")).select("chrom", *keys, *named, F.col("b.s").alias("start_pos"), F.col("b.e").alias("end_pos"))
+    blocks = mate_overlap_correct(blocks, (*keys, "chrom", "qname")) if remove_overlaps else blocks
     runs = per_base_depth(blocks, keys=tuple(keys))
     if targets is not None:
         pairs = interval_join(runs, targets.select("chrom", "start_pos", "end_pos"), ("right",))
         runs = pairs.select(*keys, "depth", F.greatest("start_pos", "r_start_pos").alias("start_pos"), F.least("end_pos", "r_end_pos").alias("end_pos"))
-    cov = runs.groupBy(*keys, F.lit("COV").alias("section"), F.least("depth", F.lit(most_depth)).cast("string").alias("bin")).agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n"))
+    depth = F.least("depth", F.lit(most_depth))
+    if least_depth > 1 or step > 1:
+        depth = F.greatest(F.lit(least_depth), F.least(F.lit(least_depth) + F.floor((F.col("depth") - least_depth) / step) * step, F.lit(most_depth)))
+    cov = runs.groupBy(*keys, F.lit("COV").alias("section"), depth.cast("string").alias("bin")).agg(F.sum(F.col("end_pos") - F.col("start_pos")).cast("long").alias("n"))
     return out.unionByName(cov)
 
 
-def alignment_summary(reads: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+def alignment_summary(reads: DataFrame, keys: tuple[str, ...] = ("sample",), reference: DataFrame | None = None) -> DataFrame:
     """keys, category (FIRST_OF_PAIR, SECOND_OF_PAIR, UNPAIRED, PAIR), reads, aligned, pct_aligned, mean_read_length, mismatch_rate.
 
-    ``nm`` holds mismatches of a read; without that column the rate is null.
+    ``nm`` holds mismatches of a read. Without that column they are counted against the
+    chunks of a ``reference``, over its aligned bases, and without both the rate is null.
     """
     f = F.col("flag")
     r = reads.where(f.bitwiseAND(F.lit(256 | 2048)) == 0)
     category = F.when(~has_flag(f, 1), "UNPAIRED").when(has_flag(f, 64), "FIRST_OF_PAIR").otherwise("SECOND_OF_PAIR")
-    nm = F.col("nm") if "nm" in reads.columns else F.lit(None).cast("int")
+    known = "nm" in reads.columns
+    nm = F.col("nm") if known else F.lit(None).cast("int")
     bases = F.when(~has_flag(f, 4), F.length("seq"))
-    r = r.select(*keys, category.alias("category"), has_flag(f, 1).alias("pair"), F.when(~has_flag(f, 4), 1).otherwise(0).alias("al"), F.length("seq").alias("len"), bases.alias("bases"), nm.alias("nm"))
-    agg = [F.count("*").alias("reads"), F.sum("al").alias("aligned"), F.avg("len").alias("mean_read_length"), F.sum("nm").alias("nm"), F.sum("bases").alias("bases")]
-    both = r.groupBy(*keys, "category").agg(*agg).unionByName(r.where("pair").groupBy(*keys).agg(*agg).withColumn("category", F.lit("PAIR")))
-    return both.select(*keys, "category", "reads", F.col("aligned").cast("long").alias("aligned"), rate(F.col("aligned"), F.col("reads"), 1.0).alias("pct_aligned"), "mean_read_length", F.try_divide(F.col("nm").cast("double"), F.col("bases").cast("double")).alias("mismatch_rate"))
+    s = r.select(*keys, category.alias("category"), has_flag(f, 1).alias("pair"), F.when(~has_flag(f, 4), 1).otherwise(0).alias("al"), F.length("seq").alias("len"), bases.alias("bases"), nm.alias("nm"))
+
+    def both(df: DataFrame, *agg: Column) -> DataFrame:
+        return df.groupBy(*keys, "category").agg(*agg).unionByName(df.where("pair").groupBy(*keys).agg(*agg).withColumn("category", F.lit("PAIR")))
+
+    out = both(s, F.count("*").alias("reads"), F.sum("al").alias("aligned"), F.avg("len").alias("mean_read_length"), F.sum("nm").alias("nm"), F.sum("bases").alias("bases"))
+    if reference is not None and not known:
+        b = r.where(~has_flag(f, 4)).select("chrom", "seq", *keys, category.alias("category"), has_flag(f, 1).alias("pair"), F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
+        b = reference_of(b.select("*", F.col("b.s").alias("s"), F.col("b.e").alias("e")), reference, "s", "e")
+        own = F.substring("seq", (F.col("b.q") + F.col("__s") - F.col("s") + 1).cast("int"), (F.col("__e") - F.col("__s")).cast("int"))
+        m = both(b.select(*keys, "category", "pair", mismatches(own, F.col("ref")).alias("n"), F.length(own).alias("len")), F.sum("n").alias("nm"), F.sum("len").alias("bases"))
+        out = out.drop("nm", "bases").join(m, [*keys, "category"], "left")  # a row for each sample and category
+    return out.select(*keys, "category", "reads", F.col("aligned").cast("long").alias("aligned"), rate(F.col("aligned"), F.col("reads"), 1.0).alias("pct_aligned"), "mean_read_length", F.try_divide(F.col("nm").cast("double"), F.col("bases").cast("double")).alias("mismatch_rate"))
 
 
 def insert_sizes(reads: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
@@ -205,23 +232,74 @@ def hs_metrics(blocks: DataFrame, targets: DataFrame, baits: DataFrame | None =
     )
 
 
-def pileup_bases(reads: DataFrame, keep: tuple[str, ...] = ("sample",), min_base_quality: int = 0, min_mapq: int = 0, skip: int = 1796) -> DataFrame:
+def with_mate_overlaps(reads: DataFrame) -> DataFrame:
+    """``reads`` with ``__low`` and ``__mate``: where the mate overlaps the read, the mate's qualities there, null where it has no base.
+
+    Both ends of a fragment are gathered by name, one row each, and only fragments
+    whose ends overlap meet the reads.
+    """
+    f, named = F.col("flag"), [*(["sample"] if "sample" in reads.columns else []), "chrom", "qname"]
+    end = lambda bit: F.min(F.when(has_flag(f, bit), F.struct("pos", "cigar", "qual")))
+    ends = reads.where(has_flag(f, 1) & (f.bitwiseAND(F.lit(4 | 256 | 2048)) == 0)).groupBy(*named).agg(end(64).alias("a"), end(128).alias("b"))
+    low = F.greatest(F.col("a.pos"), F.col("b.pos")) - 1
+    high = F.least(*[F.col(f"{x}.pos") - 1 + reference_length(F.col(f"{x}.cigar")) for x in "ab"])
+    ends = ends.withColumns({"__low": low.cast("long"), "__high": high.cast("long")}).where("__low < __high")
+
+    def there(x: str) -> Column:
+        blocks, qual = cigar_blocks(F.col(f"{x}.pos"), F.col(f"{x}.cigar")), F.col(f"{x}.qual")
+        value = lambda y, p: F.ascii(F.substring(qual, (y["q"] + p - y["s"] + 1).cast("int"), F.lit(1))) - 33
+        at = lambda p: F.aggregate(blocks, F.lit(None).cast("int"), lambda v, y: F.when((y["s"] <= p) & (p < y["e"]), value(y, p)).otherwise(v))
+        return F.transform(F.sequence(F.col("__low"), F.col("__high") - 1), at)
+
+    mates = ends.select(*named, "__low", there("a").alias("__a"), there("b").alias("__b"))
+    primary = has_flag(f, 1) & (f.bitwiseAND(F.lit(4 | 256 | 2048)) == 0)
+    out = reads.join(mates, named, "left")
+    return out.select(*[F.col(c) for c in reads.columns], "__low", F.when(primary & has_flag(f, 64), F.col("__b")).when(primary & has_flag(f, 128), F.col("__a")).alias("__mate"))
+
+
+def pileup_bases(
+    reads: DataFrame, keep: tuple[str, ...] = ("sample",), min_base_quality: int = 0, min_mapq: int = 0, skip: int = 1796,
+    reference: DataFrame | None = None, remove_overlaps: bool = False,
+) -> DataFrame:
     """One row for each aligned base: chrom, pos (1-based), base, quality, cycle, context and the columns to keep. Filters come first.
 
-    ``context`` is the base before it in the read and the base itself; null for a first base.
+    ``context`` is the base before it in the read and the base itself; null for a first base. With the chunks of a
+    ``reference`` also ``ref`` and ``around``, the three bases there, without bases that the reference lacks or masks.
+    With ``remove_overlaps`` a place that both mates cover counts once, by the base of higher quality, or by the first of
+    the pair; that is decided in the fragment, before its bases become rows.
     """
     r = reads.where(F.col("flag").bitwiseAND(F.lit(skip)) == 0).where(F.col("mapq") >= min_mapq)
+    r = with_mate_overlaps(r).withColumn("__second", has_flag(F.col("flag"), 128)) if remove_overlaps else r
     keep = [k for k in keep if k != "chrom"]
-    b = r.select("chrom", "seq", "qual", has_flag(F.col("flag"), 16).alias("reverse"), *keep, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
+    more = ["__low", "__mate", "__second"] if remove_overlaps else []
+    b = r.select("chrom", "seq", "qual", has_flag(F.col("flag"), 16).alias("reverse"), *keep, *more, F.explode(cigar_blocks(F.col("pos"), F.col("cigar"))).alias("b"))
     # Only the part of a block, and the base before it, go with its bases.
     n, lead = (F.col("b.e") - F.col("b.s")).cast("int"), F.least(F.col("b.q"), F.lit(1))
-    b = b.select("chrom", "reverse", *keep, "b", F.substring("seq", F.col("b.q") + 1 - lead, n + lead).alias("seq"), F.substring("qual", F.col("b.q") + 1, n).alias("qual"), lead.alias("lead"))
-    b = b.select("*", F.explode(F.sequence(F.lit(1), n)).alias("i"))
-    at = F.col("i") + F.col("lead")
+    b = b.select(
+        "chrom", "reverse", *keep, *more, F.col("b.s").alias("s"), F.col("b.e").alias("e"), F.col("b.q").alias("q"),
+        F.substring("seq", F.col("b.q") + 1 - lead, n + lead).alias("seq"), F.substring("qual", F.col("b.q") + 1, n).alias("qual"), lead.alias("lead"),
+    )
+    if reference is not None:
+        b = reference_of(b, reference, "s", "e", around=1)
+    else:
+        b = b.withColumns({"__s": F.col("s"), "__e": F.col("e")})
+    # i: the place in the part of a block, from 1; what lies before the part in its block is added for the place in the read.
+    shift = (F.col("__s") - F.col("s")).cast("int")
+    places = F.sequence(F.lit(1), (F.col("__e") - F.col("__s")).cast("int"))
+    if remove_overlaps:
+        own = lambda i: F.ascii(F.substring("qual", shift + i, F.lit(1))) - 33
+        mate = lambda i: F.get("__mate", (F.col("__s") + i - 1 - F.col("__low")).cast("int"))
+        places = F.filter(places, lambda i: mate(i).isNull() | (own(i) > mate(i)) | ((own(i) == mate(i)) & ~F.col("__second")))
+    b = b.drop(*more).withColumn("shift", shift).select("*", F.explode(places).alias("i")) if not remove_overlaps else b.withColumn("shift", shift).select("*", F.explode(places).alias("i")).drop(*more)
+    k = F.col("shift") + F.col("i")
+    at = k + F.col("lead")
     out = b.select(
-        "chrom", (F.col("b.s") + F.col("i")).alias("pos"), F.substring("seq", at, F.lit(1)).alias("base"), (F.ascii(F.substring("qual", F.col("i"), F.lit(1))) - 33).alias("quality"),
-        (F.col("b.q") + F.col("i")).alias("cycle"), F.when(at > 1, F.substring("seq", at - 1, F.lit(2))).alias("context"), "reverse", *keep,
+        "chrom", (F.col("__s") + F.col("i")).alias("pos"), F.substring("seq", at, F.lit(1)).alias("base"), (F.ascii(F.substring("qual", k, F.lit(1))) - 33).alias("quality"),
+        (F.col("q") + k).alias("cycle"), F.when(at > 1, F.substring("seq", at - 1, F.lit(2))).alias("context"), "reverse", *keep,
+        *([F.substring("ref", F.col("i") + 1, F.lit(1)).alias("ref"), F.substring("ref", F.col("i"), F.lit(3)).alias("around")] if reference is not None else []),
     )
+    if reference is not None:
+        out = out.where(~F.col("ref").isin(" ", MASK))
     return out.where(F.col("quality") >= min_base_quality) if min_base_quality else out
 
 
@@ -242,11 +320,24 @@ def pileup_summaries(reads: DataFrame, sites: DataFrame, keys: tuple[str, ...] =
     return p.select(*keys, "chrom", "pos", "ref", "alt", *(["af"] if "af" in sites.columns else []), of("ref").alias("ref_count"), of("alt").alias("alt_count"), (F.col("depth") - of("ref") - of("alt")).alias("other_count"))
 
 
+def _in_chunks(reference: DataFrame | Column) -> bool:
+    return isinstance(reference, DataFrame) and "seq" in reference.columns
+
+
 def with_reference(bases: DataFrame, reference: DataFrame | Column) -> DataFrame:
-    """``bases`` with the reference base ``ref``, from a table (chrom, pos, ref) or an expression."""
+    """``bases`` with the reference base ``ref``, from chunks (:mod:`.reference`), a table (chrom, pos, ref) or an expression."""
+    if _in_chunks(reference):
+        return reference_at(bases, reference)
     return bases.withColumn("ref", reference) if isinstance(reference, Column) else bases.join(reference.select("chrom", "pos", "ref"), ["chrom", "pos"])
 
 
+def bases_on_reference(reads: DataFrame, reference: DataFrame | Column, keep: tuple[str, ...], **filters) -> DataFrame:
+    """The bases of :func:`pileup_bases` with ``ref``; blocks of reads meet chunks, where the reference is given in chunks."""
+    if _in_chunks(reference):
+        return pileup_bases(reads, keep, reference=reference, **filters)
+    return with_reference(pileup_bases(reads, keep, **filters), reference)
+
+
 #: Every pair of bases stands in here once, so that the place of a pair is its number, from 1 to 16.
 PAIRS = "AACAGATCCGCTGGTTA"
 
@@ -258,10 +349,11 @@ def recal_table(reads: DataFrame, reference: DataFrame | Column, known: DataFram
     bases count in the other rows. Bases at known variant sites are left out. Empirical
     quality is -10 log10((errors + 1) / (observations + 2)), a count-based estimate.
     """
-    b = pileup_bases(reads, (group,))
+    if known is not None and _in_chunks(reference):
+        reference, known = mask_sites(reference, known), None
+    b = bases_on_reference(reads, reference, (group,)).where(F.col("base").isin(*"ACGT"))
     if known is not None:
         b = b.join(known.select("chrom", "pos").distinct(), ["chrom", "pos"], "left_anti")
-    b = with_reference(b, reference).where(F.col("base").isin(*"ACGT"))
     context = F.when(F.locate("N", F.col("context")) == 0, F.col("context"))
     fine = b.groupBy(group, "quality", "cycle", context.alias("context")).agg(F.count("*").alias("observations"), F.sum(F.when(F.col("base") != F.col("ref"), 1).otherwise(0)).alias("errors"))
     g, q, c, x = (F.col(n) for n in (group, "quality", "cycle", "context"))
@@ -339,9 +431,12 @@ def orientation_counts(reads: DataFrame, reference: DataFrame | Column, keys: tu
     ``artifact`` is how far the larger side exceeds a half, from 0 to 1. With ``context``
     also by the three bases of the reference around the place.
     """
-    b = with_reference(pileup_bases(reads, (*keys, "flag"), **filters).drop("context"), reference)
+    b = bases_on_reference(reads, reference, (*keys, "flag"), **filters).drop("context")
     b = b.where(F.col("base").isin(*"ACGT") & (F.col("base") != F.col("ref")))
-    if context:
+    if context and "around" in b.columns:
+        keys = (*keys, "context")
+        b = b.where(F.locate(" ", F.col("around")) == 0).withColumn("context", F.col("around"))
+    elif context:
         for shift, name in ((-1, "before"), (1, "after")):
             b = with_reference(b.withColumnRenamed("ref", "__ref").withColumn("pos", F.col("pos") + shift), reference)
             b = b.withColumnRenamed("ref", name).withColumnRenamed("__ref", "ref").withColumn("pos", F.col("pos") - shift)

@@ -25,19 +25,20 @@ def alleles(piles: DataFrame, reference: DataFrame | Column, keys: tuple[str, ..
 
 def somatic_candidates(
     tumors: DataFrame, normals: DataFrame, reference: DataFrame | Column, targets: DataFrame | None = None, germline: DataFrame | None = None,
-    pon: DataFrame | None = None, min_alt: int = 3, min_vaf: float = 0.05, most_normal_alt: int = 0, **filters,
+    pon: DataFrame | None = None, min_alt: int = 3, min_vaf: float = 0.05, most_normal_alt: int = 0, keys: tuple[str, ...] = (), **filters,
 ) -> DataFrame:
-    """chrom, pos, ref, alt with depths and counts in tumours and normals.
+    """keys, chrom, pos, ref, alt with depths and counts in tumours and normals.
 
-    Reads of several tumours, or normals, are taken together. An allele needs
+    Reads of several normals are taken together, and those of several tumours too, unless
+    ``keys`` (the sample) asks for a row for each tumour that has the allele. An allele needs
     support in the tumour, next to none in the normal, and no place in the
     germline resource or the panel of normals.
     """
-    t = alleles(pileup(tumors, (), **filters), reference, ())
+    t = alleles(pileup(tumors, keys, **filters), reference, keys)
     if targets is not None:
         t = restrict_to_targets(t, targets)
     t = t.where((F.col("alt_count") >= min_alt) & (F.col("alt_count") >= min_vaf * F.col("depth")))
-    t = t.select("chrom", "pos", "ref", "alt", F.col("depth").alias("t_depth"), F.col("alt_count").alias("t_alt"))
+    t = t.select(*keys, "chrom", "pos", "ref", "alt", F.col("depth").alias("t_depth"), F.col("alt_count").alias("t_alt"))
     for known in (germline, pon):
         if known is not None:
             t = known_sites_anti(t, known, {"ref", "alt"} <= set(known.columns))

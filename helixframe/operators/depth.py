@@ -211,6 +211,31 @@ def region_depth(regions: DataFrame, runs: DataFrame, median: bool = False) -> D
     return regions.join(d, keys, "left").withColumn("depth", F.coalesce("depth", F.lit(0.0)))
 
 
+def per_target_coverage(targets: DataFrame, runs: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    """``targets`` with mean, min, max and median depth, pct_0x, and with the chunks of a ``reference`` gc, the share of known bases.
+
+    Bases that no run covers have depth 0; the median is the value in the lower middle. All
+    follows from one histogram of depth for each target. gc is null where the reference has no known base.
+    """
+    keys = ["chrom", "start_pos", "end_pos"]
+    h = _covered(targets, runs).where("depth > 0").groupBy(*keys, "depth").agg(F.sum("n").alias("n"))
+    a = h.groupBy(*keys).agg(F.sum("n").alias("__n"), F.sum(F.col("depth") * F.col("n")).alias("__bases"), F.min("depth").alias("__low"), F.max("depth").alias("__high"), F.sort_array(F.collect_list(F.struct("depth", "n"))).alias("__h"))
+    length, none = F.col("end_pos") - F.col("start_pos"), F.col("end_pos") - F.col("start_pos") - F.coalesce("__n", F.lit(0))
+    start = F.struct(none.alias("upto"), F.when(2 * none >= length, F.lit(0).cast("long")).alias("m"))
+    step = lambda s, x: F.struct((s["upto"] + x["n"]).alias("upto"), F.coalesce(s["m"], F.when(2 * (s["upto"] + x["n"]) >= length, x["depth"])).alias("m"))
+    j = targets.join(a, keys, "left")
+    out = j.select(
+        *[F.col(c) for c in targets.columns], (F.coalesce("__bases", F.lit(0)) / length).alias("mean"), F.when(none > 0, 0).otherwise(F.col("__low")).cast("long").alias("min"), F.coalesce("__high", F.lit(0)).cast("long").alias("max"),
+        F.coalesce(F.aggregate("__h", start, step, lambda s: s["m"]), F.lit(0)).cast("long").alias("median"), (none / length).alias("pct_0x"),
+    )
+    if reference is None:
+        return out
+    from .reference import region_gc
+
+    g = region_gc(targets, reference).select(*keys, F.try_divide(F.col("gc").cast("double"), F.col("acgt").cast("double")).alias("gc"))
+    return out.join(g, keys, "left").select(*out.columns, "gc")
+
+
 def window_depth(contigs: DataFrame, runs: DataFrame, width: int, median: bool = False) -> DataFrame:
     """Depth in windows of one width."""
     return region_depth(windows(contigs, width), runs, median)

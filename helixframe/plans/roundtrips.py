@@ -117,6 +117,19 @@ def _fasta(s: SparkSession, d: str, second: str) -> DataFrame:
     return formats.fasta_chunks(formats.numbered_lines(s, path), 100)
 
 
+def reference(s: SparkSession, d: str, base: str) -> DataFrame:
+    """The chunks of a FASTA file of all contigs, written in lines of 60, every other one in small letters; ``base`` is SQL of the base at ``pos``."""
+    from ..operators.intervals import windows
+    from ..operators.reference import reference_chunks
+
+    path, c = folder(s), view(s, d, "contigs")
+    line = F.array_join(F.expr(f"transform(sequence(start_pos + 1, end_pos), pos -> {base})"), "")
+    lines = windows(c, 60).select("chrom", "start_pos", F.when(F.col("start_pos") % 120 == 0, F.lower(line)).otherwise(line).alias("value"))
+    heads = c.select("chrom", F.lit(-1).cast("long").alias("start_pos"), F.concat(F.lit(">"), "chrom", F.lit(" from a table")).alias("value"))
+    lines.unionByName(heads).repartition("chrom").sortWithinPartitions("chrom", "start_pos").select("value").write.text(path)
+    return reference_chunks(formats.fasta_chunks(formats.numbered_lines(s, path)))
+
+
 def contig_lengths(s: SparkSession, d: str) -> DataFrame:
     """Of the contigs that a list has."""
     canonical = view(s, d, "fastq").where("rec % 3 <> 0").select(F.concat(F.lit("c"), "rec").alias("chrom"))

@@ -27,6 +27,12 @@ VIEWS = {
         cast(150 + l_orderkey % 300 as int) tlen,
         cast(1 + case when l_partkey % 7 <> 0 then 2 else 0 end + case when l_suppkey % 2 = 0 then 16 else 32 end + case when l_orderkey % 2 = 0 then 64 else 128 end
         + case when l_partkey % 50 = 0 then 4 else 0 end as int) flag from lineitem""",
+    "pairs_sam": f"""select concat('f', cast(l_orderkey as string), ':', cast(cast(floor((l_linenumber + 1) / 2) as bigint) as string)) qname,
+        case when l_orderkey % 3 = 0 then 'tumor' else 'normal' end sample, concat('chr', cast(l_orderkey % 5 + 1 as string)) chrom,
+        cast((l_orderkey*31 + (cast(floor((l_linenumber + 1) / 2) as bigint))*101) % 2000 + 1 + case when l_linenumber % 2 = 0 then l_orderkey % 45 else 0 end as bigint) as pos, 60 mapq,
+        case l_orderkey % 3 when 0 then '32M' when 1 then '5S27M' else '10M2D20M2S' end cigar,
+        translate(md5(cast(l_partkey as string)), {_H}, 'ACGTACGTACGTACGN') seq, translate(reverse(md5(cast(l_partkey as string))), {_H}, '#+5?IIIIFFFF:,AB') qual,
+        cast(case when l_linenumber % 2 = 0 then 1 + 2 + 16 + 128 else 1 + 2 + 32 + 64 end as int) flag from (select l_orderkey, l_linenumber, max(l_partkey) l_partkey from lineitem group by l_orderkey, l_linenumber) l""",
     "variants": """select concat('chr', cast(p_partkey % 5 + 1 as string)) chrom, cast((p_partkey*7907) % 99000 + 1 as bigint) as pos,
         substr('ACGT', cast(p_partkey % 4 + 1 as int), 1) ref,
         case when p_size % 10 = 0 then concat(substr('ACGT', cast(p_partkey % 4 + 1 as int), 1), 'GG') else substr('CGTA', cast(p_partkey % 4 + 1 as int), 1) end alt,
@@ -49,9 +55,9 @@ VIEWS = {
 TABLES = ("region", "orders", "lineitem", "part", "events")
 
 
-def with_views(body: str) -> str:
+def with_views(body: str, recursive: bool = False) -> str:
     """``body`` after the definitions of all views."""
-    return "with " + ",\n".join(f"{k} as ({v})" for k, v in VIEWS.items()) + "\n" + body
+    return ("with recursive " if recursive else "with ") + ",\n".join(f"{k} as ({v})" for k, v in VIEWS.items()) + "\n" + body
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
