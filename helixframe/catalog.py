@@ -358,6 +358,35 @@ def fill_tags(s, d):
     return v.select("chrom", "pos", *[F.col("info")[t].alias(t.lower()) for t in ("AN", "AC", "AF", "NS")])
 
 
+_GENOTYPES = "case when (pos * 7 + j * (pos % 5 + 1) * 13) % 11 < 3 then '0/0' when (pos * 7 + j * (pos % 5 + 1) * 13) % 11 < 6 then '0|1' when (pos * 7 + j * (pos % 5 + 1) * 13) % 11 < 8 then '1/1' when (pos * 7 + j * (pos % 5 + 1) * 13) % 11 = 8 then '1/2' when (pos * 7 + j * (pos % 5 + 1) * 13) % 11 = 9 then './.' else '1' end"
+
+
+def _tags_sql() -> str:
+    """Of 30 samples and two alternatives; probabilities by factorials of all counts."""
+    n = lambda *g: " + ".join(f"len(list_filter(g, lambda x: x = '{x}'))" for x in g)
+    counts = f"select chrom, pos, alt, {n('0/0')} c00, {n('0|1')} c01, {n('1/1')} c11, {n('1/2')} c12, {n('./.')} miss, {n('1')} hemi from (select chrom, pos, alt, list_transform(range(1, 31), lambda j: {_GENOTYPES}) g from variants)"
+    one = lambda i, het, hom, other: f"{het} het{i}, {hom} hom{i}, {other} oth{i}, 2 * least({hom}, {other}) + {het} rare{i}"
+    law = lambda i, h: f"exp(lgamma(n + 1) - lgamma(({'rare' + i} - {h}) // 2 + 1) - lgamma({h} + 1) - lgamma(n - {h} - ({'rare' + i} - {h}) // 2 + 1) + {h} * ln(2) + lgamma({'rare' + i} + 1) + lgamma(2 * n - {'rare' + i} + 1) - lgamma(2 * n + 1))"
+    p = lambda i: f"list_transform(range(rare{i} % 2, rare{i} + 1, 2), lambda h: {law(i, 'h')})"
+    out = ", ".join(f"list_sum(list_filter({p(i)}, lambda x: x <= {law(i, 'het' + i)} * (1 + 1e-9))) hwe{i}, list_sum(list_transform(range(het{i}, rare{i} + 1, 2), lambda h: {law(i, 'h')})) exc{i}" for i in "12")
+    return f""", gc as ({counts}), gd as (select *, c00 + c01 + c11 + c12 n, 2 * (c00 + c01 + c11 + c12) + hemi an, 2 * c11 + c01 + c12 + hemi ac1, c12 ac2, 2 * c00 + c01 ac0, {one('1', 'c01 + c12', 'c11', 'c00')}, {one('2', 'c12', '0', '(c00 + c01 + c11)')} from gc),
+gp as (select *, {out} from gd) select chrom, pos, alt, cast(an as string) an, cast(30 - miss as string) ns, concat(ac1, ',', ac2) ac, concat(het1, ',', het2) ac_het, concat(2 * hom1, ',', 2 * hom2) ac_hom, concat(hemi, ',0') ac_hemi, round(list_sort([ac0, ac1, ac2], 'desc')[2] / an, 6) maf,
+round(miss / 30, 6) f_missing, round(ac1 / an, 6) af1, round(ac2 / an, 6) af2, round(hwe1, 6) hwe1, round(hwe2, 6) hwe2, round(exc1, 6) exc1, round(exc2, 6) exc2 from gp"""
+
+
+@query(_tags_sql())
+def fill_tags_cohort(s, d):
+    """Genotypes of 30 samples, with two alternatives, missing and haploid calls."""
+    samples = F.expr(f"transform(sequence(1, 30), j -> named_struct('name', cast(j as string), 'fmt', map('GT', {_GENOTYPES})))")
+    v = _parsed(s, d).withColumn("own", F.col("alt")).withColumns({"samples": samples, "alt": F.concat("alt", F.lit(",T"))})
+    v = V.fill_tags(v, list(V.TAGS))
+    part = lambda t, i: F.get(F.split(F.col("info")[t], ","), i).cast("double")
+    return v.select(
+        "chrom", "pos", F.col("own").alias("alt"), *[F.col("info")[t].alias(t.lower()) for t in ("AN", "NS", "AC", "AC_Het", "AC_Hom", "AC_Hemi")], part("MAF", 0).alias("maf"), part("F_MISSING", 0).alias("f_missing"),
+        *[part(t, i).alias(f"{n}{i + 1}") for t, n in (("AF", "af"), ("HWE", "hwe"), ("ExcHet", "exc")) for i in (0, 1)],
+    )
+
+
 @query("select * from variants v where not exists (select 1 from variants k where k.filt = 'germline' and k.chrom = v.chrom and k.pos = v.pos)")
 def known_sites_anti(s, d):
     v = view(s, d, "variants")
@@ -471,6 +500,52 @@ def fastqc_modules(s, d):
     return Q.fastqc_modules(view(s, d, "fastq"), {"x": "ACGTAC"})
 
 
+@query(CLEAN_ALL + f""", r as (select reason, count(*) n from c4 group by 1) select 'reason' section, reason item, cast(n as bigint) n from r union all select 'adapter', 'trimmed_reads', cast(sum(case when e1 < length(seq) then 1 else 0 end) as bigint) from a
+union all select 'adapter', 'trimmed_bases', cast(sum(length(seq) - e1) as bigint) from a""")
+def cleaning_counts(s, d):
+    return Q.cleaning_counts(view(s, d, "fastq"), _ADAPTER, poly_g=_POLY, cut_window=4, cut_mean=12, n_limit=2, min_length=6, dedup=True)
+
+
+_OVER = ", f5 as (select substr(seq, 1, {k}) sequence, count(*) n from fastq where length(seq) > 0 group by 1), over5 as (select sequence, n, 100 * n / (select sum(n) from f5) percent from f5) "
+
+
+@query(_OVER.format(k=5) + "select sequence, cast(n as bigint) n, round(percent, 6) percent from over5 where percent > 0.1")
+def overrepresented_sequences(s, d):
+    """By their first five bases, of which some are rarer than the limit."""
+    return r6(Q.overrepresented_sequences(view(s, d, "fastq"), first=5), "percent")
+
+
+@query("select cast(round(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) as int) gc, cast(count(*) as bigint) n from fastq group by 1")
+def gc_per_sequence(s, d):
+    return Q.gc_per_sequence(view(s, d, "fastq"))
+
+
+_GC_FIT = """, h0 as (select cast(round(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) as int) gc, count(*) n from fastq group by 1), h as (select i gc, coalesce(n, 0) n from range(0, 101) r(i) left join h0 on gc = i),
+mo as (select gc m, n x from h order by n desc, gc limit 1), lo as (select coalesce(max(gc), -1) + 1 v from h, mo where gc < m and 10 * n <= 9 * x), hi as (select coalesce(min(gc), 101) - 1 v from h, mo where gc > m and 10 * n <= 9 * x),
+ce as (select case when lo.v = 0 or hi.v = 100 then cast(m as double) else (lo.v + hi.v) / 2 end c from lo, hi, mo), sd as (select sqrt(sum(n * (gc - c) * (gc - c)) / (sum(n) - 1)) s, sum(n) t from h, ce),
+fit as (select any_value(c) centre, any_value(s) sd, 100 * sum(abs(n - t * exp(-(gc - c) * (gc - c) / (2 * s * s)) / (s * sqrt(2 * pi())))) / any_value(t) deviation from h, ce, sd) """
+
+
+@query(_GC_FIT + "select round(centre, 6) centre, round(sd, 6) sd, round(deviation, 6) deviation, case when deviation > 30 then 'FAIL' when deviation > 15 then 'WARN' else 'PASS' end status from fit")
+def gc_fit(s, d):
+    return r6(Q.gc_fit(view(s, d, "fastq")), "centre", "sd", "deviation")
+
+
+_ADAPTERS = {"x": "ACGTA", "y": "GGC"}
+_BEGUN = ", bg as (" + " union all ".join(f"select '{k}' adapter, position('{v}' in seq) p from fastq" for k, v in _ADAPTERS.items()) + "), ac as (select a.adapter, a.p as cycle, 100 * (select count(*) from bg b where b.adapter = a.adapter and b.p > 0 and b.p <= a.p) / (select count(*) from fastq) percent from (select distinct adapter, p from bg where p > 0) a) "
+
+
+@query(_BEGUN + "select adapter, cast(cycle as int) as cycle, round(percent, 6) percent from ac")
+def adapter_content(s, d):
+    return r6(Q.adapter_content(view(s, d, "fastq"), _ADAPTERS), "percent")
+
+
+@query(_OVER.format(k=4) + _GC_FIT + _BEGUN + """select 'overrepresented_sequences' "module", case when max(percent) > 1 then 'FAIL' when max(percent) > 0.1 then 'WARN' else 'PASS' end status from over5
+union all select 'per_sequence_gc_content', case when deviation > 30 then 'FAIL' when deviation > 15 then 'WARN' else 'PASS' end from fit union all select 'adapter_content', case when max(percent) > 10 then 'FAIL' when max(percent) > 5 then 'WARN' else 'PASS' end from ac""")
+def fastqc_sequence_modules(s, d):
+    return Q.fastqc_sequence_modules(view(s, d, "fastq"), _ADAPTERS, first=4)
+
+
 # --- alignments --------------------------------------------------------------
 
 
@@ -688,6 +763,34 @@ def filter_calls(s, d):
     return C.filter_calls(calls, share, A.orientation_counts(tumor, F.expr(REFERENCE), ()), sites, calls.where("pos % 3 = 0"), min_alt=4, min_vaf=0.3, most_artifact=0.05)
 
 
+def _segments_sql(rounds: int, width: int, least: int, gain: float, only: str = "true") -> str:
+    """Definitions up to ``segs``, a round after the other."""
+    out = f""", sf as (select sample, chrom, pos, 1000 * least(ref_count, alt_count) // (ref_count + alt_count) m from ps where ref_count + alt_count >= 2 and {only}),
+s0 as (select sample, chrom, (pos - 1) // {width} bin, count(*) n, sum(m) s, min(pos) first_pos, max(pos) last_pos, cast(-1 as bigint) segment from sf group by 1, 2, 3)"""
+    sq = lambda x, n: f"cast({x} as double) * cast({x} as double) / cast({n} as double)"
+    for k in range(rounds):
+        out += f""", a{k} as (select *, sum(n) over (partition by sample, chrom, segment order by bin) n1, sum(s) over (partition by sample, chrom, segment order by bin) s1, sum(n) over (partition by sample, chrom, segment) nn, sum(s) over (partition by sample, chrom, segment) ss from s{k}),
+b{k} as (select sample, chrom, segment, bin cut from (select *, ({sq('s1', 'n1')} + {sq('(ss - s1)', '(nn - n1)')} - {sq('ss', 'nn')}) / 1e6 g from a{k} where n1 >= {least} and nn - n1 >= {least}) t where g >= {gain} qualify row_number() over (partition by sample, chrom, segment order by g desc, bin) = 1),
+s{k + 1} as (select s.sample, s.chrom, s.bin, n, s, first_pos, last_pos, case when s.bin > cut then cut else s.segment end segment from s{k} s left join b{k} b on b.sample = s.sample and b.chrom = s.chrom and b.segment = s.segment)"""
+    return out + f", segs as (select sample, chrom, min(first_pos) - 1 start_pos, max(last_pos) end_pos, sum(n) sites, sum(s) / sum(n) / 1000 minor_fraction from s{rounds} group by sample, chrom, segment) "
+
+
+@query(SITES + _segments_sql(4, 20, 2, 0.02) + "select sample, chrom, cast(start_pos as bigint) start_pos, cast(end_pos as bigint) end_pos, cast(sites as bigint) sites, round(minor_fraction, 6) minor_fraction from segs")
+def tumor_segmentation(s, d):
+    return r6(C.tumor_segmentation(A.pileup_summaries(view(s, d, "sam"), _sites(s, d)), ("sample",), 20, 2, 2, 0.02, 4), "minor_fraction")
+
+
+@query(_FILTERED.format(least=3, hom=0.4, called=2, weak=4, low=0.3, pon="c.pos % 3 = 0", artifact=0.05, normal=50).replace("judged as (", _segments_sql(3, 50, 2, 0.02, "sample = 'tumor'").lstrip(", ") + ", judged as (").replace("case when s.chrom is not null then", "case when s.chrom is not null and least(abs(t_alt / t_depth - coalesce(g.minor_fraction, 0.5)), abs(t_alt / t_depth - (1 - coalesce(g.minor_fraction, 0.5)))) <= 0.1 then").replace("left join orient o", "left join segs g on g.chrom = c.chrom and c.pos - 1 >= g.start_pos and c.pos <= g.end_pos left join orient o"))
+def filter_calls_with_segments(s, d):
+    """Germline alleles count only where their share is that of the segment."""
+    sam, sites = view(s, d, "sam"), _sites(s, d)
+    tumor, normal = sam.where("sample = 'tumor'"), sam.where("sample = 'normal'")
+    calls = C.somatic_candidates(tumor, normal, F.expr(REFERENCE), min_alt=2, most_normal_alt=50)
+    seen = A.pileup_summaries(tumor, sites, ())
+    share = C.contamination(seen, A.pileup_summaries(normal, sites, ()), 3, 0.4)
+    return C.filter_calls(calls, share, A.orientation_counts(tumor, F.expr(REFERENCE), ()), sites, calls.where("pos % 3 = 0"), 4, 0.3, 0.05, C.tumor_segmentation(seen, (), 50, 2, 2, 0.02, 3))
+
+
 _AS = """select sample, category, cast(count(*) as double) n, cast(sum(al) as double) aligned, sum(al) / count(*) pct, avg(len) len from (select sample, case when flag & 64 <> 0 then 'FIRST_OF_PAIR' else 'SECOND_OF_PAIR' end category, case when flag & 4 = 0 then 1 else 0 end al, length(seq) len from sam
 union all select sample, 'PAIR', case when flag & 4 = 0 then 1 else 0 end, length(seq) from sam) t group by 1, 2"""
 _IS = """select sample, case when flag & 16 <> 0 then 'RF' else 'FR' end orientation, median(tlen) median, avg(tlen) mean, stddev_samp(tlen) sd, min(tlen) lo, max(tlen) hi, count(*) n from sam where flag & 4 = 0 group by 1, 2"""
@@ -838,7 +941,7 @@ def mark_duplicate_pairs(s, d):
 @query(PAIR_DUPS + """, n as (select sample, cast(floor(count(*) / 2) as bigint) p, cast(floor(sum(case when flag & 1024 <> 0 then 1 else 0 end) / 2) as bigint) d from marked group by 1),
 h as (select sample, 0 k, cast(p - d as double) lo, cast(p as double) * p / greatest(d, 1) + p hi from n union all
 select h.sample, k + 1, case when (p - d) / ((lo + hi) / 2) < 1 - exp(-p / ((lo + hi) / 2)) then lo else (lo + hi) / 2 end, case when (p - d) / ((lo + hi) / 2) < 1 - exp(-p / ((lo + hi) / 2)) then (lo + hi) / 2 else hi end from h join n on n.sample = h.sample where k < 60)
-select n.sample, cast(0 as bigint) unpaired_examined, p pairs_examined, cast(0 as bigint) unpaired_duplicates, d pair_duplicates, round(d / p, 6) percent_duplication, cast(round((lo + hi) / 2) as bigint) library_size from n join h on h.sample = n.sample and k = 60""", recursive=True)
+select n.sample, cast(0 as bigint) unpaired_examined, p pairs_examined, cast(0 as bigint) unpaired_duplicates, d pair_duplicates, round(d / p, 6) percent_duplication, case when d > 0 then cast(round((lo + hi) / 2) as bigint) end library_size from n join h on h.sample = n.sample and k = 60""", recursive=True)
 def duplication_metrics_of_pairs(s, d):
     return r6(A.duplication_metrics(A.mark_duplicates(view(s, d, "pairs_sam"))), "percent_duplication")
 

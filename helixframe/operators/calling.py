@@ -6,11 +6,11 @@ they assemble nothing and fit no likelihood model.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .alignments import orientation_counts, pileup, pileup_summaries, with_reference
-from .intervals import restrict_to_targets
+from .intervals import interval_join, restrict_to_targets
 from .variants import known_sites_anti
 
 
@@ -62,17 +62,55 @@ def contamination(tumor_sites: DataFrame, normal_sites: DataFrame | None = None,
     return s.agg(F.least(F.lit(1.0), F.coalesce(est, F.lit(0.0))).alias("contamination"), F.count("*").alias("n_sites"))
 
 
-def filter_calls(calls: DataFrame, contaminated: DataFrame | None = None, orientation: DataFrame | None = None, germline: DataFrame | None = None, pon: DataFrame | None = None, min_alt: int = 3, min_vaf: float = 0.05, most_artifact: float = 0.9) -> DataFrame:
-    """``calls`` with ``filter``: PASS, or the reasons against a call joined by semicolons."""
+def tumor_segmentation(sites: DataFrame, keys: tuple[str, ...] = (), width: int = 100_000, min_depth: int = 5, min_sites: int = 2, min_gain: float = 0.05, rounds: int = 6) -> DataFrame:
+    """keys, chrom, start_pos, end_pos, sites, minor_fraction: parts of contigs whose minor allele fraction is level.
+
+    ``sites`` have chrom, pos, ref_count and alt_count. The fractions, in thousandths, are
+    summed in bins of ``width`` bases; each round splits every segment after the bin
+    where that lowers the sum of squares most, if by ``min_gain`` (in squared fractions), with ``min_sites`` on
+    both sides. A window holds the bins of one contig, however many sites they have.
+    """
+    total = F.col("ref_count") + F.col("alt_count")
+    s = sites.where(total >= max(min_depth, 1)).select(*keys, "chrom", "pos", F.floor(1000 * F.least("ref_count", "alt_count") / total).alias("m"))
+    b = s.groupBy(*keys, "chrom", F.floor((F.col("pos") - 1) / width).alias("bin")).agg(F.count("*").alias("n"), F.sum("m").alias("s"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    b = b.withColumn("segment", F.lit(-1).cast("long"))
+    square = lambda x, n: F.try_divide(x.cast("double") * x.cast("double"), n.cast("double"))
+    for _ in range(rounds):
+        w = Window.partitionBy(*keys, "chrom", "segment")
+        upto = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        b = b.withColumns({"n1": F.sum("n").over(upto), "s1": F.sum("s").over(upto), "all_n": F.sum("n").over(w), "all_s": F.sum("s").over(w)})
+        n2, s2 = F.col("all_n") - F.col("n1"), F.col("all_s") - F.col("s1")
+        gain = (square(F.col("s1"), F.col("n1")) + square(s2, n2) - square(F.col("all_s"), F.col("all_n"))) / 1e6
+        ok = (F.col("n1") >= min_sites) & (n2 >= min_sites)
+        b = b.withColumn("split", F.max(F.when(ok & (gain >= min_gain), F.struct(gain.alias("gain"), (-F.col("bin")).alias("bin")))).over(w))
+        beyond = F.coalesce(F.col("bin") > -F.col("split.bin"), F.lit(False))
+        b = b.withColumn("segment", F.when(beyond, -F.col("split.bin")).otherwise(F.col("segment"))).drop("n1", "s1", "all_n", "all_s", "split")
+    out = b.groupBy(*keys, "chrom", "segment").agg((F.min("first") - 1).alias("start_pos"), F.max("last").alias("end_pos"), F.sum("n").alias("sites"), (F.sum("s") / F.sum("n") / 1000).alias("minor_fraction"))
+    return out.drop("segment")
+
+
+def filter_calls(calls: DataFrame, contaminated: DataFrame | None = None, orientation: DataFrame | None = None, germline: DataFrame | None = None, pon: DataFrame | None = None, min_alt: int = 3, min_vaf: float = 0.05, most_artifact: float = 0.9, segments: DataFrame | None = None, tolerance: float = 0.1) -> DataFrame:
+    """``calls`` with ``filter``: PASS, or the reasons against a call joined by semicolons.
+
+    With the ``segments`` of :func:`tumor_segmentation`, a call at a germline allele is
+    germline only if its share is as near as ``tolerance`` to the minor or the major
+    fraction of its segment (a half where there is none), as that of a heterozygous site would be.
+    """
     c = calls
     share = F.coalesce(F.try_divide(F.col("t_alt").cast("double"), F.col("t_depth").cast("double")), F.lit(0.0))
     reasons = [F.when(F.col("t_alt") < min_alt, "weak_evidence"), F.when(share < min_vaf, "low_allele_frac")]
-    keys = ["chrom", "pos", "ref", "alt"]
+    keys, as_heterozygous = ["chrom", "pos", "ref", "alt"], F.lit(True)
+    if segments is not None:
+        points = c.select("chrom", "pos").distinct().select("chrom", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"))
+        within = interval_join(points, segments.select("chrom", "start_pos", "end_pos", "minor_fraction")).groupBy("chrom", F.col("end_pos").alias("pos")).agg(F.min("r_minor_fraction").alias("__minor"))
+        c = c.join(within, ["chrom", "pos"], "left")
+        minor = F.coalesce("__minor", F.lit(0.5))
+        as_heterozygous = F.least(F.abs(share - minor), F.abs(share - (1 - minor))) <= tolerance
     for name, known in (("germline", germline), ("panel_of_normals", pon)):
         if known is not None:
             on = [k for k in keys if k in known.columns]
             c = c.join(known.select(*on).distinct().withColumn(f"__{name}", F.lit(True)), on, "left")
-            reasons.append(F.when(F.col(f"__{name}"), name))
+            reasons.append(F.when(F.col(f"__{name}") & (as_heterozygous if name == "germline" else F.lit(True)), name))
     if orientation is not None:
         o = orientation.groupBy("ref", "alt").agg(F.max("artifact").alias("__artifact"))
         c = c.join(F.broadcast(o), ["ref", "alt"], "left")  # at most twelve rows

@@ -5,6 +5,8 @@ A read table has ``rec`` (number from 0), ``header, seq, plus, qual`` and may ha
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,6 +129,82 @@ def read_qc(reads: DataFrame, **cleaning) -> DataFrame:
     return read_totals(reads, "before").unionByName(read_totals(cleaned, "after"))
 
 
+def cleaning_counts(reads: DataFrame, adapter: str | None = None, **cleaning) -> DataFrame:
+    """section, item, n: reads for each reason, and reads and bases that the adapter's removal cuts."""
+    reasons = filter_reasons(read_clean(reads, adapter=adapter, **cleaning)).select(F.lit("reason").alias("section"), F.col("reason").alias("item"), F.col("n").cast("long").alias("n"))
+    if not adapter:
+        return reasons
+    cut = F.length("seq") - F.least(F.length("seq"), trim_adapter(F.col("seq"), adapter))
+    one = reads.agg(F.coalesce(F.sum(F.when(cut > 0, 1)), F.lit(0)).cast("long").alias("reads"), F.coalesce(F.sum(cut), F.lit(0)).cast("long").alias("bases"))
+    return reasons.unionByName(one.select(F.lit("adapter").alias("section"), F.explode(F.create_map(F.lit("trimmed_reads"), "reads", F.lit("trimmed_bases"), "bases")).alias("item", "n")))
+
+
+def overrepresented_sequences(reads: DataFrame, percent: float = 0.1, first: int = 50) -> DataFrame:
+    """sequence, n, percent: sequences, by their first bases, that are more than so many percent of all reads.
+
+    A summary of frequent items, merged from all tasks, names every sequence that may be
+    so frequent, at most 150 / ``percent`` of them; only those are then counted exactly. Empty reads are none.
+    """
+    share = percent / 100
+    if not 1e-5 <= share <= 1:
+        raise ValueError("percent is from 0.001 to 100")
+    s = reads.select(F.substring("seq", 1, first).alias("sequence")).where("sequence <> ''")
+    # The summary's error is below a third of the share, so none of the sequences is lost.
+    top = s.agg(F.expr(f"approx_top_k(sequence, {math.ceil(1.5 / share)}, {math.ceil(10 / share)})").alias("top"))
+    named = top.select(F.explode("top.item").alias("sequence"))
+    counts = s.join(F.broadcast(named), "sequence", "left_semi").groupBy("sequence").agg(F.count("*").alias("n"))
+    total = s.agg(F.count("*").alias("__all"))
+    out = counts.crossJoin(F.broadcast(total))  # one row
+    return out.select("sequence", "n", (100 * F.col("n") / F.col("__all")).alias("percent")).where(F.col("percent") > percent)
+
+
+def gc_per_sequence(reads: DataFrame) -> DataFrame:
+    """gc, n: reads by their share of G and C in whole percent."""
+    return reads.where(F.length("seq") > 0).groupBy(F.round(100 * gc_count(F.col("seq")) / F.length("seq")).cast("int").alias("gc")).agg(F.count("*").alias("n"))
+
+
+def gc_fit(reads: DataFrame) -> DataFrame:
+    """One row: centre, sd, deviation and status of the GC of reads against a normal curve.
+
+    The centre is the middle of the neighbours of the commonest value that reach nine
+    tenths of it (that value itself if they reach 0 or 100), sd is around the
+    centre, and deviation the sum of all differences from the curve in percent of the reads.
+    More than 15 warns and more than 30 fails. One value alone does not deviate.
+    """
+    h = gc_per_sequence(reads).agg(F.map_from_entries(F.collect_list(F.struct("gc", "n"))).alias("m"))  # 101 numbers
+    h = h.select(F.transform(F.sequence(F.lit(0), F.lit(100)), lambda i: F.coalesce(F.try_element_at("m", i.cast("int")), F.lit(0).cast("long"))).alias("n")).where("exists(n, x -> x > 0)")
+    h = h.withColumns({"whole": F.expr("aggregate(n, 0L, (a, x) -> a + x)"), "mode": F.array_position("n", F.array_max("n")) - 1, "most": F.array_max("n")})
+    low = F.expr("array_max(concat(array(-1L), filter(transform(n, (x, i) -> if(10 * x <= 9 * most and i < mode, cast(i as bigint), -1L)), i -> i >= 0))) + 1")
+    high = F.expr("array_min(concat(array(101L), filter(transform(n, (x, i) -> if(10 * x <= 9 * most and i > mode, cast(i as bigint), 101L)), i -> i <= 100))) - 1")
+    h = h.withColumns({"low": low, "high": high})
+    h = h.withColumn("centre", F.when((F.col("low") == 0) | (F.col("high") == 100), F.col("mode").cast("double")).otherwise((F.col("low") + F.col("high")) / 2))
+    h = h.withColumn("sd", F.expr("sqrt(aggregate(transform(n, (x, i) -> x * (i - centre) * (i - centre)), 0D, (a, x) -> a + x) / greatest(whole - 1, 1))"))
+    gap = F.expr("100 * aggregate(transform(n, (x, i) -> abs(x - whole * exp(-(i - centre) * (i - centre) / (2 * sd * sd)) / (sd * sqrt(2 * pi())))), 0D, (a, x) -> a + x) / whole")
+    h = h.withColumn("deviation", F.when(F.col("sd") > 0, gap).otherwise(0.0))
+    return h.select("centre", "sd", "deviation", F.when(F.col("deviation") > 30, "FAIL").when(F.col("deviation") > 15, "WARN").otherwise("PASS").alias("status"))
+
+
+def adapter_content(reads: DataFrame, adapters: dict[str, str]) -> DataFrame:
+    """adapter, cycle, percent: reads in which an adapter has begun by a cycle, for the cycles at which it begins in any."""
+    found = F.array(*[F.struct(F.lit(k).alias("adapter"), F.locate(v, F.col("seq")).alias("cycle")) for k, v in adapters.items()])
+    h = reads.select(F.inline(found)).groupBy("adapter", "cycle").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("adapter")  # a row for each cycle
+    h = h.withColumns({"__all": F.sum("n").over(w)}).where("cycle > 0")
+    return h.select("adapter", "cycle", (100 * F.sum("n").over(w.orderBy("cycle")) / F.col("__all")).alias("percent"))
+
+
+def fastqc_sequence_modules(reads: DataFrame, adapters: dict[str, str] | None = None, first: int = 50) -> DataFrame:
+    """(module, status) of overrepresented sequences, of GC per sequence, and of adapters by cycle."""
+    status = lambda bad, odd: F.when(bad, "FAIL").when(odd, "WARN").otherwise("PASS").alias("status")
+    most = overrepresented_sequences(reads, 0.1, first).agg(F.max("percent").alias("p"))
+    out = most.select(F.lit("overrepresented_sequences").alias("module"), status(F.col("p") > 1, F.col("p") > 0.1))
+    out = out.unionByName(gc_fit(reads).select(F.lit("per_sequence_gc_content").alias("module"), "status"))
+    if adapters:
+        a = adapter_content(reads, adapters).agg(F.max("percent").alias("p"))
+        out = out.unionByName(a.select(F.lit("adapter_content").alias("module"), status(F.col("p") > 10, F.col("p") > 5)))
+    return out
+
+
 def duplication_rate(reads: DataFrame) -> DataFrame:
     """One row: reads, distinct, rate."""
     d = reads.groupBy("seq").agg(F.count("*").alias("n")).agg(F.sum("n").alias("reads"), F.count("*").alias("distinct"))

@@ -140,22 +140,73 @@ def mutational_load(counts: DataFrame, callable_mb: DataFrame, key: str = "sampl
     return j.withColumns({"load": per("n_total"), "snv_load": per("n_snv"), "indel_load": per("n_indel")})
 
 
+#: The tags that :func:`fill_tags` knows. Those of the second group have a value for each alternative.
+TAGS = ("AN", "NS", "MAF", "F_MISSING", "AC", "AF", "AC_Het", "AC_Hom", "AC_Hemi", "HWE", "ExcHet")
+
+
+def _hardy_weinberg(het: Column, hom: Column, other: Column) -> tuple[Column, Column]:
+    """The exact test of genotype counts, and that of too many heterozygotes; 1 where there are no genotypes.
+
+    Given the alleles, the numbers of heterozygotes that are possible go in steps of two; the probability of each follows
+    from that of the one before. Logarithms keep large cohorts in range.
+    """
+    n, rare = het + hom + other, 2 * F.least(hom, other) + het
+    steps = F.sequence(rare % 2, rare, F.lit(2))
+    last = lambda a: F.element_at(a, -1)
+
+    def ratio(h: Column) -> Column:
+        fewer = (rare - h) / 2
+        return F.ln(4 * fewer * (n - h - fewer) / ((h + 2) * (h + 1)))
+
+    logs = F.aggregate(F.slice(steps, F.lit(1), F.size(steps) - 1), F.array(F.lit(0.0)), lambda a, h: F.concat(a, F.array(last(a) + ratio(h))))
+    p = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    at = F.get(p, ((het - rare % 2) / 2).cast("int"))
+    # Equal probabilities may differ in their last digits.
+    two_sided = total(F.filter(p, lambda x: x <= at * (1 + 1e-9))) / total(p)
+    many = total(F.slice(p, ((het - rare % 2) / 2).cast("int") + 1, F.size(p))) / total(p)
+    return F.when(n > 0, F.least(two_sided, F.lit(1.0))).otherwise(1.0), F.when(n > 0, F.least(many, F.lit(1.0))).otherwise(1.0)
+
+
 def fill_tags(variants: DataFrame, tags: list[str]) -> DataFrame:
-    """``info`` with AN, AC, AF, NS of the genotypes of all samples. AC and AF list the alternatives."""
+    """``info`` with tags of the genotypes of all samples: any of ``TAGS``, others are an error.
+
+    AN counts called alleles and NS samples with one; MAF is the share of the second commonest allele,
+    F_MISSING that of samples without a call. For each alternative: AC and AF its number and share, AC_Het, AC_Hom and
+    AC_Hemi its number in heterozygous, homozygous and haploid genotypes, HWE and ExcHet the
+    exact Hardy-Weinberg test and that of an excess of heterozygotes, over diploid genotypes without missing alleles.
+    """
     if not tags:
         raise ValueError("give the tags to fill")
-    alleles = F.flatten(F.transform("samples", lambda s: F.regexp_extract_all(F.coalesce(F.try_element_at(s["fmt"], F.lit("GT")), F.lit("")), F.lit("(\\d+)"), 1)))
-    v = variants.withColumn("__a", alleles)
-    an = F.size("__a")
-    ac = F.transform(F.sequence(F.lit(1), F.size(F.split("alt", ","))), lambda i: F.size(F.filter("__a", lambda x: x == i.cast("string"))))
-    called = F.size(F.filter("samples", lambda s: F.coalesce(F.try_element_at(s["fmt"], F.lit("GT")), F.lit("")).rlike("\\d")))
+    unknown = sorted(set(tags) - set(TAGS))
+    if unknown:
+        raise ValueError(f"unknown tags: {', '.join(unknown)}; known are {', '.join(TAGS)}")
+    gt = lambda s: F.coalesce(F.try_element_at(s["fmt"], F.lit("GT")), F.lit(""))
+    calls = F.transform("samples", lambda s: F.split(gt(s), "[/|]"))
+    v = variants.withColumn("__g", calls).withColumn("__a", F.filter(F.flatten("__g"), lambda x: x.rlike("^\\d+$")))
+    known = lambda g: F.forall(g, lambda x: x.rlike("^\\d+$"))
+    v = v.withColumn("__two", F.filter("__g", lambda g: (F.size(g) == 2) & known(g))).withColumn("__one", F.filter("__g", lambda g: (F.size(g) == 1) & known(g)))
+    an, each = F.size("__a"), F.sequence(F.lit(1), F.size(F.split("alt", ",")))
+    share = lambda x, of: F.coalesce(F.try_divide(x.cast("double"), of.cast("double")), F.lit(0.0))
+    text = lambda x: F.round(x, 6).cast("string")
+    count = lambda i: F.size(F.filter("__a", lambda x: x == i.cast("string")))
+    has = lambda g, i: F.size(F.filter(g, lambda x: x == i.cast("string")))
+    hets = lambda i: F.size(F.filter("__two", lambda g: has(g, i) == 1))
+    homs = lambda i: F.size(F.filter("__two", lambda g: has(g, i) == 2))
+    others = lambda i: F.size("__two") - hets(i) - homs(i)
+    called = F.size(F.filter("__g", lambda g: F.exists(g, lambda x: x.rlike("^\\d+$"))))
+    counts = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(F.split("alt", ","))), count), asc=False)
+    exact = lambda i, k: _hardy_weinberg(hets(i), homs(i), others(i))[k]
+    listed = lambda f: F.array_join(F.transform(each, f), ",")
     values = {
-        "AN": an.cast("string"), "AC": F.array_join(F.transform(ac, lambda x: x.cast("string")), ","), "NS": called.cast("string"),
-        "AF": F.array_join(F.transform(ac, lambda x: F.round(F.coalesce(F.try_divide(x.cast("double"), an.cast("double")), F.lit(0.0)), 6).cast("string")), ","),
+        "AN": lambda: an.cast("string"), "NS": lambda: called.cast("string"), "MAF": lambda: text(share(F.get(counts, 1), an)), "F_MISSING": lambda: text(share(F.size("__g") - called, F.size("__g"))),
+        "AC": lambda: listed(lambda i: count(i).cast("string")), "AF": lambda: listed(lambda i: text(share(count(i), an))), "AC_Het": lambda: listed(lambda i: hets(i).cast("string")),
+        "AC_Hom": lambda: listed(lambda i: (2 * homs(i)).cast("string")), "AC_Hemi": lambda: listed(lambda i: F.size(F.filter("__one", lambda g: has(g, i) == 1)).cast("string")),
+        "HWE": lambda: listed(lambda i: text(exact(i, 0))), "ExcHet": lambda: listed(lambda i: text(exact(i, 1))),
     }
-    new = F.create_map(*[x for t in tags for x in (F.lit(t), values[t])])
+    new = F.create_map(*[x for t in tags for x in (F.lit(t), values[t]())])
     old = F.map_filter(F.coalesce("info", F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin(tags))
-    return v.withColumn("info", F.map_concat(old, new)).drop("__a")
+    return v.withColumn("info", F.map_concat(old, new)).drop("__a", "__g", "__two", "__one")
 
 
 def known_sites_anti(variants: DataFrame, known: DataFrame, alleles: bool = False) -> DataFrame:

@@ -133,7 +133,12 @@ def read_fastp_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_fastqc(spark: SparkSession, path: str) -> DataFrame:
-    """(file, modules, total_sequences, sequence_length, gc_percent) of zipped reports.
+    """(file, modules, total_sequences, sequence_length, gc_percent) of zipped reports."""
+    return parse_fastqc(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def parse_fastqc(files: DataFrame) -> DataFrame:
+    """The result of :func:`read_fastqc` from (path, content).
 
     Zip archives need Python to open; everything after that is SQL.
     """
@@ -148,8 +153,7 @@ def read_fastqc(spark: SparkSession, path: str) -> DataFrame:
                             rows += [(p, kind, i, x) for i, x in enumerate(z.read(name).decode().splitlines())]
             yield pd.DataFrame(rows, columns=["file", "kind", "line", "value"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    lines = files.mapInPandas(unzip, "file string, kind string, line int, value string")
+    lines = files.select("path", "content").mapInPandas(unzip, "file string, kind string, line int, value string")
     p = F.split("value", "\t")
     name = F.replace(F.lower(F.get(p, 1)), F.lit(" "), F.lit("_"))
     modules = lines.where("kind = 'summary.txt'").where(F.size(p) >= 2).groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct(name, F.get(p, 0)))).alias("modules"))
