@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.genomics import cigar_blocks, has_flag, natural_key, qualities, rate, reference_length, unclipped_5prime
 from .depth import mate_overlap_correct, per_base_depth
+from .graph import connected_groups
 from .intervals import interval_join, restrict_to_targets
 from .reference import MASK, mask_sites, mismatches, reference_at, reference_of
 
@@ -22,11 +23,36 @@ def sort_alignments(reads: DataFrame, by: str = "coordinate", tag: str | None =
     return reads.orderBy(*([tag, "chrom", "pos", *rest] if tag else order[by]))
 
 
-def _close(a: Column, b: Column, distance: int) -> Column:
-    """Whether names ending in ``:tile:x:y`` tell of clusters of one tile that are so close in both directions."""
-    p, q = (F.when(F.size(F.split(n, ":")) >= 5, F.slice(F.split(n, ":"), -3, 3)) for n in (a, b))
-    apart = lambda i: F.abs(F.get(p, i).try_cast("long") - F.get(q, i).try_cast("long"))
-    return F.coalesce((F.get(p, 0) == F.get(q, 0)) & (apart(1) <= distance) & (apart(2) <= distance), F.lit(False))
+def _optical(members: DataFrame, keys: tuple[str, ...], distance: int) -> DataFrame:
+    """(keys, qname) of optical duplicates among the ``members`` of sets of duplicates (keys, a, b, ends, qname, score, stays).
+
+    Names ending in ``:tile:x:y`` tell where a cluster lies. Clusters of one set and tile that are at most ``distance`` apart in both
+    directions are connected, and so are chains of them; of each connected group all are
+    optical but the one that stays, or the best of a group that has none. Clusters of one cell of a grid of that
+    width are always connected, so groups are made of cells: of neighbours in a row or a column by their extremes, of
+    diagonal ones by one row for each x, of which a cell has ``distance`` at most.
+    """
+    parts = F.split("qname", ":")
+    at = lambda k: F.element_at(parts, -k).try_cast("long")
+    place = members.where(F.size(parts) >= 5).withColumns({"x": at(2), "y": at(1)}).where("x is not null and y is not null")
+    group = F.md5(F.to_json(F.struct(*keys, "a", "b", "ends", F.element_at(parts, -3).alias("tile"))))
+    place = place.select(*keys, "qname", "score", "stays", "x", "y", group.alias("set"), F.floor(F.col("x") / distance).alias("cx"), F.floor(F.col("y") / distance).alias("cy"))
+    node = lambda s="": F.concat_ws("/", f"{s}set", f"{s}cx", f"{s}cy")
+    cells = place.groupBy("set", "cx", "cy").agg(*[f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))])
+    columns = place.groupBy("set", "cx", "cy", "x").agg(F.min("y").alias("min_y"), F.max("y").alias("max_y"))
+    other = lambda df: df.select([F.col(c).alias(f"o_{c}") for c in df.columns])
+    edges = None
+    for df, dx, dy, near in (
+        (cells, 1, 0, F.col("o_min_x") - F.col("max_x") <= distance), (cells, 0, 1, F.col("o_min_y") - F.col("max_y") <= distance),
+        (columns, 1, 1, (F.col("o_x") - F.col("x") <= distance) & (F.col("o_min_y") - F.col("max_y") <= distance)),
+        (columns, 1, -1, (F.col("o_x") - F.col("x") <= distance) & (F.col("min_y") - F.col("o_max_y") <= distance)),
+    ):
+        on = (F.col("set") == F.col("o_set")) & (F.col("cx") + dx == F.col("o_cx")) & (F.col("cy") + dy == F.col("o_cy")) & near
+        e = df.join(other(df), on).select(node().alias("u"), node("o_").alias("v")).distinct()
+        edges = e if edges is None else edges.unionByName(e)
+    placed = place.withColumn("node", node()).join(connected_groups(edges), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    first = placed.groupBy("group").agg(F.min(F.struct((~F.col("stays")).alias("o"), (-F.col("score")).alias("s"), "qname")).alias("first"))
+    return placed.join(first, "group").where("qname <> first.qname").select(*keys, "qname")
 
 
 def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...] = ("sample",), optical_distance: int = 0) -> DataFrame:
@@ -37,7 +63,7 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
     with the largest sum of base qualities stays. Single reads with an end that a
     pair has are duplicates of it; others are compared with single reads.
     Secondary, supplementary and unmapped reads are left alone. With an
-    ``optical_distance`` the column ``optical`` tells which duplicates lie so close to the one that stays.
+    ``optical_distance`` the column ``optical`` tells which duplicates come from the same cluster (:func:`_optical`).
     """
     good = F.filter(qualities(F.col("qual")), lambda q: q >= 15)
     score = F.aggregate(good, F.lit(0), lambda a, x: a + x)
@@ -50,12 +76,15 @@ def mark_duplicates(reads: DataFrame, remove: bool = False, keys: tuple[str, ...
     # The rows of pairs come first among single reads: nulls are least.
     rivals = fragments.select(*keys, "a", "b", "ends", "score", "qname").unionByName(pair_ends)
     best = rivals.groupBy(*keys, "a", "b", "ends").agg(F.min(F.struct((-F.col("score")).alias("s"), "qname")).alias("best"))
-    losers = fragments.join(best, [*keys, "a", "b", "ends"]).where(~F.col("qname").eqNullSafe(F.col("best.qname"))).select(*keys, "qname", F.lit(True).alias("__dup"), _close(F.col("qname"), F.col("best.qname"), optical_distance).alias("__close"))
+    members = fragments.join(best, [*keys, "a", "b", "ends"]).withColumn("stays", F.col("qname").eqNullSafe(F.col("best.qname")))
+    losers = members.where(~F.col("stays")).select(*keys, "qname", F.lit(True).alias("__dup"))
+    if optical_distance:
+        losers = losers.join(_optical(members, keys, optical_distance).withColumn("__close", F.lit(True)), [*keys, "qname"], "left")
     eligible = F.col("flag").bitwiseAND(F.lit(4 | 256 | 2048)) == 0
     clean = F.col("flag").bitwiseAND(F.lit(~1024))
     out = reads.join(losers, [*keys, "qname"], "left").withColumn("flag", F.when(eligible & F.col("__dup"), clean.bitwiseOR(F.lit(1024))).when(eligible, clean).otherwise(F.col("flag")))
-    optical = F.coalesce(eligible & F.col("__dup") & F.col("__close"), F.lit(False)).alias("optical")
-    out = out.select(*reads.columns, *([optical] if optical_distance else []))
+    optical = [F.coalesce(eligible & F.col("__dup") & F.col("__close"), F.lit(False)).alias("optical")] if optical_distance else []
+    out = out.select(*reads.columns, *optical)
     return out.where(~has_flag(F.col("flag"), 1024)) if remove else out
 
 

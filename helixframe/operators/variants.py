@@ -6,6 +6,7 @@ A variant table has ``chrom, pos, id, ref, alt, qual, filter, info`` (a map) and
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -144,28 +145,34 @@ def mutational_load(counts: DataFrame, callable_mb: DataFrame, key: str = "sampl
 TAGS = ("AN", "NS", "MAF", "F_MISSING", "AC", "AF", "AC_Het", "AC_Hom", "AC_Hemi", "HWE", "ExcHet")
 
 
-def _hardy_weinberg(het: Column, hom: Column, other: Column) -> tuple[Column, Column]:
-    """The exact test of genotype counts, and that of too many heterozygotes; 1 where there are no genotypes.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, as expressions within lambdas are not shared."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _hardy_weinberg(het: Column, hom: Column, other: Column, which: int) -> Column:
+    """The exact test of genotype counts (0), or that of too many heterozygotes (1); 1 where there are no genotypes.
 
     Given the alleles, the numbers of heterozygotes that are possible go in steps of two; the probability of each follows
     from that of the one before. Logarithms keep large cohorts in range.
     """
-    n, rare = het + hom + other, 2 * F.least(hom, other) + het
-    steps = F.sequence(rare % 2, rare, F.lit(2))
-    last = lambda a: F.element_at(a, -1)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
-    def ratio(h: Column) -> Column:
-        fewer = (rare - h) / 2
-        return F.ln(4 * fewer * (n - h - fewer) / ((h + 2) * (h + 1)))
+    def logs(c: Column) -> Column:
+        ratio = lambda h: F.ln(4 * ((c["rare"] - h) / 2) * (c["n"] - h - (c["rare"] - h) / 2) / ((h + 2) * (h + 1)))
+        steps = F.sequence(c["rare"] % 2, c["rare"], F.lit(2))
+        return F.aggregate(F.slice(steps, F.lit(1), F.size(steps) - 1), F.array(F.lit(0.0)), lambda a, h: F.concat(a, F.array(F.element_at(a, -1) + ratio(h))))
 
-    logs = F.aggregate(F.slice(steps, F.lit(1), F.size(steps) - 1), F.array(F.lit(0.0)), lambda a, h: F.concat(a, F.array(last(a) + ratio(h))))
-    p = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    at = F.get(p, ((het - rare % 2) / 2).cast("int"))
-    # Equal probabilities may differ in their last digits.
-    two_sided = total(F.filter(p, lambda x: x <= at * (1 + 1e-9))) / total(p)
-    many = total(F.slice(p, ((het - rare % 2) / 2).cast("int") + 1, F.size(p))) / total(p)
-    return F.when(n > 0, F.least(two_sided, F.lit(1.0))).otherwise(1.0), F.when(n > 0, F.least(many, F.lit(1.0))).otherwise(1.0)
+    def share(p: Column, at: Column) -> Column:
+        # Equal probabilities may differ in their last digits.
+        if which == 0:
+            return _let(F.get(p, at), lambda own: total(F.filter(p, lambda x: x <= own * (1 + 1e-9)))) / total(p)
+        return total(F.slice(p, at + 1, F.size(p))) / total(p)
+
+    counts = F.struct((het + hom + other).alias("n"), (2 * F.least(hom, other) + het).alias("rare"), het.alias("het"))
+    scaled = lambda l: _let(F.array_max(l), lambda most: F.transform(l, lambda x: F.exp(x - most)))
+    test = lambda c: _let(_let(logs(c), scaled), lambda p: share(p, ((c["het"] - c["rare"] % 2) / 2).cast("int")))
+    return _let(counts, lambda c: F.when(c["n"] > 0, F.least(test(c), F.lit(1.0))).otherwise(1.0))
 
 
 def fill_tags(variants: DataFrame, tags: list[str]) -> DataFrame:
@@ -196,7 +203,7 @@ def fill_tags(variants: DataFrame, tags: list[str]) -> DataFrame:
     others = lambda i: F.size("__two") - hets(i) - homs(i)
     called = F.size(F.filter("__g", lambda g: F.exists(g, lambda x: x.rlike("^\\d+$"))))
     counts = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(F.split("alt", ","))), count), asc=False)
-    exact = lambda i, k: _hardy_weinberg(hets(i), homs(i), others(i))[k]
+    exact = lambda i, k: _hardy_weinberg(hets(i), homs(i), others(i), k)
     listed = lambda f: F.array_join(F.transform(each, f), ",")
     values = {
         "AN": lambda: an.cast("string"), "NS": lambda: called.cast("string"), "MAF": lambda: text(share(F.get(counts, 1), an)), "F_MISSING": lambda: text(share(F.size("__g") - called, F.size("__g"))),

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
-import tempfile
-import uuid
 import zipfile
 
 import pandas as pd
@@ -13,20 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import formats, sinks
+from ..sources.scratch import folder
 from .views import view
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write; of this machine only where all of Spark runs in one process."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def read_fastq(s: SparkSession, d: str) -> DataFrame:
     path = folder(s)
     sinks.write_fastq(view(s, d, "fastq"), path)
@@ -174,6 +161,30 @@ def input_manifest(s: SparkSession, d: str) -> DataFrame:
     return m.select(F.regexp_extract("path", "part=([^/]+)", 1).cast("long").alias("part"), "length", "md5", same.alias("signed"))
 
 
+def run_incremental(s: SparkSession, d: str) -> DataFrame:
+    """Three runs over a file for each sample: all files, then after two were changed and one is gone, then as they are. How often each reason came, and the rows."""
+    from ..sources.scratch import delete
+    from .incremental import run_incremental as run
+
+    source, target = folder(s), folder(s)
+    loads = view(s, d, "loads").select("sample", "n_total")
+    loads.repartition("sample").write.partitionBy("sample").json(source)
+
+    def compute(paths: list[str]) -> DataFrame:
+        return s.read.schema("n_total long").json(paths).select("n_total", F.col("_metadata.file_path").alias("file"))
+
+    seen = [run(s, source, target, compute).select(F.lit(1).alias("run"), "reason")]
+    ends = loads.agg(F.min("sample").alias("least"), F.max("sample").alias("most"), F.max(F.when(F.col("sample").like("PRLC_1_%"), F.col("sample"))).alias("other")).first()
+    for sample in (ends["least"], ends["other"]):
+        loads.where(F.col("sample") == sample).select(F.col("n_total") + 1000).toDF("n_total").write.mode("overwrite").json(f"{source}/sample={sample}")
+    delete(s, f"{source}/sample={ends['most']}")
+    for k in (2, 3):
+        seen.append(run(s, source, target, compute).select(F.lit(k).alias("run"), "reason"))
+    reasons = seen[0].unionByName(seen[1]).unionByName(seen[2]).groupBy("run", "reason").agg(F.count("*").alias("n"), F.lit(None).cast("long").alias("total"))
+    rows = s.read.parquet(f"{target}/rows").agg(F.lit(0).alias("run"), F.lit("rows").alias("reason"), F.count("*").alias("n"), F.sum("n_total").alias("total"))
+    return reasons.unionByName(rows)
+
+
 def write_check(s: SparkSession, d: str) -> DataFrame:
     """The text of a check, for each sample."""
     from ..operators.fastq import fastq_check
@@ -244,6 +255,8 @@ ROUNDTRIPS = {
     "contig_lengths": (contig_lengths, "select concat('c', cast(rec as string)) chrom, cast(64 as bigint) length from fastq where rec % 3 <> 0"),
     "fasta_regions": (fasta_regions, f"select concat('c', cast(rec as string)) chrom, rec % 20 + 5 start_pos, rec % 20 + 35 end_pos, concat_ws(chr(10), substr({_REV}, 1, 12), substr({_REV}, 13, 12), substr({_REV}, 25, 6)) seq from fastq"),
     "input_manifest": (input_manifest, "select rec % 16 part, cast(sum(length(header) + 1) as bigint) length, md5(concat(string_agg(header, chr(10) order by rec), chr(10))) md5, true signed from fastq group by 1"),
+    "run_incremental": (run_incremental, """, e as (select min(sample) a, max(sample) z, max(case when sample like 'PRLC_1_%' then sample end) o from loads) select 1 run, 'First run' reason, cast(count(*) as bigint) n, cast(null as bigint) total from loads union all select 2, 'First run', cast(2 as bigint), null
+union all select 2, 'missing', cast(3 as bigint), null union all select 0, 'rows', cast(count(*) as bigint), cast(sum(n_total + case when sample in (a, o) then 1000 else 0 end) as bigint) from loads, e where sample <> z"""),
     "write_check": (write_check, _CHECK),
     "write_report_tsv": (write_report_tsv, "select sample, case when n_total % 2 = 0 then 'even' end note, n_total from loads"),
     "write_load_tsv": (write_load_tsv, "select printf('%.4f', callable_mb) callable_mb, sample, n_total, n_snv, n_indel from loads"),

@@ -189,12 +189,120 @@ def test_optical_duplicates(spark):
     names = {"m:1:f:1:7:1000:1000": "J", "m:1:f:1:7:1100:950": "I", "m:1:f:1:7:1101:1000": "I", "m:1:f:1:8:1000:1000": "I", "plain": "I"}
     reads = spark.createDataFrame([row(q, f, p, x) for q, x in names.items() for f, p in ((1 | 64, 10), (1 | 128 | 16, 50))], READ)
     marked = A.mark_duplicates(reads, optical_distance=100)
-    assert {(r["qname"], r["optical"]) for r in marked.where("flag & 1024 <> 0").collect()} == {(q, q.endswith("1100:950")) for q in list(names)[1:]}
+    # The third is 101 from the first, but near the second: chains belong together.
+    assert {(r["qname"], r["optical"]) for r in marked.where("flag & 1024 <> 0").collect()} == {(q, q.endswith(("1100:950", "1101:1000"))) for q in list(names)[1:]}
     m = A.duplication_metrics(marked).first()
-    assert (m["pairs_examined"], m["pair_duplicates"], m["optical_duplicates"]) == (5, 4, 1)
+    assert (m["pairs_examined"], m["pair_duplicates"], m["optical_duplicates"]) == (5, 4, 2)
     assert A.mark_duplicates(reads).columns == reads.columns
 
 
+def test_optical_groups_against_a_plain_version(spark):
+    """Clusters of a dense tile, in groups by all pairs; a group without the read that stays keeps its best."""
+    rng, d = random.Random(11), 10
+    rows, spots = [], {}
+    for i in range(150):
+        tile, x, y, score = rng.choice("12"), rng.randrange(-40, 160), rng.randrange(160), rng.choice("?@ABC")
+        q = f"m:f:{tile}:{x}:{y}" if rng.random() < 0.95 else f"plain{i}"
+        if q not in spots:
+            spots[q] = (tile, x, y, ord(score)) if q[0] == "m" else None
+            rows += [("s", q, f, "c", p, 60, "4M", "ACGT", score * 4) for f, p in ((1 | 64, 10), (1 | 128 | 16, 50))]
+    best = min(spots, key=lambda q: (-ord(rows[[r[1] for r in rows].index(q)][8][0]), q))
+    group = {q: {q} for q, s in spots.items() if s}
+    for a in list(group):
+        for b in list(group):
+            (t, x, y, _), (u, v, w, _) = spots[a], spots[b]
+            if t == u and abs(x - v) <= d and abs(y - w) <= d and group[a] is not group[b]:
+                group[a] |= group[b]
+                for q in group[a]:
+                    group[q] = group[a]
+    want = {q for q, g in group.items() if q != min(g, key=lambda q: (q != best, -spots[q][3], q))}
+    marked = A.mark_duplicates(spark.createDataFrame(rows, READ), optical_distance=d)
+    assert {r["qname"] for r in marked.where("optical").collect()} == want and 20 < len(want) < len(spots) - 5
+    assert marked.where("optical and flag & 1024 = 0").count() == 0
+
+
+def test_connected_groups(spark):
+    from helixframe.operators.graph import connected_groups
+
+    edges = [(f"{i:03}", f"{i + 1:03}") for i in range(100, 140)] + [("zz", "b"), ("b", "zz"), ("c", "c")]
+    got = {r["node"]: r["group"] for r in connected_groups(spark.createDataFrame(edges, "u string, v string")).collect()}
+    assert got == {**{f"{i:03}": "100" for i in range(100, 141)}, "zz": "b", "b": "b"}
+    assert connected_groups(spark.createDataFrame([], "u string, v string")).count() == 0
+
+
+def test_incremental_runs_touch_only_changed_files(spark, tmp_path):
+    from helixframe.plans.incremental import run_incremental
+
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for name in "abcd":
+        (source / f"{name}.txt").write_text(f"{name}1\n{name}2\n")
+    asked = []
+
+    def compute(paths):
+        asked.append(sorted(p[-5:] for p in paths))
+        return spark.read.text(paths).where("value <> 'skipped'").select("value", F.col("_metadata.file_path").alias("file"))
+
+    run = lambda: {(r["path"][-5:], r["reason"]) for r in run_incremental(spark, f"file://{source}", f"file://{target}", compute).collect()}
+    files = lambda: {p: p.stat().st_mtime_ns for p in target.glob("rows/*/*.parquet")}
+    values = lambda: sorted(r["value"] for r in spark.read.parquet(f"{target}/rows").collect())
+    assert len(run()) == 4 and len(values()) == 8
+    first = files()
+    (source / "a.txt").write_text("new\n")
+    (source / "b.txt").unlink()
+    (source / "c.txt").write_text("skipped\n")
+    assert run() == {("a.txt", "does not match"), ("b.txt", "missing"), ("c.txt", "does not match")} and asked[-1] == ["a.txt", "c.txt"]
+    assert values() == ["d1", "d2", "new"] and len(files().items() & first.items()) == 1
+    assert run() == set() and len(asked) == 2
+
+
+def test_mates_count_once(spark):
+    row = lambda q, flag, pos, cigar, seq, qual: ("s", q, flag, "c", pos, 60, cigar, seq, qual)
+    reads = [row("p", 67, 10, "4M", "AAAA", "5555"), row("p", 131, 12, "1M1D3M", "CCCC", "5I55"), row("q", 67, 10, "4M", "GGGG", "IIII"), row("x", 0, 12, "2M", "TT", "55")]
+    got = {r["pos"]: (r["depth"], r["a"], r["c"], r["g"], r["t"]) for r in A.pileup(spark.createDataFrame(reads, READ), remove_overlaps=True).collect()}
+    # Place 12: equal qualities, the first of the pair; 13: the second has a gap; 14: the second alone.
+    assert got == {10: (2, 1, 0, 1, 0), 11: (2, 1, 0, 1, 0), 12: (3, 1, 0, 1, 1), 13: (3, 1, 0, 1, 1), 14: (1, 0, 1, 0, 0), 15: (1, 0, 1, 0, 0), 16: (1, 0, 1, 0, 0)}
+
+
+def test_reference_chunks_at_their_edges(spark):
+    from helixframe.operators import reference as X
+
+    seq = "".join(random.Random(2).choice("ACGTacgtN") for _ in range(101))
+    lines = spark.createDataFrame([("c", i, seq[i : i + 7]) for i in range(0, 101, 7)] + [("d", 0, "ACGT")], "chrom string, offset long, seq string")
+    chunks = X.reference_chunks(lines, 10)
+    assert {(r["chunk"], r["first"], r["seq"]) for r in chunks.where("chrom = 'c'").collect()} == {(k, max(0, 10 * k - 1), seq[max(0, 10 * k - 1) : 10 * k + 11].upper()) for k in range(11)}
+    points = spark.createDataFrame([("c", p) for p in range(1, 104)] + [("e", 1)], "chrom string, pos long")
+    assert {r["pos"]: r["ref"] for r in X.reference_at(points, chunks, 10).collect()} == {i + 1: b.upper() for i, b in enumerate(seq)}
+    blocks = spark.createDataFrame([("c", 0, 25), ("c", 95, 101), ("d", 0, 4)], "chrom string, s long, e long")
+    parts = sorted((r["chrom"], r["__s"], r["__e"], r["ref"]) for r in X.reference_of(blocks, chunks, "s", "e", 1, 10).collect())
+    around = lambda s, e: "".join(seq[i].upper() if 0 <= i < 101 else " " for i in range(s - 1, e + 1))
+    assert parts == [("c", 0, 10, around(0, 10)), ("c", 10, 20, around(10, 20)), ("c", 20, 25, around(20, 25)), ("c", 95, 100, around(95, 100)), ("c", 100, 101, around(100, 101)), ("d", 0, 4, " ACGT ")]
+    sites = spark.createDataFrame([("c", p) for p in (1, 10, 11, 20, 20, 101)] + [("c", None)], "chrom string, pos long")
+    masked = {r["pos"]: r["ref"] for r in X.reference_at(points, X.mask_sites(chunks, sites, 10), 10).collect()}
+    assert [p for p, b in sorted(masked.items()) if b == "*"] == [1, 10, 11, 20, 101]
+    assert all("*" in r["seq"] for r in X.mask_sites(chunks, sites, 10).where("chrom = 'c' and chunk in (0, 1, 2, 9, 10)").collect())
+
+
+def test_hardy_weinberg_by_hand(spark):
+    """Values of the exact test from enumeration with whole numbers."""
+    def exact(het, hom, other):
+        n, rare = het + hom + other, 2 * hom + het
+        ways = {h: math.factorial(n) * 2**h // (math.factorial(h) * math.factorial((rare - h) // 2) * math.factorial(n - h - (rare - h) // 2)) for h in range(rare % 2, min(rare, 2 * n - rare) + 1, 2)}
+        all_ = sum(ways.values())
+        return sum(w for w in ways.values() if w <= ways[het]) / all_, sum(w for h, w in ways.items() if h >= het) / all_
+
+    for het, hom, other in ((57, 14, 50), (0, 5, 5), (10, 0, 0), (3, 20, 2), (0, 0, 9), (500, 100, 900)):
+        gts = ["0/1"] * het + ["1/1"] * hom + ["0/0"] * other + ["./.", "0/."]
+        row = [("c", 1, "A", "T", {"X": "y"}, [("s", {"GT": g}) for g in gts])]
+        v = spark.createDataFrame(row, "chrom string, pos long, ref string, alt string, info map<string,string>, samples array<struct<name:string,fmt:map<string,string>>>")
+        info = V.fill_tags(v, ["HWE", "ExcHet", "AC_Het", "F_MISSING"]).first()["info"]
+        assert [float(info[k]) for k in ("HWE", "ExcHet")] == pytest.approx(exact(het, hom, other), abs=1e-6) and info["AC_Het"] == str(het) and info["X"] == "y"
+    with pytest.raises(ValueError, match="unknown tag"):
+        V.fill_tags(v, ["AC", "XX"])
+    none = v.withColumn("samples", F.array().cast(v.schema["samples"].dataType))
+    assert V.fill_tags(none, list(V.TAGS)).first()["info"]["HWE"] == "1.0"
+
+
 def test_library_size(spark):
     reads = [("s", f"r{i}", 1 | 64 | (1024 if i % 4 == 0 else 0), "c", i, 60, "4M", "ACGT", "IIII") for i in range(4000)]
     m = A.duplication_metrics(spark.createDataFrame(reads, READ)).first()
