@@ -1046,6 +1046,17 @@ def multi_qc(s, d):
     return R.multi_qc(tables, exclude=["c"], ignore_samples=["*_2"], rename={"PRLC_0_SCC_0": "first"}, metrics=["a.n", "b.m"])
 
 
+@query(PAIR_DUPS.replace(", r as", MERGED.format(d=0) + ", r as") + PAIR_BASES.split("once as")[0].rstrip().rstrip(",") + f""", k as (select sample, {_FS} from pairs_sam group by 1), l as (select sample, avg(length(seq)) len from pairs_sam group by 1), m as (select sample, cast(floor(sum(case when flag & 1024 <> 0 then 1 else 0 end) / 2) as bigint) dup from marked group by 1),
+dp as (select sample, chrom, pos, count(*) n from bs group by 1, 2, 3), cv as (select sample, count(*) x1, sum(case when dp.n >= 10 then 1 else 0 end) x10, sum(dp.n) bases from dp join merged g on g.chrom = dp.chrom and dp.pos - 1 >= g.start_pos and dp.pos - 1 < g.end_pos group by 1)
+select k.sample, cast(total as double) "flagstat.total", cast(properly_paired as double) "flagstat.properly_paired", round(len, 6) "alignment.PAIR.mean_read_length", cast(dup as double) "duplication.pair_duplicates", cast(x1 as double) "coverage.bases_1x", cast(x10 as double) "coverage.bases_10x", cast(bases as double) "coverage.bases"
+from k join l on l.sample = k.sample join m on m.sample = k.sample join cv on cv.sample = k.sample""")
+def multi_qc_of_tools(s, d):
+    """One row for each sample with metrics of all tools over its aligned reads."""
+    names = ["flagstat.total", "flagstat.properly_paired", "alignment.PAIR.mean_read_length", "duplication.pair_duplicates", "coverage.bases_1x", "coverage.bases_10x", "coverage.bases"]
+    out = R.multi_qc(R.qc_tables(view(s, d, "pairs_sam"), view(s, d, "targets")), metrics=names)
+    return out.select("sample", *[F.round(F.col(f"`{n}`").cast("double"), 6).alias(n) for n in names])
+
+
 @query(""", q as (select sample, avg(value) c, max(value) / 100 d, min(value) p from qc_long group by 1) select q.sample, round(c, 6) coverage, round(d, 6) duplication, case when q.sample like '%SCC%' then n_total end n_total, case when q.sample like '%SCC%' then round(n_total / callable_mb, 6) end "load" from q left join loads l on l.sample = q.sample""")
 def sample_report(s, d):
     """The numbers in the JSON of each sample."""

@@ -106,6 +106,35 @@ def multi_qc(tables: dict[str, DataFrame], include: list[str] | None = None, exc
     return out.groupBy("sample").pivot("metric", metrics).agg(F.min("value"))
 
 
+def qc_tables(reads: DataFrame, targets: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Long tables (sample, metric, value) of the metrics of aligned reads, by tool, as :func:`multi_qc` takes them.
+
+    ``flagstat``, ``alignment`` and ``insert_size`` (with the category or orientation before the metric),
+    ``duplication``, of reads whose duplicates are marked here, and ``coverage``: callable bases
+    at a depth of 1, 10 and 20 in all contigs, or in the merged ``targets``.
+    """
+    from . import alignments as A
+    from . import depth as D
+    from .intervals import interval_join, merge_intervals
+
+    def by(df: DataFrame, item: str) -> DataFrame:
+        names = [c for c in df.columns if c not in ("sample", item)]
+        m = F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("string"))])
+        long = df.select("sample", item, F.explode(m).alias("metric", "value")).where(F.col("value").isNotNull())
+        return long.select("sample", F.concat_ws(".", item, "metric").alias("metric"), "value")
+
+    out = {"flagstat": to_long(A.flagstat(reads)), "alignment": by(A.alignment_summary(reads), "category"), "duplication": to_long(A.duplication_metrics(A.mark_duplicates(reads)))}
+    if "tlen" in reads.columns:
+        out["insert_size"] = by(A.insert_size_metrics(reads), "orientation")
+    runs = D.per_base_depth(D.aligned_blocks(D.read_filter(reads), ("sample",)), keys=("sample",))
+    if targets is not None:
+        pairs = interval_join(runs, merge_intervals(targets).drop("n"), ("right",))
+        runs = pairs.select("sample", "chrom", F.greatest("start_pos", "r_start_pos").alias("start_pos"), F.least("end_pos", "r_end_pos").alias("end_pos"), "depth")
+    size = F.col("end_pos") - F.col("start_pos")
+    out["coverage"] = to_long(runs.groupBy("sample").agg(*[F.sum(F.when(F.col("depth") >= d, size).otherwise(0)).cast("long").alias(f"bases_{d}x") for d in (1, 10, 20)], F.sum(size * F.col("depth")).cast("long").alias("bases")))
+    return out
+
+
 def sample_report(qc: DataFrame, loads: DataFrame) -> DataFrame:
     """(sample, report): JSON of a sample's quality, and of its load if it is a tumour."""
     j = qc.select("sample", F.struct(*[c for c in qc.columns if c != "sample"]).alias("qc")).join(loads.select("sample", F.struct(*[c for c in loads.columns if c != "sample"]).alias("load")), "sample", "left")

@@ -151,6 +151,14 @@ def fasta_regions(s: SparkSession, d: str) -> DataFrame:
     return formats.fasta_regions(_fasta(s, d, "reverse(seq)"), regions, reverse=True, width=12)
 
 
+def fasta_regions_named(s: SparkSession, d: str) -> DataFrame:
+    """Both strands of a region with their names."""
+    regions = view(s, d, "fastq").select(F.concat(F.lit("c"), "rec").alias("chrom"), (F.col("rec") % 20 + 5).alias("start_pos"), (F.col("rec") % 20 + 15).alias("end_pos"))
+    chunks = _fasta(s, d, "reverse(seq)")
+    both = [formats.fasta_regions(chunks, regions, k, mark_strand=m) for k, m in ((False, "sign"), (True, "rc"), (True, "no"))]
+    return both[0].unionByName(both[1]).unionByName(both[2]).select("name", "seq")
+
+
 def input_manifest(s: SparkSession, d: str) -> DataFrame:
     """Sixteen files of known lines; the signature changes with what it is made of."""
     path = folder(s)
@@ -254,6 +262,8 @@ ROUNDTRIPS = {
     "read_picard_metrics": (read_picard_metrics, "select sample, n_total \"reads\", cast(null as double) rate from loads"),
     "contig_lengths": (contig_lengths, "select concat('c', cast(rec as string)) chrom, cast(64 as bigint) length from fastq where rec % 3 <> 0"),
     "fasta_regions": (fasta_regions, f"select concat('c', cast(rec as string)) chrom, rec % 20 + 5 start_pos, rec % 20 + 35 end_pos, concat_ws(chr(10), substr({_REV}, 1, 12), substr({_REV}, 13, 12), substr({_REV}, 25, 6)) seq from fastq"),
+    "fasta_regions_named": (fasta_regions_named, """, r as (select concat('c', cast(rec as string), ':', cast(rec % 20 + 6 as string), '-', cast(rec % 20 + 15 as string)) n, substr(concat(seq, reverse(seq)), cast(rec % 20 + 6 as int), 10) q from fastq)
+select n || '(+)' as "name", q as seq from r union all select n || '/rc', translate(reverse(q), 'ACGT', 'TGCA') from r union all select n, translate(reverse(q), 'ACGT', 'TGCA') from r"""),
     "input_manifest": (input_manifest, "select rec % 16 part, cast(sum(length(header) + 1) as bigint) length, md5(concat(string_agg(header, chr(10) order by rec), chr(10))) md5, true signed from fastq group by 1"),
     "run_incremental": (run_incremental, """, e as (select min(sample) a, max(sample) z, max(case when sample like 'PRLC_1_%' then sample end) o from loads) select 1 run, 'First run' reason, cast(count(*) as bigint) n, cast(null as bigint) total from loads union all select 2, 'First run', cast(2 as bigint), null
 union all select 2, 'missing', cast(3 as bigint), null union all select 0, 'rows', cast(count(*) as bigint), cast(sum(n_total + case when sample in (a, o) then 1000 else 0 end) as bigint) from loads, e where sample <> z"""),

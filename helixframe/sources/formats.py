@@ -232,18 +232,26 @@ def contig_lengths(chunks: DataFrame, canonical: DataFrame | None = None) -> Dat
     return out.join(canonical.select("chrom"), "chrom", "left_semi") if canonical is not None else out
 
 
-def fasta_regions(chunks: DataFrame, regions: DataFrame, reverse: bool = False, width: int = 0) -> DataFrame:
+def fasta_regions(chunks: DataFrame, regions: DataFrame, reverse: bool = False, width: int = 0, mark_strand: str | None = None) -> DataFrame:
     """(chrom, start_pos, end_pos, seq) of regions; each is put together from the lines that it overlaps.
 
-    With a ``width`` the sequence is cut into lines of that many bases.
+    With a ``width`` the sequence is cut into lines of that many bases. With ``mark_strand`` there is also ``name``,
+    ``chrom:start-end`` from 1: ``no`` adds nothing, ``rc`` adds /rc to reversed sequences, ``sign`` adds (+) or (-).
     """
+    marks = {"no": ("", ""), "rc": ("", "/rc"), "sign": ("(+)", "(-)")}
+    if mark_strand is not None and mark_strand not in marks:
+        raise ValueError(f"mark_strand is one of {', '.join(marks)}")
     c = chunks.select("chrom", F.col("offset").alias("start_pos"), (F.col("offset") + F.length("seq")).alias("end_pos"), "seq")
     j = interval_join(regions.select("chrom", "start_pos", "end_pos").distinct(), c, ("left",))
     a, e = F.greatest("start_pos", "r_start_pos"), F.least("end_pos", "r_end_pos")
     piece = F.substring("r_seq", (a - F.col("r_start_pos") + 1).cast("int"), (e - a).cast("int"))
     out = j.groupBy("chrom", "start_pos", "end_pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("r_start_pos").alias("o"), piece.alias("s")))), lambda x: x["s"]), "").alias("seq"))
     out = out.withColumn("seq", reverse_complement(F.col("seq"))) if reverse else out
-    return out.withColumn("seq", F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")) if width else out
+    out = out.withColumn("seq", F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")) if width else out
+    if mark_strand is None:
+        return out
+    name = F.concat("chrom", F.lit(":"), F.col("start_pos") + 1, F.lit("-"), "end_pos", F.lit(marks[mark_strand][reverse]))
+    return out.withColumn("name", name)
 
 
 def input_manifest(spark: SparkSession, path: str | list[str], content: bool = False) -> DataFrame:
