@@ -9,8 +9,10 @@ longest counts, and a sentence inside another one is not counted again. The
 identifiers of a text, in order, are matched with ordered rules: a rule holds if
 its identifiers occur in its order, whatever stands between them.
 
-Not seen: licences missing from the tables, reworded grants, and negation ("is
-not licensed under the MIT License" names MIT).
+The clause on names in the third part of the BSD licence counts whoever is named in it.
+A sentence or grant right after "not", "never" or "no longer" does not count.
+
+Not seen: licences missing from the tables, reworded grants, and denials in other words.
 
 Defined cases: a null text has no sentence and no licence; repeated rows are
 judged alike; every licence whose rule holds is named, in the order of the rules.
@@ -39,6 +41,7 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
     "released under the bsd license": "bsd-name",
     "licensed under the bsd license": "bsd-name",
     "this work is licensed under the gnu general public license version 3": "gpl3-name",
@@ -165,12 +168,17 @@ RULES = [
 COVERED_BY = {"BSD-2-Clause": "BSD-3-Clause"}
 
 #: Each known sentence holds one of these words; texts without any are done at once.
-TRIGGERS = ("licen", "permission", "redistribut", "domain", "copyright", "released", "distributed", "available", "published", "provided", "misrepresented")
+TRIGGERS = ("licen", "permission", "redistribut", "domain", "copyright", "released", "distributed", "available", "published", "provided", "misrepresented", "governed", "covered", "endorse")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words that grant the licence whose name follows.
-_GRANTS = "(?:(?:licensed|released|distributed|available|published|provided) (?:under|into|with)(?: the terms(?: and conditions)? of)?(?: either)?|spdx license identifier)(?: the| a| an)?"
+_GRANTS = (
+    "(?:(?:licensed|released|distributed|available|published|provided) (?:under|into|with)(?: the terms(?: and conditions)? of)?(?: either)?|(?:governed|covered) by(?: the terms(?: and conditions)? of)?"
+    "|redistribute (?:it|this software) under the terms of|spdx license identifier)(?: the| a| an)?"
+)
+#: Words right before a sentence or grant that deny it.
+_DENIED = "(?<! not)(?<! never)(?<! no longer)"
 #: Words that join a further name to a known sentence just before them.
 _JOINS = "(?:or|and)(?: under)?(?: the| a| an)?"
 
@@ -185,7 +193,7 @@ def _sentence_ids(low: Column) -> Column:
     plain = F.replace(plain, F.lit("licence"), F.lit("license"))
     known = F.create_map(*[F.lit(x) for kv in {**NAMES, **SENTENCES}.items() for x in kv])
     names = _longest_first(NAMES)
-    pattern = f" (?:(?:{_longest_first(SENTENCES)})|{_GRANTS} (?:{names})|(?<=(?!^)\\G ){_JOINS} (?:{names}))(?= )"
+    pattern = f"{_DENIED} (?:(?:{_longest_first(SENTENCES)})|{_GRANTS} (?:{names})|(?<=(?!^)\\G ){_JOINS} (?:{names}))(?= )"
     matches = F.regexp_extract_all(plain, F.lit(pattern), F.lit(0))
     name = lambda m: F.regexp_replace(m, f"^ (?:{_GRANTS}|{_JOINS}) ", "")
     return F.transform(matches, lambda m: F.coalesce(F.element_at(known, F.btrim(m)), F.element_at(known, name(m))))

@@ -156,6 +156,39 @@ def test_a_labelled_document_repeated_very_often_is_one(spark):
     assert len(toxicity.fit(docs, both, F.lit(True), Scratch(spark)).buckets) == 0
 
 
+BSD = """Copyright (c) 2009 Google Inc. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+NAMES_CLAUSE = """   * Neither the name of {} nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+
+
+@pytest.mark.parametrize("text, want", [
+    (BSD.format(NAMES_CLAUSE.format("Google Inc.")), "BSD-3-Clause"), (BSD.format(NAMES_CLAUSE.format("the copyright holder")), "BSD-3-Clause"), (BSD.format(""), "BSD-2-Clause"),
+    (BSD.format("3. The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission.\n"), "BSD-3-Clause"),
+    ("This is not licensed under the MIT License.", ""), ("It was never released under the Apache License, Version 2.0", ""), ("no longer available under the GPL v3; now licensed under the MIT License", "MIT"),
+    ("This project is governed by the Apache License 2.0.", "Apache-2.0"), ("covered by the GPL v3", "GPL-3.0"), ("You can redistribute it under the terms of the GNU GPL v3.", "GPL-3.0"), ("a book covered by dust", ""),
+])
+def test_licenses_of_whole_texts(spark, text, want):
+    """Texts as they stand in projects, not made of the module's tables."""
+    docs = spark.createDataFrame([(1, text, None, None, None)], DOCS)
+    assert license_scan.scan_licenses(docs).first()["licenses"] == want
+
+
 # --- plain versions of the models ---------------------------------------------
 
 
