@@ -173,12 +173,12 @@ def quality_filter(
 ) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    Statistics are computed once for the sketches and once for the verdict, so
-    that whole texts are neither shuffled nor written: fences, not texts, are joined.
+    Each text is read and hashed once: rows are written with their statistics beside
+    them, the sketches read only the statistics, and fences, not texts, are joined.
     """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")).select(
         "__row", F.col(f"__row.`{text}`").alias("text"), F.col(f"__row.`{lang}`").cast("string").alias("lang"), F.col(f"__row.`{source}`").cast("string").alias("source")
     )
-    stats = text_statistics(row).drop("text")
+    stats = scratch.save(text_statistics(row).drop("text"))
     fences = scratch.save(thresholds(sketches(stats, "lang", "source"), fence))
     return _verdict(stats, fences, "lang", "source", min_docs).where("kept").select("__row.*")
