@@ -146,6 +146,33 @@ def test_substring_dedup(spark, docs):
         assert gone == {d: set(range(w[0])) - w[4] for d, w in want.items()}
 
 
+def test_substring_repeats_name_the_earlier_place(spark, docs, monkeypatch):
+    """Every repeat holds the words of its earlier place, and together they hold every window that starts earlier too."""
+    words = {d: brute.WORD.findall(t or "") for d, t in docs}
+    first, want = {}, {}
+    for d in sorted(words):
+        for s in range(len(words[d]) - 19):
+            if first.setdefault(tuple(words[d][s : s + 20]), (d, s)) != (d, s):
+                want.setdefault(d, set()).add(s)
+    for together in (1, 300, 2_000_000):
+        monkeypatch.setattr(substring_dedup, "TOGETHER", together)
+        got = {}
+        for r in substring_dedup.repeats(frame(spark, docs).repartition(3), Scratch(spark)).collect():
+            d, start, end, other, at = r["doc_id"], r["start"], r["end"], r["from_doc"], r["from_start"]
+            assert (other, at) < (d, start) and words[d][start:end] == words[other][at : at + end - start]
+            got.setdefault(d, set()).update(range(start, end - 19))
+        assert got == want
+
+
+def test_substring_match_grows_along_its_diagonal(spark):
+    r = random.Random(11)
+    text = lambda n: [f"w{r.randint(0, 10**9)}" for _ in range(n)]
+    long, short = text(300), text(19)
+    rows = [(1, text(40) + long + text(5)), (2, text(7) + long), (3, short + text(9)), (4, short), (5, long[100:180] + text(30) + long[20:45])]
+    got = {tuple(x) for x in substring_dedup.repeats(frame(spark, [(d, " ".join(w)) for d, w in rows]), Scratch(spark)).collect()}
+    assert got == {(2, 7, 307, 1, 40), (5, 0, 80, 1, 140), (5, 110, 135, 1, 60)}
+
+
 def test_substring_dedup_small_chunks(spark, docs, monkeypatch):
     want = brute.repeats(docs)
     for together in (1, 300):
