@@ -1,12 +1,14 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products within cells.
 
 Cells are fitted on a bounded sample and every vector is assigned to its
-nearest. A vector also visits every later cell that can hold a linked one. If the
+nearest. A vector also visits other cells that can hold a linked one. If the
 pair x, y is linked, the step from x to y is at most ``reach = sqrt(2 - 2 t)``
-long, so along the line between two centres it is at most ``reach``, and the
-angle from x to the other centre is at most that of a linked pair plus the
+long, so along the line between their two centres it is at most ``reach``. The border
+lies between them, so the two gaps to it add up to at most that. If x is nearer than a share of it, x
+visits the later cell; otherwise y is nearer than the rest and visits the earlier one. The sample tells which share makes fewer visits. The angle from x to the other centre is at most that of a linked pair plus the
 widest angle in the other cell. Both bounds hold for every pair, so no link is
-missed. (A number for ``z`` asks for an estimate instead: a margin of ``z``
+missed. Where both visit each other, the pair counts in the later cell: vectors carry the set of
+cells that they visit. (A number for ``z`` asks for an estimate instead: a margin of ``z``
 deviations of a step in no special direction, which real vectors do not
 follow.) Equal vectors are one from the start. Cells and their visitors are cut
 into blocks of ``block`` vectors, so that a task holds two blocks whatever the
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, arrow_batch, components, fresh_name, map_arrow
 
 SAMPLE, PER_CELL, MOST_CELLS, BLOCK = 16_384, 1_000, 1_024, 1_024
+#: Shares of the margin that are tried; results are the same with all.
+SHARES = (0.5, 0.75, 1.0)
 
 
 def unit(values: list) -> np.ndarray | None:
@@ -102,33 +106,52 @@ def _widths(reps: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.nda
     return out
 
 
-def _cells(reps: DataFrame, centres: dict[int, np.ndarray], threshold: float, z: float | None) -> DataFrame:
-    """(dim, cell, home, vec_id, n, v): each vector in its cell and in those that it visits."""
+def _near_border(near: np.ndarray, home: np.ndarray, c: np.ndarray, margin: float, share: float) -> np.ndarray:
+    """Which cells each vector is near enough to, by its products with all centres."""
+    between = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
+    gap = near[np.arange(len(near)), home][:, None] - near
+    part = np.where(np.arange(len(c)) > home[:, None], share, 1 - share)
+    return gap <= margin * part * between[home] + 1e-9
+
+
+def _best_share(x: np.ndarray, c: np.ndarray, margin: float) -> float:
+    """The share of the margin for later cells that makes the fewest visits."""
+    near = x @ c.T
+    home = near.argmax(1)
+    return min(SHARES, key=lambda share: int(_near_border(near, home, c, margin, share).sum()))
+
+
+def _margin(dim: int, threshold: float, z: float | None) -> float:
+    """How long the step of a linked pair is along the line between two centres, or is estimated to be."""
+    return math.sqrt(max(0.0, 2 - 2 * threshold)) * (1.0 if z is None else min(1.0, z / math.sqrt(dim)))
+
+
+def _cells(reps: DataFrame, centres: dict[int, np.ndarray], shares: dict[int, float], threshold: float, z: float | None) -> DataFrame:
+    """(dim, cell, origin, goes, vec_id, n, v): each vector in its cell and in those that it visits, a bit for each of these at home."""
     shared = reps.sparkSession.sparkContext.broadcast((centres, _widths(reps, centres)))  # MOST_CELLS centres for each length
-    reach, angle = math.sqrt(max(0.0, 2 - 2 * threshold)), math.acos(min(1.0, max(-1.0, threshold)))
+    angle = math.acos(min(1.0, max(-1.0, threshold)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()), ("vec_id", pa.int64()), ("n", pa.int64()), ("v", pa.list_(pa.float64()))])
+        schema = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("origin", pa.int32()), ("goes", pa.binary()), ("vec_id", pa.int64()), ("n", pa.int64()), ("v", pa.list_(pa.float64()))])
         for b in batches:
             ids, ns = b.column(0).to_numpy(), b.column(1).to_numpy()
             for dim, own, x in _by_length(b.column(2)):
                 c, width = shared.value[0].get(dim), shared.value[1][dim]
                 if c is None:
                     c = np.eye(1, dim)
-                margin = reach * min(1.0, z / math.sqrt(dim)) if z is not None else reach
                 near = x @ c.T
                 home = near.argmax(1)
-                between = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
-                gap = near[np.arange(len(x)), home][:, None] - near
                 close = near >= np.cos(np.minimum(math.pi, angle + width)) - 1e-6
                 close[np.arange(len(x)), home] = True
-                row, cell = np.nonzero(close & (gap <= margin * between[home] + 1e-9) & (np.arange(len(c)) >= home[:, None]))
+                goes = close & _near_border(near, home, c, _margin(dim, threshold, z), shares.get(dim, SHARES[0]))
+                bits = np.packbits(goes, axis=1)
+                row, cell = np.nonzero(goes)
                 for i in range(0, len(row), 4096):
                     r, k = row[i : i + 4096], cell[i : i + 4096]
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * dim), pa.array(x[r].ravel()))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), dim, np.int32)), pa.array(k.astype(np.int32)), pa.array(home[r] == k), pa.array(ids[own][r]), pa.array(ns[own][r]), flat], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), dim, np.int32)), pa.array(k.astype(np.int32)), pa.array(home[r].astype(np.int32)), pa.array([bits[x].tobytes() if home[x] == y else None for x, y in zip(r, k, strict=True)], pa.binary()), pa.array(ids[own][r]), pa.array(ns[own][r]), flat], schema=schema)
 
-    return map_arrow(reps.select("vec_id", "n", "v"), run, "dim int, cell int, home boolean, vec_id long, n long, v array<double>")
+    return map_arrow(reps.select("vec_id", "n", "v"), run, "dim int, cell int, origin int, goes binary, vec_id long, n long, v array<double>")
 
 
 def _block_links(threshold: float, rows: int = 512):
@@ -145,10 +168,16 @@ def _block_links(threshold: float, rows: int = 512):
         big = np.iinfo(np.int64).max
         la, lb = np.full(len(a), big), np.full(len(b), big)
         edges: list[np.ndarray] = []
+        # Of visitors from later cells, those that their partner visits too are compared there.
+        later = np.zeros(len(a), bool) if same else (left.origin > left.cell).to_numpy()
+        goes = np.stack([np.unpackbits(np.frombuffer(x, np.uint8)) for x in right.goes]).astype(bool) if later.any() else None
+        origin = left.origin.to_numpy()
         for i in range(0, len(a), rows):
             hit = a[i : i + rows] @ b.T >= threshold
             if same:
                 hit[np.arange(len(hit)), np.arange(i, i + len(hit))] = False
+            if goes is not None:
+                hit &= ~(later[i : i + rows, None] & goes.T[origin[i : i + rows]])
             x, y = np.nonzero(hit)
             x += i
             ca += np.bincount(x, nb[y], len(a)).astype(np.int64)
@@ -210,12 +239,14 @@ def _near_duplicates(table: DataFrame, scratch: Scratch, threshold: float, key:
     by_dim: dict[int, list] = {}
     for v in some.toArrow()["v"]:
         by_dim.setdefault(len(v), []).append(np.asarray(v.values))
-    centres = {}
+    centres, shares = {}, {}
     for dim, xs in by_dim.items():
         k = min(MOST_CELLS, max(1, round(total * len(xs) / sum(map(len, by_dim.values())) / per_cell)))
         centres[dim] = spherical_kmeans(np.stack(xs), k)
+        shares[dim] = _best_share(np.stack(xs), centres[dim], _margin(dim, threshold, z))
 
-    cells = scratch.save(_cells(reps, centres, threshold, z))
+    stored = scratch.save(_cells(reps, centres, shares, threshold, z))
+    cells = stored.withColumn("home", F.col("cell") == F.col("origin"))
     sizes = cells.groupBy("dim", "cell", "home").agg(F.count("*").alias("size"))
     blocks = lambda home, name: F.max(F.when(F.col("home") == home, F.ceil(F.col("size") / block))).alias(name)
     sizes = sizes.groupBy("dim", "cell").agg(blocks(True, "homes"), blocks(False, "visits")).na.fill(0)
@@ -231,10 +262,10 @@ def _near_duplicates(table: DataFrame, scratch: Scratch, threshold: float, key:
         F.transform(upto("visits"), lambda i: at(1, i, b, 1)),
     )
     seats = F.when(F.col("home"), seats_home).otherwise(F.transform(upto("homes"), lambda j: at(1, b, j, 0)))
-    seated = spread.select("dim", "cell", "vec_id", "n", "v", F.explode(seats).alias("s")).select("dim", "cell", "s.*", "vec_id", "n", "v")
+    seated = spread.select("dim", "cell", "origin", "goes", "vec_id", "n", "v", F.explode(seats).alias("s")).select("dim", "cell", "s.*", "origin", "goes", "vec_id", "n", "v")
     links = seated.groupBy("dim", "cell", "kind", "i", "j").applyInPandas(_block_links(threshold), "vec_id long, links long, least long")
     links = scratch.save(links)
-    scratch.drop(cells)
+    scratch.drop(stored)
 
     between = links.groupBy("vec_id").agg(F.sum("links").alias("links"))
     label = scratch.save(components(links.select(F.col("vec_id").alias("u"), F.col("least").alias("v")), scratch))

@@ -107,13 +107,40 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.near_duplicates(df.limit(0), Scratch(spark)).count() == 0
 
 
-def test_embedding_recall_of_default_margin(spark):
+def test_embedding_query_on_planted_links(spark, tmp_path, monkeypatch):
+    """The given vectors have no pair over the threshold: copies near and at it, chains and scaled ones are added to them."""
+    rng = np.random.default_rng(9)
     table = real(spark, "embeddings")
-    rows = [(r["vec_id"], list(r["embedding"])) for r in table.select("vec_id", "embedding").collect()]
+    rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in table.select("vec_id", "embedding").collect()]
+    at = max(i for i, _ in rows)
+    for i, v in rows[::7]:
+        for angle in (0.0, 0.2, 0.31, 0.33):
+            u = np.array(v) / np.linalg.norm(v)
+            side = rng.normal(size=len(u))
+            side -= (side @ u) * u
+            at += 1
+            rows.append((at, (3 * (np.cos(angle) * u + np.sin(angle) * side / np.linalg.norm(side))).tolist()))
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
     want = brute.near(rows)
-    got = rows_of(embedding_dedup.near_duplicates(table, Scratch(spark), per_cell=25), "vec_id")
-    assert sum(r["n_links"] for r in got.values()) >= 0.99 * sum(n for n, _ in want.values())
-    assert all(r["n_links"] <= want[k][0] for k, r in got.items())
+    assert sum(n for n, _ in want.values()) > len(rows) / 4
+    planted = spark.read.parquet(f"{tmp_path}/embeddings.parquet")
+    results = [queries.op2_embedding_dedup(spark, str(tmp_path))]
+    for shares in ((0.5,), (0.75,), (1.0,)):
+        monkeypatch.setattr(embedding_dedup, "SHARES", shares)
+        results.append(embedding_dedup.near_duplicates(planted, Scratch(spark), per_cell=25, block=32))
+    for got in results:
+        assert {k: (r["n_links"], r["component_id"]) for k, r in rows_of(got, "vec_id").items()} == want
+
+
+def test_embedding_visits_do_not_grow_with_cells_where_vectors_cluster(spark):
+    rng = np.random.default_rng(4)
+    for n in (2_000, 8_000):
+        base = rng.normal(size=(n // 100, 64))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        x = base[np.arange(n) % len(base)] + rng.normal(size=(n, 64)) * 0.02
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, n long, v array<double>")
+        assert embedding_dedup._cells(reps, {64: base}, {}, 0.95, None).count() <= 1.1 * n
 
 
 def test_embedding_dedup_of_a_dense_anisotropic_group(spark):
