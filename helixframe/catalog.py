@@ -152,6 +152,14 @@ def read_filter(s, d):
     return D.read_filter(view(s, d, "alignments"), include=2, mapq=20, chrom="chr2")
 
 
+@query("select sample, qname, flag, tlen from sam where flag & 4 = 0 and abs(case when flag & 16 = 16 then -tlen else tlen end) between 200 and 350 and case flag & 65 when 65 then 'first' else 'second' end = 'first'")
+def read_filter_of_templates(s, d):
+    """Lengths of templates, of either sign, and read groups."""
+    first = F.when(F.col("flag").bitwiseAND(F.lit(65)) == 65, "first").otherwise("second")
+    reads = view(s, d, "sam").withColumns({"tlen": F.when(F.col("flag").bitwiseAND(F.lit(16)) == 16, -F.col("tlen")).otherwise(F.col("tlen")), "read_group": first})
+    return D.read_filter(reads, skip=4, length=(200, 350), read_groups=["first", "other"]).select("sample", "qname", "flag", F.abs("tlen").alias("tlen"))
+
+
 @query(runs_sql("select chrom, start_pos, end_pos, depth from pos_runs"))
 def per_base_depth(s, d):
     return D.per_base_depth(_good(s, d), size=16_384)
@@ -204,6 +212,14 @@ def callable_summary(s, d):
     return D.callable_summary(D.depth_summary(D.per_base_depth(_good(s, d), view(s, d, "contigs"))), 5)
 
 
+@query(runs_sql(DEPTH_SUMMARY + """, b as (select (select max(length) from ds where chrom = 'total') t, (select sum(case when depth >= 5 then end_pos - start_pos else 0 end) from zruns) c)
+select cast(t as bigint) total_bases, cast(c as bigint) callable_bases, round(c / 1e6, 2) callable_mb, round(100.0 * c / t, 2) callable_pct from b"""))
+def callable_summary_by_bases(s, d):
+    """The number of callable bases itself, instead of contigs by their mean."""
+    depth = D.per_base_depth(_good(s, d), view(s, d, "contigs"))
+    return D.callable_summary(D.depth_summary(depth), 5, D.callable_bases(depth, 5))
+
+
 @query(runs_sql("select cast(coalesce(sum(least(t.end_pos, r.end_pos) - greatest(t.start_pos, r.start_pos)), 0) as bigint) callable_bases from targets t join pos_runs r on t.chrom = r.chrom and t.start_pos < r.end_pos and r.start_pos < t.end_pos where depth >= 10"))
 def callable_in_bed(s, d):
     return D.callable_in_bed(D.per_base_depth(_good(s, d)), view(s, d, "targets"))
@@ -303,21 +319,49 @@ def select_samples(s, d):
     return V.select_samples(v, ["a", "z"]).select("chrom", "pos", F.size("samples").alias("n"))
 
 
+@query("select chrom, pos, case when pos % 3 = 2 then 's9' else 's1,s9' end names from variants")
+def select_samples_of_several(s, d):
+    """Three samples a row, whose names differ from row to row."""
+    n = F.col("pos") % 3
+    three = F.transform(F.array(F.concat(F.lit("s"), n), F.concat(F.lit("s"), n + 1), F.lit("s9")), lambda x: F.struct(x.alias("name"), F.col("samples")[0]["fmt"].alias("fmt")))
+    return V.select_samples(_parsed(s, d).withColumn("samples", three), ["s9", "s1", "s7"]).select("chrom", "pos", F.array_join("samples.name", ",").alias("names"))
+
+
 @query(f"select chrom, pos, alt from variants where {TYPE} = 'SNV'")
 def filter_variant_type(s, d):
     return V.filter_variant_type(_variants(s, d), "snps").select("chrom", "pos", "alt")
 
 
+@query(f"select chrom, pos, ref, alt from (select chrom, pos, case when pos % 4 = 0 then concat(ref, 'A') else ref end ref, case when pos % 4 = 0 then concat(alt, 'T') else alt end alt from variants) v where {TYPE} in ('COMPLEX', 'INSERTION', 'DELETION')")
+def filter_variant_kinds(s, d):
+    """Several kinds at once, with substitutions of two bases among the variants."""
+    longer = F.col("pos") % 4 == 0
+    v = _variants(s, d).withColumns({"ref": F.when(longer, F.concat("ref", F.lit("A"))).otherwise(F.col("ref")), "alt": F.when(longer, F.concat("alt", F.lit("T"))).otherwise(F.col("alt"))})
+    return V.filter_variant_type(v, "indels, mnps").select("chrom", "pos", "ref", "alt")
+
+
 @query("select chrom, pos, dp from variants where not (dp < 20 or ad_alt < 2)")
 def filter_expr(s, d):
     return V.filter_expr(_variants(s, d), exclude="dp < 20 or ad_alt < 2").select("chrom", "pos", "dp")
 
 
+@query("select chrom, pos, dp from variants where dp >= 20 and (ad_alt % 2 = 1 or filt <> 'PASS')")
+def filter_expr_include(s, d):
+    return V.filter_expr(_variants(s, d), include="dp >= 20 and (ad_alt % 2 = 1 or filter <> 'PASS')").select("chrom", "pos", "dp")
+
+
 @query(f"select chrom, pos, ref, alt, dp, ad_alt from variants where filt = 'PASS' and {TYPE} in ('SNV', 'INSERTION', 'DELETION') and dp >= 10 and ad_alt >= 3 and ad_alt * 1.0 / dp >= 0.05")
 def hard_filter(s, d):
     return V.hard_filter(_parsed(s, d), sample="s1").select("chrom", "pos", "ref", "alt", "dp", "ad_alt")
 
 
+@query(f"select chrom, pos, ref, alt, dp, ad_alt from variants v where filt = 'PASS' and {TYPE} in ('SNV', 'INSERTION', 'DELETION') and dp >= 20 and ad_alt >= 5 and ad_alt * 1.0 / dp >= 0.1 and exists (select 1 from targets t where t.chrom = v.chrom and v.pos - 1 >= t.start_pos and v.pos - 1 < t.end_pos)")
+def hard_filter_on_targets(s, d):
+    """Own thresholds, and only what lies in a target."""
+    thresholds = V.HardFilterThresholds(min_dp=20, min_ad=5, min_vaf=0.1)
+    return V.hard_filter(_parsed(s, d), view(s, d, "targets"), "s1", thresholds).select("chrom", "pos", "ref", "alt", "dp", "ad_alt")
+
+
 @query("select chrom, pos, alt, dp, ad_alt from variants where filt = 'PASS' and dp >= 10 and ad_alt >= 3 and ad_alt * 1.0 / dp >= 0.2")
 def filter_quality(s, d):
     return V.filter_quality(_variants(s, d), min_vaf=0.2).select("chrom", "pos", "alt", "dp", "ad_alt")
@@ -562,6 +606,16 @@ def sort_alignments_by_coordinate(s, d):
     return placed(A.sort_alignments(view(s, d, "sam").repartition(7)).select("qname", "chrom", "pos", "flag"), "chrom", "pos div 4")
 
 
+@query("select qname, mapq, chrom, pos, flag, cast(row_number() over (partition by mapq, chrom, pos // 16 order by pos, qname, flag) as int) place from sam")
+def sort_alignments_by_tag(s, d):
+    return placed(A.sort_alignments(view(s, d, "sam").repartition(7), tag="mapq").select("qname", "mapq", "chrom", "pos", "flag"), "mapq", "chrom", "pos div 16")
+
+
+@query("select qname, flag, cast(row_number() over (partition by substr(qname, 1, 5) order by qname, flag) as int) place from sam")
+def sort_alignments_by_ascii_name(s, d):
+    return placed(A.sort_alignments(view(s, d, "sam").repartition(7), "ascii").select("qname", "flag"), "substr(qname, 1, 5)")
+
+
 @query(""", b as (select * from sam where cigar = '32M' union all select * from sam where cigar <> '32M'), x as (
 select qname, pos - 1 s, pos - 1 + 32 e, 0 q from b where cigar = '32M' union all select qname, pos - 1, pos - 1 + 27, 5 from b where cigar = '5S27M' union all select qname, pos - 1, pos + 9, 0 from b where cigar = '10M2D20M2S'
 union all select qname, pos + 11, pos + 31, 10 from b where cigar = '10M2D20M2S' union all select qname, pos - 1, pos + 11, 0 from b where cigar = '12M3I17M' union all select qname, pos + 11, pos + 28, 15 from b where cigar = '12M3I17M')
@@ -1066,9 +1120,10 @@ def sample_report(s, d):
     return r6(out, "coverage", "duplication", "load")
 
 
-@query("select metric path, cast(count(distinct sample) as bigint) n_keys from qc_long group by 1 having count(distinct sample) > 1")
+@query("select metric path, cast(count(distinct sample) as bigint) n_keys, string_agg(distinct sample, ',' order by sample) keys from qc_long group by 1 having count(distinct sample) > 1")
 def output_conflicts(s, d):
-    return R.output_conflicts(view(s, d, "qc_long").select(F.col("metric").alias("path"), F.col("sample").alias("key"))).drop("keys")
+    claims = view(s, d, "qc_long").select(F.col("metric").alias("path"), F.col("sample").alias("key"))
+    return R.output_conflicts(claims).withColumn("keys", F.array_join("keys", ","))
 
 
 @query("select sample path, case when n_total % 3 = 0 then 'First run' when n_total % 3 = 1 then 'missing' else 'does not match' end reason from loads")

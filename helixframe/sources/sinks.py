@@ -68,7 +68,7 @@ def write_vcf(variants: DataFrame, path: str, samples: list[str] = ()) -> None:
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     body = vcf_lines(variants).orderBy("chrom", "pos", "value").select(F.when(first, F.concat(F.lit(head + "\n"), "value")).otherwise(F.col("value")).alias("value"))
     body.write.mode("overwrite").text(path, compression="gzip")
-    if variants.isEmpty():
+    if variants.sparkSession.read.text(path).isEmpty():  # what was written is read, not the plan again
         variants.sparkSession.createDataFrame([(head,)], "value string").coalesce(1).write.mode("overwrite").text(path, compression="gzip")
 
 
