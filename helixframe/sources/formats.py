@@ -34,8 +34,9 @@ def fastq_records(lines: DataFrame) -> DataFrame:
     rec, part = F.floor(F.col("line") / 4), F.col("line") % 4
     at = lambda k: F.max(F.when(part == k, F.col("value")))
     r = lines.groupBy("path", rec.alias("rec")).agg(at(0).alias("header"), at(1).alias("seq"), at(2).alias("plus"), at(3).alias("qual"))
-    ends = r.where("header = ''").groupBy("path").agg(F.min("rec").alias("__end"))
-    r = r.join(F.broadcast(ends), "path", "left").where("__end is null or rec < __end").drop("__end")  # a row for each file
+    # From the lines, so that records are grouped once. A row for each file that has such a line, of the paths that the driver lists.
+    ends = lines.where((part == 0) & (F.col("value") == "")).groupBy("path").agg(F.min(rec).alias("__end"))
+    r = r.join(F.broadcast(ends), "path", "left").where("__end is null or rec < __end").drop("__end")
     return r.select("path", "rec", "header", *[F.coalesce(c, F.lit("")).alias(c) for c in ("seq", "plus", "qual")])
 
 

@@ -322,3 +322,12 @@ def test_recalibration_of_a_preprocessed_read(spark):
     plain, moved = A.preprocess_reads(reads), A.preprocess_reads(reads, reference)
     assert [r["pos"] for r in moved.collect()] == sorted(r["pos"] for r in plain.collect()) and {r["qual"] for r in plain.collect()} == {"IIII"}
     assert all(r["qual"] != "IIII" and len(r["qual"]) == 4 for r in moved.collect())
+
+
+def test_an_empty_header_ends_its_file_only(spark, tmp_path):
+    """Records after an empty header line are left out, also where a sequence line is empty, and not in other files."""
+    record = lambda k: f"@r{k}\nAC{'G' * k}\n+\nII{'I' * k}\n"
+    (tmp_path / "a.fastq").write_text(record(1) + "@e\n\n+\n\n" + record(2) + "\nAC\n+\nII\n" + record(3))
+    (tmp_path / "b.fastq").write_text(record(4) + record(5))
+    got = sorted((r["path"][-7:], r["rec"], r["header"], r["seq"]) for r in formats.read_fastq(spark, str(tmp_path)).collect())
+    assert got == [("a.fastq", 0, "@r1", "ACG"), ("a.fastq", 1, "@e", ""), ("a.fastq", 2, "@r2", "ACGG"), ("b.fastq", 0, "@r4", "ACGGGG"), ("b.fastq", 1, "@r5", "ACGGGGG")]
