@@ -12,7 +12,8 @@ order come from a sketch of fixed size over all documents; any order is a correc
 one, so its errors cost time, never results.
 
 Equal sets are one set from the start. Among different sets, the members of
-a posting list are first compared with a few pivots; sets that turn out connected
+a posting list are first compared with a few pivots, of which each set takes one in
+the first round and one under each order in the second; sets that turn out connected
 need no further comparison with each other. Pivots are the documents whose prefixes
 are shared most, as those of the original of many altered copies. At the end every
 pair of a posting list that is still in different components is compared. So a
@@ -282,10 +283,19 @@ def _pivot_pairs(spanning: DataFrame, percent: int, scratch: Scratch) -> DataFra
     leads = F.lit(False)
     for i, k in enumerate(places):
         leads = leads | (k == F.col(f"k{i}"))
-    pivots = spanning.join(first, "token").where(leads).select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("at").alias("pat"), F.col("component").alias("pc"))
+    pivots = spanning.join(first, "token").where(leads).select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("at").alias("pat"), F.col("component").alias("pc"), *[k.alias(f"r{i}") for i, k in enumerate(places)])
     pairs = spanning.join(scratch.save(pivots), "token").where((F.col("component") != F.col("pc")) & _meets("n", "pn", "at", "pat", percent))
-    # Either end may be a pivot of the other.
-    return pairs.select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
+    # Of the pivots of all its tokens, a document meets the first under each order. Either end may be a pivot of the other.
+    best = pairs.groupBy("doc_id").agg(*[F.min_by("p", f"r{i}").alias(f"p{i}") for i in range(PIVOTS)])
+    best = best.select("doc_id", F.explode(F.array_distinct(F.array(*[f"p{i}" for i in range(PIVOTS)]))).alias("p"))
+    return best.select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
+
+
+def _first_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each document and, of the first postings of its tokens, the one it shares most tokens with."""
+    meeting = shared.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).groupBy("doc_id", "p").agg(F.count("*").alias("tokens"))
+    best = meeting.groupBy("doc_id").agg(F.max_by("p", F.struct("tokens", -F.col("p"))).alias("p"))
+    return best.select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
 
 
 def _pairs_between(spanning: DataFrame, percent: int) -> DataFrame:
@@ -339,9 +349,8 @@ def _similar_sets(docs: DataFrame, scratch: Scratch, percent: int, n: int, key:
             pairs = scratch.save(_sharing(pairs, profiles, order, percent))
         return scratch.save(_verified(pairs, profiles, percent, n))
 
-    # Every posting and the first of its token; then the best pivots; then what is left between components.
-    first = live.where((F.col("doc_id") != F.col("p")) & _meets("n", "pn", "at", "pat", percent)).select(F.least("p", "doc_id").alias("u"), F.greatest("p", "doc_id").alias("v"))
-    found = similar(first)
+    # Every document and the first posting it is nearest to; then the best pivots; then all that is left between components.
+    found = similar(_first_pairs(live, percent))
     spanning = _spanning(live, found, nodes, scratch)
     found = found.unionByName(similar(_pivot_pairs(spanning, percent, scratch)))
     found = found.unionByName(similar(_pairs_between(_spanning(spanning, found, nodes, scratch), percent)))

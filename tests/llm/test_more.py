@@ -391,3 +391,20 @@ def test_pipeline_stages_of_awkward_and_empty_tables(spark):
                 out = Scratch(spark).save(stage(spark, docs, SF, own))
             assert i == 4 or out.columns == docs.columns
             docs = out
+
+
+def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Edits that a few copies share each lead their own posting lists; a copy meets one of these leads, not all."""
+    r = random.Random(8)
+    base, places = [f"w{i}" for i in range(400)], r.sample(range(5, 395), 60)
+    rows = []
+    for d in range(400):
+        words = list(base)
+        for at in r.sample(places, 4):
+            words[at] = f"e{at}"
+        rows.append((d, " ".join(words)))
+    pairs, plain = [], ngram_jaccard._sharing
+    monkeypatch.setattr(ngram_jaccard, "_sharing", lambda p, f, order, percent: (pairs.append(p.count()) if order == 1 else None, plain(p, f, order, percent))[1])
+    got = ngram_jaccard.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark)).collect()
+    assert {(x["doc_id"], x["component_id"]) for x in got} == {(d, c) for d, (_, c) in brute.similar(rows).items()}
+    assert pairs[0] <= len(rows) and pairs[1] <= ngram_jaccard.PIVOTS * len(rows)
