@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, arrow_batch, components, fresh_name, map_arrow, mix, packed, unpack, utf8, word_hashes
+from .common import Powers, Scratch, arrow_batch, components, fresh_name, map_arrow, mix, pack_text, packed, unpack, unpack_text, utf8, word_hashes
 
 #: log2 of the counters of the frequency sketch: 2 MB of memory, at any size of input.
 SKETCH_BITS = 18
@@ -361,8 +361,10 @@ def _similar_sets(docs: DataFrame, scratch: Scratch, percent: int, n: int, key:
 def drop_similar(docs: DataFrame, scratch: Scratch, percent: int = 80, n: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest key.
 
-    Documents and the ids that go meet by a merge join at every size, as there is no bound on those ids. Rows with a null key stay; of rows with equal key all stay or go together.
+    Documents and the ids that go meet by a merge join at every size, as there is no bound on those ids; texts are compressed meanwhile. Rows with a null key stay; of rows with equal key all stay or go together.
     """
     gone = fresh_name("__gone", docs)
     similar = similar_sets(docs, scratch, percent, n, key, text).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(similar.hint("merge"), F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti")
+    column = F.col(f"`{text}`")
+    slim = docs.withColumn(text, pack_text(column.cast("string")))
+    return slim.join(similar.hint("merge"), F.col(f"`{key}`").cast("long") == F.col(gone), "left_anti").withColumn(text, unpack_text(column).cast(docs.schema[text].dataType))

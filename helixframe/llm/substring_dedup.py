@@ -18,7 +18,8 @@ keeps the first of equal seeds or extensions of its own documents and settles th
 on the spot. Extensions are dealt by their own hash, not by their anchor, so a common
 anchor with many different words around it spreads over all tasks, and no key has
 more rows than tasks have read parts. A task holds one batch and one run. Texts are
-compressed before they are shuffled.
+compressed before they are shuffled, and meet anchors and repeats by merge joins at every
+size, as neither has a bound; so work and disk on small tables tell those on large ones.
 
 Defined cases: a null text has no words; texts under ``window`` words keep all;
 rows with equal doc_id count as one document in which equal places do not repeat
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, Scratch, arrow_batch, fresh_name, map_arrow, packed, unpack, utf8, word_hashes
+from .common import Powers, Scratch, arrow_batch, fresh_name, map_arrow, pack_text, packed, unpack, utf8, word_hashes
 
 SEED = 6
 #: Runs or seeds that a task sorts together, in numbers.
@@ -280,7 +281,7 @@ def _by_document(docs: DataFrame, scratch: Scratch, window: int, key: str, text:
         seeds = own.save(_seeds(docs, window, key, text))
         live = _met_twice(seeds.where("not known")).unionByName(seeds.where("known").select("doc_id", "anchor"))
         live = live.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # no more than a document has
-        runs = own.save(_runs(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(live, "doc_id"), window))
+        runs = own.save(_runs(packed(docs.where(F.col(key).isNotNull()), key, text).withColumnRenamed(key, "doc_id").join(live.hint("merge"), "doc_id"), window))
         return scratch.save(_extended(_repeated(runs), window))
 
 
@@ -321,7 +322,7 @@ def maximal_repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: st
 def dedup_digests(docs: DataFrame, scratch: Scratch, window: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
     found = _by_document(docs, scratch, window, key, text)
-    joined = packed(docs, key, text).withColumnRenamed(key, "doc_id").join(found, "doc_id", "left")
+    joined = packed(docs, key, text).withColumnRenamed(key, "doc_id").join(found.hint("merge"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -351,13 +352,14 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: str =
     names, i = docs.columns, docs.columns.index(text)
     own, spans = fresh_name("__key", docs), fresh_name("__repeats", docs)
     found = _by_document(docs, scratch, window, key, text).select(F.col("doc_id").alias(own), F.col("repeats").alias(spans))
-    joined = docs.join(found, F.col(f"`{key}`").cast("long") == F.col(own), "left").select(*[F.col(f"`{c}`") for c in names], spans)
+    slim = docs.withColumn(text, pack_text(F.col(f"`{text}`")))
+    joined = slim.join(found.hint("merge"), F.col(f"`{key}`").cast("long") == F.col(own), "left").select(*[F.col(f"`{c}`") for c in names], spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(rb"[^\x20\x09-\x0D]+")
         for b in batches:
             cols = list(b.columns[:-1])
-            texts = cols[i].to_pylist()
+            texts = [None if z is None else unpack(z).decode() for z in cols[i].to_pylist()]
             for k, found in enumerate(b.column(len(names)).to_pylist()):
                 if found and texts[k]:
                     raw = texts[k].encode()
@@ -367,7 +369,7 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, window: int = 20, key: str =
                         out.append(raw[at : ends[start]])
                         at = ends[end]
                     texts[k] = b"".join([*out, raw[at:]]).decode()
-            cols[i] = pa.array(texts, cols[i].type)
+            cols[i] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return map_arrow(joined, run, docs.schema)

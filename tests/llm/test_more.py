@@ -408,3 +408,13 @@ def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
     got = ngram_jaccard.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark)).collect()
     assert {(x["doc_id"], x["component_id"]) for x in got} == {(d, c) for d, (_, c) in brute.similar(rows).items()}
     assert pairs[0] <= len(rows) and pairs[1] <= ngram_jaccard.PIVOTS * len(rows)
+
+
+def test_texts_are_compressed_and_joined_alike_at_every_size(spark):
+    docs = spark.createDataFrame([(d, None if d == 3 else " ".join(f"{d}_{i}" for i in range(30)), [d]) for d in range(9)], "doc_id long, `the text` string, more array<long>")
+    for fn in (ngram_jaccard.drop_similar, substring_dedup.drop_repeats):
+        out = fn(docs, Scratch(spark), text="the text")
+        assert out.schema == docs.schema
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "pack_text" in plan
+        assert sorted(out.collect()) == sorted(docs.collect())
