@@ -80,6 +80,24 @@ def test_interval_join_over_all_lengths(spark, longest, measure):
     assert got == want and ("whole", "last") in want
 
 
+def test_placed_rows_are_never_broadcast(spark):
+    """Spark takes a placed side for as small as it was, and would build it many times larger on the driver."""
+    few = spark.createDataFrame([("a", 0, 10, "x"), ("a", 5, 900, "y")], BED)
+    for measure in (("left", "right"), ("left",), ("right",)):
+        plan = I.interval_join(few, few, measure)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("longest", [1, 64, 65, 128, 129, 300])
+def test_interval_join_with_a_known_length(spark, longest):
+    rng = random.Random(longest)
+    left = [*spread(rng, 200, 200_000), ("a", 5, 5, "empty")]
+    right = [*spread(rng, 300, longest), ("b", 64, 64 + longest, "longest"), ("a", 127, 127 + longest, "edge")]
+    got = sorted((r["name"], r["r_name"]) for r in I.interval_join(spark.createDataFrame(left, BED), spark.createDataFrame(right, BED), ("left",), longest).collect())
+    assert got == sorted((x[3], y[3]) for x in left for y in right if x[0] == y[0] and x[1] < y[2] and y[1] < x[2] and x[1] < x[2])
+
+
+
 def test_interval_join_work_follows_its_pairs(spark):
     """Dense reads and targets with one interval as long as the contig on each side."""
     rng = random.Random(5)
