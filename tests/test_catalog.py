@@ -12,6 +12,7 @@ import pytest
 from helixframe import catalog
 from helixframe.functions import genomics as G
 from helixframe.operators import alignments as A
+from helixframe.operators import depth as D
 from helixframe.operators import intervals as I
 from helixframe.operators import variants as V
 from helixframe.plans.views import view
@@ -97,6 +98,60 @@ def test_interval_join_with_a_known_length(spark, longest):
     assert got == sorted((x[3], y[3]) for x in left for y in right if x[0] == y[0] and x[1] < y[2] and y[1] < x[2] and x[1] < x[2])
 
 
+def test_depth_of_regions_short_and_long(spark):
+    """Regions within a row of chunks, at its edges and beyond it, over runs with gaps, against every base."""
+    rng = random.Random(4)
+    runs, depth = [], {"a": [0] * 20_000, "b": [0] * 20_000}
+    for c in "ab":
+        at = rng.randrange(500)
+        while at < 18_000:
+            end, d = at + rng.choice([1, 3, 40, 1500]), rng.randrange(1, 30)
+            runs.append((c, at, end, d))
+            depth[c][at:end] = [d] * (end - at)
+            at = end + rng.choice([0, 0, 2, 700])
+    regions = [(*x[:3], f"{i}") for i, x in enumerate(spread(rng, 200, 9000, 19_000))] + [("a", 511, 1536, "edge"), ("a", 511, 1024, "fits"), ("a", 0, 1024, "whole"), ("a", 0, 1025, "over"), ("b", 19_000, 19_900, "none"), ("b", 100, 160, "x"), ("b", 100, 160, "y")]
+    odd = [("a", 7, 7, "empty"), ("b", None, 9, "null"), ("c", 5, 9, "alone")]
+    r, bed = spark.createDataFrame(runs, "chrom string, start_pos long, end_pos long, depth long"), spark.createDataFrame(regions, BED)
+    both = bed.unionByName(spark.createDataFrame(odd, BED))
+    of = {n: depth[c][s:e] for c, s, e, n in regions}
+    mean, mid, least = ({x["name"]: x for x in df.collect()} for df in (D.region_depth(both, r), D.region_depth(both, r, median=True), D.region_thresholds(both, r, [1, 12])))
+    every = {x["name"]: x for x in D.per_target_coverage(bed, r).collect()}
+    assert len(mean) == len(mid) == len(least) == len(both.collect()) and set(every) == set(of)
+    for n, d in of.items():
+        m = sorted(d)[(len(d) + 1) // 2 - 1]
+        assert mean[n]["depth"] == pytest.approx(sum(d) / len(d)) and mid[n]["depth"] == m
+        assert (least[n]["ge_1"], least[n]["ge_12"]) == (sum(x >= 1 for x in d), sum(x >= 12 for x in d))
+        assert [every[n][k] for k in ("mean", "min", "max", "median", "pct_0x")] == pytest.approx([sum(d) / len(d), min(d), max(d), m, d.count(0) / len(d)])
+    assert all(x[n]["depth"] == 0 for x in (mean, mid) for n in ("empty", "null", "alone")) and all(least[n]["ge_1"] == 0 for n in ("empty", "null", "alone"))
+    assert D.callable_in_bed(r, both, 12, size=1000).first()[0] == sum(x >= 12 for d in of.values() for x in d)
+
+
+def test_regions_do_not_meet_their_runs_one_by_one(spark):
+    """Short regions meet one row of chunks each, however many runs they hold."""
+    r = spark.range(2000).selectExpr("'a' chrom", "id start_pos", "id + 1 end_pos", "id % 7 + 1 depth")
+    bed = spark.range(500).selectExpr("'a' chrom", "id start_pos", "id + 200 end_pos")
+    rows = []
+
+    def made(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        todo = [plan]
+        while todo:
+            node = todo.pop()
+            kids = node.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+            if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+                todo.append(node.executedPlan())
+            elif hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+                todo.append(node.plan())
+            if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+                rows.append(node.metrics().apply("numOutputRows").value())
+        return max(rows)
+
+    assert made(D.region_depth(bed, r)) <= 2000
+
+
+
 
 def test_interval_join_work_follows_its_pairs(spark):
     """Dense reads and targets with one interval as long as the contig on each side."""
