@@ -13,6 +13,7 @@ from helixframe import catalog
 from helixframe.functions import genomics as G
 from helixframe.operators import alignments as A
 from helixframe.operators import depth as D
+from helixframe.operators import fastq as Q
 from helixframe.operators import intervals as I
 from helixframe.operators import variants as V
 from helixframe.plans.views import view
@@ -151,6 +152,26 @@ def test_regions_do_not_meet_their_runs_one_by_one(spark):
     assert made(D.region_depth(bed, r)) <= 2000
 
 
+def test_values_in_lambdas_and_orders_are_computed_once(spark):
+    """Qualities and blocks are not taken apart for each place, nor names in each comparison."""
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    reads = spark.createDataFrame([("x", 3, "a", 1, 60, "4M", "ACGT", "IIII")], "qname string, flag int, chrom string, pos long, mapq int, cigar string, seq string, qual string")
+    assert text(reads.select(Q.sliding_cut(F.col("qual")).alias("x"))).count("split(") == 1
+    assert text(A.with_mate_overlaps(reads)).count("transform(array(aggregate(zip_with(regexp_extract_all(") == 2
+    order = next(x for x in text(A.sort_alignments(reads, "name")).splitlines() if "Sort [" in x)
+    assert "regexp_extract_all" not in order
+
+
+@pytest.mark.parametrize("width", [1, 3, 4])
+def test_sliding_cut_against_every_window(spark, width):
+    rng = random.Random(width)
+    quals = ["", "I", "III", "####", "IIII"] + ["".join(rng.choice("#+5?I") for _ in range(rng.randrange(30))) for _ in range(200)]
+    for r in spark.createDataFrame([(q,) for q in quals], "q string").select("q", Q.sliding_cut(F.col("q"), width, 20).alias("n")).collect():
+        low = [i for i in range(len(r["q"]) - width + 1) if sum(ord(c) - 33 for c in r["q"][i : i + width]) < 20 * width]
+        assert r["n"] == (low[0] if low else len(r["q"]))
+
+
+
 
 
 def test_interval_join_work_follows_its_pairs(spark):
