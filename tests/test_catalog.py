@@ -278,6 +278,16 @@ def test_single_reads_lose_to_pairs(spark):
     assert A.mark_duplicates(reads, remove=True).count() == 4
 
 
+def test_reads_of_one_name_and_end_are_no_pair(spark):
+    """Two first ends with one name are fragments by themselves, as they are in the SQL of mark_duplicates."""
+    end = lambda q, flag, pos: (q, "n", flag, "a", pos, 60, "4M", "ACGT", "IIII")
+    rows = [end("p", 65, 10), end("p", 65, 10), end("q", 65, 10), end("u", 65, 50), end("u", 81, 80), end("v", 65, 50), end("w", 65, 200), end("w", 129, 300), end("x", 65, 200), end("x", 129, 300), end("y", 69, 10)]
+    reads = spark.createDataFrame(rows, "qname string, sample string, flag int, chrom string, pos long, mapq int, cigar string, seq string, qual string")
+    marked = A.mark_duplicates(reads)
+    got = sorted((r["qname"], r["pos"], r["flag"] & 1024 > 0) for r in marked.collect())
+    assert got == sorted([("p", 10, False), ("p", 10, True), ("q", 10, True), ("u", 50, False), ("u", 80, False), ("v", 50, True), ("w", 200, False), ("w", 300, False), ("x", 200, True), ("x", 300, True), ("y", 10, False)])
+
+
 def test_optical_duplicates(spark):
     row = lambda q, flag, pos, qual="I": ("s", q, flag, "c", pos, 60, "4M", "ACGT", qual * 4)
     names = {"m:1:f:1:7:1000:1000": "J", "m:1:f:1:7:1100:950": "I", "m:1:f:1:7:1101:1000": "I", "m:1:f:1:8:1000:1000": "I", "plain": "I"}
